@@ -31,6 +31,8 @@ ROCKSDB = {
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # many small stores: no log space is reserved ahead
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 
