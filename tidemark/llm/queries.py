@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, lang_id, packing, quality, url_filter
+from tidemark.llm import decontaminate, exact_dedup, lang_id, ngram_join, packing, quality, sentence_dedup, url_filter
 from tidemark.llm.common import crc_fold, table
 
 #: The rules of op1.
@@ -28,6 +28,19 @@ def op2_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op3_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminated(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("tk")
+
+
+def op4_lsh_forest_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(spark, table(spark, sf_dir, "documents")).drop("tk")
+
+
+def op5_sliding_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_dedup.remove_repeats(spark, table(spark, sf_dir, "documents"))
+
+
 def op6_streaming_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_dedup.exact_dedup(spark, table(spark, sf_dir, "documents"), is_scan=True)
     return found.select("doc_id", "keep_id", "group_size", "kept", F.col("sha").alias("text_sha256"))
