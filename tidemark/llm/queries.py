@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, exact_dedup, lang_id, ngram_join, packing, quality, sentence_dedup, url_filter
+from tidemark.llm import decontaminate, exact_dedup, html_wrapper, lang_id, ngram_join, packing, pii, quality, sentence_dedup, url_filter
 from tidemark.llm.common import crc_fold, table
 
 #: The rules of op1.
@@ -54,6 +54,10 @@ def op7_quality_fourier_ridge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
 
 
+def op8_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(pii.find_pii(spark, table(spark, sf_dir, "documents")))
+
+
 def op9_rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = crc_fold("doc_id", 4) == 2
@@ -61,6 +65,10 @@ def op9_rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op10_host_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_wrapper.extract(spark, table(spark, sf_dir, "pages"))
+
+
 _SPACE = r"'[\x20\x09-\x0D]+'"
 
 OP6_SQL = f"""

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import maybe_broadcast, staged
 
-#: Sentences of a run, and words that it has at least (shorter ones repeat by chance).
+#: Sentences of a run at least, and words (a run goes on until it has them; shorter ones repeat by chance).
 RUN, LEAST_WORDS = 2, 14
 #: A sentence ends after . ! or ?, at a line's end, or before a capital that follows a lower-case word.
 _END = re.compile(r"[.!?]+[\"')\]]*\s+|\s*\n\s*|(?<=[^\W\d_A-Z])[ \t]+(?=[A-ZÀ-ÖØ-Þ])")
@@ -33,28 +33,38 @@ def sentences(text: str) -> list[tuple[int, int]]:
     return [(a, b) for a, b in zip(cuts, cuts[1:]) if a < b]
 
 
-def run_hashes(text: str, run: int = RUN, least: int = LEAST_WORDS) -> list[tuple[int, int, int]]:
-    """(position of the first sentence, hash, word count) of every run; sentences without a word are passed over."""
-    worded = []
+def run_hashes(text: str, run: int = RUN, least: int = LEAST_WORDS) -> list[tuple[int, int, int, int]]:
+    """(span of the first sentence, sentences, hash, words) of every run; sentences without a word are passed over.
+
+    From each sentence the shortest run that starts there, and the shortest that ends there:
+    together they cover a repeated passage up to its first and its last sentence.
+    """
+    at, words = [], []
     for i, (a, b) in enumerate(sentences(text)):
-        words = _WORD.findall(text[a:b].lower())
-        if words:
-            worded.append((i, words))
+        if found := _WORD.findall(text[a:b].lower()):
+            at.append(i)
+            words.append(found)
+    before = np.concatenate(([0], np.cumsum([len(w) for w in words], dtype=np.int64)))
+    n = len(at)
+    starts = np.arange(n)
+    ends = np.maximum(np.searchsorted(before, before[:-1] + least), starts + run)  # first end that has enough
+    forward = {(int(s), int(e)) for s, e in zip(starts, ends) if e <= n}
+    begins = np.minimum(np.searchsorted(before, before[1:] - least, "right") - 1, starts + 1 - run)
+    backward = {(int(s), int(e)) for s, e in zip(begins, starts + 1) if s >= 0}
     out = []
-    for k in range(len(worded) - run + 1):
-        words = [w for _, ws in worded[k : k + run] for w in ws]
-        if len(words) >= least:
-            digest = hashlib.blake2b(" ".join(words).encode("utf-8", "surrogatepass"), digest_size=8).digest()
-            out.append((worded[k][0], int.from_bytes(digest, "little", signed=True), len(words)))
+    for s, e in sorted(forward | backward):
+        joined = " ".join([" ".join(w) for w in words[s:e]])
+        digest = hashlib.blake2b(joined.encode("utf-8", "surrogatepass"), digest_size=8).digest()
+        out.append((at[s], e - s, int.from_bytes(digest, "little", signed=True), int(before[e] - before[s])))
     return out
 
 
-def without_runs(text: str, starts: list[int], run: int = RUN) -> tuple[str, int]:
-    """The text without the sentences that the runs at these positions cover, and how many those are."""
+def without_runs(text: str, found: list[tuple[int, int]]) -> tuple[str, int]:
+    """The text without the sentences that these runs (first span, sentences) cover, and how many those are."""
     spans = sentences(text)
     worded = [i for i, (a, b) in enumerate(spans) if _WORD.search(text, a, b)]
     rank = {i: k for k, i in enumerate(worded)}
-    gone = {i for s in starts if s in rank for i in worded[rank[s] : rank[s] + run]}
+    gone = {i for s, n in found if s in rank for i in worded[rank[s] : rank[s] + n]}
     return "".join(text[a:b] for i, (a, b) in enumerate(spans) if i not in gone).strip() if gone else text, len(gone)
 
 
@@ -64,28 +74,27 @@ def _identified(docs: DataFrame) -> DataFrame:
 
 
 def runs(docs: DataFrame, run: int = RUN, least: int = LEAST_WORDS) -> DataFrame:
-    """doc_id, tk, pos, h, words: a row for every run of every document."""
+    """doc_id, tk, pos, n, h, words: a row for every run of every document."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [run_hashes(t.as_py() or "", run, least) for t in batch.column(2)]
             times = [len(f) for f in found]
             at = pa.array(np.repeat(np.arange(len(found)), times))
-            flat = np.array([x for f in found for x in f], dtype=np.int64).reshape(-1, 3)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(at), batch.column(1).take(at), *(pa.array(flat[:, k]) for k in range(3))], ["doc_id", "tk", "pos", "h", "words"]
-            )
+            flat = np.array([x for f in found for x in f], dtype=np.int64).reshape(-1, 4)
+            columns = [batch.column(0).take(at), batch.column(1).take(at), *(pa.array(flat[:, k]) for k in range(4))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "tk", "pos", "n", "h", "words"])
 
-    return _identified(docs).mapInArrow(hashed, "doc_id long, tk long, pos long, h long, words long")
+    return _identified(docs).mapInArrow(hashed, "doc_id long, tk long, pos long, n long, h long, words long")
 
 
 def repeated_runs(docs: DataFrame, spark: SparkSession, run: int = RUN, least: int = LEAST_WORDS) -> DataFrame:
-    """doc_id, tk, pos of every run that is not the first occurrence of its words."""
+    """doc_id, tk, pos, n of every run that is not the first occurrence of its words."""
     every = staged(spark, runs(docs, run, least), "sentence-runs")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tk", "pos")
     first = every.groupBy("h", "words").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     repeated = staged(spark, first.where("first != last").select("h", "words", "first"), "repeated-runs")
-    return every.join(maybe_broadcast(repeated), ["h", "words"]).where(place != F.col("first")).select("doc_id", "tk", "pos")
+    return every.join(maybe_broadcast(repeated), ["h", "words"]).where(place != F.col("first")).select("doc_id", "tk", "pos", "n")
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, run: int = RUN, least: int = LEAST_WORDS) -> DataFrame:
@@ -96,14 +105,14 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, run: int = RUN, least:
     sentences; a null doc_id comes after all others. Null text stays null, a text without a
     repeated run stays as it is, one that repeats wholly becomes empty. Other columns are not read.
     """
-    gone = repeated_runs(docs, spark, run, least).groupBy("doc_id", "tk").agg(F.collect_set("pos").alias("starts"))
-    marks = gone.select(F.col("doc_id").alias("g_id"), F.col("tk").alias("g_tk"), "starts")
+    gone = repeated_runs(docs, spark, run, least).groupBy("doc_id", "tk").agg(F.collect_set(F.struct("pos", "n")).alias("found"))
+    marks = gone.select(F.col("doc_id").alias("g_id"), F.col("tk").alias("g_tk"), "found")
     base = _identified(docs)
     marked = base.join(marks, base["doc_id"].eqNullSafe(marks["g_id"]) & (base["tk"] == marks["g_tk"]), "left")
 
     @F.pandas_udf("text string, n_removed long")
-    def cleaned(texts: pd.Series, starts: pd.Series) -> pd.DataFrame:
-        out = [(t, 0) if t is None or s is None else without_runs(t, list(s), run) for t, s in zip(texts, starts)]
+    def cleaned(texts: pd.Series, found: pd.Series) -> pd.DataFrame:
+        out = [(t, 0) if t is None or f is None else without_runs(t, [(x["pos"], x["n"]) for x in f]) for t, f in zip(texts, found)]
         return pd.DataFrame(out, columns=["text", "n_removed"])
 
-    return marked.withColumn("out", cleaned("text", "starts")).select("doc_id", "out.text", "out.n_removed")
+    return marked.withColumn("out", cleaned("text", "found")).select("doc_id", "out.text", "out.n_removed")
