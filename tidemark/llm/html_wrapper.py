@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import maybe_broadcast, staged
+from tidemark.llm.common import bounded_batches, maybe_broadcast, staged
 from tidemark.llm.url_filter import host_and_path
 
 #: Symbols of a folded stream that an alignment looks at; the rest is kept as it is found.
@@ -146,7 +146,8 @@ def folded(symbols: list[str]) -> list[str]:
 
 
 def slot_of(stack: tuple[str, ...]) -> str:
-    return "/".join(stack)
+    """A slot's name: its open blocks, a point for text outside all of them."""
+    return "/".join(stack) or "."
 
 
 #: A wrapper: its symbols in order, each with pages, characters, link characters and whether it is optional, repeated.
@@ -308,6 +309,7 @@ def extract(spark: SparkSession, pages: DataFrame) -> DataFrame:
     empty. Blocks of main text are joined by one newline; if there is none, the text is empty.
     Repeated rows give repeated rows; other columns are not read; an empty table gives none.
     """
+    bounded_batches(spark)
     host, _ = host_and_path(pages["url"])
     base = pages.select(pages["page_id"].alias("page_id"), pages["url"].alias("url"), host.alias("host"), pages["html"].cast("string").alias("html"))
     wrappers = staged(spark, infer(spark, base), "wrappers")
