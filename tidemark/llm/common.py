@@ -12,6 +12,17 @@ from pyspark.sql import functions as F
 ASCII_SPACE = r"[\x20\x09-\x0D]+"
 
 
+#: Rows of an Arrow batch for functions over whole texts or sets: some MB with usual texts.
+BATCH_ROWS = 1_000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Smaller Arrow batches for the session: a default batch of long texts is hundreds of MB on both sides."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

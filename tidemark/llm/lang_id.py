@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidemark.llm.common import staged
+from tidemark.llm.common import bounded_batches, staged
 
 #: N-grams of a profile, of a document and of a language.
 PROFILE = 300
@@ -118,6 +118,7 @@ def train(spark: SparkSession, labelled: DataFrame, profile: int = PROFILE) -> D
                     ["lang", "gram", "n"],
                 )
 
+    bounded_batches(spark)
     rows = labelled.select(labelled["text"].cast("string").alias("text"), labelled["lang"].cast("string").alias("lang"))
     counted = rows.dropna().mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
@@ -175,6 +176,7 @@ def predict(spark: SparkSession, docs: DataFrame, profiles: DataFrame, profile:
                 ["doc_id", "lang_pred", "score"],
             )
 
+    bounded_batches(spark)
     chosen = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
     return chosen.mapInArrow(run, "doc_id long, lang_pred string, score double")
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fresh, maybe_broadcast, staged
+from tidemark.llm.common import bounded_batches, fresh, maybe_broadcast, staged
 
 WORDS, THRESHOLD = 5, 0.8
 #: Trees, full depth of a tree's prefix, recall to reach at the threshold.
@@ -276,6 +276,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, words: int = WORDS, th
     that has another id. Pairs at the threshold are found with probability RECALL, more similar
     ones with more; no link below the threshold is reported. An empty table gives none.
     """
+    bounded_batches(spark)
     sketched = staged(spark, sketches(docs, words), "sketches")
     worded = sketched.where(F.col("cls").isNotNull())
     classes = staged(

@@ -28,6 +28,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
+from tidemark.llm.common import bounded_batches
+
 SEQUENCE = 4096
 END_ID = 2
 #: Tokens of remainders that one block may hold, and documents: bounds of a task's memory.
@@ -217,5 +219,6 @@ def pack(docs: DataFrame, tokenizer_path: str, length: int = SEQUENCE, end_id: i
     stays null. Of other columns none is read. An empty table gives no pieces.
     """
     assert sys.byteorder == "little" and length & (length - 1) == 0
+    bounded_batches(docs.sparkSession)
     chosen = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
     return chosen.mapInArrow(_packer(tokenizer_path, length, end_id), SCHEMA)

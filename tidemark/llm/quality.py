@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import crc_fold, fresh, staged
+from tidemark.llm.common import bounded_batches, crc_fold, fresh, staged
 
 #: Random features, kernel width (in standard deviations of a statistic), ridge and seed.
 FEATURES, WIDTH, RIDGE, SEED = 256, 3.0, 1e-2, 20240229
@@ -114,6 +114,7 @@ def with_statistics(docs: DataFrame) -> DataFrame:
             x = [statistics(t.as_py() or "") for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, kind)], ["doc_id", "x"])
 
+    bounded_batches(docs.sparkSession)
     chosen = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
     return chosen.mapInArrow(run, "doc_id long, x array<double>")
 
@@ -225,6 +226,7 @@ def score(spark: SparkSession, stats: DataFrame, model: Model) -> DataFrame:
 
 def score_column(spark: SparkSession, model: Model, text: Column) -> Column:
     """The score of a text column; null text scores as empty text."""
+    bounded_batches(spark)
     shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
