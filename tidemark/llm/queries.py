@@ -78,10 +78,21 @@ SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM t WINDOW g AS (PARTITION BY text_sha256)
 """
 
+OP4_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+      ELSE [array_to_string(w, ' ')] END) AS g FROM w WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE c >= 0.8 * (x.n + y.n - c) - 1e-6),
+r AS (SELECT doc_id, doc_id AS class_id FROM documents UNION SELECT l.b, r.class_id FROM r JOIN l ON l.a = r.doc_id)
+SELECT r.doc_id, min(class_id) AS class_id, (SELECT count(*) FROM l WHERE l.a = r.doc_id) AS n_links FROM r GROUP BY r.doc_id
+"""
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_streaming_exact_dedup": OP6_SQL}
+    return {"op4_lsh_forest_join": OP4_SQL, "op6_streaming_exact_dedup": OP6_SQL}
