@@ -259,6 +259,14 @@ def test_pages_without_an_article(spark):
     assert html_wrapper.extract(spark, spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_long_and_deep_pages_keep_every_block(spark):
+    irregular = "".join(f"<{'h2' if i * i % 7 < 3 else 'p'}>block {i}" for i in range(9_000))
+    deep = "<article>" + "<div>x" * 3_000
+    rows = [(1, "https://a.example/", f"<article>{irregular}</article>"), (2, "https://b.example/", deep), (3, "https://b.example/", "<div" * 2_000)]
+    found = {r.page_id: r.text for r in html_wrapper.extract(spark, spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert found[1].count("\n") == 8_999 and found[2].count("x") == 3_000
+
+
 def test_alignment_makes_optional_and_repeated_groups():
     a = html_wrapper.start_wrapper("\n".join(["h", "p", "f"]), 3, {"h": [10, 0], "p": [5, 0], "f": [2, 0]})
     b = html_wrapper.start_wrapper("\n".join(["h", "n", "p+", "f"]), 1, {"h": [1, 0], "n": [4, 4], "p": [5, 0], "f": [2, 0]})

@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import bounded_batches, maybe_broadcast, staged
 from tidemark.llm.url_filter import host_and_path
 
-#: Symbols of a folded stream that an alignment looks at; the rest is kept as it is found.
-LONGEST = 4_000
+#: Symbols of a folded stream that are aligned in order; of a longer one each slot is kept once, as a repetition.
+LONGEST = 2_000
 #: First-level folds of a host's streams.
 SHARES = 16
 _TAG = re.compile(
@@ -75,17 +75,18 @@ def _label(name: str, attributes: str) -> str:
     return name
 
 
-def text_slots(page: str) -> Iterator[tuple[tuple[str, ...], int, str, bool]]:
-    """(open blocks, number of the block, raw text, in a link?) for every text of the page, in order.
+def text_slots(page: str) -> Iterator[tuple[str, int, str, bool]]:
+    """(slot, number of the block, raw text, in a link?) for every text of the page, in order.
 
-    The number changes wherever a block starts or ends; inline elements don't change it.
+    A slot is the path of open blocks, a point outside all of them; blocks of one kind directly inside
+    each other count once. The number changes wherever a block starts or ends; inline elements don't change it.
     """
     stack: list[str] = []
-    links = 0
-    block, at = 0, 0
+    slots = ["."]
+    links, block, at = 0, 0, 0
     for m in _TAG.finditer(page):
         if m.start() > at:
-            yield tuple(stack), block, page[at : m.start()], links > 0
+            yield slots[-1], block, page[at : m.start()], links > 0
         at = m.end()
         name = m[3]
         if name is None:
@@ -95,33 +96,35 @@ def text_slots(page: str) -> Iterator[tuple[tuple[str, ...], int, str, bool]]:
             if name == "a":
                 links = 0 if m[2] else 1
             elif name == "br":
-                yield tuple(stack), block, " ", links > 0
+                yield slots[-1], block, " ", links > 0
             continue
         block += 1
         links = 0
         if m[2]:
-            names = [s.rstrip("!") for s in stack]
-            if name in names:
-                del stack[len(names) - 1 - names[::-1].index(name) :]
+            place = next((i for i in range(len(stack) - 1, -1, -1) if stack[i].rstrip("!") == name), None)
+            if place is not None:
+                del stack[place:], slots[place + 1 :]
         else:
             while stack and name in CLOSES.get(stack[-1].rstrip("!"), ()):
-                stack.pop()
+                del stack[-1], slots[-1]
             if name not in VOID:
-                stack.append(_label(name, m[4] or ""))
+                label = _label(name, m[4] or "")
+                slots.append(slots[-1] if stack and stack[-1] == label else f"{slots[-1]}/{label}" if stack else label)
+                stack.append(label)
     if at < len(page):
-        yield tuple(stack), block, page[at:], links > 0
+        yield slots[-1], block, page[at:], links > 0
 
 
-def blocks_of(page: str) -> list[tuple[tuple[str, ...], str, int]]:
-    """(open blocks, text, characters of it in links) of every block that has text, in order."""
-    out: list[tuple[tuple[str, ...], str, int]] = []
-    open_, number, parts, linked = (), -1, [], 0
-    for stack, block, raw, in_link in [*text_slots(page), ((), -2, "", False)]:
+def blocks_of(page: str) -> list[tuple[str, str, int]]:
+    """(slot, text, characters of it in links) of every block that has text, in order."""
+    out: list[tuple[str, str, int]] = []
+    open_, number, parts, linked = ".", -1, [], 0
+    for slot, block, raw, in_link in [*text_slots(page), (".", -2, "", False)]:
         if block != number:
             text = _SPACE.sub(" ", html.unescape("".join(parts))).strip() if parts else ""
             if text:
                 out.append((open_, text, min(linked, len(text))))
-            open_, number, parts, linked = stack, block, [], 0
+            open_, number, parts, linked = slot, block, [], 0
         parts.append(raw)
         if in_link:
             linked += len(raw.strip())
@@ -131,7 +134,7 @@ def blocks_of(page: str) -> list[tuple[tuple[str, ...], str, int]]:
 def folded(symbols: list[str]) -> list[str]:
     """The stream with each group that repeats at once (up to 8 symbols) kept once, marked by +."""
     out: list[str] = []
-    for s in symbols[:LONGEST]:
+    for s in symbols:
         out.append(s)
         changed = True
         while changed:
@@ -142,12 +145,7 @@ def folded(symbols: list[str]) -> list[str]:
                     out[-k:] = [x if x.endswith("+") else x + "+" for x in out[-k:]]
                     changed = True
                     break
-    return out
-
-
-def slot_of(stack: tuple[str, ...]) -> str:
-    """A slot's name: its open blocks, a point for text outside all of them."""
-    return "/".join(stack) or "."
+    return out if len(out) <= LONGEST else [x + "+" for x in dict.fromkeys(x.rstrip("+") for x in out)]
 
 
 #: A wrapper: its symbols in order, each with pages, characters, link characters and whether it is optional, repeated.
@@ -158,11 +156,11 @@ def page_wrapper(page: str) -> tuple[str, dict[str, list[int]]]:
     """The page's own folded stream as text, and for every slot its characters and link characters."""
     found = blocks_of(page)
     slots: dict[str, list[int]] = {}
-    for stack, text, linked in found:
-        sums = slots.setdefault(slot_of(stack), [0, 0])
+    for slot, text, linked in found:
+        sums = slots.setdefault(slot, [0, 0])
         sums[0] += len(text)
         sums[1] += linked
-    return "\n".join(folded([slot_of(stack) for stack, _, _ in found])), slots
+    return "\n".join(folded([slot for slot, _, _ in found])), slots
 
 
 def aligned(a: Wrapper, b: Wrapper) -> Wrapper:
@@ -186,6 +184,12 @@ def _refolded(wrapper: Wrapper) -> Wrapper:
             out[-1] = [x[0], max(x[1], y[1]), x[2] + y[2], x[3] + y[3], x[4] and y[4], True]
         else:
             out.append(list(x))
+    if len(out) > LONGEST:  # too many for an order: each slot once, with all its sums
+        by_name: dict[str, list] = {}
+        for x in out:
+            y = by_name.setdefault(x[0], [x[0], 0, 0, 0, True, True])
+            y[1:4] = [max(x[1], y[1]), x[2] + y[2], x[3] + y[3]]
+        out = list(by_name.values())
     return out
 
 
@@ -312,22 +316,31 @@ def extract(spark: SparkSession, pages: DataFrame) -> DataFrame:
     bounded_batches(spark)
     host, _ = host_and_path(pages["url"])
     base = pages.select(pages["page_id"].alias("page_id"), pages["url"].alias("url"), host.alias("host"), pages["html"].cast("string").alias("html"))
-    wrappers = staged(spark, infer(spark, base), "wrappers")
-    slots = maybe_broadcast(wrappers.select(F.col("host").alias("w_host"), "wrapper"), 20_000)
-    joined = base.join(slots, F.col("host") == F.col("w_host"), "left").select("page_id", "url", "html", "wrapper")
+    slots = staged(spark, _main_of(infer(spark, base)), "main-slots")
+    slots = maybe_broadcast(slots.withColumnRenamed("host", "w_host"), 20_000)
+    joined = base.join(slots, F.col("host") == F.col("w_host"), "left").select("page_id", "url", "html", "slots")
     kinds = dict(base.dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, frozenset[str]] = {}
         for batch in batches:
             texts = []
-            for page, wrapper in zip(batch.column(2), batch.column(3).to_pylist()):
-                if wrapper not in known:
-                    if len(known) > 1_000:
-                        known.clear()
-                    known[wrapper] = frozenset(main_slots(json.loads(wrapper))) if wrapper else frozenset()
-                mine = known[wrapper]
-                texts.append("\n".join(text for stack, text, _ in blocks_of(page.as_py() or "") if slot_of(stack) in mine))
+            known: dict[str, frozenset[str]] = {}
+            for page, names in zip(batch.column(2), batch.column(3).to_pylist()):
+                if names not in known:
+                    known[names] = frozenset((names or "").split("\n"))
+                mine = known[names]
+                texts.append("\n".join(text for slot, text, _ in blocks_of(page.as_py() or "") if slot in mine))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
     return joined.mapInArrow(run, f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars long")
+
+
+def _main_of(wrappers: DataFrame) -> DataFrame:
+    """host, slots (one a line) that hold main text, from (host, wrapper)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = ["\n".join(main_slots(json.loads(w))) for w in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string())], ["host", "slots"])
+
+    return wrappers.mapInArrow(run, "host string, slots string")
