@@ -6,6 +6,8 @@ type, ``value`` and the entries of ``props`` the fields. The registry is a table
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -103,7 +105,7 @@ def q_covering_windows(spark, sf_dir):
 
 SQL_covering_windows = f"""
 WITH w AS (SELECT DISTINCT epoch_ms({_week('o_orderdate')}) AS window_start_ms, epoch_ms({_week('o_orderdate')}) + {7 * DAY} AS window_end_ms FROM orders),
-r AS (SELECT c_nationkey AS range_id, 820454400000 + c_nationkey * 3 * {DAY} AS a, 820454400000 + c_nationkey * 3 * {DAY} + (min(c_custkey) % 40 + 1) * {DAY} AS b
+r AS (SELECT c_nationkey AS range_id, 820454400000 + CAST(c_nationkey AS BIGINT) * 3 * {DAY} AS a, 820454400000 + CAST(c_nationkey AS BIGINT) * 3 * {DAY} + (min(c_custkey) % 40 + 1) * {DAY} AS b
       FROM customer GROUP BY c_nationkey)
 SELECT range_id, window_start_ms, window_end_ms FROM w, r WHERE a < window_end_ms AND window_start_ms < b"""
 
@@ -499,10 +501,9 @@ SELECT CAST(page_id % 5 AS VARCHAR) AS apikey, {_FAIL}'not an event' AS message,
 
 def q_stream_batch_parity(spark, sf_dir):
     """Events as a stream of payloads through the ingest job; what it stored and put aside, counted."""
-    import tempfile
-
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    root = f"{base.rstrip('/')}/ingest-{id(spark)}-" + next(tempfile._get_candidate_names()) if base else tempfile.mkdtemp(prefix="spark-ingest-", dir="/tmp")
+    base = base or "file://" + tempfile.mkdtemp(prefix="spark-ingest-", dir="/tmp")  # local runs name none
+    root = f"{base.rstrip('/')}/ingest-{uuid.uuid4().hex}"
     events = raw_events(spark, sf_dir).select("org", F.to_json("fields").alias("payload"))
     blank = table(spark, sf_dir, "events").where("event_id % 50 = 0").select(F.lit("0").alias("org"), F.lit(" ").alias("payload"))
     broken = table(spark, sf_dir, "events").where("event_id % 40 = 0").select(F.lit("1").alias("org"), F.lit("{broken").alias("payload"))
