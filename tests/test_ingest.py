@@ -267,6 +267,23 @@ def test_retention_and_compaction(spark, tmp_path):
     assert not [p for p in (tmp_path / "store").glob("window*/*/*/*/*.parquet")]
 
 
+def test_scan_by_alias(spark, registry):
+    rows = spark.createDataFrame([("org1", "m1", 5), ("org1", "m1", DAY * 30), ("org2", "m1", 5)], "org string, metric_id string, ts_ms long")
+    store = V.store_rows(rows, F.lit(1))
+    assert [r.ts_ms for r in V.scan_by_alias(store, registry[0], "org1", "alias1", 0, DAY).collect()] == [5]
+    assert V.scan_by_alias(store, registry[0], "org1", "nothing", 0, DAY).count() == 0
+    assert V.scan(store, "org1", "m1", 0, 1, whole_windows=True).count() == 1
+    assert maintenance.approximate_count(rows) == 3
+
+
+def test_uploads_reach_the_manifest(spark, tmp_path):
+    rows = spark.createDataFrame([("1234", "file"), ("1234", "file"), (None, "x")], "org string, file string")
+    rows.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("org string, file string").parquet(str(tmp_path / "in"))
+    ingest.track_uploads(stream, str(tmp_path / "manifest"), str(tmp_path / "c")).awaitTermination()
+    assert [tuple(r) for r in M.pending(M.read(spark, str(tmp_path / "manifest"))).collect()] == [("1234", "file")]
+
+
 def test_archive_inputs(spark, tmp_path):
     path = write(tmp_path / "in/z.json", "x")
     (moved,) = maintenance.archive_inputs(spark, [path], str(tmp_path / "archive"), 7)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.timewindow import overlaps, with_window
 from tidemark.functions.values import absent_if_empty, content_id
+from tidemark.schema import metric_aliases
 
 KEY = ["org", "metric_id", "ts_ms"]
 
@@ -65,6 +66,14 @@ def scan(store: DataFrame, org: str, metric_id: str, start_ms: int, end_ms: int,
     return rows if whole_windows else rows.where((F.col("ts_ms") >= start_ms) & (F.col("ts_ms") < end_ms))
 
 
+def scan_by_alias(store: DataFrame, metrics: DataFrame, org: str, alias: str, start_ms: int, end_ms: int) -> DataFrame:
+    """``scan`` of the metric that a tenant calls ``alias``; the first by id if several do, no rows if none does."""
+    found = metric_aliases(metrics).where((F.col("org") == org) & (F.col("alias") == alias)).head()
+    if found is None:
+        return store.limit(0)
+    return scan(store, org, found.metric_id, start_ms, end_ms)
+
+
 def covering_windows(windows: DataFrame, ranges: DataFrame) -> DataFrame:
     """Windows (window_start_ms, window_end_ms) that each range (range_start, range_end) touches.
 

@@ -57,3 +57,8 @@ def archive_inputs(spark: SparkSession, files: list[str], root: str, run_ms: int
             raise OSError(f"{file} can't be moved to {target}")
         moved.append(target.toString())
     return moved
+
+
+def approximate_count(df: DataFrame, timeout_ms: int = 120_000, confidence: float = 0.95) -> int:
+    """About how many rows there are, counted for at most ``timeout_ms``: for debugging only."""
+    return df.select(F.lit(1)).rdd.countApprox(timeout_ms, confidence)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tidemark.operators import conform as C
+from tidemark.operators import manifest as M
 from tidemark.operators import versions as V
 from tidemark.sources.requests import concatenated_events
 
@@ -87,3 +88,14 @@ def without_resends(stream: DataFrame, delay: str = "1 hour") -> DataFrame:
 def read_payloads(spark: SparkSession, path: str, files_per_trigger: int = 1_000) -> DataFrame:
     """A stream of (org, payload) from Parquet files as they come."""
     return spark.readStream.schema("org string, payload string").option("maxFilesPerTrigger", files_per_trigger).parquet(path)
+
+
+def track_uploads(notifications: DataFrame, manifest: str, checkpoint: str) -> StreamingQuery:
+    """Adds the files of upload notifications (org, file) to the manifest, once a batch and only if there are any."""
+
+    def add(batch: DataFrame, number: int) -> None:
+        files = batch.select("org", "file").dropna().distinct()
+        if not files.isEmpty():
+            M.append(M.actions(files, M.PENDING, F.lit(number)), manifest)
+
+    return notifications.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
