@@ -35,7 +35,7 @@ _NAME = r"(?<=[\p{L}\p{N},;] )(\p{Lu}\p{Ll}+)(?![\p{L}\p{N}])"
 _UNIT = r"(?<=\p{N}) ?((?i:" + "|".join(UNITS) + r")(?![\p{L}\p{N}])|[%€$£°])"
 _NUMBER = r"(\p{N}+(?:[.,]\p{N}+)*)"
 #: What stands between tokens; a point or comma inside a number does not.
-_BETWEEN = r"(?:[^\p{L}\p{N}\x01-\x03.,]|(?<!\p{N})[.,]|[.,](?!\p{N}))+"
+_BETWEEN = r"(?:[^\p{L}\p{M}\p{N}\x01-\x03.,]|(?<!\p{N})[.,]|[.,](?!\p{N}))+"
 
 
 def marked(text: Column) -> Column:
