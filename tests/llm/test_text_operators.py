@@ -44,22 +44,30 @@ def test_exact_dedup_equals_brute_force(spark, odd, sample):
 
 
 def test_exact_dedup_checks_bytes_of_equal_digests(spark, sample):
-    weak = exact_dedup.exact_dedup(spark, sample, is_scan=True, digest=lambda sha: F.substring(sha, 1, 1))
+    weak = exact_dedup.exact_dedup(spark, sample, digest=lambda sha: F.substring(sha, 1, 1))
     assert exact_result(weak) == brute_exact(pairs(sample))
 
 
+def test_exact_dedup_of_other_plans(spark, sample):
+    twice = sample.union(sample)
+    assert exact_dedup.is_scan(sample) and not exact_dedup.is_scan(twice) and not exact_dedup.is_scan(sample.where("doc_id > 3"))
+    assert exact_result(exact_dedup.exact_dedup(spark, twice)) == brute_exact(pairs(twice))
+
+
 def test_exact_dedup_over_many_batches(spark, sample, tmp_path, monkeypatch):
     path = str(tmp_path / "docs")
     sample.repartition(6).write.parquet(path)
     docs = spark.read.parquet(path)
     monkeypatch.setattr(exact_dedup, "COPIES_PER_TASK", 2)
-    found = exact_dedup.exact_dedup(spark, docs, is_scan=True, files_per_trigger=2)
+    found = exact_dedup.exact_dedup(spark, docs, files_per_trigger=2)
     assert exact_result(found) == brute_exact(pairs(docs))
 
 
 def test_exact_dedup_empty_and_columns(spark, odd, none):
     assert exact_dedup.exact_dedup(spark, none).count() == 0
-    kept = exact_dedup.drop_copies(spark, odd, is_scan=False)
+    clash = odd.withColumn("_metadata", F.lit("x")).withColumn("tm_0", F.lit(1))
+    assert exact_dedup.drop_copies(spark, clash).columns == clash.columns
+    kept = exact_dedup.drop_copies(spark, odd)
     assert kept.columns == odd.columns
     assert sorted(pairs(kept), key=str) == sorted([(1, odd.first().text), (3, None), (5, "   \t\n "), *pairs(odd)[6:9]], key=str)
 

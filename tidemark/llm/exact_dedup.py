@@ -19,7 +19,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fresh, maybe_broadcast, scratch_dir, squeezed
+from tidemark.llm.common import fresh, maybe_broadcast, scratch_dir, squeezed, staged
 
 #: Copies of one digest that one task compares with the retained text.
 COPIES_PER_TASK = 1_000
@@ -45,21 +45,27 @@ def full_digest(sha: Column) -> Column:
     return F.unhex(sha)
 
 
-def located(spark: SparkSession, docs: DataFrame, is_scan: bool) -> DataFrame:
+def is_scan(docs: DataFrame) -> bool:
+    """Whether ``docs`` is a file scan as it stands, so that each row has a file and a row number of its own."""
+    plain = docs._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation"
+    return plain and "_metadata" not in {c.lower() for c in docs.columns}
+
+
+def located(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, normalised text, its SHA-256 and the locator of each row: its file and its row there.
 
-    ``is_scan``: ``docs`` is a file scan as it stands; anything else is first written to the shared folder.
+    What is no file scan is first written to the shared folder.
     """
-    if not is_scan or "_metadata" in {c.lower() for c in docs.columns}:
-        base = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
+    if not is_scan(docs):
+        base = docs.select(docs[doc_id].cast("long").alias("doc_id"), docs[text].cast("string").alias("text"))
         path = scratch_dir(spark, "exact-source")
         base.write.parquet(path)
-        docs = spark.read.schema(base.schema).parquet(path)
-    text = normalised(docs["text"])
+        docs, doc_id, text = spark.read.schema(base.schema).parquet(path), "doc_id", "text"
+    plain = normalised(docs[text])
     return docs.select(
-        docs["doc_id"].cast("long").alias("doc_id"),
-        text.alias("text"),
-        F.sha2(text, 256).alias("sha"),
+        docs[doc_id].cast("long").alias("doc_id"),
+        plain.alias("text"),
+        F.sha2(plain, 256).alias("sha"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.row_index").alias("row"),
     )
@@ -101,9 +107,10 @@ def retained_state(spark: SparkSession, digests: str, schema, files_per_trigger:
 def exact_dedup(
     spark: SparkSession,
     docs: DataFrame,
-    is_scan: bool = False,
     digest: Callable[[Column], Column] = full_digest,
     files_per_trigger: int = FILES_PER_TRIGGER,
+    doc_id: str = "doc_id",
+    text: str = "text",
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, file, row, sha, keep_id, group_size, kept.
 
@@ -112,7 +119,7 @@ def exact_dedup(
     null text counts as empty, an empty table gives no rows, other columns are not read.
     ``digest`` makes the state's key from the SHA-256; a weak one only costs more byte checks.
     """
-    source = located(spark, docs, is_scan)
+    source = located(spark, docs, doc_id, text)
     keyed = source.withColumn("digest", digest(F.col("sha")))
     staged = scratch_dir(spark, "exact-digests")
     slim = keyed.drop("text")
@@ -177,14 +184,16 @@ def _differing(spark: SparkSession, keyed: DataFrame, state: DataFrame) -> DataF
     return None if differing.isEmpty() else differing
 
 
-def drop_copies(spark: SparkSession, docs: DataFrame, is_scan: bool = True) -> DataFrame:
+def drop_copies(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """``docs`` without the rows that ``exact_dedup`` drops; all its columns stay."""
-    if not is_scan or "_metadata" in {c.lower() for c in docs.columns}:
-        path = scratch_dir(spark, "exact-docs")
-        docs.write.parquet(path)
-        docs = spark.read.schema(docs.schema).parquet(path)
-    dropped = exact_dedup(spark, docs, is_scan=True).where(~F.col("kept"))
+    names, inner = docs.columns, dict(zip(docs.columns, docs.columns))
+    if not is_scan(docs):  # under names of its own, as any may clash with the reader's
+        inner = {c: f"tm_{i}" for i, c in enumerate(names)}
+        renamed, path = docs.toDF(*inner.values()), scratch_dir(spark, "exact-docs")
+        renamed.write.parquet(path)
+        docs = spark.read.schema(renamed.schema).parquet(path)
+    dropped = exact_dedup(spark, docs, doc_id=inner["doc_id"], text=inner["text"]).where(~F.col("kept"))
     file, row = fresh(docs, "tm_file"), fresh(docs, "tm_row")
-    gone = maybe_broadcast(dropped.select(F.col("file").alias(file), F.col("row").alias(row)))
+    gone = staged(spark, dropped.select(F.col("file").alias(file), F.col("row").alias(row)), "exact-gone")
     keyed = docs.select("*", F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(row))
-    return keyed.join(gone, [file, row], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return keyed.join(maybe_broadcast(gone), [file, row], "left_anti").select(*[F.col(f"`{inner[c]}`").alias(c) for c in names])

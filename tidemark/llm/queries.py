@@ -42,7 +42,7 @@ def op5_sliding_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_streaming_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = exact_dedup.exact_dedup(spark, table(spark, sf_dir, "documents"), is_scan=True)
+    found = exact_dedup.exact_dedup(spark, table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.col("sha").alias("text_sha256"))
 
 
