@@ -36,7 +36,7 @@ END_ID = 2
 BLOCK_TOKENS = 1 << 20
 BLOCK_DOCS = 4096
 #: Ids that one encoder keeps for repeated words; full, it computes the others anew.
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 150_000
 #: Attention cost of a piece of n tokens: LINEAR * n + QUADRATIC * n * n.
 LINEAR, QUADRATIC = 1.0, 1.0 / SEQUENCE
 
