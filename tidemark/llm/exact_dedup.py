@@ -30,6 +30,7 @@ ROCKSDB = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "64",
+    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "4",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     # many small stores: no log space is reserved ahead
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
