@@ -26,6 +26,9 @@ COPIES_PER_TASK = 1_000
 #: Files of staged digests that one micro-batch reads.
 FILES_PER_TRIGGER = 1_000
 
+#: Rows of staged digests for each state store: their number follows the table, not the shuffle setting.
+ROWS_PER_STORE = 20_000
+
 ROCKSDB = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
@@ -75,8 +78,10 @@ def located(spark: SparkSession, docs: DataFrame, doc_id: str = "doc_id", text:
 def retained_state(spark: SparkSession, digests: str, schema, files_per_trigger: int) -> DataFrame:
     """Stream the staged digests through the keyed state: digest, keep (locator of the row that stays), hits."""
     updates, checkpoint = scratch_dir(spark, "exact-updates"), scratch_dir(spark, "exact-state")
-    before = {k: spark.conf.get(k, None) for k in ROCKSDB}
-    for k, v in ROCKSDB.items():
+    stores = max(1, -(-spark.read.schema(schema).parquet(digests).count() // ROWS_PER_STORE))
+    settings = ROCKSDB | {"spark.sql.streaming.internal.stateStore.partitions": str(stores)}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
         spark.conf.set(k, v)
     try:
         keep = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "file", "row")).alias("keep")
