@@ -218,6 +218,22 @@ def test_inconsistent_slots_are_no_leak(spark):
     assert {r["doc_id"] for r in rows(decontaminate.contaminated(spark, docs, bench(spark, [(1, item)])))} == {1}
 
 
+def test_items_dense_in_slots_are_found(spark):
+    items = [
+        (1, "Compute 12 + 7 - 3 * 45 + 6 / 2 - 8 + 19 and give the answer"),
+        (2, "Sort these numbers: 12, 7, 3, 45, 6, 2, 8, 19, 33, 51"),
+        (3, "31 5 17 4 88 23 9 61 12 70"),
+    ]
+    docs = [
+        *((i, f"Some words stand before it. {text} And some stand after.") for i, text in items),
+        (4, "Some words first. Compute 13 + 9 - 4 * 46 + 7 / 3 - 5 + 20 and give the answer"),
+        (5, "Please sort these numbers: 14, 9, 4, 47, 8, 1, 5, 20, 34, 52"),
+        (6, "A table of 40 41 42 43 44 45 46 47 48 49 50 51 and nothing more"),
+    ]
+    found = decontaminate.contaminated(spark, spark.createDataFrame(docs, "doc_id long, text string"), bench(spark, items))
+    assert {(r["doc_id"], r["item_id"]) for r in rows(found)} == {(1, 1), (2, 2), (3, 3), (4, 1), (5, 2)}
+
+
 def test_decontamination_finds_whole_items(spark, sample):
     items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
     plain = lambda t: " ".join(re.findall(r"\w+", t.lower()))

@@ -4,7 +4,9 @@ Numbers, names and units become typed placeholders; every window of WINDOW templ
 of every document is hashed and joined with the windows of the benchmark's templates. A
 document that shares enough windows with an item is checked for slot consistency: along each
 alignment one value of the item must stand for one value of the document. So a question with
-other numbers is caught, and a text that only has the same shape is not.
+other numbers is caught, and a text that only has the same shape is not. Windows that are mostly
+placeholders count where another window of the item fits at the same alignment. Windows
+of the case-folded words are joined too, so exact passages need no template.
 
 Benchmark items with one template are one item on the join's small side. Its distinct hashes
 are broadcast only if they are few enough (they are counted), else the join is shuffled.
@@ -12,13 +14,15 @@ are broadcast only if they are few enough (they are counted), else the join is s
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import fresh, maybe_broadcast, staged
 
-#: Tokens of a window; placeholders that a benchmark window may have at most.
+#: Tokens of a window; placeholders up to which its template alone finds a document.
 WINDOW, MOST_SLOTS = 8, 4
+#: Words of a window that stands for an item all of whose windows have more placeholders; seed of literal hashes.
+LEAST_WORDS, LITERAL = 2, 1_000
 #: A document is contaminated from so many of an item's windows, or from this share of them.
 LEAST_WINDOWS, LEAST_SHARE = 6, 0.5
 #: Share of an item's slot values that must be matched consistently.
@@ -34,34 +38,44 @@ UNITS = (
 _NAME = r"(?<=[\p{L}\p{N},;] )(\p{Lu}\p{Ll}+)(?![\p{L}\p{N}])"
 _UNIT = r"(?<=\p{N}) ?((?i:" + "|".join(UNITS) + r")(?![\p{L}\p{N}])|[%€$£°])"
 _NUMBER = r"(\p{N}+(?:[.,]\p{N}+)*)"
+_VALUE = r"([\x01-\x03])[^\x20]*"
 #: What stands between tokens; a point or comma inside a number does not.
 _BETWEEN = r"(?:[^\p{L}\p{M}\p{N}\x01-\x03.,]|(?<!\p{N})[.,]|[.,](?!\p{N}))+"
 
 
-def marked(text: Column) -> Column:
-    """Tokens as they are written, with a mark before each name, unit and number."""
+def _written(text: Column) -> Column:
+    """The text with a mark before each name, unit and number, and a blank around them."""
     plain = F.translate(F.coalesce(text.cast("string"), F.lit("")), NAME + UNIT + NUMBER, "   ")
     out = F.regexp_replace(plain, _NAME, f" {NAME}$1 ")
     out = F.regexp_replace(out, _UNIT, f" {UNIT}$1 ")
-    out = F.regexp_replace(out, _NUMBER, f" {NUMBER}$1 ")
-    return F.array_remove(F.split(out, _BETWEEN), "")
+    return F.regexp_replace(out, _NUMBER, f" {NUMBER}$1 ")
+
+
+def _split(text: Column) -> Column:
+    return F.array_remove(F.split(text, _BETWEEN), "")
+
+
+def marked(text: Column) -> Column:
+    """Tokens as they are written, with a mark before each name, unit and number."""
+    return _split(_written(text))
 
 
 def template(text: Column) -> Column:
     """The same tokens, as many: lower-cased, with the mark alone for each name, unit and number."""
-    plain = F.translate(F.coalesce(text.cast("string"), F.lit("")), NAME + UNIT + NUMBER, "   ")
-    out = F.regexp_replace(plain, _NAME, f" {NAME} ")
-    out = F.regexp_replace(out, _UNIT, f" {UNIT} ")
-    out = F.regexp_replace(out, _NUMBER, f" {NUMBER} ")
-    return F.array_remove(F.split(F.lower(out), _BETWEEN), "")
+    return _split(F.lower(F.regexp_replace(_written(text), _VALUE, "$1")))
 
 
-def window_hashes(tokens: Column, width: int) -> Column:
+def literal(text: Column) -> Column:
+    """The same tokens, as many: lower-cased, names without their mark, so that case does not matter."""
+    return _split(F.translate(F.lower(_written(text)), NAME, ""))
+
+
+def window_hashes(tokens: Column, width: int, seed: int = 0) -> Column:
     """A hash for every window of ``width`` tokens, in order; an empty array for fewer tokens."""
     n = F.greatest(F.lit(0), F.size(tokens) - width + 1)
     shifted = F.arrays_zip(*[F.slice(tokens, k + 1, n).alias(f"t{k}") for k in range(width)])
     fields = [f"t{k}" for k in range(width)]
-    return F.transform(shifted, lambda w: F.xxhash64(F.lit(width), *[w[f] for f in fields]))
+    return F.transform(shifted, lambda w: F.xxhash64(F.lit(width + seed), *[w[f] for f in fields]))
 
 
 def items_of(benchmark: DataFrame) -> DataFrame:
@@ -77,6 +91,13 @@ def items_of(benchmark: DataFrame) -> DataFrame:
     )
 
 
+def _variants(benchmark: DataFrame, items: DataFrame) -> DataFrame:
+    """item_id (of the template), width, words: the distinct case-folded texts of each template."""
+    text = benchmark["text"]
+    rows = benchmark.where(benchmark["item_id"].cast("long").isNotNull()).select(template(text).alias("tokens"), literal(text).alias("words"))
+    return rows.distinct().join(items.select("tokens", "item_id", "width"), "tokens").select("item_id", "width", "words")
+
+
 def _identified(docs: DataFrame) -> DataFrame:
     text = docs["text"].cast("string")
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(text).alias("tk"), text.alias("text"))
@@ -86,7 +107,8 @@ def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) ->
     """doc_id, tk (hash of the text), item_id, n_windows, share, consistency: one row per contaminated document and item.
 
     ``n_windows`` of the item's windows occur in the document, which is ``share`` of them. An item
-    of fewer than WINDOW tokens is one window of its whole length. Items with the same
+    of fewer than WINDOW tokens is one window of its whole length. An item of placeholders alone is
+    found in its own words only. Items with the same
     template are reported under the smallest item_id; consistency is 1 without slots. Null or
     empty texts and null item_ids match nothing; rows that share doc_id and text are one
     document; a null doc_id stays null. An empty table on either side gives none.
@@ -94,22 +116,32 @@ def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) ->
     items = staged(spark, items_of(benchmark), "benchmark-items")
     widths = [r.width for r in items.select("width").distinct().collect()]  # at most WINDOW values
     base = _identified(docs)
-    tokens = base.select("doc_id", "tk", template(F.col("text")).alias("tokens"))
+    tokens = base.select("doc_id", "tk", template(F.col("text")).alias("tokens"), literal(F.col("text")).alias("words"))
+    rows = staged(spark, _variants(benchmark, items), "benchmark-variants")
     wanted, found = None, None
     for width in sorted(widths):
-        own = items.where(F.col("width") == width)
         slots = F.size(F.filter(F.slice("tokens", F.col("at") + 1, F.lit(width)), lambda t: t.isin(NAME, UNIT, NUMBER)))
-        part = own.select("item_id", "tokens", F.posexplode(window_hashes(F.col("tokens"), width)).alias("at", "h"))
-        part = part.where((slots <= MOST_SLOTS) | (F.size("tokens") < WINDOW)).select("item_id", "at", "h")
+        own = items.where(F.col("width") == width).select("item_id", "tokens", F.posexplode(window_hashes(F.col("tokens"), width)).alias("at", "h"))
+        own = own.withColumn("slots", slots).withColumn("least", F.min("slots").over(Window.partitionBy("item_id")))
+        rare = (F.col("slots") == F.col("least")) & (F.col("least") > MOST_SLOTS) & (F.col("slots") <= WINDOW - LEAST_WORDS)
+        anchor = (F.col("slots") <= MOST_SLOTS) | rare if width == WINDOW else F.lit(True)
+        part = own.select("item_id", "at", "h", anchor.alias("anchor"))
+        words = rows.where(F.col("width") == width).select("item_id", F.posexplode(window_hashes(F.col("words"), width, LITERAL)).alias("at", "h"))
+        part = part.union(words.distinct().withColumn("anchor", F.lit(True)))
         wanted = part if wanted is None else wanted.union(part)
-        hits = tokens.select("doc_id", "tk", F.posexplode(window_hashes(F.col("tokens"), width)).alias("pos", "h"))
+        both = F.array(window_hashes(F.col("tokens"), width), window_hashes(F.col("words"), width, LITERAL))
+        hits = tokens.select("doc_id", "tk", F.explode(both).alias("hs")).select("doc_id", "tk", F.posexplode("hs").alias("pos", "h"))
         found = hits if found is None else found.union(hits)
     if wanted is None:
         return spark.createDataFrame([], "doc_id long, tk long, item_id long, n_windows long, share double, consistency double")
     wanted = staged(spark, wanted, "benchmark-windows")
-    hashes = maybe_broadcast(wanted.select("h").distinct())
+    anchors = wanted.where("anchor").select("item_id", "at", "h")
+    hashes = maybe_broadcast(anchors.select("h").distinct())
     hits = staged(spark, found.join(hashes, "h", "left_semi"), "window-hits")
-    matched = hits.join(maybe_broadcast(wanted), "h")
+    matched = hits.join(maybe_broadcast(anchors), "h").select("doc_id", "tk", "item_id", "at", "pos").distinct()
+    heavy = wanted.where(~F.col("anchor")).select("item_id", "at")
+    if not heavy.isEmpty():
+        matched = staged(spark, matched.union(_along(base, matched, heavy, items)).distinct(), "windows-along")
     per_item = matched.groupBy("doc_id", "tk", "item_id").agg(F.count_distinct("at").alias("n_windows"))
     sized = per_item.join(maybe_broadcast(items.select("item_id", F.col("n_windows").alias("of"))), "item_id")
     share = F.col("n_windows") / F.col("of")
@@ -129,6 +161,25 @@ def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) ->
     return rated.where(F.col("consistency") >= CONSISTENT)
 
 
+def _along(base: DataFrame, matched: DataFrame, heavy: DataFrame, items: DataFrame) -> DataFrame:
+    """doc_id, tk, item_id, at, pos: the windows that are mostly placeholders and fit where another of the item's does."""
+    shifts = matched.select("doc_id", "tk", "item_id", (F.col("pos") - F.col("at")).alias("shift")).distinct()
+    near = shifts.join(maybe_broadcast(heavy.select("item_id").distinct()), "item_id", "left_semi")
+    ids = maybe_broadcast(near.select("doc_id", "tk").distinct())
+    same = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.tk") == F.col("b.tk"))
+    texts = base.alias("a").join(ids.alias("b"), same, "left_semi").dropDuplicates(["doc_id", "tk"])
+    tokens = texts.select("doc_id", "tk", template(F.col("text")).alias("doc_tokens"))
+    ats = heavy.groupBy("item_id").agg(F.collect_list("at").alias("ats"))
+    sides = near.join(maybe_broadcast(ats.join(items.select("item_id", "tokens"), "item_id")), "item_id")
+    pairs = sides.alias("a").join(tokens.alias("b"), same).select("a.*", "b.doc_tokens")
+    start = lambda at: at + F.col("shift")
+    fits = lambda at: F.when(start(at) < 0, False).otherwise(
+        F.slice("doc_tokens", F.greatest(start(at), F.lit(0)) + 1, F.lit(WINDOW)) == F.slice("tokens", at + 1, F.lit(WINDOW))
+    )
+    kept = pairs.select("doc_id", "tk", "item_id", "shift", F.explode(F.filter("ats", fits)).alias("at"))
+    return kept.select("doc_id", "tk", "item_id", "at", (F.col("at") + F.col("shift")).alias("pos"))
+
+
 def _consistency(base: DataFrame, matched: DataFrame, checked: DataFrame, slotted: DataFrame) -> DataFrame:
     """doc_id, tk, item_id, consistency: of the item's values along the best alignment, the share with one counterpart."""
     pairs = checked.select("doc_id", "tk", "item_id")
