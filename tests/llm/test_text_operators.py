@@ -218,6 +218,18 @@ def test_inconsistent_slots_are_no_leak(spark):
     assert {r["doc_id"] for r in rows(decontaminate.contaminated(spark, docs, bench(spark, [(1, item)])))} == {1}
 
 
+def test_every_item_of_a_template_is_checked(spark):
+    first = "there are 5 red balls and 5 blue balls and 5 green balls and 5 white balls in this old box"
+    second = first.replace("5 red", "1 red").replace("5 blue", "2 blue").replace("5 green", "3 green")
+    third = first.replace("5 green", "7 green").replace("5 white", "7 white")
+    crossed = first.replace("5 red", "4 red").replace("5 white", "4 white")
+    docs = spark.createDataFrame([(1, second), (2, third.replace("7", "9")), (3, crossed)], "doc_id long, text string")
+    found = decontaminate.contaminated(spark, docs, bench(spark, [(1, first), (2, second), (3, third)]))
+    assert {(r["doc_id"], r["item_id"], r["consistency"]) for r in rows(found) if r["doc_id"] < 3} == {(1, 1, 1.0), (2, 1, 1.0)}
+    found = decontaminate.contaminated(spark, docs, bench(spark, [(1, first), (3, third)]))
+    assert {r["doc_id"] for r in rows(found)} == {2}
+
+
 def test_items_dense_in_slots_are_found(spark):
     items = [
         (1, "Compute 12 + 7 - 3 * 45 + 6 / 2 - 8 + 19 and give the answer"),

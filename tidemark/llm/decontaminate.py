@@ -8,7 +8,8 @@ other numbers is caught, and a text that only has the same shape is not. Windows
 placeholders count where another window of the item fits at the same alignment. Windows
 of the case-folded words are joined too, so exact passages need no template.
 
-Benchmark items with one template are one item on the join's small side. Its distinct hashes
+Benchmark items with one template are one item on the join's small side; slots are checked for
+each way in which values of its items are equal, and the best counts. Its distinct hashes
 are broadcast only if they are few enough (they are counted), else the join is shuffled.
 """
 
@@ -79,23 +80,33 @@ def window_hashes(tokens: Column, width: int, seed: int = 0) -> Column:
 
 
 def items_of(benchmark: DataFrame) -> DataFrame:
-    """item_id, tokens, raw, windows: one row for each template with a token, under its smallest item_id."""
+    """item_id, tokens, width, n_windows: one row for each template with a token, under its smallest item_id."""
     text = benchmark["text"]
-    rows = benchmark.select(benchmark["item_id"].cast("long").alias("item_id"), template(text).alias("tokens"), marked(text).alias("raw"))
+    rows = benchmark.select(benchmark["item_id"].cast("long").alias("item_id"), template(text).alias("tokens"))
     width = F.least(F.lit(WINDOW), F.size("tokens"))
     return (
         rows.where(F.col("item_id").isNotNull() & (F.size("tokens") > 0))
         .groupBy("tokens")
-        .agg(F.min_by("raw", "item_id").alias("raw"), F.min("item_id").alias("item_id"))
+        .agg(F.min("item_id").alias("item_id"))
         .withColumns({"width": width, "n_windows": F.size("tokens") - width + 1})
     )
 
 
 def _variants(benchmark: DataFrame, items: DataFrame) -> DataFrame:
-    """item_id (of the template), width, words: the distinct case-folded texts of each template."""
+    """item_id (of the template), width, words, raw: the distinct texts of each template, case-folded and as written."""
     text = benchmark["text"]
-    rows = benchmark.where(benchmark["item_id"].cast("long").isNotNull()).select(template(text).alias("tokens"), literal(text).alias("words"))
-    return rows.distinct().join(items.select("tokens", "item_id", "width"), "tokens").select("item_id", "width", "words")
+    columns = [template(text).alias("tokens"), literal(text).alias("words"), marked(text).alias("raw")]
+    rows = benchmark.where(benchmark["item_id"].cast("long").isNotNull()).select(columns).distinct()
+    return rows.join(items.select("tokens", "item_id", "width"), "tokens").select("item_id", "width", "words", "raw")
+
+
+def _patterns(rows: DataFrame) -> DataFrame:
+    """item_id, width, pattern, raw: each way in which values of a template's texts are equal, with one text of it."""
+    slots = F.filter("raw", lambda t: F.substring(t, 1, 1).isin(NAME, UNIT, NUMBER))
+    own = rows.withColumn("slots", slots).where(F.size("slots") > 0)
+    own = own.withColumn("pattern", F.transform("slots", lambda t: F.array_position("slots", t)))
+    own = own.groupBy("item_id", "width", "pattern").agg(F.min("raw").alias("raw"))
+    return own.withColumn("pattern", F.xxhash64("pattern"))
 
 
 def _identified(docs: DataFrame) -> DataFrame:
@@ -147,8 +158,8 @@ def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) ->
     share = F.col("n_windows") / F.col("of")
     shared = sized.where((F.col("n_windows") >= LEAST_WINDOWS) | (share >= LEAST_SHARE))
     shared = staged(spark, shared.select("doc_id", "tk", "item_id", "n_windows", share.alias("share")), "window-shares")
-    slotted = items.where(F.exists("tokens", lambda t: t.isin(NAME, UNIT, NUMBER))).select("item_id", "raw", "width")
-    checked = shared.join(maybe_broadcast(slotted.select("item_id")), "item_id", "left_semi")
+    slotted = staged(spark, _patterns(rows), "benchmark-patterns")
+    checked = shared.join(maybe_broadcast(slotted.select("item_id").distinct()), "item_id", "left_semi")
     if checked.isEmpty():
         return shared.withColumn("consistency", F.lit(1.0))
     consistency = staged(spark, _consistency(base, matched, checked, slotted), "slot-consistency")
@@ -181,7 +192,10 @@ def _along(base: DataFrame, matched: DataFrame, heavy: DataFrame, items: DataFra
 
 
 def _consistency(base: DataFrame, matched: DataFrame, checked: DataFrame, slotted: DataFrame) -> DataFrame:
-    """doc_id, tk, item_id, consistency: of the item's values along the best alignment, the share with one counterpart."""
+    """doc_id, tk, item_id, consistency: of an item's values along the best alignment, the share with one counterpart.
+
+    Of items with one template, the one that fits best counts.
+    """
     pairs = checked.select("doc_id", "tk", "item_id")
     same = lambda a, b: F.col(f"{a}.doc_id").eqNullSafe(F.col(f"{b}.doc_id")) & (F.col(f"{a}.tk") == F.col(f"{b}.tk"))
     windows = (
@@ -189,7 +203,7 @@ def _consistency(base: DataFrame, matched: DataFrame, checked: DataFrame, slotte
         .join(pairs.alias("p"), same("m", "p") & (F.col("m.item_id") == F.col("p.item_id")), "left_semi")
         .select("doc_id", "tk", "item_id", "at", "pos")
         .distinct()
-        .join(slotted, "item_id")
+        .join(maybe_broadcast(slotted), "item_id")
     )
     ids = maybe_broadcast(pairs.select("doc_id", "tk").distinct())
     texts = base.alias("b").join(ids.alias("i"), same("b", "i"), "left_semi").dropDuplicates(["doc_id", "tk"])
@@ -199,10 +213,10 @@ def _consistency(base: DataFrame, matched: DataFrame, checked: DataFrame, slotte
     each = F.transform(
         steps, lambda k: F.struct(F.get("w.raw", F.col("at") + k).alias("item_value"), F.get("r.doc_raw", F.col("pos") + k).alias("doc_value"))
     )
-    values = aligned.select("w.doc_id", "w.tk", "item_id", (F.col("pos") - F.col("at")).alias("shift"), F.explode(each).alias("v"))
+    values = aligned.select("w.doc_id", "w.tk", "item_id", "pattern", (F.col("pos") - F.col("at")).alias("shift"), F.explode(each).alias("v"))
     values = values.where(F.substring("v.item_value", 1, 1).isin(NAME, UNIT, NUMBER))
-    by_value = values.groupBy("doc_id", "tk", "item_id", "shift", "v.item_value").agg(F.count_distinct("v.doc_value").alias("n"))
-    by_shift = by_value.groupBy("doc_id", "tk", "item_id", "shift").agg(F.avg((F.col("n") == 1).cast("double")).alias("consistency"))
+    by_value = values.groupBy("doc_id", "tk", "item_id", "pattern", "shift", "v.item_value").agg(F.count_distinct("v.doc_value").alias("n"))
+    by_shift = by_value.groupBy("doc_id", "tk", "item_id", "pattern", "shift").agg(F.avg((F.col("n") == 1).cast("double")).alias("consistency"))
     return by_shift.groupBy("doc_id", "tk", "item_id").agg(F.max("consistency").alias("consistency"))
 
 
