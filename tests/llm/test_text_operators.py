@@ -218,6 +218,18 @@ def test_inconsistent_slots_are_no_leak(spark):
     assert {r["doc_id"] for r in rows(decontaminate.contaminated(spark, docs, bench(spark, [(1, item)])))} == {1}
 
 
+def test_names_at_sentence_starts_and_case_and_space(spark):
+    item = "Anna buys 3 apples. Bert buys 7 pears. Carla eats 2 of the plums. How much fruit do Anna, Bert and Carla have left in the end?"
+    changed = item.replace("Anna", "Dora").replace("Bert", "Emil").replace("Carla", "Fritz").replace("3", "9")
+    mixed = changed.replace("Dora buys", "Emil buys").replace("Emil buys 7", "Dora buys 7").replace("Fritz eats", "Gustav eats")
+    names = "we saw Anna with Bert and Carla at Lyon near Paris while Dora met Emil in Rome then Fritz left Oslo for Bonn"
+    spaced = "\n ".join(item.replace("Anna", "Hugo").split(" "))
+    data = [(1, changed), (2, names.lower()), (3, names.upper().replace(" ", " \n")), (4, spaced), (5, mixed), (6, "Please compute 3 and 4"), (7, "Chapter 3 and 4")]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    found = decontaminate.contaminated(spark, docs, bench(spark, [(1, item), (2, names), (3, "Compute 12 and 7")]))
+    assert {(r["doc_id"], r["item_id"]) for r in rows(found)} == {(1, 1), (2, 2), (3, 2), (4, 1), (6, 3)}
+
+
 def test_every_item_of_a_template_is_checked(spark):
     first = "there are 5 red balls and 5 blue balls and 5 green balls and 5 white balls in this old box"
     second = first.replace("5 red", "1 red").replace("5 blue", "2 blue").replace("5 green", "3 green")

@@ -6,7 +6,8 @@ document that shares enough windows with an item is checked for slot consistency
 alignment one value of the item must stand for one value of the document. So a question with
 other numbers is caught, and a text that only has the same shape is not. Windows that are mostly
 placeholders count where another window of the item fits at the same alignment. Windows
-of the case-folded words are joined too, so exact passages need no template.
+of the case-folded words are joined too, so exact passages need no template, and windows with every
+capitalised word as a name, so that names at the start of sentences may change.
 
 Benchmark items with one template are one item on the join's small side; slots are checked for
 each way in which values of its items are equal, and the best counts. Its distinct hashes
@@ -22,33 +23,35 @@ from tidemark.llm.common import fresh, maybe_broadcast, staged
 
 #: Tokens of a window; placeholders up to which its template alone finds a document.
 WINDOW, MOST_SLOTS = 8, 4
-#: Words of a window that stands for an item all of whose windows have more placeholders; seed of literal hashes.
-LEAST_WORDS, LITERAL = 2, 1_000
+#: Words of a window that stands for an item all of whose windows have more placeholders; seeds of hashes of
+#: the words and of the reading with names at sentence starts.
+LEAST_WORDS, LITERAL, LOOSE = 2, 1_000, 2_000
 #: A document is contaminated from so many of an item's windows, or from this share of them.
 LEAST_WINDOWS, LEAST_SHARE = 6, 0.5
 #: Share of an item's slot values that must be matched consistently.
 CONSISTENT = 0.75
 
-NAME, UNIT, NUMBER = "\x01", "\x02", "\x03"
+NAME, UNIT, NUMBER, FIRST = "\x01", "\x02", "\x03", "\x04"
+SLOTS = (NAME, UNIT, NUMBER, FIRST)
 UNITS = (
     "km m cm mm mi miles mile ft feet inch inches in yd yards kg g mg lb lbs pounds oz tons t l ml litres liters gallons "
     "s sec seconds min minutes h hr hours days weeks months years mph kmh kph percent pct degrees dollars euros usd eur "
     "cents w kw mw v kv hz khz mhz ghz b kb mb gb tb"
 ).split()
-#: A capitalised word after a word, digit or comma and one space: not at a sentence's start.
-_NAME = r"(?<=[\p{L}\p{N},;] )(\p{Lu}\p{Ll}+)(?![\p{L}\p{N}])"
-_UNIT = r"(?<=\p{N}) ?((?i:" + "|".join(UNITS) + r")(?![\p{L}\p{N}])|[%€$£°])"
+#: A capitalised word after a word, digit or comma and white space: not at a sentence's start. Then one anywhere.
+_NAME = r"(?U)(?<=[\p{L}\p{N},;]\s{1,20})(\p{Lu}\p{Ll}+)(?![\p{L}\p{N}])"
+_CAPITAL = r"(?<![\p{L}\p{M}\p{N}\x01-\x04])(\p{Lu}\p{Ll}+)(?![\p{L}\p{N}])"
+_UNIT = r"(?<=\p{N})(?U:\s{0,20})((?i:" + "|".join(UNITS) + r")(?![\p{L}\p{N}])|[%€$£°])"
 _NUMBER = r"(\p{N}+(?:[.,]\p{N}+)*)"
-_VALUE = r"([\x01-\x03])[^\x20]*"
+_VALUE = r"([\x01-\x04])[^\x20]*"
 #: What stands between tokens; a point or comma inside a number does not.
-_BETWEEN = r"(?:[^\p{L}\p{M}\p{N}\x01-\x03.,]|(?<!\p{N})[.,]|[.,](?!\p{N}))+"
+_BETWEEN = r"(?:[^\p{L}\p{M}\p{N}\x01-\x04.,]|(?<!\p{N})[.,]|[.,](?!\p{N}))+"
 
 
 def _written(text: Column) -> Column:
-    """The text with a mark before each name, unit and number, and a blank around them."""
-    plain = F.translate(F.coalesce(text.cast("string"), F.lit("")), NAME + UNIT + NUMBER, "   ")
-    out = F.regexp_replace(plain, _NAME, f" {NAME}$1 ")
-    out = F.regexp_replace(out, _UNIT, f" {UNIT}$1 ")
+    """The text with a mark before each unit and number, and a blank around them."""
+    plain = F.translate(F.coalesce(text.cast("string"), F.lit("")), "".join(SLOTS), "    ")
+    out = F.regexp_replace(plain, _UNIT, f" {UNIT}$1 ")
     return F.regexp_replace(out, _NUMBER, f" {NUMBER}$1 ")
 
 
@@ -57,18 +60,22 @@ def _split(text: Column) -> Column:
 
 
 def marked(text: Column) -> Column:
-    """Tokens as they are written, with a mark before each name, unit and number."""
-    return _split(_written(text))
+    """Tokens as they are written, with a mark before each name, capitalised first word, unit and number."""
+    out = F.regexp_replace(_written(text), _NAME, f" {NAME}$1 ")
+    return _split(F.regexp_replace(out, _CAPITAL, f" {FIRST}$1 "))
 
 
-def template(text: Column) -> Column:
-    """The same tokens, as many: lower-cased, with the mark alone for each name, unit and number."""
-    return _split(F.lower(F.regexp_replace(_written(text), _VALUE, "$1")))
+def views(rows: DataFrame) -> DataFrame:
+    """``rows`` with three readings of ``text`` in its place, token by token: tokens, loose, words, all in lower case.
 
-
-def literal(text: Column) -> Column:
-    """The same tokens, as many: lower-cased, names without their mark, so that case does not matter."""
-    return _split(F.translate(F.lower(_written(text)), NAME, ""))
+    ``tokens`` has a mark alone for each name, unit and number. ``loose`` takes capitalised words at a
+    sentence's start for names too, which ``tokens`` leaves as words. ``words`` keeps all but the case.
+    """
+    kept = [c for c in rows.columns if c != "text"]
+    written = rows.select(*kept, _written(F.col("text")).alias("text"))
+    text = F.col("text")
+    slotted = lambda name: _split(F.lower(F.regexp_replace(F.regexp_replace(text, name, f" {NAME}$1 "), _VALUE, "$1")))
+    return written.select(*kept, slotted(_NAME).alias("tokens"), slotted(_CAPITAL).alias("loose"), _split(F.lower(text)).alias("words"))
 
 
 def window_hashes(tokens: Column, width: int, seed: int = 0) -> Column:
@@ -81,8 +88,7 @@ def window_hashes(tokens: Column, width: int, seed: int = 0) -> Column:
 
 def items_of(benchmark: DataFrame) -> DataFrame:
     """item_id, tokens, width, n_windows: one row for each template with a token, under its smallest item_id."""
-    text = benchmark["text"]
-    rows = benchmark.select(benchmark["item_id"].cast("long").alias("item_id"), template(text).alias("tokens"))
+    rows = views(benchmark.select(benchmark["item_id"].cast("long").alias("item_id"), benchmark["text"].alias("text")))
     width = F.least(F.lit(WINDOW), F.size("tokens"))
     return (
         rows.where(F.col("item_id").isNotNull() & (F.size("tokens") > 0))
@@ -93,16 +99,20 @@ def items_of(benchmark: DataFrame) -> DataFrame:
 
 
 def _variants(benchmark: DataFrame, items: DataFrame) -> DataFrame:
-    """item_id (of the template), width, words, raw: the distinct texts of each template, case-folded and as written."""
-    text = benchmark["text"]
-    columns = [template(text).alias("tokens"), literal(text).alias("words"), marked(text).alias("raw")]
-    rows = benchmark.where(benchmark["item_id"].cast("long").isNotNull()).select(columns).distinct()
-    return rows.join(items.select("tokens", "item_id", "width"), "tokens").select("item_id", "width", "words", "raw")
+    """item_id (of the template), width, tokens, loose, words, raw: the distinct texts of each template in each reading."""
+    own = benchmark.where(benchmark["item_id"].cast("long").isNotNull())
+    rows = views(own.select(benchmark["text"].alias("text"), marked(benchmark["text"]).alias("raw"))).distinct()
+    return rows.join(items.select("tokens", "item_id", "width"), "tokens").select("item_id", "width", "tokens", "loose", "words", "raw")
+
+
+def _value(token: Column) -> Column:
+    """A slot's value: a name is one wherever it stands and in either case."""
+    return F.lower(F.translate(token, NAME + FIRST, ""))
 
 
 def _patterns(rows: DataFrame) -> DataFrame:
     """item_id, width, pattern, raw: each way in which values of a template's texts are equal, with one text of it."""
-    slots = F.filter("raw", lambda t: F.substring(t, 1, 1).isin(NAME, UNIT, NUMBER))
+    slots = F.transform(F.filter("raw", lambda t: F.substring(t, 1, 1).isin(*SLOTS)), _value)
     own = rows.withColumn("slots", slots).where(F.size("slots") > 0)
     own = own.withColumn("pattern", F.transform("slots", lambda t: F.array_position("slots", t)))
     own = own.groupBy("item_id", "width", "pattern").agg(F.min("raw").alias("raw"))
@@ -127,21 +137,23 @@ def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) ->
     items = staged(spark, items_of(benchmark), "benchmark-items")
     widths = [r.width for r in items.select("width").distinct().collect()]  # at most WINDOW values
     base = _identified(docs)
-    tokens = base.select("doc_id", "tk", template(F.col("text")).alias("tokens"), literal(F.col("text")).alias("words"))
+    tokens = views(base)
     rows = staged(spark, _variants(benchmark, items), "benchmark-variants")
     wanted, found = None, None
     for width in sorted(widths):
-        slots = F.size(F.filter(F.slice("tokens", F.col("at") + 1, F.lit(width)), lambda t: t.isin(NAME, UNIT, NUMBER)))
-        own = items.where(F.col("width") == width).select("item_id", "tokens", F.posexplode(window_hashes(F.col("tokens"), width)).alias("at", "h"))
-        own = own.withColumn("slots", slots).withColumn("least", F.min("slots").over(Window.partitionBy("item_id")))
-        rare = (F.col("slots") == F.col("least")) & (F.col("least") > MOST_SLOTS) & (F.col("slots") <= WINDOW - LEAST_WORDS)
-        anchor = (F.col("slots") <= MOST_SLOTS) | rare if width == WINDOW else F.lit(True)
-        part = own.select("item_id", "at", "h", anchor.alias("anchor"))
-        words = rows.where(F.col("width") == width).select("item_id", F.posexplode(window_hashes(F.col("words"), width, LITERAL)).alias("at", "h"))
-        part = part.union(words.distinct().withColumn("anchor", F.lit(True)))
-        wanted = part if wanted is None else wanted.union(part)
-        both = F.array(window_hashes(F.col("tokens"), width), window_hashes(F.col("words"), width, LITERAL))
-        hits = tokens.select("doc_id", "tk", F.explode(both).alias("hs")).select("doc_id", "tk", F.posexplode("hs").alias("pos", "h"))
+        whole = width == WINDOW  # shorter items have too few words to take their first one for a name
+        for column, seed in [("tokens", 0), ("words", LITERAL)] + [("loose", LOOSE)] * whole:
+            slots = F.size(F.filter(F.slice(column, F.col("at") + 1, F.lit(width)), lambda t: t.isin(NAME, UNIT, NUMBER)))
+            own = rows.where(F.col("width") == width).select("item_id", column).distinct()
+            own = own.select("item_id", column, F.posexplode(window_hashes(F.col(column), width, seed)).alias("at", "h"))
+            own = own.withColumn("slots", slots).withColumn("least", F.min("slots").over(Window.partitionBy("item_id")))
+            rare = (F.col("slots") == F.col("least")) & (F.col("least") > MOST_SLOTS) & (F.col("slots") <= WINDOW - LEAST_WORDS)
+            anchor = (F.col("slots") <= MOST_SLOTS) | (rare if column == "tokens" else F.lit(False))
+            part = own.select("item_id", "at", "h", (anchor if whole and seed != LITERAL else F.lit(True)).alias("anchor")).distinct()
+            wanted = part if wanted is None else wanted.union(part)
+        both = [window_hashes(F.col("tokens"), width), window_hashes(F.col("words"), width, LITERAL)]
+        both += [window_hashes(F.col("loose"), width, LOOSE)] * whole
+        hits = tokens.select("doc_id", "tk", F.explode(F.array(*both)).alias("hs")).select("doc_id", "tk", F.posexplode("hs").alias("pos", "h"))
         found = hits if found is None else found.union(hits)
     if wanted is None:
         return spark.createDataFrame([], "doc_id long, tk long, item_id long, n_windows long, share double, consistency double")
@@ -150,9 +162,9 @@ def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) ->
     hashes = maybe_broadcast(anchors.select("h").distinct())
     hits = staged(spark, found.join(hashes, "h", "left_semi"), "window-hits")
     matched = hits.join(maybe_broadcast(anchors), "h").select("doc_id", "tk", "item_id", "at", "pos").distinct()
-    heavy = wanted.where(~F.col("anchor")).select("item_id", "at")
+    heavy = wanted.where(~F.col("anchor")).select("item_id", "at").distinct()
     if not heavy.isEmpty():
-        matched = staged(spark, matched.union(_along(base, matched, heavy, items)).distinct(), "windows-along")
+        matched = staged(spark, matched.union(_along(base, matched, heavy, rows)).distinct(), "windows-along")
     per_item = matched.groupBy("doc_id", "tk", "item_id").agg(F.count_distinct("at").alias("n_windows"))
     sized = per_item.join(maybe_broadcast(items.select("item_id", F.col("n_windows").alias("of"))), "item_id")
     share = F.col("n_windows") / F.col("of")
@@ -172,21 +184,21 @@ def contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame) ->
     return rated.where(F.col("consistency") >= CONSISTENT)
 
 
-def _along(base: DataFrame, matched: DataFrame, heavy: DataFrame, items: DataFrame) -> DataFrame:
+def _along(base: DataFrame, matched: DataFrame, heavy: DataFrame, rows: DataFrame) -> DataFrame:
     """doc_id, tk, item_id, at, pos: the windows that are mostly placeholders and fit where another of the item's does."""
     shifts = matched.select("doc_id", "tk", "item_id", (F.col("pos") - F.col("at")).alias("shift")).distinct()
     near = shifts.join(maybe_broadcast(heavy.select("item_id").distinct()), "item_id", "left_semi")
     ids = maybe_broadcast(near.select("doc_id", "tk").distinct())
     same = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.tk") == F.col("b.tk"))
     texts = base.alias("a").join(ids.alias("b"), same, "left_semi").dropDuplicates(["doc_id", "tk"])
-    tokens = texts.select("doc_id", "tk", template(F.col("text")).alias("doc_tokens"))
+    tokens = views(texts.select("doc_id", "tk", "text")).select("doc_id", "tk", F.struct("tokens", "loose").alias("doc"))
     ats = heavy.groupBy("item_id").agg(F.collect_list("at").alias("ats"))
-    sides = near.join(maybe_broadcast(ats.join(items.select("item_id", "tokens"), "item_id")), "item_id")
-    pairs = sides.alias("a").join(tokens.alias("b"), same).select("a.*", "b.doc_tokens")
+    sides = near.join(maybe_broadcast(ats.join(rows.select("item_id", "tokens", "loose").distinct(), "item_id")), "item_id")
+    pairs = sides.alias("a").join(tokens.alias("b"), same).select("a.*", "b.doc")
     start = lambda at: at + F.col("shift")
-    fits = lambda at: F.when(start(at) < 0, False).otherwise(
-        F.slice("doc_tokens", F.greatest(start(at), F.lit(0)) + 1, F.lit(WINDOW)) == F.slice("tokens", at + 1, F.lit(WINDOW))
-    )
+    part = lambda name, at: F.slice(name, at + 1, F.lit(WINDOW))
+    equal = lambda name, at: part(f"doc.{name}", F.greatest(start(at), F.lit(0))) == part(name, at)
+    fits = lambda at: (start(at) >= 0) & (equal("tokens", at) | equal("loose", at))
     kept = pairs.select("doc_id", "tk", "item_id", "shift", F.explode(F.filter("ats", fits)).alias("at"))
     return kept.select("doc_id", "tk", "item_id", "at", (F.col("at") + F.col("shift")).alias("pos"))
 
@@ -214,8 +226,12 @@ def _consistency(base: DataFrame, matched: DataFrame, checked: DataFrame, slotte
         steps, lambda k: F.struct(F.get("w.raw", F.col("at") + k).alias("item_value"), F.get("r.doc_raw", F.col("pos") + k).alias("doc_value"))
     )
     values = aligned.select("w.doc_id", "w.tk", "item_id", "pattern", (F.col("pos") - F.col("at")).alias("shift"), F.explode(each).alias("v"))
-    values = values.where(F.substring("v.item_value", 1, 1).isin(NAME, UNIT, NUMBER))
-    by_value = values.groupBy("doc_id", "tk", "item_id", "pattern", "shift", "v.item_value").agg(F.count_distinct("v.doc_value").alias("n"))
+    first = F.col("mark") == FIRST
+    values = values.withColumn("mark", F.substring("v.item_value", 1, 1)).where(F.col("mark").isin(*SLOTS))
+    values = values.select("doc_id", "tk", "item_id", "pattern", "shift", first.alias("first"), _value(F.col("v.item_value")).alias("item_value"), _value(F.col("v.doc_value")).alias("doc_value"))
+    stays = F.every(F.col("first") & F.col("item_value").eqNullSafe(F.col("doc_value"))).alias("stays")
+    by_value = values.groupBy("doc_id", "tk", "item_id", "pattern", "shift", "item_value").agg(F.count_distinct("doc_value").alias("n"), stays)
+    by_value = by_value.where(~F.col("stays"))  # a first word that stays is no name that was replaced
     by_shift = by_value.groupBy("doc_id", "tk", "item_id", "pattern", "shift").agg(F.avg((F.col("n") == 1).cast("double")).alias("consistency"))
     return by_shift.groupBy("doc_id", "tk", "item_id").agg(F.max("consistency").alias("consistency"))
 
