@@ -39,9 +39,9 @@ UNITS = (
     "cents w kw mw v kv hz khz mhz ghz b kb mb gb tb"
 ).split()
 #: A capitalised word after a word, digit or comma and white space: not at a sentence's start. Then one anywhere.
-_NAME = r"(?U)(?<=[\p{L}\p{N},;]\s{1,20})(\p{Lu}\p{Ll}+)(?![\p{L}\p{N}])"
+_NAME = r"(?=\p{Lu})(?<=[\p{L}\p{N},;][\s\x85\p{Z}]{1,20})(\p{Lu}\p{Ll}+)(?![\p{L}\p{N}])"
 _CAPITAL = r"(?<![\p{L}\p{M}\p{N}\x01-\x04])(\p{Lu}\p{Ll}+)(?![\p{L}\p{N}])"
-_UNIT = r"(?<=\p{N})(?U:\s{0,20})((?i:" + "|".join(UNITS) + r")(?![\p{L}\p{N}])|[%€$£°])"
+_UNIT = r"(?<=\p{N})[\s\x85\p{Z}]{0,20}((?i:" + "|".join(UNITS) + r")(?![\p{L}\p{N}])|[%€$£°])"
 _NUMBER = r"(\p{N}+(?:[.,]\p{N}+)*)"
 _VALUE = r"([\x01-\x04])[^\x20]*"
 #: What stands between tokens; a point or comma inside a number does not.
