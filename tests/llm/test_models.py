@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import html_wrapper, lang_id, pii, quality, queries, url_filter
 
@@ -185,7 +186,7 @@ def brute_grams(text):
 
 
 def test_gram_counts_equal_brute_force():
-    for text in ("Ab, ab!", "  x ", "one  two\nthree", "été à ñ ß"):
+    for text in ("Ab, ab!", "  x ", "one  two\nthree", "été à ñ ß", "Привет, мир", "日本語 の 文", "ελληνικά 12 ab", "\U0001f600 a \U00010330\U00010331"):
         codes, counts = lang_id.gram_counts(text)
         want = brute_grams(re.sub(r"[^\W\d_]+", lambda m: m[0], re.sub(r"[\W\d_]+", " ", text)).strip())
         assert sorted(counts) == sorted(want.values()), text
@@ -217,6 +218,54 @@ def test_language_on_held_out_rows(spark):
     assert len(held) > 100 and np.mean([r.lang == r.lang_pred for r in held]) > 0.97
 
 
+def brute_ranking(counts, most):
+    return sorted(counts, key=lambda g: (-counts[g], len(g), g.replace(" ", "\x01")))[:most]
+
+
+def brute_languages(training, texts, most=lang_id.PROFILE):
+    """Out-of-place distances by hand, with n-grams as strings."""
+    clean = lambda t: re.sub(r"[\W\d_]+", " ", t).strip()
+    sums = {}
+    for text, lang in training:
+        if text is not None and lang is not None:
+            sums.setdefault(lang, Counter()).update(brute_grams(clean(text)))
+    profiles = {lang: {g: i for i, g in enumerate(brute_ranking(c, most))} for lang, c in sums.items()}
+    out = []
+    for text in texts:
+        own = brute_ranking(brute_grams(clean(text or "")), most)
+        if not own:
+            out.append(("und", 0.0))
+            continue
+        d = {lang: sum(abs(i - p[g]) if g in p else most for i, g in enumerate(own)) for lang, p in profiles.items()}
+        best = min(sorted(d), key=d.get)
+        out.append((best, 1 / sum(math.exp(8 * (d[best] - x) / (most * len(own))) for x in d.values())))
+    return out
+
+
+def test_languages_equal_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang").collect()
+    other = [
+        (9001, "Привет мир, это русский текст о погоде и о людях", "ru"), (9002, "Это другой русский текст, в нём говорят о мире", "ru"), (9003, "Καλημέρα κόσμε, αυτό είναι ένα κείμενο", "el"),
+        (9004, "Αυτό το κείμενο είναι για τον κόσμο", "el"), (9005, "天気がいいので公園に行きました", "ja"), (9006, "公園で天気を見ました", "ja"), (9007, "\U0001f600", None), (9008, "\U0001f600 123 !!!", None), (9009, "", "en"), (9010, None, "en"),
+    ]
+    data = [tuple(r) for r in docs] + other
+    frame = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    found = {r.doc_id: (r.lang_pred, r.score) for r in lang_id.train_and_predict(spark, frame, F.col("doc_id") % 3 != 0).collect()}
+    want = brute_languages([(t, lang) for i, t, lang in data if i % 3], [t for _, t, _ in data])
+    for (i, _, _), (lang, score) in zip(data, want):
+        assert found[i][0] == lang and abs(found[i][1] - score) < 1e-9, i
+    assert {found[i][0] for i in (9007, 9008, 9009, 9010)} == {"und"}
+    assert [found[i][0] for i in (9002, 9003, 9006)] == ["ru", "el", "ja"]
+
+
+def test_sums_sent_on_early_are_the_same(spark, monkeypatch):
+    rows = [(f"text {i} words of number {i * 7919 % 97}", "ab"[i % 2]) for i in range(1_700)]
+    frame = spark.createDataFrame(rows, "text string, lang string").coalesce(1)
+    want = {tuple(r) for r in lang_id.train(spark, frame).collect()}
+    monkeypatch.setattr(lang_id, "HELD_GRAMS", 10)
+    assert {tuple(r) for r in lang_id.train(spark, frame).collect()} == want
+
+
 def test_language_odd_rows(spark, odd, none):
     training = spark.createDataFrame([("the thing and the other", "en"), ("der die das und", "de"), (None, "fr"), ("x", None)], "text string, lang string")
     profiles = lang_id.train(spark, training)

@@ -22,44 +22,39 @@ from tidemark.llm.common import bounded_batches, staged
 PROFILE = 300
 #: Languages up to which the profiles are shipped to the tasks (PROFILE numbers each).
 MOST_LANGUAGES = 2_000
-#: Symbols: 0 a blank, letters below 384 themselves, all others by a hash to 128 codes.
-_BITS = 9
+#: A symbol is the letter's code point, or BLANK, which is no letter; three symbols fill 63 bits.
+BLANK, _BITS = 1, 21
+#: Distinct n-grams that a task holds before it sends their sums on.
+HELD_GRAMS = 1 << 20
 #: Characters that are encoded at a time; a longer text goes in overlapping parts.
 PART = 1 << 20
 UNDETERMINED = "und"
 
 
-def _symbol_table() -> np.ndarray:
-    table = np.zeros(0x10000, dtype=np.int32)
-    for cp in range(0x10000):
-        if not 0xD800 <= cp < 0xE000 and chr(cp).isalpha():
-            table[cp] = cp if cp < 384 else 384 + (cp * 2654435761 >> 16) % 128
-    return table
+_LETTERS: list[np.ndarray] = []
 
 
-_TABLE: list[np.ndarray] = []
+def letters() -> np.ndarray:
+    """For every code point, whether it is a letter."""
+    if not _LETTERS:
+        _LETTERS.append(np.fromiter((chr(cp).isalpha() for cp in range(0x110000)), dtype=bool, count=0x110000))
+    return _LETTERS[0]
 
 
 def symbols(text: str) -> np.ndarray:
-    """The text's letters as symbols, each run of other characters as one blank, blanks at both ends."""
-    if not _TABLE:
-        _TABLE.append(_symbol_table())
+    """The lower-cased text's letters, each run of other characters as one BLANK, BLANK at both ends."""
     points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    wide = points > 0xFFFF
-    codes = _TABLE[0][np.where(wide, 0, points)]
-    if wide.any():
-        codes = np.where(wide, np.int32(384) + (points % 128).astype(np.int32), codes)
-    codes = np.concatenate(([0], codes, [0])).astype(np.int32)
-    return codes[np.concatenate(([True], (codes[1:] != 0) | (codes[:-1] != 0)))]
+    codes = np.concatenate(([BLANK], np.where(letters()[points], points, BLANK), [BLANK])).astype(np.int64)
+    word = codes != BLANK
+    return codes[np.concatenate(([True], word[1:] | word[:-1]))]
 
 
 def grams(s: np.ndarray) -> np.ndarray:
-    """Codes of all n-grams, n = 1 to 3, that have a letter and no blank inside."""
-    one = s[s != 0]
-    a, b = s[:-1], s[1:]
-    two = ((1 << 2 * _BITS | a << _BITS | b) | 1 << 28)[(a != 0) | (b != 0)]
-    a, b, c = s[:-2], s[1:-1], s[2:]
-    three = (1 << 29 | a << 2 * _BITS | b << _BITS | c)[b != 0]
+    """Codes of all n-grams, n = 1 to 3, that have a letter and no blank inside; no two n-grams share a code."""
+    word = s != BLANK
+    one = s[word]
+    two = (s[:-1] << _BITS | s[1:])[word[:-1] | word[1:]]
+    three = (s[:-2] << 2 * _BITS | s[1:-1] << _BITS | s[2:])[word[1:-1]]
     return np.concatenate((one, two, three))
 
 
@@ -92,8 +87,8 @@ def train(spark: SparkSession, labelled: DataFrame, profile: int = PROFILE) -> D
     """Profiles (lang, gram, rank) from labelled rows (text, lang); null text or lang is skipped.
 
     Counts cover every row. Each task sends the sums of its batches, one row per
-    language and n-gram, which Spark adds up before ranking; the distinct n-grams of a
-    language are bounded by the symbols, not by the corpus.
+    language and n-gram, which Spark adds up; it ranks them within tasks before a
+    language's best meet in one.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,12 +99,7 @@ def train(spark: SparkSession, labelled: DataFrame, profile: int = PROFILE) -> D
             distinct, where = np.unique(codes, return_inverse=True)
             return distinct, np.bincount(where, np.concatenate([p[1] for p in sums[lang]])).astype(np.int64)
 
-        for batch in batches:
-            for text, lang in zip(batch.column(0), batch.column(1).to_pylist()):
-                sums.setdefault(lang, []).append(gram_counts(text.as_py()))
-                if len(sums[lang]) >= 400:
-                    sums[lang] = [merged(lang)]
-        for lang in sums:
+        def sent(lang: str) -> Iterator[pa.RecordBatch]:
             codes, counts = merged(lang)
             for i in range(0, len(codes), 50_000):
                 part = codes[i : i + 50_000]
@@ -118,11 +108,27 @@ def train(spark: SparkSession, labelled: DataFrame, profile: int = PROFILE) -> D
                     ["lang", "gram", "n"],
                 )
 
+        waiting = 0
+        for batch in batches:
+            for text, lang in zip(batch.column(0), batch.column(1).to_pylist()):
+                sums.setdefault(lang, []).append(gram_counts(text.as_py()))
+                waiting += 1
+                if waiting >= 400:
+                    waiting = 0
+                    for name in sums:
+                        sums[name] = [merged(name)]
+                    if sum(len(parts[0][0]) for parts in sums.values()) >= HELD_GRAMS:
+                        for name in sums:
+                            yield from sent(name)
+                        sums.clear()
+        for name in sums:
+            yield from sent(name)
+
     bounded_batches(spark)
     rows = labelled.select(labelled["text"].cast("string").alias("text"), labelled["lang"].cast("string").alias("lang"))
     counted = rows.dropna().mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    return counted.withColumn("rank", F.row_number().over(order) - 1).where(F.col("rank") < profile).drop("n")
+    return counted.withColumn("place", F.row_number().over(order)).where(F.col("place") <= profile).select("lang", "gram", (F.col("place") - 1).alias("rank"))
 
 
 class Profiles:
