@@ -308,6 +308,133 @@ def test_pages_without_an_article(spark):
     assert html_wrapper.extract(spark, spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def extracted(spark, rows):
+    return {r.page_id: r.text for r in html_wrapper.extract(spark, spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+
+
+def site(host, body, n=8):
+    """Pages of one host; {0} differs from page to page."""
+    return [(i, f"https://{host}/{i}", f"<html>{body.format(' '.join(f'word{i * 31 % 97}x{k}' for k in range(20 + i)))}</html>") for i in range(n)]
+
+
+def test_class_words_of_whole_elements_empty_no_page(spark):
+    out = extracted(spark, site("a.example", "<body class='has-sidebar comments-open'><div class='post comments-open'><h1>Head</h1><p>{0}</p></div><div class='sidebar'><p>Other {0}</p></div></body>"))
+    assert all(t.startswith("Head\nword") and "Other" not in t for t in out.values())
+    out = extracted(spark, site("b.example", "<body><div style='overflow:hidden' data-hidden='false'><p>{0}</p></div><div hidden><p>Not {0}</p></div></body>"))
+    assert all(t.startswith("word") and "Not" not in t for t in out.values())
+
+
+def test_caption_and_own_headline_stay(spark):
+    body = "<body><header><h1>Site</h1></header><article><header><h2>Own {0}</h2></header><p>Text {0}</p><figure><img><figcaption>Caption {0}</figcaption></figure><footer>By me {0}</footer></article></body>"
+    for t in extracted(spark, site("c.example", body)).values():
+        assert [line.split()[0] for line in t.split("\n")] == ["Own", "Text", "Caption"]
+
+
+def test_texts_of_the_template_stay_out_of_the_article(spark):
+    body = "<body><article><ul><li><a href=1>Home</a><li><a href=2>News</a></ul><h1>On {0}</h1><p>First {0}</p><p>Subscribe now.</p><p>Last {0}</p></article></body>"
+    for t in extracted(spark, site("d.example", body)).values():
+        assert [line.split()[0] for line in t.split("\n")] == ["On", "First", "Last"]
+    few = extracted(spark, site("e.example", body, 5))  # too few pages to tell
+    assert all("Subscribe now." in t for t in few.values())
+    copies = [(i, "https://f.example/", "<article><h1>Same</h1><p>One text on all pages.</p></article>") for i in range(9)]
+    assert set(extracted(spark, copies).values()) == {"Same\nOne text on all pages."}
+
+
+def test_layouts_of_few_pages_are_their_own_wrappers(spark):
+    rows = site("g.example", "<body><article><h1>A</h1><p>{0}</p></article></body>", 8)
+    rows += [(50, "https://g.example/x", "<body><div class=menu>Menu</div><div id=content><h1>B</h1><p>Other layout with some text.</p></div></body>")]
+    assert extracted(spark, rows)[50] == "B\nOther layout with some text."
+    rows = site("h.example", "<body><div id=content><p>{0}</p></div></body>", 8)
+    rows += [(50, "https://h.example/x", "<body><div id=content><p>Long text of the page itself.</p></div><article>Teaser</article></body>")]
+    out = extracted(spark, rows)
+    assert out[50] == "Long text of the page itself." and all(out[i].startswith("word") for i in range(8))
+
+
+def tree(page):
+    return html_wrapper._slim(html_wrapper.page_tree(page))
+
+
+def wrapper_of(*pages):
+    out = tree(pages[0])
+    for page in pages[1:]:
+        out = html_wrapper.merged(out, tree(page))
+    return out
+
+
+def expression(*pages):
+    return html_wrapper.regular_expression(wrapper_of(*pages))
+
+
+def test_mismatches_become_groups_or_optional():
+    assert expression("<h1>a</h1><p>b<p>c", "<h1>d</h1><p>e<p>f") == "<page><h1>#</> <p>#</> <p>#</></>"
+    assert expression("<h1>a</h1><p>b", "<h1>a</h1><p>b<p>c<p>d") == "<page><h1>#</> (<p>#</>)+</>"
+    assert expression("<h1>a</h1><p>b", "<h1>a</h1><ul><li>x</ul><p>b", "<p>c") == "<page>(<h1>#</>)? (<ul~t><li>#</></>)? <p>#</></>"
+    assert expression("<h2>a</h2><p>b", "<h2>a</h2><p>b<h2>c</h2><p>d") == "<page>(<h2>#</> <p>#</>)+</>"
+    long_ = "".join(f"<h2>{i}</h2>" if i * i % 7 < 3 else f"<p>{i}" for i in range(200))
+    assert re.fullmatch(r"<page><h1>#</> \((\(<(p|h2)>#</>\)\?|<(p|h2)>#</>) (\(<(p|h2)>#</>\)\?|<(p|h2)>#</>)\)\+</>", expression("<h1>a</h1>" + long_, "<h1>b</h1>" + long_[:800]))
+
+
+def matches(item, page):
+    """Brute force: may the page's sequence be written by the wrapper's? Tried over all ways by recursion."""
+
+    def fits(ws, ps):
+        if not ws:
+            return not ps
+        w, rest = ws[0], ws[1:]
+        if w[html_wrapper.OPTIONAL] and fits(rest, ps):
+            return True
+        if w[html_wrapper.LABEL] == html_wrapper.GROUP:
+            return any(once(w[html_wrapper.KIDS], ps[:k]) and (fits(rest, ps[k:]) or fits(ws, ps[k:])) for k in range(1, len(ps) + 1))
+        return bool(ps) and one(w, ps[0]) and fits(rest, ps[1:])
+
+    def once(kids, ps):
+        return fits(kids, ps)
+
+    def one(w, p):
+        return w[0] == p[0] and (w[1] is None or fits(w[1], p[1]))
+
+    return one(item, page)
+
+
+def test_every_page_is_a_word_of_its_wrapper():
+    rng = np.random.default_rng(4)
+    for _ in range(60):
+        parts = ["<h2>t</h2>", "<p>t", "<ul><li>t<li>t</ul>", "<div class=x><p>t</div>", "<div><a>t</a></div>"]
+        pages = ["<h1>t</h1>" + "".join(parts[k] for k in rng.integers(0, rng.integers(1, 6), rng.integers(0, 7))) for _ in range(5)]
+        wrapper = wrapper_of(*pages)
+        slots = sum(1 for page in pages for _ in html_wrapper.located(html_wrapper.choose(wrapper)[1], html_wrapper.page_tree(page)[1]))
+        assert slots == sum(page.count("t") for page in pages)
+        assert all(matches(wrapper, tree(p)) for p in pages), (html_wrapper.regular_expression(wrapper), pages)
+
+
+def test_alignment_decides_the_text(spark, monkeypatch):
+    """Plain boxes differ only by their place: without alignment they can't be told apart."""
+    body = "<body><div><p>Day {0}</p></div><div><p>{0} {0} {0} {0}</p></div><div><p>Seen {0}</p></div></body>"
+    rows = site("i.example", body, 8)
+    pages = [r[2].replace("Day word", "Day ").replace("Seen word", "Seen ") for r in rows]
+    wrapper = wrapper_of(*pages)
+    good = [html_wrapper.main_text(html_wrapper.choose(wrapper), p, frozenset()) for p in pages]
+    assert all(t.startswith("word") and "Day" not in t and "Seen" not in t for t in good)
+    monkeypatch.setattr(html_wrapper, "aligned", lambda a, b, same_page=False: a + b)
+    joined = wrapper_of(*pages)
+    assert [html_wrapper.main_text(html_wrapper.choose(joined), p, frozenset()) for p in pages] != good
+
+
+def test_wrappers_merge_in_rounds(spark, monkeypatch):
+    rows = site("j.example", "<body><article><h1>A</h1><p>{0}</p></article><footer>F {0}</footer></body>", 40)
+    want = extracted(spark, rows)
+    monkeypatch.setattr(html_wrapper, "FAN_IN", 2)
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(9)
+    assert {r.page_id: r.text for r in html_wrapper.extract(spark, frame).collect()} == want
+
+
+def test_clashing_names_and_repeated_pages(spark):
+    fields = "page_id long, url string, html string, host string, template string, wrapper string, w_host string, t_host string, h long, n long"
+    row = (1, "https://k.example/", "<article>Same text</article>", *"abcde", 1, 2)
+    out = html_wrapper.extract(spark, spark.createDataFrame([row, row, (None, None, None, *"abcde", None, None)], fields)).collect()
+    assert Counter((r.page_id, r.text, r.n_chars) for r in out) == Counter({(1, "Same text", 9): 2, (None, "", 0): 1})
+
+
 def test_long_and_deep_pages_keep_every_block(spark):
     irregular = "".join(f"<{'h2' if i * i % 7 < 3 else 'p'}>block {i}" for i in range(9_000))
     deep = "<article>" + "<div>x" * 3_000
@@ -316,13 +443,6 @@ def test_long_and_deep_pages_keep_every_block(spark):
     assert found[1].count("\n") == 8_999 and found[2].count("x") == 3_000
 
 
-def test_alignment_makes_optional_and_repeated_groups():
-    a = html_wrapper.start_wrapper("\n".join(["h", "p", "f"]), 3, {"h": [10, 0], "p": [5, 0], "f": [2, 0]})
-    b = html_wrapper.start_wrapper("\n".join(["h", "n", "p+", "f"]), 1, {"h": [1, 0], "n": [4, 4], "p": [5, 0], "f": [2, 0]})
-    assert html_wrapper.regular_expression(html_wrapper.aligned(a, b)) == "(h) (n)? (p)+ (f)"
-    assert html_wrapper.folded("a b c b c b c d".split()) == ["a", "b+", "c+", "d"]
-
-
 def test_pipeline_stages_keep_columns_and_clean_documents(spark):
     import corpus_pipeline as pipeline
 

@@ -1,15 +1,15 @@
 """Main text of web pages by wrappers: union-free regular expressions inferred for each host.
 
-A page is a stream of tags and text slots. Repeated groups of a stream are folded into
-one, and the distinct folded streams of a host are aligned one after the other: where they
-differ, the part that one lacks becomes optional, text becomes a slot. The result is the host's
-wrapper, one expression without alternatives, whose slots carry statistics over all pages:
-on how many pages a slot occurs, how long its text is, how much of it is links. Slots in the
-article, or in the region that has most of the free text, are the main text; the wrapper names them
-and every page is read through its host's wrapper.
-
-Equal streams are summed before the shuffle, and a host's streams are folded into its
-wrapper as they pass by, so a host with a third of all pages holds only its wrapper in memory.
+A page is a stream of block tags and texts, read as nested sequences. Texts that most pages of a host
+share are counted by Spark first: they are tokens of the template and anchor the alignment; every
+other text is a slot. The sequences of a host's pages are then aligned one after the other. A
+mismatch that repeats its neighbours makes them a repeated group, any other becomes optional.
+The result is the host's wrapper, one expression without alternatives, whose slots carry
+statistics over all pages. They tell which slots are main text; every page is then parsed by its
+host's wrapper and gives the texts of those slots.
+
+Each task folds its pages into one wrapper a host; wrappers are then merged in rounds of at most
+FAN_IN, so a host with a third of all pages is spread over all tasks and no page is shuffled for it.
 """
 
 from __future__ import annotations
@@ -17,76 +17,134 @@ from __future__ import annotations
 import html
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
+from functools import lru_cache
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import bounded_batches, maybe_broadcast, staged
 from tidemark.llm.url_filter import host_and_path
 
-#: Symbols of a folded stream that are aligned in order; of a longer one each slot is kept once, as a repetition.
-LONGEST = 2_000
-#: First-level folds of a host's streams.
-SHARES = 16
+#: Wrappers of a host that one task merges in a round.
+FAN_IN = 32
+#: A text is a token of the template if it is on so many pages of the host and on this share of them; it
+#: is left out of main text from STAYS pages on and from FIXED of the pages that have the main text.
+LEAST_PAGES, SHARED, STAYS, FIXED = 3, 0.6, 8, 0.9
+#: Items of a sequence from which labels that come more than twice are one repeated group; from WIDE on classes count no more.
+LONG, WIDE = 24, 64
+#: Elements nested deeper are siblings inside the one at this depth.
+DEPTH = 48
+#: Share of a host's free text that makes article or main elements the main region, that leads into an element, and that
+#: an element with a class word such as sidebar holds if it is not aside after all.
+ENOUGH, MOST, NEARLY = 0.3, 0.5, 0.75
+
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|textarea|select)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
     r"|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
     re.S | re.I,
 )
-_ATTRIBUTE = re.compile(r"(?:\b(class|id|role|hidden)\b)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=\"'<>/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _SPACE = re.compile(r"\s+")
-_NAME = re.compile(r"[a-z]+")
+_PART = re.compile(r"[a-z]+")
+_ODD = re.compile(r"[.~=#(!]")
 #: Elements without an end tag, elements inside a line, regions that are never main text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small "
     "span strike strong sub sup time tt u var wbr".split()
 )
-ASIDE = frozenset("head nav header footer aside form button menu dialog input object audio video canvas map figcaption".split())
-ASIDE_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies copyright disqus "
+ASIDE = frozenset("head nav header footer aside form button menu dialog input object audio video canvas map".split())
+COMMENT_WORDS = frozenset("comment comments disqus replies reply respond".split())
+ASIDE_WORDS = COMMENT_WORDS | frozenset(
+    "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs cookie cookies copyright "
     "footer header login masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted "
-    "related replies reply respond share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget".split()
+    "related share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget".split()
 )
+#: Words of a class that say what its element has or does, not what it is.
+STATES = frozenset("has no not with without is open closed enabled disabled active on off".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 MAIN = ("article", "main")
-#: Elements whose start ends an open paragraph or list item.
-CLOSES = {
+WHOLE = frozenset(["page", "html", "body", *MAIN])
+LINES = frozenset("p li h1 h2 h3 h4 h5 h6 td th tr dt dd blockquote pre caption figcaption figure".split())
+HEADS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements whose start ends an open paragraph, headline or list item.
+CLOSES = dict.fromkeys(HEADS, HEADS) | {
     "p": frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split()),
     "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "option": frozenset(["option"]),
     "tr": frozenset(["tr"]), "td": frozenset(["td", "th", "tr"]), "th": frozenset(["td", "th", "tr"]),
 }
 
+#: An item of a sequence is a list: label, items inside (none for a text), pages, characters, characters in links, optional,
+#: and the text (of a page) or whether it is main text (of a wrapper). Labels: an element's name and classes, TEXT for a slot,
+#: = and a hash for a text of the template, GROUP for a sequence that repeats.
+LABEL, KIDS, PAGES, CHARS, LINKED, OPTIONAL, VALUE = range(7)
+TEXT, GROUP = "#", "("
+Item = list
+
+
+def aside_word(token: str) -> str | None:
+    """The word for which a class or id sets its element aside, if it has one and no word of STATES."""
+    parts = _PART.findall(token)
+    return next((p for p in parts if p in ASIDE_WORDS), None) if STATES.isdisjoint(parts) else None
+
 
-def _label(name: str, attributes: str) -> str:
-    """An element as the wrapper sees it: its name, and ! if name, class, id or role set it aside."""
-    if name in ASIDE:
-        return name + "!"
-    if attributes:
-        for m in _ATTRIBUTE.finditer(attributes):
-            key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-            if key == "hidden" or key == "role" and value in ROLES:
-                return name + "!"
-            if key in ("class", "id") and not ASIDE_WORDS.isdisjoint(_NAME.findall(value)):
-                return name + "!"
-    return name
+@lru_cache(maxsize=20_000)
+def element_label(name: str, attributes: str) -> str:
+    """The element's name with its classes and id (those without a digit), role and whether it is hidden."""
+    marks = []
+    for m in _ATTRIBUTE.finditer(attributes):
+        key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+        if key == "hidden" or key == "role" and value in ROLES:
+            marks.append("!")
+        elif key in ("class", "id") and name not in WHOLE:
+            for t in value.split():
+                word = aside_word(t)
+                if word or name not in LINES and not any(c.isdigit() for c in t):
+                    marks.append(word or _ODD.sub("_", t))
+    return ".".join([name, *sorted(set(marks))]) if marks else name
 
 
-def text_slots(page: str) -> Iterator[tuple[str, int, str, bool]]:
-    """(slot, number of the block, raw text, in a link?) for every text of the page, in order.
+@lru_cache(maxsize=20_000)
+def name_of(label: str) -> str:
+    return re.split(r"[.~=]", label, maxsplit=1)[0] if label[0] not in "=#(" else label
 
-    A slot is the path of open blocks, a point outside all of them; blocks of one kind directly inside
-    each other count once. The number changes wherever a block starts or ends; inline elements don't change it.
+
+def page_tree(page: str, template: frozenset[int] = frozenset()) -> Item:
+    """The page as nested items: blocks with their texts, each text with its white space runs as one space.
+
+    ``template``: hashes of the host's shared texts. A block that holds one of them alone is labelled by it.
     """
-    stack: list[str] = []
-    slots = ["."]
-    links, block, at = 0, 0, 0
+    root: Item = ["page", [], 1, 0, 0, False, None]
+    open_: list[tuple[str, Item, str | None]] = [("", root, None)]
+    parts: list[str] = []
+    linked, in_link, at = 0, False, 0
+
+    def flush() -> None:
+        nonlocal linked
+        if parts:
+            text = _SPACE.sub(" ", html.unescape("".join(parts))).strip()
+            parts.clear()
+            if text:
+                label = TEXT
+                if template and (h := text_hash(text)) in template:
+                    label = f"={h & 0xFFFFFFFFFFFF:x}"
+                open_[-1][1][KIDS].append([label, None, 1, len(text), min(linked, len(text)), False, text])
+            linked = 0
+
+    def put(raw: str) -> None:
+        nonlocal linked
+        parts.append(raw)
+        if in_link:
+            linked += len(raw.strip())
+
     for m in _TAG.finditer(page):
         if m.start() > at:
-            yield slots[-1], block, page[at : m.start()], links > 0
+            put(page[at : m.start()])
         at = m.end()
         name = m[3]
         if name is None:
@@ -94,216 +152,445 @@ def text_slots(page: str) -> Iterator[tuple[str, int, str, bool]]:
         name = name.lower()
         if name in INLINE:
             if name == "a":
-                links = 0 if m[2] else 1
+                in_link = not m[2]
             elif name == "br":
-                yield slots[-1], block, " ", links > 0
+                put(" ")
             continue
-        block += 1
-        links = 0
+        flush()
+        in_link = False
         if m[2]:
-            place = next((i for i in range(len(stack) - 1, -1, -1) if stack[i].rstrip("!") == name), None)
+            place = next((i for i in range(len(open_) - 1, 0, -1) if open_[i][0] == name), None)
             if place is not None:
-                del stack[place:], slots[place + 1 :]
+                del open_[place:]
         else:
-            while stack and name in CLOSES.get(stack[-1].rstrip("!"), ()):
-                del stack[-1], slots[-1]
+            while name in CLOSES.get(open_[-1][0], ()):
+                del open_[-1]
             if name not in VOID:
-                label = _label(name, m[4] or "")
-                slots.append(slots[-1] if stack and stack[-1] == label else f"{slots[-1]}/{label}" if stack else label)
-                stack.append(label)
+                label, outer = element_label(name, m[4] or ""), open_[-1][2]
+                item: Item = [outer or label, [], 1, 0, 0, False, None]
+                open_[min(len(open_) - 1, DEPTH)][1][KIDS].append(item)
+                deep = len(open_) > DEPTH and is_aside(label)
+                open_.append((name, item, outer or (label if deep else None)))
     if at < len(page):
-        yield slots[-1], block, page[at:], links > 0
-
-
-def blocks_of(page: str) -> list[tuple[str, str, int]]:
-    """(slot, text, characters of it in links) of every block that has text, in order."""
-    out: list[tuple[str, str, int]] = []
-    open_, number, parts, linked = ".", -1, [], 0
-    for slot, block, raw, in_link in [*text_slots(page), (".", -2, "", False)]:
-        if block != number:
-            text = _SPACE.sub(" ", html.unescape("".join(parts))).strip() if parts else ""
-            if text:
-                out.append((open_, text, min(linked, len(text))))
-            open_, number, parts, linked = slot, block, [], 0
-        parts.append(raw)
-        if in_link:
-            linked += len(raw.strip())
-    return out
-
-
-def folded(symbols: list[str]) -> list[str]:
-    """The stream with each group that repeats at once (up to 8 symbols) kept once, marked by +."""
-    out: list[str] = []
-    for s in symbols:
-        out.append(s)
-        changed = True
-        while changed:
-            changed = False
-            for k in range(1, min(8, len(out) // 2) + 1):
-                if [x.rstrip("+") for x in out[-k:]] == [x.rstrip("+") for x in out[-2 * k : -k]]:
-                    del out[-k:]
-                    out[-k:] = [x if x.endswith("+") else x + "+" for x in out[-k:]]
-                    changed = True
-                    break
-    return out if len(out) <= LONGEST else [x + "+" for x in dict.fromkeys(x.rstrip("+") for x in out)]
-
-
-#: A wrapper: its symbols in order, each with pages, characters, link characters and whether it is optional, repeated.
-Wrapper = list[list]
-
-
-def page_wrapper(page: str) -> tuple[str, dict[str, list[int]]]:
-    """The page's own folded stream as text, and for every slot its characters and link characters."""
-    found = blocks_of(page)
-    slots: dict[str, list[int]] = {}
-    for slot, text, linked in found:
-        sums = slots.setdefault(slot, [0, 0])
-        sums[0] += len(text)
-        sums[1] += linked
-    return "\n".join(folded([slot for slot, _, _ in found])), slots
-
-
-def aligned(a: Wrapper, b: Wrapper) -> Wrapper:
-    """One wrapper for both: symbols of the common order are merged, the others become optional."""
-    out: Wrapper = []
-    matcher = SequenceMatcher(None, [x[0] for x in a], [x[0] for x in b], autojunk=False)
-    for what, i, j, k, m in matcher.get_opcodes():
-        if what == "equal":
-            out += [[x[0], *(p + q for p, q in zip(x[1:4], y[1:4])), x[4] or y[4], x[5] or y[5]] for x, y in zip(a[i:j], b[k:m])]
+        put(page[at:])
+    flush()
+    _finish(root)
+    return root
+
+
+def text_hash(text: str) -> int:
+    return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
+def _finish(item: Item) -> bool:
+    """Sum up characters; name plain containers by what they hold. Whether there is a paragraph or headline inside."""
+    lines = False
+    for kid in item[KIDS]:
+        if kid[KIDS] is not None:
+            lines = _finish(kid) or lines
+        item[CHARS] += kid[CHARS]
+        item[LINKED] += kid[LINKED]
+    item[KIDS] = [k for k in item[KIDS] if k[CHARS]]
+    name = item[LABEL]
+    if len(item[KIDS]) == 1 and item[KIDS][0][LABEL][0] == "=":
+        item[LABEL] += item[KIDS][0][LABEL]
+    elif name not in WHOLE and name not in LINES and "." not in name and name not in ASIDE:
+        item[LABEL] += "~l" if item[LINKED] >= 0.8 * item[CHARS] else "~h" if lines else "~t"
+    return lines or name == "p" or name in HEADS
+
+
+def names(item: Item) -> set[str]:
+    return {k[LABEL] for k in item[KIDS]} if item[LABEL] == GROUP else {item[LABEL]}
+
+
+def similarity(a: Item, b: Item) -> float:
+    """0 if the items can't be the same part of the wrapper, else 1 to 2 by what they hold."""
+    if a[LABEL] != b[LABEL]:
+        return 0.0
+    if a[KIDS] is None:
+        return 1.5
+    x, y = {k[LABEL] for k in a[KIDS]}, {k[LABEL] for k in b[KIDS]}
+    both = len(x & y) / max(1, len(x | y))
+    return both and 1.0 + both if a[LABEL] == GROUP else 1.0 + both
+
+
+def steps(a: list[Item], b: list[Item]) -> list[tuple[int | None, int | None]]:
+    """The best alignment of two sequences in order: pairs of places, one of them none where an item has no partner."""
+    n, m = len(a), len(b)
+    if n == m and all(x[LABEL] == y[LABEL] != GROUP for x, y in zip(a, b)):
+        return [(i, i) for i in range(n)]
+    if n * m > 40_000:  # long irregular sequences: by labels alone
+        out: list[tuple[int | None, int | None]] = []
+        for what, i, j, k, l in SequenceMatcher(None, [x[LABEL] for x in a], [x[LABEL] for x in b], autojunk=False).get_opcodes():
+            out += zip(range(i, j), range(k, l)) if what == "equal" else [(x, None) for x in range(i, j)] + [(None, y) for y in range(k, l)]
+        return out
+    best = [[0.0] * (m + 1) for _ in range(n + 1)]
+    for i in range(n - 1, -1, -1):
+        for j in range(m - 1, -1, -1):
+            s = similarity(a[i], b[j])
+            best[i][j] = max(best[i + 1][j], best[i][j + 1], best[i + 1][j + 1] + s if s else 0.0)
+    out, i, j = [], 0, 0
+    while i < n or j < m:
+        s = similarity(a[i], b[j]) if i < n and j < m else 0.0
+        if s and best[i][j] == best[i + 1][j + 1] + s:
+            out.append((i, j))
+            i, j = i + 1, j + 1
+        elif j == m or i < n and best[i][j] == best[i + 1][j]:
+            out.append((i, None))
+            i += 1
         else:
-            out += [[*x[:4], True, x[5]] for x in a[i:j]] + [[*y[:4], True, y[5]] for y in b[k:m]]
-    return _refolded(out)
+            out.append((None, j))
+            j += 1
+    return out
 
 
-def _refolded(wrapper: Wrapper) -> Wrapper:
-    """Equal neighbours are one repeated symbol: mismatches of one kind side by side are a repetition."""
-    out: Wrapper = []
-    for x in wrapper:
-        if out and out[-1][0] == x[0]:
-            y = out[-1]
-            out[-1] = [x[0], max(x[1], y[1]), x[2] + y[2], x[3] + y[3], x[4] and y[4], True]
-        else:
-            out.append(list(x))
-    if len(out) > LONGEST:  # too many for an order: each slot once, with all its sums
-        by_name: dict[str, list] = {}
-        for x in out:
-            y = by_name.setdefault(x[0], [x[0], 0, 0, 0, True, True])
-            y[1:4] = [max(x[1], y[1]), x[2] + y[2], x[3] + y[3]]
-        out = list(by_name.values())
+def _runs(seq: list[Item], groups: list[Item]) -> list[list[Item]]:
+    """The sequence in parts: each longest run of items that a group repeats, every other item by itself."""
+    sets = [names(g) for g in groups]
+    out: list[list[Item]] = []
+    inside = None
+    for item in seq:
+        own = names(item)
+        if inside is not None and own <= inside:
+            out[-1].append(item)
+            continue
+        inside = next((s for s in sets if own <= s), None)
+        out.append([item])
     return out
 
 
-def start_wrapper(stream: str, pages: int, slots: dict[str, list[int]]) -> Wrapper:
-    """The wrapper of ``pages`` pages with one folded stream; a slot's sums go to its first symbol."""
-    out, left = [], dict(slots)
-    for symbol in stream.split("\n") if stream else []:
-        name = symbol.rstrip("+")
-        chars, linked = left.pop(name, (0, 0))
-        out.append([name, pages, chars, linked, False, symbol.endswith("+")])
-    return _refolded(out)
+def repeated(items: list[Item], same_page: bool = True) -> Item:
+    """One repeated group of the items: each label once, in order of first appearance, optional if a repetition lacks it."""
+    optional = all(x[OPTIONAL] for x in items)
+    place: dict[str, int] = {}
+    for x in items:
+        for k in x[KIDS] if x[LABEL] == GROUP else [x]:
+            place.setdefault(k[LABEL], len(place))
+    kids: dict[str, Item] = {}
+    times, rounds, last = Counter(), 0, len(place)
+    loose: set[str] = set()
+    for x in items:
+        inside = x[LABEL] == GROUP
+        if inside:
+            last = len(place)
+        for k in x[KIDS] if inside else [x]:
+            label = k[LABEL]
+            if place[label] <= last:
+                rounds += 1
+            last = place[label]
+            times[label] += 1
+            if inside and k[OPTIONAL]:
+                loose.add(label)
+            kids[label] = merged(kids[label], k, same_page) if label in kids else list(k)
+        if inside:
+            last = len(place)
+    own = list(kids.values())
+    for k in own:
+        k[OPTIONAL] = k[LABEL] in loose or times[k[LABEL]] < rounds
+    return [GROUP, own, max(k[PAGES] for k in own), sum(k[CHARS] for k in own), sum(k[LINKED] for k in own), optional, None]
+
+
+def _absorbed(seq: list[Item], others: list[Item]) -> list[Item]:
+    groups = [x for x in others if x[LABEL] == GROUP]
+    if not groups:
+        return seq
+    fits = [names(g) for g in groups]
+    return [repeated(run) if any(names(run[0]) <= s for s in fits) else run[0] for run in _runs(seq, groups)]
+
+
+def merged(a: Item, b: Item, same_page: bool = False) -> Item:
+    """One item for both; pages are counted once where both are of one page."""
+    pages = max(a[PAGES], b[PAGES]) if same_page else a[PAGES] + b[PAGES]
+    if a[LABEL] == GROUP:
+        out = repeated([a, b], same_page)
+        out[PAGES], out[OPTIONAL] = pages, a[OPTIONAL] or b[OPTIONAL]
+        return out
+    kids = None if a[KIDS] is None else aligned(a[KIDS], b[KIDS], same_page)
+    return [a[LABEL], kids, pages, a[CHARS] + b[CHARS], a[LINKED] + b[LINKED], a[OPTIONAL] or b[OPTIONAL], None]
+
+
+def aligned(a: list[Item], b: list[Item], same_page: bool = False) -> list[Item]:
+    """One sequence for both: partners are merged, a run of mismatches whose labels all stand beside it is one
+    repeated group with those neighbours, any other mismatch is optional.
+    """
+    a, b = folded(a), folded(b)
+    a, b = _absorbed(a, b), _absorbed(b, a)
+    pairs = [(None if i is None else a[i], None if j is None else b[j]) for i, j in steps(a, b)]
+    own = [names(x or y) for x, y in pairs]
+    out: list[Item] = []
+    begins: list[int] = []  # for each item of out, the first pair in it
+    i = floor = 0
+    while i < len(pairs):
+        x, y = pairs[i]
+        if x and y:
+            out.append(merged(x, y, same_page))
+            begins.append(i)
+            i += 1
+            continue
+        end = i
+        while end < len(pairs) and None in pairs[end]:
+            end += 1
+        run = set().union(*own[i:end])
+        left, right = i, end
+        while left > floor and own[left - 1] <= run:
+            left -= 1
+        while right < len(pairs) and own[right] <= run:
+            right += 1
+        if run <= set().union(*own[left:i], *own[end:right]):
+            while begins and begins[-1] >= left:
+                del out[-1], begins[-1]
+            sides = [[p[k] for p in pairs[left:right] if p[k]] for k in (0, 1)]
+            groups = [repeated(side) for side in sides if side]
+            out.append(repeated(groups, same_page) if len(groups) > 1 else groups[0])
+            out[-1][OPTIONAL] = len(groups) < 2 or groups[0][OPTIONAL] or groups[1][OPTIONAL]
+            begins.append(left)
+            i = floor = right
+        else:
+            for item in (x or y for x, y in pairs[i:end]):
+                item[OPTIONAL] = True
+                out.append(item)
+                begins.append(i)
+            i = end
+    return folded(out)
 
 
-def regular_expression(wrapper: Wrapper) -> str:
-    """The wrapper in the usual notation: slots in order, ? optional, + repeated, * both."""
-    return " ".join(f"({x[0]}){'*' if x[4] and x[5] else '?' if x[4] else '+' if x[5] else ''}" for x in wrapper)
+def folded(seq: list[Item]) -> list[Item]:
+    """A long sequence with the stretch of labels that come more than twice as one repeated group.
 
+    With over WIDE items still, elements are told apart by name alone; nothing is dropped.
+    """
+    if len(seq) <= LONG:
+        return seq
+    times = Counter(n for x in seq for n in names(x))
+    many = {n for n, k in times.items() if k > 2}
+    if many:
+        at = [i for i, x in enumerate(seq) if not many.isdisjoint(names(x))]
+        seq = [*seq[: at[0]], repeated(seq[at[0] : at[-1] + 1]), *seq[at[-1] + 1 :]]
+    if sum(len(names(x)) for x in seq) > WIDE:
+        for x in seq:
+            for y in x[KIDS] if x[LABEL] == GROUP else [x]:
+                y[LABEL] = name_of(y[LABEL]) if y[LABEL][0] != "=" else TEXT
+        seq = [repeated(seq)]
+    return seq
+
+
+def regular_expression(item: Item) -> str:
+    """The wrapper in the usual notation: ? optional, + repeated, * both, # a slot."""
+    inside = " ".join(regular_expression(k) for k in item[KIDS] or ())
+    if item[LABEL] == GROUP:
+        return f"({inside}){'*' if item[OPTIONAL] else '+'}"
+    body = item[LABEL] if item[KIDS] is None else f"<{item[LABEL]}>{inside}</>"
+    return f"({body})?" if item[OPTIONAL] else body
+
+
+@lru_cache(maxsize=20_000)
+def aside_kind(label: str) -> str:
+    """Why an element may be set aside: its name, role or being hidden ("sure"), "comments", another "word"; "" if nothing says so."""
+    name, *marks = re.split(r"[~=]", label, maxsplit=1)[0].split(".")
+    words = {aside_word(t) for t in marks} - {None}
+    return "sure" if name in ASIDE or "!" in marks else "" if not words else "word" if words.isdisjoint(COMMENT_WORDS) else "comments"
+
+
+def is_aside(label: str) -> bool:
+    return bool(aside_kind(label))
+
+
+def _has(item: Item, wanted: frozenset[str]) -> bool:
+    return any(name_of(k[LABEL]) in wanted or k[KIDS] and _has(k, wanted) for k in item[KIDS] or ())
+
+
+def choose(root: Item) -> Item:
+    """Mark the slots of a wrapper (VALUE) that hold main text, by the statistics of its pages.
+
+    Free text is outside links and elements set aside, and no text of the template. Article elements, else
+    main elements, are the main region if they have ENOUGH of it; else the way leads from the root into each
+    element that has MOST of it. An element with a class word such as sidebar is set aside unless an article or
+    nearly all text is in it (for reader comments, a headline too). In the region a text of the template,
+    if no headline, is marked "template" instead, and left out if it is a menu.
+    """
+    total = root[CHARS]
+    free: dict[int, float] = {}
+
+    def put_aside(item: Item, in_main: bool) -> bool:
+        name, kind = name_of(item[LABEL]), aside_kind(item[LABEL])
+        if not kind or name in WHOLE or name == "header" and in_main and "!" not in item[LABEL]:
+            return False
+        if kind == "sure":
+            return True
+        if _has(item, frozenset(MAIN)):
+            return False
+        return item[CHARS] <= NEARLY * total or kind == "comments" and not _has(item, frozenset(["h1"]))
+
+    def weigh(item: Item, literal: bool, in_main: bool) -> float:
+        if item[KIDS] is None:
+            fixed = item[LABEL][0] == "=" and not literal or item[LINKED] >= 0.8 * item[CHARS]
+            w = 0.0 if fixed else float(item[CHARS] - item[LINKED])
+        elif put_aside(item, in_main):
+            w = 0.0
+        else:
+            inner = in_main or name_of(item[LABEL]) in MAIN
+            w = sum(weigh(k, literal, inner) for k in item[KIDS])
+        free[id(item)] = w
+        return w
+
+    all_free = weigh(root, False, False) or weigh(root, True, False)
+
+    def find(item: Item, name: str) -> list[Item]:
+        if name_of(item[LABEL]) == name:
+            return [item]
+        return [x for k in item[KIDS] or () if free.get(id(k)) for x in find(k, name)]
+
+    regions = next((r for r in (find(root, name) for name in MAIN) if r and sum(free[id(x)] for x in r) >= ENOUGH * all_free > 0), None)
+    if regions is None:
+        at = root
+        while at[KIDS]:
+            best = max(at[KIDS], key=lambda k: free.get(id(k), 0.0))
+            if best[KIDS] is None or name_of(best[LABEL]) in LINES or free.get(id(best), 0.0) <= MOST * all_free:
+                break
+            if best[LABEL] == GROUP and not any(name_of(k[LABEL]) not in LINES and free.get(id(k), 0.0) > MOST * all_free for k in best[KIDS]):
+                break
+            at = best
+        regions = [at]
+
+    def mark(item: Item, pages: int, headline: bool = False) -> None:
+        if item[KIDS] is None:
+            fixed = item[LABEL][0] == "=" and item[PAGES] >= LEAST_PAGES and not headline
+            menu = item[LINKED] >= 0.8 * item[CHARS]
+            item[VALUE] = not (fixed and menu) and ("template" if fixed and item[PAGES] >= max(STAYS, FIXED * pages) else True)
+            return
+        for k in item[KIDS]:
+            if k[KIDS] is None or not put_aside(k, True):
+                mark(k, pages, name_of(item[LABEL]) in HEADS)
+
+    for region in regions:
+        mark(region, max(x[PAGES] for x in regions))
+    return root
+
+
+def located(wrapper: list[Item], page: list[Item]) -> Iterator[tuple[str, bool | str]]:
+    """(text, what ``choose`` says of its slot) of each text of the page, as the wrapper parses it."""
+    groups = [x for x in wrapper if x[LABEL] == GROUP]
+    fits = [names(g) for g in groups]
+    units = [[GROUP, run, 1, 0, 0, False, None] if any(names(run[0]) <= s for s in fits) else run[0] for run in _runs(page, groups)]
+    partner = {j: wrapper[i] for i, j in steps(wrapper, units) if i is not None and j is not None}
+    known: dict[str, Item] = {}
+    if len(partner) < len(units):  # what was generalised, or stands elsewhere, goes by its name
+        for x in wrapper:
+            for y in x[KIDS] if x[LABEL] == GROUP else [x]:
+                known.setdefault(y[LABEL], y)
+    for j, unit in enumerate(units):
+        for item in unit[KIDS] if unit[LABEL] == GROUP else [unit]:
+            mate = partner.get(j)
+            if mate is None:
+                mate = known.get(item[LABEL]) or known.get(name_of(item[LABEL]))
+            elif mate[LABEL] == GROUP:
+                mate = next((k for k in mate[KIDS] if k[LABEL] == item[LABEL]), None)
+            if item[KIDS] is None:
+                yield item[VALUE], bool(mate) and bool(mate[VALUE]) and mate[VALUE]
+            else:
+                yield from located(mate[KIDS] if mate and mate[KIDS] else [], item[KIDS])
+
+
+def main_text(wrapper: Item | None, page: str, template: frozenset[int]) -> str:
+    """The page's main text by its host's wrapper.
+
+    Where that names no text of the page, as in a layout few pages have, the page is its own wrapper. On a page whose
+    main region is mostly text of the template, as copies of one article are, such text stays.
+    """
+    tree = page_tree(page, template)
+    found = list(located(wrapper[KIDS], tree[KIDS])) if wrapper else []
+    if not any(main for _, main in found):
+        found = list(located(choose(_slim(tree))[KIDS], tree[KIDS]))
+    kept, left = (sum(len(t) for t, main in found if main == what) for what in (True, "template"))
+    return "\n".join(t for t, main in found if main is True or main and left > kept)
 
-def main_slots(wrapper: Wrapper) -> list[str]:
-    """The wrapper's slots that hold main text.
 
-    A slot inside an element set aside never does. If a slot is inside an article or main
-    element, those that are hold it; else those under the deepest region that has more than
-    half of the text outside links. A slot that is nearly all links is a menu.
-    """
-    sums: dict[str, list[int]] = {}
-    for name, _, chars, linked, _, _ in wrapper:
-        s = sums.setdefault(name, [0, 0])
-        s[0] += chars
-        s[1] += linked
-    free = {n: s for n, s in sums.items() if not any(p.endswith("!") for p in n.split("/"))}
-    for element in MAIN:
-        if inside := [n for n in free if element in n.split("/")]:
-            return sorted(inside)
-    free = {n: s for n, s in free.items() if s[1] < 0.8 * s[0]}
-    total = sum(s[0] - s[1] for s in free.values())
-    region: tuple[str, ...] = ()
-    while True:
-        below: dict[tuple[str, ...], int] = {}
-        for n, s in free.items():
-            path = tuple(n.split("/"))
-            if path[: len(region)] == region and len(path) > len(region):
-                key = path[: len(region) + 1]
-                below[key] = below.get(key, 0) + s[0] - s[1]
-        best = max(below, key=lambda k: (below[k], k), default=None)
-        if best is None or best[-1].rstrip("!") in ("p", "li", "td", "tr", "h1", "h2", "h3", "dd", "dt") or below[best] * 2 <= total:
-            break
-        region = best
-    return sorted(n for n in free if tuple(n.split("/"))[: len(region)] == region)
-
-
-def streams(pages: DataFrame) -> DataFrame:
-    """host, stream, pages, slots: the distinct folded streams of every host with sums over all their pages."""
+def _summing(most: int):
+    """Texts of each page once, summed for each host by the task: host, h (null for the page itself), n."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[tuple[str, str], list] = {}
+        sums: Counter = Counter()
 
         def emit() -> pa.RecordBatch:
-            keys, values = list(sums), list(sums.values())
+            keys = list(sums)
             batch = pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([v[0] for v in values], pa.int64()), pa.array([json.dumps(v[1]) for v in values], pa.string())],
-                ["host", "stream", "pages", "slots"],
+                [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int64()), pa.array(list(sums.values()), pa.int64())], ["host", "h", "n"]
             )
             sums.clear()
             return batch
 
+        def texts(item: Item) -> Iterator[str]:
+            for k in item[KIDS]:
+                if k[KIDS] is None:
+                    yield k[VALUE]
+                else:
+                    yield from texts(k)
+
         for batch in batches:
             for host, page in zip(batch.column(0).to_pylist(), batch.column(1)):
-                stream, slots = page_wrapper(page.as_py() or "")
-                entry = sums.setdefault((host, stream), [0, {}])
-                entry[0] += 1
-                for name, (chars, linked) in slots.items():
-                    s = entry[1].setdefault(name, [0, 0])
-                    s[0] += chars
-                    s[1] += linked
-            if len(sums) > 20_000:
+                sums[(host, None)] += 1
+                sums.update({(host, text_hash(t)) for t in texts(page_tree(page.as_py() or ""))})
+            if len(sums) > most:
                 yield emit()
         yield emit()
 
-    return pages.mapInArrow(run, "host string, stream string, pages long, slots string")
+    return run
+
+
+def templates(pages: DataFrame) -> DataFrame:
+    """host, template: the hashes of texts on LEAST_PAGES pages and SHARED of all pages of the host, for hosts that have some."""
+    sums = pages.mapInArrow(_summing(200_000), "host string, h long, n long").groupBy("host", "h").agg(F.sum("n").alias("n"))
+    sums = sums.where((F.col("n") >= LEAST_PAGES) | F.col("h").isNull())
+    sums = staged(pages.sparkSession, sums, "page-texts")
+    of = sums.where("h IS NULL").select(F.col("host").alias("w_host"), F.col("n").alias("pages"))
+    often = sums.where("h IS NOT NULL").join(maybe_broadcast(of), F.col("host") == F.col("w_host"))
+    # of a host's texts each page has, so many can be on SHARED of the pages as a page holds
+    return often.where(F.col("n") >= SHARED * F.col("pages")).groupBy("host").agg(F.sort_array(F.collect_list("h")).alias("template"))
 
 
-def _folder(merge_rows):
-    """Fold the rows of each key, which come one after the other, into one wrapper."""
+def _folder(pages_in: bool):
+    """Fold the rows of each key into one wrapper: pages (host, html, template), or wrappers (host, share, wrapper) in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, wrapper = None, None
-        done: list[tuple] = []
+        held: dict[tuple, Item] = {}
+
+        def emit() -> pa.RecordBatch:
+            batch = pa.RecordBatch.from_arrays(
+                [pa.array([k[0] for k in held], pa.string()), pa.array([json.dumps(w, separators=(",", ":")) for w in held.values()], pa.string())], ["host", "wrapper"]
+            )
+            held.clear()
+            return batch
+
         for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns))):
-                if row[:2] != key:
-                    if key is not None:
-                        done.append((*key, json.dumps(wrapper)))
-                    key, wrapper = row[:2], None
-                other = merge_rows(row)
-                wrapper = other if wrapper is None else aligned(wrapper, other)
-        if key is not None:
-            done.append((*key, json.dumps(wrapper)))
-        columns = list(zip(*done)) or [(), (), ()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int32(), pa.string()))], ["host", "share", "wrapper"])
+            columns = [batch.column(i) for i in range(3)]
+            for host, b, c in zip(columns[0].to_pylist(), columns[1] if pages_in else columns[1].to_pylist(), columns[2].to_pylist()):
+                key = (host, None) if pages_in else (host, b)
+                if not pages_in and held and key not in held and len(held) > 200 or pages_in and len(held) > 2_000:
+                    yield emit()
+                other = _slim(page_tree(b.as_py() or "", frozenset(c or ()))) if pages_in else json.loads(c)
+                held[key] = merged(held[key], other) if key in held else other
+        yield emit()
 
     return run
 
 
+def _slim(item: Item) -> Item:
+    """A page's items without their texts."""
+    return [*item[:KIDS], None if item[KIDS] is None else [_slim(k) for k in item[KIDS]], *item[PAGES:VALUE], None]
+
+
 def infer(spark: SparkSession, pages: DataFrame) -> DataFrame:
-    """host, wrapper (JSON of its symbols) for every host of ``pages`` (host, html)."""
-    found = streams(pages.select("host", "html"))
-    shared = found.withColumn("share", F.pmod(F.xxhash64("stream"), F.lit(SHARES)).cast("int")).select("host", "share", "stream", "pages", "slots")
-    first = shared.repartition("host", "share").sortWithinPartitions("host", "share", "stream", "pages", "slots")
-    schema = "host string, share int, wrapper string"
-    part = first.mapInArrow(_folder(lambda r: start_wrapper(r[2], r[3], json.loads(r[4]))), schema)
-    second = part.withColumn("part", F.col("share")).withColumn("share", F.lit(0)).select("host", "share", "part", "wrapper")
-    second = second.repartition("host").sortWithinPartitions("host", "part")
-    return second.mapInArrow(_folder(lambda r: json.loads(r[3])), schema).select("host", "wrapper")
+    """host, wrapper (JSON of its items) for every host of ``pages`` (host, html, template)."""
+    schema = "host string, wrapper string"
+    found = staged(spark, pages.select("host", "html", "template").mapInArrow(_folder(True), schema), "wrappers")
+    while True:
+        most = found.groupBy("host").count().agg(F.max("count")).first()[0] or 0
+        if most <= 1:
+            return found
+        shares = -(-most // FAN_IN)
+        dealt = found.select("host", F.pmod(F.xxhash64("wrapper"), F.lit(shares)).cast("int").alias("share"), "wrapper")
+        dealt = dealt.repartition("host", "share").sortWithinPartitions("host", "share", "wrapper")
+        found = staged(spark, dealt.mapInArrow(_folder(False), schema), "wrappers")
 
 
 def extract(spark: SparkSession, pages: DataFrame) -> DataFrame:
@@ -316,31 +603,26 @@ def extract(spark: SparkSession, pages: DataFrame) -> DataFrame:
     bounded_batches(spark)
     host, _ = host_and_path(pages["url"])
     base = pages.select(pages["page_id"].alias("page_id"), pages["url"].alias("url"), host.alias("host"), pages["html"].cast("string").alias("html"))
-    slots = staged(spark, _main_of(infer(spark, base)), "main-slots")
-    slots = maybe_broadcast(slots.withColumnRenamed("host", "w_host"), 20_000)
-    joined = base.join(slots, F.col("host") == F.col("w_host"), "left").select("page_id", "url", "html", "slots")
+    template = staged(spark, templates(base.select("host", "html")), "page-templates").withColumnRenamed("host", "t_host")
+    anchored = base.join(maybe_broadcast(template), F.col("host") == F.col("t_host"), "left")
+    wrappers = infer(spark, anchored).withColumnRenamed("host", "w_host")
+    known = wrappers.join(maybe_broadcast(template), F.col("w_host") == F.col("t_host"), "left").select("w_host", "wrapper", "template")
+    known = maybe_broadcast(staged(spark, known, "host-wrappers"))
+    joined = base.join(known, F.col("host") == F.col("w_host"), "left").select("page_id", "url", "html", "host", "wrapper", "template")
     kinds = dict(base.dtypes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ready: dict[str, tuple[Item | None, frozenset[int]]] = {}
         for batch in batches:
             texts = []
-            known: dict[str, frozenset[str]] = {}
-            for page, names in zip(batch.column(2), batch.column(3).to_pylist()):
-                if names not in known:
-                    known[names] = frozenset((names or "").split("\n"))
-                mine = known[names]
-                texts.append("\n".join(text for slot, text, _ in blocks_of(page.as_py() or "") if slot in mine))
+            for page, name, wrapper, template in zip(*(batch.column(i) for i in range(2, 6))):
+                name = name.as_py()
+                if name not in ready:
+                    if len(ready) > 2_000:
+                        ready.clear()
+                    w = wrapper.as_py()
+                    ready[name] = (choose(json.loads(w)) if w else None, frozenset(template.as_py() or ()))
+                texts.append(main_text(ready[name][0], page.as_py() or "", ready[name][1]))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
     return joined.mapInArrow(run, f"page_id {kinds['page_id']}, url {kinds['url']}, text string, n_chars long")
-
-
-def _main_of(wrappers: DataFrame) -> DataFrame:
-    """host, slots (one a line) that hold main text, from (host, wrapper)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            names = ["\n".join(main_slots(json.loads(w))) for w in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string())], ["host", "slots"])
-
-    return wrappers.mapInArrow(run, "host string, slots string")
