@@ -156,27 +156,89 @@ def test_contraction_of_a_path(spark):
     assert {roots[n] for n in names[:25]} == {min(names[:25])} and roots[names[30]] == roots[names[31]] == min(names[30:32])
 
 
-def brute_spans(data):
+def brute_units(text):
+    """(where it ends, its words) of each sentence or part of a long one, read character by character."""
+    ends = [m.end() for m in re.finditer(r"[.!?]+[\"')\]]*\s+|\s*\n\s*", text)] + [len(text)]
+    out, at = [], 0
+    for end in ends:
+        found = list(re.finditer(r"\w+", text[at:end]))
+        if not found:
+            if out:
+                out[-1][0] = end
+            at = end if out else at  # what stands before the first word goes with it
+            continue
+        words = [m[0].lower() for m in found]
+        for k, m in enumerate(found):
+            chosen = len(words) > 16 and k and int(sentence_dedup.word_hashes([words[k - 1]])[0]) % 8 == 0
+            if not k or chosen:
+                if k:
+                    out[-1][0] = at + m.start()
+                out.append([end, []])
+            out[-1][1].append(words[k])
+        at = end
+    return out
+
+
+def brute_spans(data, least=20, within=False):
+    """All runs by plain loops; which words an earlier document has, by a table of word tuples."""
     order = sorted(range(len(data)), key=lambda i: (data[i][0] is None, data[i][0] or 0))
     first, found = {}, []
     for i in order:
-        for p, n, h, w in sentence_dedup.run_hashes(data[i][1] or ""):
-            first.setdefault((h, w), (data[i], p))
-            found.append(((h, w), i, p, n))
+        units = brute_units(data[i][1] or "")
+        n = len(units)
+        size = lambda s, e: sum(len(units[k][1]) for k in range(s, e))  # noqa: B023, E731
+        spans = {next(((s, e) for e in range(s + 1, n + 1) if size(s, e) >= least), None) for s in range(n)}
+        spans |= {next(((s, e) for s in range(e - 1, -1, -1) if size(s, e) >= least), None) for e in range(1, n + 1)}
+        for s, e in spans - {None}:
+            key = tuple(w for k in range(s, e) for w in units[k][1])
+            me = (data[i], s) if within else data[i]
+            if within and first.get(key, (None, 0))[0] == data[i]:
+                first[key] = min(first[key], me, key=lambda x: x[1])
+            first.setdefault(key, me)
+            found.append((key, i, s, e))
     gone = defaultdict(set)
-    for key, i, p, n in found:
-        if first[key] != (data[i], p):
-            gone[i].add((p, n))
-    return Counter((data[i][0], data[i][1] if data[i][1] is None else sentence_dedup.without_runs(data[i][1], sorted(gone[i]))[0]) for i in order)
+    for key, i, s, e in found:
+        if first[key] != ((data[i], s) if within else data[i]):
+            gone[i].update(range(s, e))
+    out = Counter()
+    for i in order:
+        text, at, kept = data[i][1], 0, []
+        if gone[i]:
+            for k, (end, _) in enumerate(brute_units(text)):
+                kept += [] if k in gone[i] else [text[at:end]]
+                at = end
+            text = "".join(kept).strip()
+        out[(data[i][0], text, len(gone[i]))] += 1
+    return out
 
 
 def test_sentence_spans_equal_brute_force(spark, sample, odd, none):
     for docs in (sample, odd):
-        cleaned = sentence_dedup.remove_repeats(spark, docs)
-        assert Counter((r["doc_id"], r["text"]) for r in rows(cleaned)) == brute_spans(pairs(docs))
+        for within in (False, True):
+            cleaned = sentence_dedup.remove_repeats(spark, docs, within=within)
+            assert Counter((r["doc_id"], r["text"], r["n_removed"]) for r in rows(cleaned)) == brute_spans(pairs(docs), within=within)
     assert sentence_dedup.remove_repeats(spark, none).count() == 0
 
 
+def test_a_passage_inside_other_sentences_is_found(spark):
+    passage = " ".join(f"Wort{k} und {'Stadt' if k % 2 else 'Land'}" for k in range(40))
+    data = [(i, f"We met in Paris and then drove to Berlin with {'ABCDE'[i]} " + passage + f" and so on to {'FGHIJ'[i]}. We met in Paris and then drove to Berlin.") for i in range(5)]
+    out = rows(sentence_dedup.remove_repeats(spark, spark.createDataFrame(data, "doc_id long, text string")))
+    assert {r["doc_id"] for r in out if r["n_removed"]} == {1, 2, 3, 4}
+    for r in out:
+        left = len(re.findall("Wort", r["text"]))
+        assert left == 40 if not r["doc_id"] else left <= 12 and r["text"].startswith("We met") and r["text"].endswith("Berlin.")
+
+
+def test_a_very_long_text_is_read_whole(spark):
+    rng = np.random.default_rng(8)
+    long_ = " ".join(f"w{k}{'.' if k % 11 == 0 else ''}" for k in rng.integers(0, 50_000, 200_000))
+    tail = "This closing passage stands at the end of two texts. It has more than twenty words in it, all of them the same in both."
+    data = [(1, long_ + " " + tail), (2, "Other words come first. " + tail)]
+    out = {r["doc_id"]: r for r in rows(sentence_dedup.remove_repeats(spark, spark.createDataFrame(data, "doc_id long, text string")))}
+    assert out[1]["n_removed"] == 0 and out[2]["text"] == "Other words come first."
+
+
 def test_a_shared_passage_stays_once(spark):
     passage = "Rivers carry stones for many miles. The stones grow round and small. " + "In the end only sand is left, and the sea takes that as well. " * 1
     data = [(i, f"Text number {'abcdefg'[i]} begins in its very own way here. {passage}It ends with {'pqrstuv'[i]} and nothing else at all.") for i in range(5)]
@@ -186,10 +248,10 @@ def test_a_shared_passage_stays_once(spark):
         assert "sand is left" not in out[i] and "Rivers" not in out[i] and out[i].startswith("Text number") and out[i].endswith("else at all.")
 
 
-def test_sentence_spans_tile_the_text():
+def test_units_tile_the_text():
     text = "One. Two!\nthree Four  five?\n\nsix"
-    spans = sentence_dedup.sentences(text)
-    assert "".join(text[a:b] for a, b in spans) == text and len(spans) == 5
+    units = sentence_dedup.Units(text)
+    assert [text[a:b] for a, b in zip(units.at, units.at[1:])] == ["One. ", "Two!\n", "three Four  five?\n\n", "six"]
 
 
 def bench(spark, items):

@@ -1,14 +1,15 @@
 """Substring deduplication by sliding sentence spans.
 
-Every run of several consecutive sentences of every document is hashed; equal hashes are
-brought together globally, and the sentences covered by any occurrence but the first (by
-doc_id, then position) are removed. First occurrences are a partially aggregated minimum,
-so a passage that a third of all documents share costs one row a task before the shuffle.
+Every run of consecutive sentences of every document that has LEAST_WORDS words is hashed; equal
+hashes are brought together globally, and the sentences covered by a run that an earlier document
+(by doc_id) has too are removed. A sentence of more than LONG words is cut further after words
+that their own hash chooses, about one in BREAK, so a passage inside longer sentences is cut alike
+wherever it stands. First occurrences are a partially aggregated minimum, so a passage that a
+third of all documents share costs one row a task before the shuffle.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 
@@ -20,52 +21,89 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import bounded_batches, maybe_broadcast, staged
 
-#: Sentences of a run at least, and words (a run goes on until it has them; shorter ones repeat by chance).
-RUN, LEAST_WORDS = 2, 14
-#: A sentence ends after . ! or ?, at a line's end, or before a capital that follows a lower-case word.
-_END = re.compile(r"[.!?]+[\"')\]]*\s+|\s*\n\s*|(?<=[^\W\d_A-Z])[ \t]+(?=[A-ZÀ-ÖØ-Þ])")
+#: Words of a run at least (it goes on until it has them; shorter ones repeat by chance), words from which a
+#: sentence is cut further, and how rarely.
+LEAST_WORDS, LONG, BREAK = 20, 16, 8
+#: A sentence ends after . ! or ? and white space, or at a line's end.
+_END = re.compile(r"[.!?]+[\"')\]]*\s+|\s*\n\s*")
 _WORD = re.compile(r"\w+")
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
 
 
-def sentences(text: str) -> list[tuple[int, int]]:
-    """Spans that tile the text: each sentence with the white space after it."""
-    cuts = [0, *(m.end() for m in _END.finditer(text)), len(text)]
-    return [(a, b) for a, b in zip(cuts, cuts[1:]) if a < b]
+def powers(base: int, n: int) -> np.ndarray:
+    """1, base, base squared, ... modulo 2 to the 64."""
+    out = np.full(n, base, dtype=np.uint64)
+    out[:1] = 1
+    return np.cumprod(out, dtype=np.uint64)
 
 
-def run_hashes(text: str, run: int = RUN, least: int = LEAST_WORDS) -> list[tuple[int, int, int, int]]:
-    """(span of the first sentence, sentences, hash, words) of every run; sentences without a word are passed over.
+def word_hashes(words: list[str]) -> np.ndarray:
+    return pd.util.hash_array(np.array(words, dtype=object), categorize=False)
 
-    From each sentence the shortest run that starts there, and the shortest that ends there:
-    together they cover a repeated passage up to its first and its last sentence.
+
+class Units:
+    """A text's sentences, or parts of long ones, as they tile it; only those with a word count.
+
+    ``at`` has the place in the text where each starts and where the last ends, ``words`` the same as numbers of words.
+    """
+
+    def __init__(self, text: str):
+        spans = [m.span() for m in _WORD.finditer(text)]
+        n = len(spans)
+        self.hashes = word_hashes([text[a:b].lower() for a, b in spans]) if n else np.zeros(0, np.uint64)
+        if not n:
+            self.words, self.at = np.zeros(1, int), np.zeros(1, int)
+            return
+        starts = np.array([a for a, _ in spans])
+        ends = np.array([m.end() for m in _END.finditer(text)], dtype=int)
+        place = dict(zip(np.searchsorted(starts, ends).tolist(), ends.tolist()))  # first word of a sentence: where it starts
+        first = np.array(sorted({0, *place} - {n}))
+        sizes = np.diff(np.append(first, n))
+        begins = np.zeros(n, dtype=bool)
+        begins[first] = True
+        begins[1:] |= (self.hashes[:-1] % np.uint64(BREAK) == 0) & np.repeat(sizes > LONG, sizes)[:-1]
+        units = np.flatnonzero(begins)
+        self.words = np.append(units, n)
+        self.at = np.array([0, *(place.get(u, int(starts[u])) for u in units[1:].tolist()), len(text)])
+
+
+def runs_of(units: Units, least: int = LEAST_WORDS) -> np.ndarray:
+    """Rows (first unit, units, hash, words) of the runs, in order.
+
+    From each unit the shortest run with ``least`` words that starts there, and the shortest that ends
+    there: together they cover a repeated passage up to its first and its last unit.
     """
-    at, words = [], []
-    for i, (a, b) in enumerate(sentences(text)):
-        if found := _WORD.findall(text[a:b].lower()):
-            at.append(i)
-            words.append(found)
-    before = np.concatenate(([0], np.cumsum([len(w) for w in words], dtype=np.int64)))
-    n = len(at)
-    starts = np.arange(n)
-    ends = np.maximum(np.searchsorted(before, before[:-1] + least), starts + run)  # first end that has enough
-    forward = {(int(s), int(e)) for s, e in zip(starts, ends) if e <= n}
-    begins = np.minimum(np.searchsorted(before, before[1:] - least, "right") - 1, starts + 1 - run)
-    backward = {(int(s), int(e)) for s, e in zip(begins, starts + 1) if s >= 0}
-    out = []
-    for s, e in sorted(forward | backward):
-        joined = " ".join([" ".join(w) for w in words[s:e]])
-        digest = hashlib.blake2b(joined.encode("utf-8", "surrogatepass"), digest_size=8).digest()
-        out.append((at[s], e - s, int.from_bytes(digest, "little", signed=True), int(before[e] - before[s])))
-    return out
+    b = units.words
+    n = len(b) - 1
+    if n <= 0 or b[-1] < least:
+        return np.zeros((0, 4), dtype=np.int64)
+    all_ = np.arange(n)
+    ends = np.searchsorted(b, b[:-1] + least)
+    begins = np.searchsorted(b, b[1:] - least, "right") - 1
+    forward = all_[ends <= n] * (n + 1) + ends[ends <= n]
+    backward = begins[begins >= 0] * (n + 1) + all_[begins >= 0] + 1
+    s, e = np.divmod(np.unique(np.concatenate((forward, backward))), n + 1)
+    with np.errstate(over="ignore"):
+        power, back = powers(_BASE, int(b[-1])), powers(_INVERSE, int(b[-1]))
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(units.hashes * power, dtype=np.uint64)))
+        h = (sums[b[e]] - sums[b[s]]) * back[b[s]]  # the words' polynomial, whatever stands before
+        h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+        h ^= h >> np.uint64(29)
+    return np.stack((s, e - s, h.view(np.int64), b[e] - b[s]), axis=1)
 
 
 def without_runs(text: str, found: list[tuple[int, int]]) -> tuple[str, int]:
-    """The text without the sentences that these runs (first span, sentences) cover, and how many those are."""
-    spans = sentences(text)
-    worded = [i for i, (a, b) in enumerate(spans) if _WORD.search(text, a, b)]
-    rank = {i: k for k, i in enumerate(worded)}
-    gone = {i for s, n in found if s in rank for i in worded[rank[s] : rank[s] + n]}
-    return "".join(text[a:b] for i, (a, b) in enumerate(spans) if i not in gone).strip() if gone else text, len(gone)
+    """The text without the units that these runs (first unit, units) cover, and how many those are."""
+    units = Units(text)
+    gone = np.zeros(len(units.at), dtype=bool)
+    for s, n in found:
+        gone[s : s + n] = True
+    gone = gone[:-1]
+    if not gone.any():
+        return text, 0
+    at = units.at.tolist()
+    return "".join([text[a:b] for a, b, g in zip(at, at[1:], gone.tolist()) if not g]).strip(), int(gone.sum())
 
 
 def _identified(docs: DataFrame) -> DataFrame:
@@ -73,40 +111,44 @@ def _identified(docs: DataFrame) -> DataFrame:
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(text).alias("tk"), text.alias("text"))
 
 
-def runs(docs: DataFrame, run: int = RUN, least: int = LEAST_WORDS) -> DataFrame:
+def runs(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
     """doc_id, tk, pos, n, h, words: a row for every run of every document."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["doc_id", "tk", "pos", "n", "h", "words"]
         for batch in batches:
-            found = [run_hashes(t.as_py() or "", run, least) for t in batch.column(2)]
-            times = [len(f) for f in found]
-            at = pa.array(np.repeat(np.arange(len(found)), times))
-            flat = np.array([x for f in found for x in f], dtype=np.int64).reshape(-1, 4)
-            columns = [batch.column(0).take(at), batch.column(1).take(at), *(pa.array(flat[:, k]) for k in range(4))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "tk", "pos", "n", "h", "words"])
+            for start in range(0, max(1, len(batch)), 200):
+                part = batch.slice(start, 200)
+                found = [runs_of(Units(t.as_py() or ""), least) for t in part.column(2)]
+                at = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]))
+                flat = np.concatenate(found) if found else np.zeros((0, 4), dtype=np.int64)
+                kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int32())
+                columns = [part.column(0).take(at), part.column(1).take(at), *(pa.array(flat[:, k]).cast(t) for k, t in enumerate(kinds))]
+                yield pa.RecordBatch.from_arrays(columns, names)
 
-    return _identified(docs).mapInArrow(hashed, "doc_id long, tk long, pos long, n long, h long, words long")
+    return _identified(docs).mapInArrow(hashed, "doc_id long, tk long, pos int, n int, h long, words int")
 
 
-def repeated_runs(docs: DataFrame, spark: SparkSession, run: int = RUN, least: int = LEAST_WORDS) -> DataFrame:
-    """doc_id, tk, pos, n of every run that is not the first occurrence of its words."""
+def repeated_runs(docs: DataFrame, spark: SparkSession, least: int = LEAST_WORDS, within: bool = False) -> DataFrame:
+    """doc_id, tk, pos, n of every run whose words an earlier document has, or with ``within`` an earlier place."""
     bounded_batches(spark)
-    every = staged(spark, runs(docs, run, least), "sentence-runs")
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tk", "pos")
-    first = every.groupBy("h", "words").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    repeated = staged(spark, first.where("first != last").select("h", "words", "first"), "repeated-runs")
+    every = staged(spark, runs(docs, least), "sentence-runs")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tk", *(["pos"] if within else []))
+    first = every.groupBy("h", "words").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times"))
+    repeated = staged(spark, first.where("times > 1").select("h", "words", "first"), "repeated-runs")
     return every.join(maybe_broadcast(repeated), ["h", "words"]).where(place != F.col("first")).select("doc_id", "tk", "pos", "n")
 
 
-def remove_repeats(spark: SparkSession, docs: DataFrame, run: int = RUN, least: int = LEAST_WORDS) -> DataFrame:
+def remove_repeats(spark: SparkSession, docs: DataFrame, least: int = LEAST_WORDS, within: bool = False) -> DataFrame:
     """doc_id, text, n_removed for every row of ``docs``: the text without repeated spans.
 
-    The first occurrence is that with the smallest doc_id, then position; it stays, a later one in
-    the same document goes. Rows that share doc_id and text are one document and keep the same
-    sentences; a null doc_id comes after all others. Null text stays null, a text without a
-    repeated run stays as it is, one that repeats wholly becomes empty. Other columns are not read.
+    Of a run that several documents have, the one with the smallest doc_id (then hash of the text) keeps it; what
+    repeats inside one document alone stays, unless ``within`` is set: then only its first place stays. Rows
+    that share doc_id and text are one document and keep the same sentences; a null doc_id comes after all others.
+    Null text stays null, a text without a repeated run stays as it is, one that repeats wholly becomes empty. Fewer
+    than ``least`` words are no run. Other columns are not read; an empty table gives none.
     """
-    gone = repeated_runs(docs, spark, run, least).groupBy("doc_id", "tk").agg(F.collect_set(F.struct("pos", "n")).alias("found"))
+    gone = repeated_runs(docs, spark, least, within).groupBy("doc_id", "tk").agg(F.collect_set(F.struct("pos", "n")).alias("found"))
     marks = gone.select(F.col("doc_id").alias("g_id"), F.col("tk").alias("g_tk"), "found")
     base = _identified(docs)
     marked = base.join(marks, base["doc_id"].eqNullSafe(marks["g_id"]) & (base["tk"] == marks["g_tk"]), "left")
