@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: The ASCII white space of the corpus contracts: space, tab, LF, VT, FF, CR.
 ASCII_SPACE = r"[\x20\x09-\x0D]+"
@@ -69,10 +70,31 @@ def crc_fold(id_column: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
-#: Rows of a join's small side up to which it may be broadcast; they are counted first.
-BROADCAST_ROWS = 200_000
+#: Bytes of a join's small side up to which it may be broadcast; they are measured first.
+BROADCAST_BYTES = 32 << 20
 
 
-def maybe_broadcast(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``most`` rows (counted), else as it is: a shuffled join."""
-    return F.broadcast(df) if len(df.select(F.lit(1)).head(most + 1)) <= most else df
+def _bytes(column: Column, kind: T.DataType) -> Column:
+    """About how much memory a value of the column takes."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        size = 24 + F.octet_length(column)
+    elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, (T.StringType, T.BinaryType, T.ArrayType, T.StructType)):
+        size = F.aggregate(column, F.lit(24).cast("long"), lambda total, x: total + _bytes(x, kind.elementType))
+    elif isinstance(kind, T.ArrayType):
+        size = 24 + 8 * F.size(column)
+    elif isinstance(kind, T.StructType):
+        size = sum((_bytes(column[f.name], f.dataType) for f in kind.fields), F.lit(16).cast("long"))
+    else:
+        size = F.lit(8)
+    return F.coalesce(size.cast("long"), F.lit(8).cast("long"))
+
+
+def size_in_bytes(df: DataFrame) -> int:
+    """About the memory that all rows take, from every row; best on staged tables."""
+    row = sum((_bytes(F.col(f"`{f.name}`"), f.dataType) for f in df.schema.fields), F.lit(24).cast("long"))
+    return df.agg(F.sum(row)).first()[0] or 0
+
+
+def maybe_broadcast(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint if it takes at most ``most`` bytes (measured), else as it is: a shuffled join."""
+    return F.broadcast(df) if size_in_bytes(df) <= most else df
