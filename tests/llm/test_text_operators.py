@@ -142,11 +142,48 @@ def test_keep_one(spark, odd, sample):
     assert Counter(r.doc_id for r in ngram_join.keep_one(spark, sample).collect()) == want
 
 
-def test_stop_depth_shortens_until_recall():
-    assert ngram_join.stop_depth(20, 6, 0.8, 0.5) == 6
-    depth = ngram_join.stop_depth()
-    assert 1 - (1 - 0.8**depth) ** ngram_join.TREES >= ngram_join.RECALL
-    assert 1 - (1 - 0.8 ** (depth + 1)) ** ngram_join.TREES < ngram_join.RECALL
+def depth_of(spark, data, recall=ngram_join.RECALL):
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    sketched = ngram_join.staged(spark, ngram_join.sketches(docs), "test-sketches")
+    classes = sketched.groupBy("cls").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("size"), F.first("n").alias("n"), F.first("signature").alias("signature"))
+    classes = ngram_join.staged(spark, classes, "test-classes")
+    found, depth = ngram_join.links(spark, docs, classes, recall=recall)
+    return found.agg(F.sum("links")).first()[0], depth
+
+
+def pairs_at(n, words, changed, seed):
+    """n pairs of texts, ``changed`` words of the second replaced far from each other."""
+    rng, out = np.random.default_rng(seed), []
+    for i in range(n):
+        w = [f"w{k}" for k in rng.integers(0, 50_000, words)]
+        v = list(w)
+        for k in range(changed):
+            v[5 + k * 12] = f"x{i}y{k}"
+        out += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(v))]
+    return out
+
+
+def test_prefixes_shorten_until_the_recall_is_reached(spark):
+    close, far = pairs_at(300, 300, 1, 1), pairs_at(300, 190, 4, 2)  # similarities 0.97 and just over 0.8
+    (n_close, deep), (n_far, short) = depth_of(spark, close), depth_of(spark, far)
+    assert (n_close, deep) == (300, ngram_join.DEPTH) and n_far == 300 and short < deep
+    n_early, early = depth_of(spark, far, recall=0.9)
+    assert early == ngram_join.DEPTH and 0.9 * 300 <= n_early <= 300
+
+
+def test_found_share_is_the_share_found():
+    """Signatures of pairs just over the threshold share a prefix as often as the estimate says."""
+    sketcher = ngram_join.Sketcher()
+    rows = []
+    for i in range(0, 1200, 2):
+        rng = np.random.default_rng(i)
+        both, own = rng.integers(0, 1 << 62, 80).astype(np.uint64), rng.integers(0, 1 << 62, 20).astype(np.uint64)
+        for s in (np.concatenate((both, own[:10])), np.concatenate((both, own[10:]))):
+            rows.append((0, b"", 0, 1, sketcher.signature(np.sort(s)), b""))
+    for depth in (6, 5, 4):
+        at = ngram_join._nodes(rows, depth)
+        found = (at[::2] == at[1::2]).any(axis=1).mean()
+        assert abs(found - ngram_join.found_share(0.8, depth)) < 0.01
 
 
 def test_contraction_of_a_path(spark):

@@ -71,7 +71,7 @@ def crc_fold(id_column: str, modulus: int) -> Column:
 
 
 #: Bytes of a join's small side up to which it may be broadcast; they are measured first.
-BROADCAST_BYTES = 32 << 20
+BROADCAST_BYTES = 8 << 20
 
 
 def _bytes(column: Column, kind: T.DataType) -> Column:

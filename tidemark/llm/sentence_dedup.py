@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_batches, maybe_broadcast, staged
+from tidemark.llm.common import bounded_batches, staged
 
 #: Words of a run at least (it goes on until it has them; shorter ones repeat by chance), words from which a
 #: sentence is cut further, and how rarely.
@@ -69,7 +69,7 @@ class Units:
 
 
 def runs_of(units: Units, least: int = LEAST_WORDS) -> np.ndarray:
-    """Rows (first unit, units, hash, words) of the runs, in order.
+    """Rows (first unit, units, hash) of the runs, in order.
 
     From each unit the shortest run with ``least`` words that starts there, and the shortest that ends
     there: together they cover a repeated passage up to its first and its last unit.
@@ -77,7 +77,7 @@ def runs_of(units: Units, least: int = LEAST_WORDS) -> np.ndarray:
     b = units.words
     n = len(b) - 1
     if n <= 0 or b[-1] < least:
-        return np.zeros((0, 4), dtype=np.int64)
+        return np.zeros((0, 3), dtype=np.int64)
     all_ = np.arange(n)
     ends = np.searchsorted(b, b[:-1] + least)
     begins = np.searchsorted(b, b[1:] - least, "right") - 1
@@ -88,18 +88,19 @@ def runs_of(units: Units, least: int = LEAST_WORDS) -> np.ndarray:
         power, back = powers(_BASE, int(b[-1])), powers(_INVERSE, int(b[-1]))
         sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(units.hashes * power, dtype=np.uint64)))
         h = (sums[b[e]] - sums[b[s]]) * back[b[s]]  # the words' polynomial, whatever stands before
+        h += (b[e] - b[s]).astype(np.uint64) * np.uint64(_BASE)
         h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
         h ^= h >> np.uint64(29)
-    return np.stack((s, e - s, h.view(np.int64), b[e] - b[s]), axis=1)
+    return np.stack((s, e - s, h.view(np.int64)), axis=1)
 
 
-def without_runs(text: str, found: list[tuple[int, int]]) -> tuple[str, int]:
-    """The text without the units that these runs (first unit, units) cover, and how many those are."""
+def without_runs(text: str, found: set[tuple[int, int, int]], least: int = LEAST_WORDS) -> tuple[str, int]:
+    """The text without the units that these of its runs (first unit, units, hash) cover, and how many those are."""
     units = Units(text)
-    gone = np.zeros(len(units.at), dtype=bool)
-    for s, n in found:
-        gone[s : s + n] = True
-    gone = gone[:-1]
+    gone = np.zeros(len(units.at) - 1, dtype=bool)
+    for s, n, h in runs_of(units, least).tolist():
+        if (s, n, h) in found:
+            gone[s : s + n] = True
     if not gone.any():
         return text, 0
     at = units.at.tolist()
@@ -107,55 +108,57 @@ def without_runs(text: str, found: list[tuple[int, int]]) -> tuple[str, int]:
 
 
 def _identified(docs: DataFrame) -> DataFrame:
-    text = docs["text"].cast("string")
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(text).alias("tk"), text.alias("text"))
+    """d, doc_id, text. d stands for the document and its place in order: its id, or for a null one a number above all ids."""
+    text, doc_id = docs["text"].cast("string"), docs["doc_id"].cast("long")
+    late = F.xxhash64(text).bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    return docs.select(F.coalesce(doc_id, late).alias("d"), doc_id.alias("doc_id"), text.alias("text"))
 
 
 def runs(docs: DataFrame, least: int = LEAST_WORDS) -> DataFrame:
-    """doc_id, tk, pos, n, h, words: a row for every run of every document."""
+    """d, run (first unit and units, as one number), h: a row for every run of every document."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "tk", "pos", "n", "h", "words"]
         for batch in batches:
             for start in range(0, max(1, len(batch)), 200):
                 part = batch.slice(start, 200)
-                found = [runs_of(Units(t.as_py() or ""), least) for t in part.column(2)]
+                found = [runs_of(Units(t.as_py() or ""), least) for t in part.column(1)]
                 at = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]))
-                flat = np.concatenate(found) if found else np.zeros((0, 4), dtype=np.int64)
-                kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int32())
-                columns = [part.column(0).take(at), part.column(1).take(at), *(pa.array(flat[:, k]).cast(t) for k, t in enumerate(kinds))]
-                yield pa.RecordBatch.from_arrays(columns, names)
+                flat = np.concatenate(found) if found else np.zeros((0, 3), dtype=np.int64)
+                yield pa.RecordBatch.from_arrays([part.column(0).take(at), pa.array(flat[:, 0] << 16 | flat[:, 1]), pa.array(flat[:, 2])], ["d", "run", "h"])
 
-    return _identified(docs).mapInArrow(hashed, "doc_id long, tk long, pos int, n int, h long, words int")
+    if least >= 1 << 16:
+        raise ValueError("a run of so many words has too many units")
+    return _identified(docs).select("d", "text").mapInArrow(hashed, "d long, run long, h long")
 
 
 def repeated_runs(docs: DataFrame, spark: SparkSession, least: int = LEAST_WORDS, within: bool = False) -> DataFrame:
-    """doc_id, tk, pos, n of every run whose words an earlier document has, or with ``within`` an earlier place."""
+    """d, run, h of every run whose words an earlier document has, or with ``within`` an earlier place."""
     bounded_batches(spark)
     every = staged(spark, runs(docs, least), "sentence-runs")
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tk", *(["pos"] if within else []))
-    first = every.groupBy("h", "words").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times"))
-    repeated = staged(spark, first.where("times > 1").select("h", "words", "first"), "repeated-runs")
-    return every.join(maybe_broadcast(repeated), ["h", "words"]).where(place != F.col("first")).select("doc_id", "tk", "pos", "n")
+    place = F.struct("d", "run") if within else F.col("d")
+    first = every.groupBy("h").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("times"))
+    repeated = staged(spark, first.where("times > 1").select("h", "first"), "repeated-runs")
+    return every.join(repeated, "h").where(place != F.col("first")).select("d", "run", "h")
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, least: int = LEAST_WORDS, within: bool = False) -> DataFrame:
     """doc_id, text, n_removed for every row of ``docs``: the text without repeated spans.
 
-    Of a run that several documents have, the one with the smallest doc_id (then hash of the text) keeps it; what
-    repeats inside one document alone stays, unless ``within`` is set: then only its first place stays. Rows
-    that share doc_id and text are one document and keep the same sentences; a null doc_id comes after all others.
-    Null text stays null, a text without a repeated run stays as it is, one that repeats wholly becomes empty. Fewer
-    than ``least`` words are no run. Other columns are not read; an empty table gives none.
+    Of a run that several documents have, the one with the smallest doc_id keeps it; what repeats inside one
+    document alone stays, unless ``within`` is set: then only its first place stays. Rows that share a doc_id are one
+    document, and so are rows without one that share their text; these come after all others. Null text stays null,
+    a text without a repeated run stays as it is, one that repeats wholly becomes empty. Fewer than ``least`` words
+    are no run. Other columns are not read; an empty table gives none.
     """
-    gone = repeated_runs(docs, spark, least, within).groupBy("doc_id", "tk").agg(F.collect_set(F.struct("pos", "n")).alias("found"))
-    marks = gone.select(F.col("doc_id").alias("g_id"), F.col("tk").alias("g_tk"), "found")
-    base = _identified(docs)
-    marked = base.join(marks, base["doc_id"].eqNullSafe(marks["g_id"]) & (base["tk"] == marks["g_tk"]), "left")
+    gone = repeated_runs(docs, spark, least, within).groupBy("d").agg(F.collect_set(F.struct("run", "h")).alias("found"))  # of one document
+    base = _identified(docs).join(gone, "d", "left")
 
     @F.pandas_udf("text string, n_removed long")
     def cleaned(texts: pd.Series, found: pd.Series) -> pd.DataFrame:
-        out = [(t, 0) if t is None or f is None else without_runs(t, [(x["pos"], x["n"]) for x in f]) for t, f in zip(texts, found)]
+        out = []
+        for text, runs_ in zip(texts, found):
+            own = set() if runs_ is None else {(x["run"] >> 16, x["run"] & 0xFFFF, x["h"]) for x in runs_}
+            out.append(without_runs(text, own, least) if text is not None and own else (text, 0))
         return pd.DataFrame(out, columns=["text", "n_removed"])
 
-    return marked.withColumn("out", cleaned("text", "found")).select("doc_id", "out.text", "out.n_removed")
+    return base.withColumn("out", cleaned("text", "found")).select("doc_id", "out.text", "out.n_removed")
