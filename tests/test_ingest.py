@@ -258,13 +258,15 @@ def test_retention_and_compaction(spark, tmp_path):
     assert windows.count() == 6
     day = lambda d: F.lit(d).cast("date")
     assert maintenance.expired(windows, day("2015-12-05"), 1).count() == 0 and maintenance.expired(windows, day("2015-12-09"), 1).count() == 6
-    spark.sparkContext.setCheckpointDir(str(tmp_path / "ck"))
-    maintenance.compact(spark, path, F.col("window_start_ms") == 0, maintenance.PARTS)
+    runs = lambda: spark.read.parquet(path).where("window_start_ms = 0").select("run").distinct().count()
+    assert runs() == 2 and maintenance.compact(spark, path, F.col("window_start_ms") == 0) == 2 and runs() == 1
     assert spark.read.parquet(path).count() == 12
+    assert maintenance.run_maintenance(spark, path, day("2015-12-05"), 7, dry_run=False) == {"expired": 0, "compacted": 10}
+    assert spark.read.parquet(path).count() == 12 and spark.read.parquet(path).select("run").distinct().count() == 2
     gone = maintenance.retain(spark, path, day("2015-12-09"), 7, dry_run=True)
     assert len(gone) == 6 and spark.read.parquet(path).count() == 12
     maintenance.retain(spark, path, day("2015-12-09"), 7, dry_run=False)
-    assert not [p for p in (tmp_path / "store").glob("window*/*/*/*/*.parquet")]
+    assert not [p for p in (tmp_path / "store").glob("window*/*/*/*/*/*.parquet")]
 
 
 def test_scan_by_alias(spark, registry):
@@ -297,6 +299,95 @@ def test_evolving_schema_union(spark):
 
 
 def test_nested_and_binary_values(spark):
-    df = spark.createDataFrame([('[[1,2],[3]]', bytearray(b"caf\xc3\xa9"))], "v string, b binary")
-    row = df.select(F.from_json("v", "array<array<int>>").alias("v"), F.decode("b", "UTF-8").alias("b")).first()
-    assert row.v == [[1, 2], [3]] and row.b == "café"
+    """Nested types of the registry are read from JSON, bytes as they are."""
+    fields = {"a": "[[1,2],[3]]", "b": "caf\u00e9", "c": '[{"x": 1, "y": "z"}, {"x": 2}]', "d": '{"x": {"y": [true]}}', "e": "[1"}
+    types = {"a": "ARRAY<ARRAY<INT>>", "b": "BYTES", "c": "ARRAY<STRUCT<x: INT, y: STRING>>", "d": "STRUCT<x: STRUCT<y: ARRAY<BOOLEAN>>>", "e": "ARRAY<INT>"}
+    df = spark.createDataFrame([("o", "m", 1, fields)], "org string, metric_id string, ts_ms long, known map<string,string>")
+    row = C.typed(df, list(types.items())).first()
+    assert row.a == [[1, 2], [3]] and bytes(row.b).decode() == "caf\u00e9" and [tuple(r) for r in row.c] == [(1, "z"), (2, None)]
+    assert row.d.x.y == [True] and row.e is None
+
+
+def test_odd_file_names_lose_no_line(spark, registry, options, tmp_path):
+    names = ["plain.json", "day 1.json", "\u00e9.json", "50%.json", "a+b.json", "x[1]{2}.json", "q?*.json", "sub dir/in ner.csv", "100% [x].csv.gz"]
+    paths = [write(tmp_path / "in" / n, (CSV if ".csv" in n else JSON) % (1_000 + i)) for i, n in enumerate(names)]
+    listed(spark, options, [*(("org1", p) for p in paths[:7]), ("org1", str(tmp_path / "in/sub dir")), ("org1", paths[8])])
+    report = batch.run_batch(spark, options, *registry)
+    assert report == {"files": 9, "stored": 9, "malformed": 0, "failed_files": 0}
+    assert {r.ts_ms for r in spark.read.parquet(options.store).collect()} == {1_000 + i for i in range(9)}
+    assert M.pending(M.read(spark, options.manifest)).count() == 0
+
+
+def test_a_run_that_is_repeated_replaces_its_rows(spark, registry, options, tmp_path):
+    path = write(tmp_path / "in/a.json", JSON % 5 + "{broken\n")
+    for again in range(2):
+        listed(spark, options, [("org1", path)])
+        M.append(M.actions(spark.createDataFrame([("org1", path)], "org string, file string"), M.PENDING, F.lit(options.run_ms + 1 + again)), options.manifest)
+        batch.run_batch(spark, options, *registry)
+    assert spark.read.parquet(options.store).count() == 1 and spark.read.parquet(options.archive).count() == 2 and spark.read.json(options.errors).count() == 1
+
+
+def test_no_manifest_yet_is_no_work(spark, registry, options):
+    assert batch.run_batch(spark, options, *registry)["files"] == 0
+
+
+def test_batch_and_stream_store_the_same(spark, registry, options, tmp_path):
+    lines = [JSON % 5, '{"metrictype": "metric", "timestamp": 6, "field1": 2, "note": ""}\n', '{"metrictype": "metric", "timestamp": 7, "field1": null, "note": "x"}\n', '{"metrictype": "metric", "timestamp": 7, "note": "x"}\n']
+    listed(spark, options, [("org1", write(tmp_path / "in/a.json", "".join(lines)))])
+    batch.run_batch(spark, options, *registry)
+    spark.createDataFrame([("org1", x) for x in lines] + [("", JSON % 9)], "org string, payload string").write.parquet(str(tmp_path / "s"))
+    sinks = ingest.StreamSinks(*[str(tmp_path / x) for x in ("raw", "parsed")], options.store, *[str(tmp_path / x) for x in ("malformed", "commit", "checkpoint", "counters")])
+    ingest.ingest(ingest.read_payloads(spark, str(tmp_path / "s")), sinks, *registry, write_ms=F.lit(options.run_ms)).awaitTermination()
+    store = spark.read.parquet(options.store)  # one store, both paths
+    assert store.count() == 8 and V.latest(store).count() == 3
+    by_path = {r.n for r in store.groupBy("ts_ms", "id").agg(F.count_distinct(F.substring("run", 1, 5)).alias("n")).collect()}
+    assert by_path == {2}
+    assert ingest.counts(spark, sinks) == {"handled": 5, "empty": 0, "events": 5, "stored": 4, "failed": 1}
+    assert [r.apikey for r in spark.read.option("recursiveFileLookup", True).json(sinks.malformed).collect()] == ["_internal"]  # an empty tenant is none
+    # another query on the same sinks starts at batch 0 again and replaces nothing
+    sinks.checkpoint = str(tmp_path / "checkpoint2")
+    ingest.ingest(ingest.read_payloads(spark, str(tmp_path / "s")), sinks, *registry, write_ms=F.lit(options.run_ms)).awaitTermination()
+    assert spark.read.option("recursiveFileLookup", True).parquet(sinks.raw).count() == 10 and spark.read.parquet(options.store).count() == 12
+
+
+def test_store_reads_back_in_types_and_user_names(spark, registry, options, tmp_path):
+    text = '{"metrictype": "alias1", "timestamp": 5, "other": 7, "late": "8"}\n{"metrictype": "sensor", "timestamp": 6, "measurement": 1.5, "unit": ""}\n'
+    listed(spark, options, [("org1", write(tmp_path / "in/a.json", text))])
+    batch.run_batch(spark, options, *registry)
+    store = spark.read.parquet(options.store)
+    (row,) = V.scan_decoded(store, *registry, "org1", "alias1", 0, 10).collect()
+    assert (row.ts_ms, row.f1, row.unknown) == (5, 7, {"late": "8"})
+    (row,) = V.scan_decoded(store, *registry, "org1", "sensor", 0, 10, user_names=True).collect()
+    assert (row.measurement, row.unit) == (1.5, None)
+    assert V.scan_decoded(store, *registry, "org1", "nothing", 0, 10).count() == 0
+
+
+def test_gates_on_events_and_requests(spark, registry, tmp_path):
+    large = json.dumps({"metrictype": "metric", "timestamp": 1, "text": "x" * gates.MOST_EVENT_BYTES})
+    found = C.conform(spark.createDataFrame([("org1", large, {"metrictype": "metric", "timestamp": "1", "text": "x" * gates.MOST_EVENT_BYTES})], "org string, payload string, fields map<string,string>"), *registry)
+    assert "too large" in found.first().error.message
+    event = {"metrictype": "metric", "timestamp": 1}
+    requests_ = [{"customerKey": "org1", "event": event}, {"customerKey": "org1", "events": [event] * 501}, {"customerKey": "org1", "events": [event, event]}, {"event": event}]
+    batch_ = spark.createDataFrame([(None, json.dumps(r)) for r in requests_] + [(None, "oops")], "org string, payload string")
+    rows = ingest.process(batch_, *registry, requests=True).collect()
+    assert sum(r.error is None for r in rows) == 3
+    assert sorted(r.error.message.rpartition(": ")[2] for r in rows if r.error) == ["no tenant", "no tenant", "request over the limits"]
+
+
+def test_etl_run_again_archives_and_reports(spark, registry, tmp_path):
+    options = etl.EtlOptions(*[str(tmp_path / x) for x in ("staged", "known", "unknown", "completed", "reports")])
+    assert etl.run_etl(spark, options, registry[1]) == {"known": {"groups": 0, "rows": 0}, "unknown": {"groups": 0, "rows": 0}}
+    rows = lambda ts: spark.createDataFrame([("org1", "m1", ts, {"f1": "3"}, {"late": "7"})], etl.STAGED).coalesce(1)
+    rows(10).write.parquet(options.staged)
+    keep = etl.EtlOptions(options.staged, options.known, options.unknown)
+    for _ in range(2):
+        etl.run_etl(spark, keep, registry[1])  # a repetition
+    read = lambda: A.read_known(spark, options.known, "org1", "m1", "1969-12-31", "1970-01-02")
+    assert read().count() == 1 and A.read_unknown(spark, options.unknown, "1969-12-31", "1970-01-02").count() == 1
+    etl.run_etl(spark, options, registry[1], run_ms=7)
+    assert read().count() == 1 and len(list((tmp_path / "completed/7").rglob("*.parquet"))) == 1 and not list((tmp_path / "staged").rglob("*.parquet"))
+    (report,) = [json.loads(r.value) for r in spark.read.option("recursiveFileLookup", True).text(options.reports).collect()]
+    assert report["known"]["rows"] == 1 and report["files"] == 1
+    rows(20).write.mode("append").parquet(options.staged)  # new records of the same day
+    etl.run_etl(spark, options, registry[1], run_ms=8)
+    assert [r.ts_ms for r in read().collect()] == [10, 20]

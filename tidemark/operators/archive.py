@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schema
 from tidemark.functions.timewindow import event_date
-from tidemark.functions.values import first_present, sorted_entries
+from tidemark.functions.values import sorted_entries
 
 INTERNAL_COLUMNS = ("write_ms", "id", "metric_alias", "window_start_ms", "window_end_ms", "write_year", "write_month")
 
@@ -42,13 +42,6 @@ def promote_aliases(records: DataFrame, field: str, type_name: str, aliases: lis
     return with_hit.withColumns({field: F.coalesce(F.col(field), value), "unknown": left}).drop("promoted_by")
 
 
-def known_rows(records: DataFrame, columns: list[tuple[str, str]]) -> DataFrame:
-    """org, metric_id, ts_ms and the metric's fields in registry order, null where there is none."""
-    have = set(records.columns)
-    values = [F.col(f).cast(schema.TYPES[t]) if f in have else F.lit(None).cast(schema.TYPES[t]) for f, t in columns]
-    return records.select("org", "metric_id", "ts_ms", *[v.alias(f) for v, (f, _) in zip(values, columns)])
-
-
 def unknown_rows(records: DataFrame) -> DataFrame:
     """org, metric_id, ts_ms, unknown of the records that have unknown entries."""
     return records.where(F.size("unknown") > 0).select("org", "metric_id", "ts_ms", "unknown")
@@ -83,10 +76,6 @@ def rename_for_user(records: DataFrame, names: dict[str, str]) -> DataFrame:
     return records.withColumnsRenamed(names)
 
 
-def alias_used(fields: Column, aliases: list[str]) -> Column:
-    return first_present(fields, F.array(*[F.lit(a) for a in aliases]))
-
-
 def between_dates(records: DataFrame, start: str, stop: str) -> DataFrame:
     """Rows dated after ``start`` and before ``stop``, both excluded."""
     return records.where((F.col("date") > F.lit(start).cast("date")) & (F.col("date") < F.lit(stop).cast("date")))
@@ -95,25 +84,23 @@ def between_dates(records: DataFrame, start: str, stop: str) -> DataFrame:
 def read_known(spark: SparkSession, root: str, org: str, metric_id: str, start: str, stop: str) -> DataFrame:
     """Known rows of a metric by date, oldest first; columns that older files lack are null. Prunes by path and partition."""
     read = spark.read.option("mergeSchema", True).option("basePath", root).parquet(f"{root}/metric_id={metric_id}")
-    return between_dates(read.where(F.col("org") == org), start, stop).orderBy("ts_ms")
+    return between_dates(read.where(F.col("org") == org), start, stop).drop("run").orderBy("ts_ms")
 
 
 def read_unknown(spark: SparkSession, root: str, start: str, stop: str) -> DataFrame:
-    parts = "ts_ms long, unknown map<string,string>, org string, metric_id string, date date"
-    return between_dates(spark.read.schema(parts).json(root), start, stop)
+    parts = "ts_ms long, unknown map<string,string>, org string, metric_id string, date date, run string"
+    return between_dates(spark.read.schema(parts).json(root), start, stop).drop("run")
+
 
+def write_dated(rows: DataFrame, root: str, parts: list[str], run: str, kind: str = "parquet") -> None:
+    """Writes rows by ``parts``, date and run. A repetition of the run replaces what it wrote; other runs' rows stay.
 
-def write_known(records: DataFrame, fields: DataFrame, root: str) -> list[str]:
-    """Appends known rows as Parquet by metric, org and date. One write a metric, as the columns differ; keys need no loop."""
-    metrics = [r.metric_id for r in fields.select("metric_id").distinct().orderBy("metric_id").collect()]  # bounded by the registry
-    for metric_id in metrics:
-        rows = known_rows(records.where(F.col("metric_id") == metric_id), schema.known_columns(fields, metric_id))
-        out = with_date(rows).drop("metric_id").repartition("org", "date")
-        out.write.partitionBy("org", "date").mode("append").parquet(f"{root}/metric_id={metric_id}")
-    return metrics
+    Adaptive execution splits what is too large, as one tenant's day may have most rows.
+    """
+    out = with_date(rows).withColumn("run", F.lit(run)).hint("rebalance", *[F.col(p) for p in parts], F.col("date"))
+    out.write.partitionBy(*parts, "date", "run").mode("overwrite").option("partitionOverwriteMode", "dynamic").format(kind).save(root)
 
 
-def write_unknown(records: DataFrame, root: str) -> None:
-    """Appends unknown rows as JSON by org, metric and date."""
-    out = with_date(unknown_rows(records)).repartition("org", "metric_id", "date")
-    out.write.partitionBy("org", "metric_id", "date").mode("append").json(root)
+def write_unknown(records: DataFrame, root: str, run: str) -> None:
+    """Unknown rows as JSON by org, metric, date and run."""
+    write_dated(unknown_rows(records), root, ["org", "metric_id"], run, "json")

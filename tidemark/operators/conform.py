@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schema
+from tidemark.operators.gates import event_fits, has_tenant
 from tidemark.functions.values import first_present, first_present_key, parse_millis, stamp_tenant
 
 #: Rows of the registry's lookup up to which it is broadcast; they are counted first.
@@ -25,9 +26,13 @@ def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
 def conform(events: DataFrame, metrics: DataFrame, fields: DataFrame) -> DataFrame:
     """``events`` (org, fields map, other columns pass) with metric_alias, metric_id, ts_ms, known, types, unknown, error.
 
+    A column ``rejected`` (a gate's reason, or null) is taken for an error, and an event of more bytes than the limit is one;
+    its ``payload``, if there is one, tells at once for most.
+
     The envelope's org wins over one in the event. ``error`` is null, or struct(key, message) for a
     missing tenant, metric key, metric, time, or a value that is not of its type. The first applies.
     """
+    events = events.withColumn("rejected", F.coalesce(F.col("rejected") if "rejected" in events.columns else F.lit(None).cast("string"), too_large(events)))
     keys = small(schema.metric_keys(metrics))
     names = small(schema.lookup(metrics, fields))
     standard = F.array(F.lit(schema.METRIC_KEY))
@@ -54,14 +59,23 @@ def conform(events: DataFrame, metrics: DataFrame, fields: DataFrame) -> DataFra
         F.map_keys(F.map_filter("known", lambda k, v: v.isNotNull() & ~schema.fits(v, F.element_at("types", k))))
     )
     conformed = conformed.withColumn("bad", F.when(F.col("known").isNotNull(), bad))
-    return conformed.withColumn("error", _error()).drop("names", "ts_aliases", "ts_formats", "base_keys", "own", "bad", "raw_time", "metric_key")
+    return conformed.withColumn("error", _error()).drop("names", "ts_aliases", "ts_formats", "base_keys", "own", "bad", "raw_time", "metric_key", "rejected")
+
+
+def too_large(events: DataFrame) -> Column:
+    """A reason for events over the size limit, else null."""
+    over = ~event_fits(F.to_json("fields"))
+    if "payload" in events.columns:
+        over = ~event_fits(F.col("payload")) & over
+    return F.when(over, F.lit("event too large"))
 
 
 def _error() -> Column:
     reason = lambda text: F.struct(F.coalesce("org", F.lit(schema.INTERNAL)).alias("key"), text.alias("message"))
     failed = "Failed to apply schema for record: "
     return (
-        F.when(F.col("org").isNull(), reason(F.lit(failed + "no tenant")))
+        F.when(~has_tenant(F.col("org")), F.struct(F.lit(schema.INTERNAL).alias("key"), F.lit(failed + "no tenant").alias("message")))
+        .when(F.col("rejected").isNotNull(), reason(F.concat(F.lit(failed), F.col("rejected"))))
         .when(F.col("fields").isNull(), reason(F.lit(failed + "not an event")))
         .when(F.col("metric_alias").isNull(), reason(F.lit(failed + "no metric key")))
         .when(F.col("metric_id").isNull(), reason(F.concat(F.lit(failed + "unknown metric "), F.col("metric_alias"))))

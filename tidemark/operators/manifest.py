@@ -33,7 +33,7 @@ def remove(files: DataFrame, finished: DataFrame) -> DataFrame:
 
 
 def merged(manifest: DataFrame) -> DataFrame:
-    """org, files (set), errors (file -> messages in order): every tenant's manifest as one row."""
+    """org, files (set), errors (file -> messages in order): a tenant's manifest as one row, for reports on small ones."""
     files = pending(manifest).groupBy("org").agg(F.array_sort(F.collect_set("file")).alias("files"))
     failed = manifest.where(F.col("status") == FAILED)
     per_file = failed.groupBy("org", "file").agg(F.transform(F.array_sort(F.collect_list(F.struct("seq", "message"))), lambda x: x["message"]).alias("messages"))
@@ -43,11 +43,14 @@ def merged(manifest: DataFrame) -> DataFrame:
 
 def failures(manifest: DataFrame) -> DataFrame:
     """org, file, message for every failure."""
-    each = merged(manifest).select("org", F.explode("errors").alias("file", "messages"))
-    return each.select("org", "file", F.explode("messages").alias("message"))
+    return manifest.where(F.col("status") == FAILED).select("org", "file", "message")
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
+    """The manifest's actions; none where nothing was listed yet."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return spark.createDataFrame([], SCHEMA)
     return spark.read.schema(SCHEMA).parquet(path)
 
 

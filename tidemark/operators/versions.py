@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.timewindow import overlaps, with_window
-from tidemark.functions.values import absent_if_empty, content_id
-from tidemark.schema import metric_aliases
+from tidemark.functions.values import absent_if_empty, content_id, first_present, sorted_entries
+from tidemark.schema import cast_value, field_columns, metric_aliases
 
 KEY = ["org", "metric_id", "ts_ms"]
 
@@ -22,6 +24,28 @@ def with_ids(records: DataFrame, values: list[str], unknown: str | None = None)
     return records.withColumn("id", content_id(F.col("ts_ms"), [F.col(v) for v in values], F.col(unknown) if unknown else None))
 
 
+def stored(good: DataFrame, write_ms: Column) -> DataFrame:
+    """Good events as rows of the store, the same on every path: known values as sorted JSON, content id, window, write month.
+
+    Nulls and texts of length zero are absent, so they are no content either.
+    """
+    rows = good.select("org", "metric_id", "metric_alias", "ts_ms", "known", "unknown")
+    present = rows.withColumn("known", F.map_filter("known", lambda k, v: v.isNotNull() & (v != "")))
+    as_json = present.withColumn("known", F.to_json(F.map_from_entries(sorted_entries(F.col("known")))))
+    return store_rows(with_ids(as_json, ["known"], "unknown"), write_ms)
+
+
+def decoded(rows: DataFrame, columns: list[tuple[str, str, list[str]]]) -> DataFrame:
+    """Rows of the store with a column for each field in its type, in the order given; ``known`` goes.
+
+    ``columns``: field_id, type and the names under which a row may hold it; the first that is there counts.
+    """
+    values = rows.withColumn("known", F.from_json("known", "map<string,string>"))
+    names = lambda f, aliases: F.array(*[F.lit(n) for n in dict.fromkeys([f, *aliases])])
+    fields = [cast_value(first_present(F.col("known"), names(f, aliases)), t).alias(f) for f, t, aliases in columns]
+    return values.select(*[c for c in rows.columns if c != "known"], *fields)
+
+
 def latest(records: DataFrame) -> DataFrame:
     """Each (org, metric, time, id) once: of what was sent again, the row that was written last."""
     rest = [c for c in records.columns if c not in (*KEY, "id")]
@@ -74,6 +98,15 @@ def scan_by_alias(store: DataFrame, metrics: DataFrame, org: str, alias: str, st
     return scan(store, org, found.metric_id, start_ms, end_ms)
 
 
+def scan_decoded(store: DataFrame, metrics: DataFrame, fields: DataFrame, org: str, alias: str, start_ms: int, end_ms: int, user_names: bool = False) -> DataFrame:
+    """``scan_by_alias`` with resends collapsed and values in their types; with ``user_names`` under the tenant's own names."""
+    found = latest(scan_by_alias(store, metrics, org, alias, start_ms, end_ms))
+    metric = metric_aliases(metrics).where((F.col("org") == org) & (F.col("alias") == alias)).head()
+    columns = field_columns(fields, metric.metric_id, org) if metric is not None else []
+    out = decoded(found, [(f, t, aliases) for f, t, _, aliases in columns])
+    return out.withColumnsRenamed({f: name for f, _, name, _ in columns if name}) if user_names else out
+
+
 def covering_windows(windows: DataFrame, ranges: DataFrame) -> DataFrame:
     """Windows (window_start_ms, window_end_ms) that each range (range_start, range_end) touches.
 
@@ -93,7 +126,16 @@ def store_rows(records: DataFrame, write_ms: Column) -> DataFrame:
     return with_window(records.withColumn("write_ms", write_ms))
 
 
-def append(rows: DataFrame, path: str) -> None:
-    """Windows appear as partitions when rows for them come."""
-    parts = ["window_start_ms", "window_end_ms", "write_year", "write_month"]
-    rows.repartition(*parts[:1], "org").write.partitionBy(*parts).mode("append").parquet(path)
+#: Partitions of the store; ``run`` names the run or micro-batch that wrote the rows.
+WINDOW_PARTS = ["window_start_ms", "window_end_ms", "write_year", "write_month"]
+PARTS = [*WINDOW_PARTS, "run"]
+
+
+def append(rows: DataFrame, path: str, run: str | None = None) -> None:
+    """Windows appear as partitions when rows for them come. A repetition of ``run`` replaces what it wrote before.
+
+    Rows are dealt by window and tenant, and adaptive execution splits what is too large, as a window
+    or tenant may have most of them.
+    """
+    out = rows.withColumn("run", F.lit(run or uuid.uuid4().hex)).hint("rebalance", F.col("window_start_ms"), F.col("org"))
+    out.write.partitionBy(*PARTS).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)

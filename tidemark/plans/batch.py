@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import conform as C
@@ -31,11 +31,16 @@ class BatchOptions:
         return self.transforms.get(sink, lambda x: x)(df)
 
 
+def written(df: DataFrame, parts: list[str]) -> DataFrameWriter:
+    """A writer by partitions that a repetition replaces; a tenant with most rows is split."""
+    return df.hint("rebalance", *[F.col(p) for p in parts]).write.partitionBy(*parts).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+
+
 def run_batch(spark: SparkSession, options: BatchOptions, metrics: DataFrame, fields: DataFrame) -> dict[str, int]:
     """Runs once over all pending files; every write must succeed, then the manifest gets its new rows.
 
     Failed files leave the pending list with their reason. No pending file is no work. The run's
-    id is part of what it writes, so a run that broke off can be told from its repetition.
+    id is a partition of what it writes, so the repetition of a run that broke off replaces its rows.
     """
     listed = M.pending(M.read(spark, options.manifest))
     entries = [(r.org, r.file) for r in listed.orderBy("org", "file").collect()]  # names only, bounded by the manifest
@@ -46,18 +51,14 @@ def run_batch(spark: SparkSession, options: BatchOptions, metrics: DataFrame, fi
     orgs = listed.select("org")
     conformed = C.conform(events, snapshot(metrics, orgs), snapshot(fields, orgs)).persist()
     try:
-        run = F.lit(options.run_ms)
+        run, name = F.lit(options.run_ms), f"batch-{options.run_ms}"
         good = C.good(conformed)
-        archived = good.select("org", "metric_id", "metric_alias", "ts_ms", "known", "unknown", run.alias("run_ms"))
-        options.sent("archive", archived).repartition("org").write.partitionBy("run_ms", "org").mode("append").parquet(options.archive)
-        rows = good.select("org", "metric_id", "metric_alias", "ts_ms", "known", "unknown")
-        # texts of length zero are absent in the store
-        present = rows.withColumn("known", F.map_filter("known", lambda k, v: v.isNotNull() & (v != "")))
-        as_json = present.withColumn("known", F.to_json(F.map_from_entries(F.array_sort(F.map_entries("known")))))
-        ided = V.with_ids(as_json, ["known"], "unknown")
-        V.append(options.sent("store", V.store_rows(ided, run)), options.store)
+        # everything that came is archived, malformed lines as well
+        archived = conformed.select("org", "payload", "metric_id", "metric_alias", "ts_ms", "known", "unknown", F.col("error").isNull().alias("ok"), run.alias("run_ms"))
+        written(options.sent("archive", archived), ["run_ms", "org"]).parquet(options.archive)
+        V.append(options.sent("store", V.stored(good, run)), options.store, name)
         letters = C.malformed(C.failed(conformed), run, F.col("payload")).withColumns({"run_ms": run, "org": F.col("apikey")})
-        options.sent("malformed", letters).repartition("org").write.partitionBy("run_ms", "org").mode("append").json(options.errors)
+        written(options.sent("malformed", letters), ["run_ms", "org"]).json(options.errors)
         counts = conformed.groupBy(F.col("error").isNull().alias("ok")).count().collect()
     finally:
         conformed.unpersist()

@@ -2,21 +2,34 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schema
 from tidemark.operators import archive as A
+from tidemark.plans.maintenance import archive_inputs
+
+
+STAGED = "org string, metric_id string, ts_ms long, known map<string,string>, unknown map<string,string>"
 
 
 @dataclass
 class EtlOptions:
+    """Folders of the job: staged records, known and unknown rows.
+
+    ``completed``: where the staged files go after all rows are written. ``reports``: where a run leaves its report.
+    """
+
     staged: str
     known: str
     unknown: str
+    completed: str | None = None
+    reports: str | None = None
 
 
 def promoted(records: DataFrame, fields: DataFrame) -> DataFrame:
@@ -41,24 +54,41 @@ def promoted(records: DataFrame, fields: DataFrame) -> DataFrame:
     return out.withColumns({"known": F.map_concat(old, new), "unknown": F.map_filter("unknown", lambda k, v: ~F.array_contains(taken, k))}).drop("names", "usable", "first")
 
 
-def run_etl(spark: SparkSession, options: EtlOptions, fields: DataFrame) -> dict:
-    """Distinct staged records, by metric and tenant and day: one write a metric, one for all unknown entries."""
-    records = spark.read.parquet(options.staged).select("org", "metric_id", "ts_ms", "known", "unknown")
-    whole = promoted(A.distinct_records(records), fields).persist()
+def run_etl(spark: SparkSession, options: EtlOptions, fields: DataFrame, run_ms: int = 0) -> dict:
+    """Distinct staged records, by metric and tenant and day: one write a metric, one for all unknown entries.
+
+    A run is named by the staged files it reads, so its repetition replaces its own rows, and only those. Staged
+    files are moved away last; no staged file is no work.
+    """
+    nothing = {"known": {"groups": 0, "rows": 0}, "unknown": {"groups": 0, "rows": 0}}
+    folder = spark._jvm.org.apache.hadoop.fs.Path(options.staged)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return nothing
+    source = spark.read.schema(STAGED).parquet(options.staged)
+    files = sorted(unquote(f) for f in source.inputFiles())
+    if not files:
+        return nothing
+    run = hashlib.md5("\n".join(files).encode()).hexdigest()
+    whole = promoted(A.distinct_records(source), fields).persist()
     try:
         metrics = [r.metric_id for r in fields.select("metric_id").distinct().orderBy("metric_id").collect()]  # bounded by the registry
         for metric_id in metrics:
             columns = schema.known_columns(fields, metric_id)
             values = [schema.cast_value(F.try_element_at("known", F.lit(f)), t).alias(f) for f, t in columns]
             rows = whole.where(F.col("metric_id") == metric_id).select("org", "ts_ms", *values)
-            A.with_date(rows).repartition("org", "date").write.partitionBy("org", "date").mode("append").parquet(f"{options.known}/metric_id={metric_id}")
-        A.write_unknown(whole, options.unknown)
-        report = A.key_list(whole).groupBy("is_unknown").agg(F.count(F.lit(1)).alias("groups"), F.sum("n").alias("rows")).collect()
+            A.write_dated(rows, f"{options.known}/metric_id={metric_id}", ["org"], run)
+        A.write_unknown(whole, options.unknown, run)
+        counted = A.key_list(whole).groupBy("is_unknown").agg(F.count(F.lit(1)).alias("groups"), F.sum("n").alias("rows")).collect()
     finally:
         whole.unpersist()
-    return {("unknown" if r.is_unknown else "known"): {"groups": r.groups, "rows": r.rows} for r in report}
+    report = nothing | {("unknown" if r.is_unknown else "known"): {"groups": r.groups, "rows": r.rows} for r in counted}
+    if options.reports:
+        write_report(spark, report | {"run": run, "files": len(files)}, f"{options.reports}/run={run}")
+    if options.completed:
+        archive_inputs(spark, files, options.completed, run_ms)
+    return report
 
 
 def write_report(spark: SparkSession, report: dict, path: str) -> None:
-    """A small JSON file next to the data."""
-    spark.createDataFrame([(json.dumps(report, sort_keys=True),)], "value string").coalesce(1).write.mode("append").text(path)
+    """A small JSON file next to the data; a repetition replaces it."""
+    spark.createDataFrame([(json.dumps(report, sort_keys=True),)], "value string").coalesce(1).write.mode("overwrite").text(path)

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.versions import WINDOW_PARTS as PARTS
+from tidemark.operators.versions import append, latest
+
 WEEK_DAYS = 7
-PARTS = ["window_start_ms", "window_end_ms", "write_year", "write_month"]
 
 
 def managed_windows(store: DataFrame) -> DataFrame:
@@ -25,23 +27,39 @@ def retain(spark: SparkSession, path: str, today: Column, limit_days: int, dry_r
     gone = expired(managed_windows(spark.read.parquet(path)), today, limit_days).collect()  # partition names only
     folders = [path + "/" + "/".join(f"{p}={r[p]}" for p in PARTS) for r in gone]
     if not dry_run:
-        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-        for folder in folders:
-            target = jvm.org.apache.hadoop.fs.Path(folder)
-            target.getFileSystem(conf).delete(target, True)
+        remove(spark, folders)
     return folders
 
 
-def compact(spark: SparkSession, path: str, condition: Column, keys: list[str]) -> None:
-    """Rewrites the partitions that match with one file each (Spark never leaves empty ones behind)."""
-    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        rows = spark.read.parquet(path).where(condition)
-        copy = rows.repartition(*keys).checkpoint()  # read before the files go
-        copy.repartition(*keys).write.partitionBy(*keys).mode("overwrite").parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+def compact(spark: SparkSession, path: str, condition: Column) -> int:
+    """Rewrites the windows and write months that match, many runs' files as few; how many run folders went.
+
+    The new files are written first, then the old folders go. What breaks off in between leaves rows twice, which are
+    one again when they are read (``versions.latest``), until the next compaction.
+    """
+    rows = spark.read.parquet(path).where(condition)
+    old = rows.select(*PARTS, "run").distinct().collect()  # partition names only
+    if not old:
+        return 0
+    append(latest(rows.drop("run")) if "id" in rows.columns else rows.drop("run"), path)
+    remove(spark, [f"{path}/" + "/".join(f"{p}={r[p]}" for p in [*PARTS, "run"]) for r in old])
+    return len(old)
+
+
+def remove(spark: SparkSession, folders: list[str]) -> None:
+    for folder in folders:
+        target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def run_maintenance(spark: SparkSession, path: str, today: Column, limit_days: int, dry_run: bool = True) -> dict[str, int]:
+    """The regular job on a store: expired windows go, then windows of earlier months that several runs wrote become few files."""
+    expired_folders = retain(spark, path, today, limit_days, dry_run)
+    store = spark.read.parquet(path)
+    months = F.make_date("write_year", "write_month", F.lit(1)) < F.trunc(today, "month")
+    split = store.where(months).select(*PARTS, "run").distinct().groupBy("window_start_ms").count().where("count > 1").collect()
+    starts = [r.window_start_ms for r in split]
+    return {"expired": len(expired_folders), "compacted": 0 if dry_run or not starts else compact(spark, path, months & F.col("window_start_ms").isin(starts))}
 
 
 def archive_inputs(spark: SparkSession, files: list[str], root: str, run_ms: int) -> list[str]:

@@ -21,6 +21,7 @@ from tidemark.operators import conform as C
 from tidemark.operators import gates
 from tidemark.operators import manifest as M
 from tidemark.operators import versions as V
+from tidemark.plans import batch
 from tidemark.sources import requests as R
 from tidemark.sources.files import format_of
 from tidemark.streaming import ingest
@@ -510,16 +511,26 @@ def q_stream_batch_parity(spark, sf_dir):
     A.union_all([events, blank, broken]).write.parquet(f"{root}/in")
     sinks = ingest.StreamSinks(*[f"{root}/{x}" for x in ("raw", "parsed", "store", "malformed", "commit_errors", "checkpoint")])
     ingest.ingest(ingest.read_payloads(spark, f"{root}/in"), sinks, *registry(spark), write_ms=F.lit(1_700_000_000_000)).awaitTermination()
-    stored = V.latest(spark.read.option("recursiveFileLookup", True).parquet(sinks.store).select("org", "metric_id", "ts_ms", "id", "write_ms"))
+    # the same payloads as files of the batch job, a folder for each tenant
+    spark.read.parquet(f"{root}/in").where("trim(payload) <> ''").write.partitionBy("org").text(f"{root}/files")
+    options = batch.BatchOptions(*[f"{root}/{x}" for x in ("manifest", "archive", "batch-store", "errors")], run_ms=1_700_000_000_000)
+    entries = spark.createDataFrame([(o, f"{root}/files/org={o}") for o in ORGS], "org string, file string")
+    M.append(M.actions(entries, M.PENDING, F.lit(1)), options.manifest)
+    batch.run_batch(spark, options, *registry(spark))
+    key = ["org", "metric_id", "ts_ms", "id"]
+    stored = V.latest(spark.read.parquet(sinks.store).select(*key, "write_ms")).select(*key)
+    other = V.latest(spark.read.parquet(options.store).select(*key, "write_ms")).select(*key)
     letters = spark.read.schema(schema.MALFORMED).option("recursiveFileLookup", True).json(sinks.malformed)
     raw = spark.read.option("recursiveFileLookup", True).parquet(sinks.raw)
     count = lambda df, org, what: df.groupBy(F.col(org).alias("org")).agg(F.count(F.lit(1)).alias("n")).withColumn("what", F.lit(what))
-    return A.union_all([count(stored, "org", "stored"), count(letters, "apikey", "malformed"), count(raw, "org", "raw")]).select("what", "org", "n")
+    both = stored.join(other, key)
+    return A.union_all([count(stored, "org", "stored"), count(both, "org", "same in both"), count(letters, "apikey", "malformed"), count(raw, "org", "raw")]).select("what", "org", "n")
 
 
 SQL_stream_batch_parity = f"""
 WITH {_EVENTS}, s AS (SELECT DISTINCT org, metric_id, ts_ms, value, k FROM g)
 SELECT 'stored' AS what, org, count(*) AS n FROM s GROUP BY org
+UNION ALL SELECT 'same in both', org, count(*) FROM s GROUP BY org
 UNION ALL SELECT 'malformed', org, count(*) FROM (SELECT org FROM e WHERE org = '4' AND event_type = 'error' UNION ALL SELECT '1' FROM events WHERE event_id % 40 = 0) GROUP BY org
 UNION ALL SELECT 'raw', org, count(*) FROM (SELECT org FROM e UNION ALL SELECT '0' FROM events WHERE event_id % 50 = 0 UNION ALL SELECT '1' FROM events WHERE event_id % 40 = 0) GROUP BY org"""
 

@@ -72,7 +72,12 @@ def metric_keys(metrics: DataFrame) -> DataFrame:
 
 
 def cast_value(value: Column, type_name: str) -> Column:
-    """A string as the registry's type; null if it doesn't fit."""
+    """A string as the registry's type; null if it doesn't fit.
+
+    Besides the names in TYPES, any nested type in Spark's notation (arrays, arrays of arrays, structs) is read from JSON.
+    """
+    if type_name.upper() not in TYPES:
+        return F.from_json(value, type_name)
     kind = TYPES[type_name.upper()]
     return value.cast(kind) if isinstance(kind, (T.StringType, T.BinaryType)) else value.try_cast(kind)
 
@@ -85,6 +90,14 @@ def fits(value: Column, type_name: Column) -> Column:
     return out
 
 
+def field_columns(fields: DataFrame, metric_id: str, org: str | None = None) -> list[tuple[str, str, str | None, list[str]]]:
+    """(field_id, type, display_name, aliases) of a metric's visible fields, sorted: bounded by the registry."""
+    chosen = fields.where((F.col("metric_id") == metric_id) & F.coalesce("visible", F.lit(True)))
+    if org is not None:
+        chosen = chosen.where(F.col("org") == org)
+    return [(r.field_id, r.type.upper(), r.display_name, list(r.aliases or [])) for r in chosen.dropDuplicates(["field_id"]).orderBy("field_id").collect()]
+
+
 def known_columns(fields: DataFrame, metric_id: str, org: str | None = None) -> list[tuple[str, str]]:
     """(field_id, type) of a metric's visible fields, sorted: bounded by the registry."""
     chosen = fields.where((F.col("metric_id") == metric_id) & F.coalesce("visible", F.lit(True)))

@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-FOUND = "org string, file string, path string, size long"
+FOUND = "org string, file string, path string, location string, size long"
+
+
+def literal(path: str) -> str:
+    """A path for a reader that takes patterns: the signs of patterns stand for themselves."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
 
 def format_of(path: Column) -> Column:
@@ -16,21 +23,41 @@ def format_of(path: Column) -> Column:
     return F.when(F.regexp_like(path, F.lit(r"\.csv(\.gz)?$")), F.lit("csv")).otherwise(F.lit("json"))
 
 
+def _statuses(spark: SparkSession, locations: list[str]) -> list[str | None]:
+    """The full path of each location, as listings name it; none where there is nothing."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+
+    def status(location: str) -> str | None:
+        path = jvm.org.apache.hadoop.fs.Path(location)
+        system = path.getFileSystem(conf)
+        return system.getFileStatus(path).getPath().toString() if system.exists(path) else None
+
+    with ThreadPoolExecutor(16) as pool:
+        return list(pool.map(status, locations))
+
+
 def discover(spark: SparkSession, pending: list[tuple[str, str]], scheme: str = "file:") -> tuple[DataFrame, DataFrame]:
-    """Files under every pending entry (org, path), and the entries that can't be listed with the reason.
+    """Files under every pending entry (org, path), and the entries that don't exist with the reason.
 
-    Only names and sizes are read. An entry is bounded by the manifest, its files are a DataFrame.
+    Only names and sizes are read, in one listing for all entries. ``path`` is what a reader takes, ``location`` what
+    rows carry as ``_metadata.file_path``, where some signs are encoded. A file that two entries name has a row for each.
     """
-    found, failed = spark.createDataFrame([], FOUND), []
-    for org, entry in pending:
-        location = entry if ":" in entry else scheme + entry
-        try:
-            listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(location).drop("content")
-        except AnalysisException as error:
-            failed.append((org, entry, f"{error.getCondition()}: {location}"))
-            continue
-        found = found.unionByName(listed.select(F.lit(org).alias("org"), F.lit(entry).alias("file"), "path", F.col("length").alias("size")))
-    return found, spark.createDataFrame(failed, "org string, file string, message string")
+    locations = [entry if re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", entry) else scheme + entry for _, entry in pending]
+    roots = _statuses(spark, locations)
+    failed = [(org, entry, f"PATH_NOT_FOUND: {where}") for (org, entry), where, root in zip(pending, locations, roots) if root is None]
+    there = [(org, entry, root.rstrip("/")) for (org, entry), root in zip(pending, roots) if root is not None]
+    failures = spark.createDataFrame(failed, "org string, file string, message string")
+    if not there:
+        return spark.createDataFrame([], FOUND), failures
+    names = [literal(root) for root in sorted({r for _, _, r in there})]
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(names)
+    listed = listed.select("path", F.col("_metadata.file_path").alias("location"), F.col("length").alias("size")).distinct()
+    # a file belongs to an entry that names it or a folder above it
+    parts = F.split("path", "/")
+    above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n), "/"))
+    entries = spark.createDataFrame(there, "org string, file string, root string")
+    found = listed.withColumn("root", F.explode(above)).join(entries, "root")
+    return found.select("org", "file", "path", "location", "size"), failures
 
 
 def read_json(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -39,17 +66,26 @@ def read_json(spark: SparkSession, paths: list[str]) -> DataFrame:
     return lines.where(F.length(F.trim("payload")) > 0).withColumn("fields", F.from_json("payload", "map<string,string>"))
 
 
+def headers(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
+    """The CSV files by their first line, from one pass over all of them; empty files are left out."""
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("n"))
+    first = lines.where("start = 0").groupBy("path").agg(F.min_by("value", "n").alias("head"))
+    out: dict[str, list[str]] = {}
+    for r in first.orderBy("path").collect():  # names and headers of files
+        out.setdefault(r.head, []).append(literal(unquote(r.path)))
+    return out
+
+
 def read_csv(spark: SparkSession, paths: list[str]) -> DataFrame:
     """The same for CSV with a header; files with one header are read together, values stay text."""
     frames = []
-    heads: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        columns = tuple(spark.read.option("header", True).option("inferSchema", False).csv(path).columns)
-        heads.setdefault(columns, []).append(path)
-    for columns, same in heads.items():
+    for same in headers(spark, paths).values():
         data = spark.read.option("header", True).option("inferSchema", False).csv(same)
-        present = F.map_filter(F.map_from_arrays(F.array(*[F.lit(c) for c in columns]), F.array(*[F.col(f"`{c}`") for c in columns])), lambda k, v: v.isNotNull())
+        names = data.columns
+        present = F.map_filter(F.map_from_arrays(F.array(*[F.lit(c) for c in names]), F.array(*[F.col(f"`{c}`") for c in names])), lambda k, v: v.isNotNull())
         frames.append(data.select(F.to_json(present).alias("payload"), F.col("_metadata.file_path").alias("path"), present.alias("fields")))
+    if not frames:
+        return spark.createDataFrame([], "payload string, path string, fields map<string,string>")
     out = frames[0]
     for frame in frames[1:]:
         out = out.unionByName(frame)
@@ -66,18 +102,20 @@ READERS: dict[str, Callable[[SparkSession, list[str]], DataFrame]] = {"json": re
 
 
 def read_events(spark: SparkSession, found: DataFrame, readers: dict[str, Callable] | None = None) -> DataFrame:
-    """org, payload, fields of every line of the ``found`` files: one read a format, tenants joined by path."""
+    """org, payload, fields of every line of the ``found`` files: one read a format, tenants joined by location.
+
+    A line of a file that no entry names keeps a null org, so it ends up as a dead letter and is not lost.
+    """
     readers = READERS | (readers or {})
-    listed = found.select("org", "path", format_of(F.col("path")).alias("format")).collect()  # names only
+    listed = found.select("path", format_of(F.col("path")).alias("format")).distinct().collect()  # names only, as Spark's own listing
     frames = []
     for kind in sorted({r.format for r in listed}):
-        paths = sorted({r.path for r in listed if r.format == kind})
+        paths = sorted(literal(r.path) for r in listed if r.format == kind)
         frames.append(readers[kind](spark, paths).select("payload", "fields", "path"))
     if not frames:
         return spark.createDataFrame([], "org string, payload string, fields map<string,string>")
     lines = frames[0]
     for frame in frames[1:]:
         lines = lines.unionByName(frame)
-    bare = lambda c: F.regexp_replace(c, "^[a-z]+:/+", "/")  # noqa: E731  file:/x and file:///x are one
-    orgs = found.select("org", bare(F.col("path")).alias("p")).distinct()
-    return lines.withColumn("p", bare(F.col("path"))).join(orgs, "p").select("org", "payload", "fields")
+    orgs = found.select("org", F.col("location").alias("path")).distinct()
+    return lines.join(orgs, "path", "left").select("org", "payload", "fields")

@@ -8,6 +8,8 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.gates import request_fits
+
 REQUEST = "customerKey string, event map<string,string>, events array<map<string,string>>"
 
 
@@ -18,6 +20,19 @@ def request_events(requests: DataFrame, payload: str = "payload") -> DataFrame:
     return parsed.select(F.col("r.customerKey").alias("org"), F.explode(each).alias("fields"))
 
 
+def accepted_events(requests: DataFrame, payload: str = "payload") -> DataFrame:
+    """org, payload, fields, rejected: the events of requests within the limits, and a row with the reason for each other request.
+
+    A request that can't be read, or is over a limit, has null fields; one without events gives none.
+    """
+    parsed = requests.where(F.length(F.trim(payload)) > 0).withColumn("r", F.from_json(payload, REQUEST))
+    each = F.when(F.col("r.event").isNotNull(), F.array("r.event")).otherwise(F.col("r.events"))
+    bad = F.when(F.col("r.customerKey").isNull() & each.isNull(), F.lit("not a request")).when(~request_fits(each), F.lit("request over the limits"))
+    rows = parsed.select(F.col("r.customerKey").alias("org"), F.col(payload).alias("payload"), each.alias("each"), bad.alias("rejected"))
+    none = F.array(F.lit(None).cast("map<string,string>"))
+    return rows.select("org", "payload", F.explode(F.when(F.col("rejected").isNotNull(), none).otherwise(F.col("each"))).alias("fields"), "rejected")
+
+
 #: Where one top-level value may end and the next begin (or the same inside a string: then Python decides).
 _NEXT_VALUE = r"[}\]]\s*[{\[]"
 

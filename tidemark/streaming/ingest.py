@@ -12,12 +12,15 @@ from pyspark.sql.streaming.query import StreamingQuery
 from tidemark.operators import conform as C
 from tidemark.operators import manifest as M
 from tidemark.operators import versions as V
-from tidemark.sources.requests import concatenated_events
+from tidemark.sources.requests import accepted_events, concatenated_events
 
 
 @dataclass
 class StreamSinks:
-    """Folders of the sinks. ``transforms`` may change what one gets: raw, parsed, store, malformed, commit_errors."""
+    """Folders of the sinks. ``transforms`` may change what one gets: raw, parsed, store, malformed, commit_errors.
+
+    ``store`` may be the batch job's. ``counters``: a row for each micro-batch with what it handled, stored and put aside.
+    """
 
     raw: str
     parsed: str
@@ -25,54 +28,77 @@ class StreamSinks:
     malformed: str
     commit_errors: str
     checkpoint: str
+    counters: str | None = None
     transforms: dict[str, Callable[[DataFrame], DataFrame]] = field(default_factory=dict)
 
     def sent(self, sink: str, df: DataFrame) -> DataFrame:
         return self.transforms.get(sink, lambda x: x)(df)
 
 
-def process(batch: DataFrame, metrics: DataFrame, fields: DataFrame) -> DataFrame:
-    """Payload rows (org, payload) as conformed events; broken payloads keep their text and get a reason."""
-    return C.conform(concatenated_events(batch), metrics, fields)
+def process(batch: DataFrame, metrics: DataFrame, fields: DataFrame, requests: bool = False) -> DataFrame:
+    """Payload rows (org, payload) as conformed events; broken payloads keep their text and get a reason.
 
+    ``requests``: each payload is a request with its own customer key and one or several events, within the request limits.
+    """
+    return C.conform(accepted_events(batch) if requests else concatenated_events(batch), metrics, fields)
 
-def write_batch(batch: DataFrame, number: int, sinks: StreamSinks, metrics: DataFrame, fields: DataFrame, write_ms: Column) -> None:
-    """One micro-batch. Every folder it writes has the batch's number and is overwritten on a repetition.
+
+def write_batch(
+    batch: DataFrame, number: int, sinks: StreamSinks, metrics: DataFrame, fields: DataFrame, write_ms: Column, source: str, requests: bool = False
+) -> None:
+    """One micro-batch of the query ``source``. What it writes is named by both and is replaced on a repetition.
 
     Raw payloads are archived before they are parsed, malformed ones as well. If the store can't
     take the good rows, they go to the commit-error sink and the stream goes on.
     """
+    name = f"source={source}/batch={number}"
 
     def put(sink: str, df: DataFrame) -> None:
-        sinks.sent(sink, df).write.mode("overwrite").parquet(f"{getattr(sinks, sink)}/batch={number}")
+        sinks.sent(sink, df).write.mode("overwrite").parquet(f"{getattr(sinks, sink)}/{name}")
 
-    put("raw", batch)
-    conformed = process(batch, metrics, fields).persist()
+    batch = batch.persist()
+    conformed = process(batch, metrics, fields, requests).persist()
     try:
-        good = C.good(conformed).select("org", "metric_id", "metric_alias", "ts_ms", "known", "unknown")
-        put("parsed", good.repartition("org"))
-        text = F.to_json(F.map_from_entries(F.array_sort(F.map_entries("known"))))
-        rows = V.store_rows(V.with_ids(good.withColumn("known", text), ["known"], "unknown"), write_ms)
+        put("raw", batch)
+        good = C.good(conformed)
+        put("parsed", good.select("org", "metric_id", "metric_alias", "ts_ms", "known", "unknown").hint("rebalance", F.col("org")))
+        rows = V.stored(good, write_ms)
         try:
-            put("store", rows)
+            V.append(sinks.sent("store", rows), sinks.store, f"{source}-{number}")
         except Exception as error:  # the failed rows are kept, with the reason
             put("commit_errors", rows.withColumn("reason", F.lit(str(error)[:500])))
         letters = C.malformed(C.failed(conformed), write_ms, F.col("payload"))
-        sinks.sent("malformed", letters).write.mode("overwrite").json(f"{sinks.malformed}/batch={number}")
+        sinks.sent("malformed", letters).write.mode("overwrite").json(f"{sinks.malformed}/{name}")
+        if sinks.counters:
+            sums = conformed.agg(F.count(F.lit(1)).alias("events"), F.count_if(F.col("error").isNull()).alias("stored"), F.count_if(F.col("error").isNotNull()).alias("failed"))
+            handled = batch.agg(F.count(F.lit(1)).alias("handled"), F.count_if(F.length(F.trim("payload")) == 0).alias("empty"))
+            handled.crossJoin(sums).coalesce(1).write.mode("overwrite").parquet(f"{sinks.counters}/{name}")  # one row beside one row
     finally:
         conformed.unpersist()
+        batch.unpersist()
+
 
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a query has as long as its checkpoint: a new checkpoint is a new query."""
+    text = spark.read.text(f"{checkpoint}/metadata", wholetext=True).select(F.get_json_object("value", "$.id").alias("id"))
+    return text.first().id
 
-def ingest(stream: DataFrame, sinks: StreamSinks, metrics: DataFrame, fields: DataFrame, write_ms: Column | None = None) -> StreamingQuery:
+
+def ingest(stream: DataFrame, sinks: StreamSinks, metrics: DataFrame, fields: DataFrame, write_ms: Column | None = None, requests: bool = False) -> StreamingQuery:
     """Starts the query over a stream of (org, payload); it ends when what is there has been read."""
     now = F.unix_millis(F.current_timestamp()) if write_ms is None else write_ms
     observed = stream.observe("ingest", F.count(F.lit(1)).alias("handled"), F.count_if(F.length(F.trim("payload")) == 0).alias("empty"))
-    return (
-        observed.writeStream.foreachBatch(lambda b, n: write_batch(b, n, sinks, metrics, fields, now))
-        .option("checkpointLocation", sinks.checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+
+    def write(batch: DataFrame, number: int) -> None:
+        write_batch(batch, number, sinks, metrics, fields, now, query_id(batch.sparkSession, sinks.checkpoint), requests)
+
+    return observed.writeStream.foreachBatch(write).option("checkpointLocation", sinks.checkpoint).trigger(availableNow=True).start()
+
+
+def counts(spark: SparkSession, sinks: StreamSinks) -> dict[str, int]:
+    """What all micro-batches handled, stored and put aside."""
+    rows = spark.read.option("recursiveFileLookup", True).parquet(sinks.counters)
+    return rows.agg(*[F.sum(c).alias(c) for c in ("handled", "empty", "events", "stored", "failed")]).first().asDict()
 
 
 def without_resends(stream: DataFrame, delay: str = "1 hour") -> DataFrame:
