@@ -63,6 +63,35 @@ def test_exact_dedup_over_many_batches(spark, sample, tmp_path, monkeypatch):
     assert exact_result(found) == brute_exact(pairs(docs))
 
 
+def test_exact_dedup_keeps_its_state_between_runs(spark, sample, tmp_path):
+    half, new = sample.where("doc_id % 2 = 1"), sample.where("doc_id % 2 = 0")
+    norm = lambda t: re.sub(r"[\x20\x09-\x0D]+", " ", t or "")
+    before, now, by_id = defaultdict(list), defaultdict(list), {i: norm(t) for i, t in pairs(sample)}
+    for i, t in by_id.items():
+        (before if i % 2 else now)[t].append(i)
+    for weak in (False, True):  # the second run reads new rows alone; hits are checked against the first run's files
+        state = str(tmp_path / f"state-{weak}")
+        digest = (lambda sha: F.substring(sha, 1, 1)) if weak else exact_dedup.full_digest
+        assert exact_result(exact_dedup.exact_dedup(spark, half, digest=digest, state_dir=state)) == brute_exact(pairs(half))
+        found = {r["doc_id"]: r for r in rows(exact_dedup.exact_dedup(spark, new, digest=digest, state_dir=state))}
+        assert found.keys() == {i for i, _ in pairs(new)}
+        if weak:  # no two texts are taken for one
+            assert all(by_id[r["keep_id"]] == by_id[i] for i, r in found.items())
+            continue
+        for t, ids in now.items():
+            keep = min(before[t]) if t in before else min(ids)
+            for i in ids:
+                assert found[i]["keep_id"] == keep and found[i]["kept"] == (i == keep) and found[i]["group_size"] == len(ids) + len(before.get(t, []))
+        assert sum(t in now for t in before) > 3
+
+
+def test_exact_dedup_leaves_the_session_alone(spark, sample):
+    streaming = lambda: {k: v for k, v in spark.conf.getAll.items() if "streaming" in k}
+    before = streaming()
+    exact_dedup.exact_dedup(spark, sample).count()
+    assert streaming() == before
+
+
 def test_exact_dedup_empty_and_columns(spark, odd, none):
     assert exact_dedup.exact_dedup(spark, none).count() == 0
     clash = odd.withColumn("_metadata", F.lit("x")).withColumn("tm_0", F.lit(1))
