@@ -2,7 +2,7 @@
 
 Document statistics are mapped to cosines of random projections, which approximate a
 Gaussian kernel. Each task sums its share of the normal equations; Spark adds the sums
-in two levels, so the driver sees a fixed number of matrices. The ridge score is then
+in levels of fixed width, so no task and not the driver holds more than SUMS matrices. The ridge score is then
 calibrated on rows that the fit did not see, from a histogram of fixed size.
 """
 
@@ -18,12 +18,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import bounded_batches, crc_fold, fresh, staged
+from tidemark.llm.common import BROADCAST_BYTES, bounded_batches, crc_fold, fresh, size_in_bytes, staged
 
 #: Random features, kernel width (in standard deviations of a statistic), ridge and seed.
 FEATURES, WIDTH, RIDGE, SEED = 256, 3.0, 1e-2, 20240229
-#: Matrices that reach the driver, and bins of the calibration histogram.
-SUMS, BINS = 8, 2_000
+#: Sums of tasks that one task adds up (and that reach the driver in the end), and bins of the calibration histogram.
+SUMS, BINS = 16, 2_000
 #: Fold of the labelled rows that calibrates; 0 is held out, the others fit.
 FOLDS, HELD_OUT, CALIBRATES = 5, 0, 4
 THRESHOLD = 0.3
@@ -105,18 +105,19 @@ def cosines(z: np.ndarray) -> np.ndarray:
     return np.hstack([out, np.ones((len(z), 1))])
 
 
-def with_statistics(docs: DataFrame) -> DataFrame:
-    """doc_id and x, the array of statistics, for every row."""
+def with_statistics(docs: DataFrame, label: str | None = None) -> DataFrame:
+    """doc_id and x, the array of statistics, for every row; with ``label``, this column too."""
+    names = ["doc_id", "x", *([label] if label else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.float64())
         for batch in batches:
             x = [statistics(t.as_py() or "") for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, kind)], ["doc_id", "x"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, kind), *batch.columns[2:]], names)
 
     bounded_batches(docs.sparkSession)
-    chosen = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
-    return chosen.mapInArrow(run, "doc_id long, x array<double>")
+    chosen = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"), *([docs[label].cast("double")] if label else []))
+    return chosen.mapInArrow(run, "doc_id long, x array<double>" + (f", {label} double" if label else ""))
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -124,7 +125,7 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
 
 
 def _summed(frame: DataFrame) -> np.ndarray | None:
-    """The sum of all partitions' arrays: one row a task, then SUMS rows, then the driver."""
+    """The sum of all rows' arrays, one row a task: SUMS of them at a time, until so few are left for the driver."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
@@ -135,8 +136,12 @@ def _summed(frame: DataFrame) -> np.ndarray | None:
         if total is not None:
             yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["part"])
 
-    parts = [np.frombuffer(r.part) for r in frame.repartition(SUMS).mapInArrow(add, "part binary").collect()]
-    return sum(parts) if parts else None
+    parts = staged(frame.sparkSession, frame, "quality-sums")
+    n = parts.count()
+    while n > SUMS:
+        n = -(-n // SUMS)
+        parts = staged(frame.sparkSession, parts.repartition(n).mapInArrow(add, "part binary"), "quality-sums")
+    return sum(np.frombuffer(r.part) for r in parts.collect()) if n else None
 
 
 def fit(spark: SparkSession, labelled: DataFrame) -> Model:
@@ -202,14 +207,22 @@ def isotonic(n: np.ndarray, ones: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.array([b[2] / b[0] for b in blocks]), np.array([b[1] / b[0] for b in blocks])
 
 
-def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, label: str = "quality") -> tuple[Model, DataFrame]:
-    """The model from rows of ``labels`` (doc_id, label) and the staged statistics of all rows of ``docs``.
+def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, label: str = "quality", stats: DataFrame | None = None) -> Model:
+    """The model from rows of ``labels`` (doc_id, label) and the statistics of the documents they name.
 
+    ``stats``: the statistics of all rows of ``docs``, if they are there already. Without, they are computed for
+    labelled rows alone if the labels can be broadcast (their size is measured), else for all, so that no text is shuffled.
     Rows without a label or with a null one do not train; a label that comes twice counts twice.
     """
-    stats = staged(spark, with_statistics(docs), "quality-statistics")
-    known = labels.select(labels["doc_id"].cast("long").alias("doc_id"), labels[label].cast("double").alias("label"))
-    return fit(spark, stats.join(known.dropna(), "doc_id")), stats
+    known = labels.select(labels["doc_id"].cast("long").alias("l_id"), labels[label].cast("double").alias("label")).dropna()
+    known = staged(spark, known, "quality-labels")
+    if stats is None and size_in_bytes(known) <= BROADCAST_BYTES:
+        texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
+        labelled = with_statistics(texts.join(F.broadcast(known), F.col("doc_id") == F.col("l_id")).select("doc_id", "text", "label"), "label")
+    else:
+        stats = with_statistics(docs) if stats is None else stats
+        labelled = stats.join(known, F.col("doc_id") == F.col("l_id")).select("doc_id", "x", "label")
+    return fit(spark, staged(spark, labelled, "quality-labelled"))
 
 
 def score(spark: SparkSession, stats: DataFrame, model: Model) -> DataFrame:
@@ -239,7 +252,7 @@ def score_column(spark: SparkSession, model: Model, text: Column) -> Column:
 
 def keep_good(spark: SparkSession, docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Rows of ``docs`` that score at least ``threshold``; all columns stay, repeated rows are judged alike."""
-    model, _ = train(spark, docs, labels)
+    model = train(spark, docs, labels)
     name = fresh(docs, "tm_score")
     scored = docs.withColumn(name, score_column(spark, model, docs["text"]))
     return scored.where(F.col(name) >= threshold).drop(name)

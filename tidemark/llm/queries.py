@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, exact_dedup, html_wrapper, lang_id, ngram_join, packing, pii, quality, sentence_dedup, url_filter
-from tidemark.llm.common import crc_fold, table
+from tidemark.llm.common import crc_fold, staged, table
 
 #: The rules of op1.
 RULES = [
@@ -47,7 +47,8 @@ def op6_streaming_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_quality_fourier_ridge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model, stats = quality.train(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    stats = staged(spark, quality.with_statistics(table(spark, sf_dir, "documents")), "quality-statistics")
+    model = quality.train(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), stats=stats)
     scored = quality.score(spark, stats, model)
     held_out = crc_fold("doc_id", quality.FOLDS) == quality.HELD_OUT
     predicted = (F.col("score") >= quality.THRESHOLD).cast("int")
