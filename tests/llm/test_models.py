@@ -78,11 +78,13 @@ def test_quality_on_held_out_rows(spark):
 
 def test_quality_odd_rows(spark, odd, none):
     labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1), (None, 1), (4, None)], "doc_id long, quality int")
-    model, stats = quality.train(spark, odd, labels)
+    model, stats = quality.train(spark, odd, labels), quality.with_statistics(odd)
     assert quality.score(spark, stats, model).count() == odd.count()
+    again = quality.train(spark, odd, labels, stats=stats)  # from statistics of all rows
+    assert np.allclose(model.weights, again.weights) and np.allclose(model.values, again.values)
     assert quality.keep_good(spark, odd, labels, 0.0).columns == odd.columns
-    empty, stats = quality.train(spark, none, labels.limit(0))
-    assert quality.score(spark, stats, empty).count() == 0
+    empty = quality.train(spark, none, labels.limit(0))
+    assert quality.score(spark, quality.with_statistics(none), empty).count() == 0
     assert np.isfinite(quality.statistics("x" * 1_000_000 + " 1")).all()
 
 
@@ -151,8 +153,10 @@ def test_long_texts_take_linear_time():
 
     began = time.time()
     for text in ("a" * 1_000_000, "1" * 1_000_000, "1." * 500_000, "+1" * 500_000, "a@" * 500_000, "x1" * 500_000):
-        pii.base_spans(text)
-        list(pii.digit_tokens(text))
+        for start, _, end in pii.base_spans(text)[:50]:
+            pii.contexts(text, start, end)
+        pii.contexts(text, len(text) // 2, len(text) // 2 + 5)
+        list(pii.Finder([pii.LEFT + "a ", pii.RIGHT + " b", pii.GAP + "c " + "\0" + " d"]).places(text))
     assert time.time() - began < 30
 
 
@@ -163,15 +167,83 @@ def test_pii_odd_rows(spark, odd, none):
     assert pii.find_pii(spark, none).count() == 0
 
 
+def spans_of(spark, texts):
+    found = pii.report(pii.find_pii(spark, spark.createDataFrame(texts, "doc_id long, text string"))).collect()
+    return {r.doc_id: {tuple(x.split(":")) for x in r.spans.split(",") if x} for r in found}
+
+
+def span(kind, text, part):
+    return (kind, str(text.index(part)), str(text.index(part) + len(part)))
+
+
 def test_patterns_discover_unseen_identifiers(spark):
     texts = [(i, f"Some words. Server address: 10.0.{i}.{i + 1} is up. Other words {i}.") for i in range(40)]
     texts += [(100 + i, f"More words. Server address: 10.0.999.{300 + i} is up.") for i in range(2)]
     texts += [(200, "A clean text with a version 10.0.999.1 of something.")]
-    found = {r.doc_id: r for r in pii.report(pii.find_pii(spark, spark.createDataFrame(texts, "doc_id long, text string"))).collect()}
+    found = spans_of(spark, texts)
     for i in range(2):
-        start = texts[40 + i][1].index("10.0")
-        assert found[100 + i].n_ip == 0 and found[100 + i].spans == f"ip:{start}:{start + 12}"
-    assert found[200].spans == "" and all(found[i].spans.startswith("ip:") and found[i].n_ip == 1 for i in range(40))
+        assert found[100 + i] == {span("ip", texts[40 + i][1], f"10.0.999.{300 + i}")}
+    assert found[200] == set() and all(found[i] == {span("ip", texts[i][1], f"10.0.{i}.{i + 1}")} for i in range(40))
+
+
+def test_bootstrap_goes_on_from_what_it_found(spark):
+    """Unknown forms without a digit are found beside seeds, then in a context that no seed ever had."""
+    texts = [(i, f"Note {i}. Please write to user{i}@mail.example about it.") for i in range(30)]
+    odd = [f"{a} at {b} dot example" for a, b in zip("anna bert carl dora emil fritz gina hans".split(), "post mail home work club team shop bank".split())]
+    texts += [(100 + i, f"Note. Please write to {o} about it.") for i, o in enumerate(odd)]
+    texts += [(200 + i, f"Another page. Owner of this page = {o} ; nothing more.") for i, o in enumerate(odd)]
+    last = "ida at lake dot example"
+    texts += [(300, f"Another page. Owner of this page = {last} ; nothing more."), (301, "Please write soon. Owner of a dog."), (302, f"A line about {last} elsewhere.")]
+    found, by_id = spans_of(spark, texts), dict(texts)
+    for i, o in enumerate(odd):
+        assert found[100 + i] == {span("email", by_id[100 + i], o)} and found[200 + i] == {span("email", by_id[200 + i], o)}
+    assert found[300] == {span("email", by_id[300], last)} and found[301] == set()
+    assert all(len(found[i]) == 1 for i in range(30))
+
+
+def test_a_context_of_many_things_adds_nothing(spark):
+    texts = [(i, f"We saw it on {10 + i}.0.0.1 again.") for i in range(10)] + [(100 + i, f"We saw it on Monday{i} again.") for i in range(60)]
+    found = spans_of(spark, texts)
+    assert all(found[i] == {span("ip", t, f"{10 + i}.0.0.1")} if i < 100 else found[i] == set() for i, t in texts)
+
+
+def brute_scores(edges, rounds):
+    """The graph's scores by plain loops."""
+    pats = {p for p, _, k in edges if k is not None}
+    inst = {p: {e for q, e, _ in edges if q == p} for p in pats}
+    seeds = {(p, k): {e for q, e, x in edges if q == p and x == k} for p, _, k in edges if k is not None}
+    unknown = {(p, e) for p, e, k in edges if k is None and p in pats}
+    conf = {pk: len(v) / (len(inst[pk[0]]) + pii.DOUBT) for pk, v in seeds.items()}
+    for _ in range(rounds):
+        new = {}
+        for (p, k), own in seeds.items():
+            extra = 0.0
+            for e in {e for q, e in unknown if q == p}:
+                wrong = 1.0
+                for q in {q for q, x in unknown if x == e and q != p and (q, k) in conf}:
+                    wrong *= max(1 - conf[(q, k)], 1e-9)
+                extra += 1 - wrong
+            new[(p, k)] = min(1.0, (len(own) + extra) / (len(inst[p]) + pii.DOUBT))
+        conf = new
+    belief = {}
+    for k in {k for _, k in conf}:
+        for e in {e for _, e in unknown}:
+            sure = [conf[(p, k)] for p, x in unknown if x == e and conf.get((p, k), 0) >= pii.CONFIDENT]
+            if sure:
+                belief[(e, k)] = 1 - math.prod(max(1 - c, 1e-9) for c in sure)
+    return conf, belief
+
+
+def test_graph_scores_equal_brute_force(spark):
+    rng = np.random.default_rng(6)
+    edges = sorted({(f"p{rng.integers(0, 8)}", f"e{e}", None if e > 12 else int(e % 2)) for e in rng.integers(0, 18, 150)}, key=str)
+    edges += [("q1", f"s{i}", 0) for i in range(9)] + [("q1", "u", None), ("q2", "u", None)] + [("q2", f"s{i}", 0) for i in range(6)]
+    scored, belief = pii.scored_graph(spark, spark.createDataFrame(edges, "pattern string, entity string, kind int"))
+    conf, want = brute_scores(edges, pii.ROUNDS)
+    got = {(r.pattern, r.kind): r.confidence for r in scored.collect()}
+    assert got.keys() == conf.keys() and all(abs(got[k] - conf[k]) < 1e-6 for k in conf)
+    got = {(r.entity, r.kind): r.belief for r in belief.collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-6 for k in want) and ("u", 0) in got
 
 
 def brute_grams(text):
