@@ -500,6 +500,66 @@ SQL_malformed = f"""
 SELECT CAST(page_id % 5 AS VARCHAR) AS apikey, {_FAIL}'not an event' AS message, md5(html) AS digest, CAST(length(html) AS INTEGER) AS n_chars, 5 AS handled FROM pages"""
 
 
+def q_store_decoded(spark, sf_dir):
+    """A tenant's clicks of a range out of the store, resends collapsed, values in their types."""
+    metrics, fields = registry(spark)
+    store = V.stored(C.good(conformed(spark, sf_dir)), F.lit(1_700_000_000_000))
+    return V.scan_decoded(store, metrics, fields, "1", "click", _RANGE[0], _RANGE[1]).select("org", "ts_ms", "f_amount", "f_k")
+
+
+_RANGE = (1_700_000_000_000 - 4_000 * DAY, 1_700_000_000_000 + 4_000 * DAY)
+SQL_store_decoded = f"""
+WITH {_EVENTS} SELECT DISTINCT org, ts_ms, value AS f_amount, k AS f_k FROM g
+WHERE org = '1' AND event_type = 'click' AND ts_ms >= {_RANGE[0]} AND ts_ms < {_RANGE[1]}"""
+
+
+def q_request_gates(spark, sf_dir):
+    """Line items as requests of a tenant each: accepted events, or one row for a request over the limits."""
+    lines = table(spark, sf_dir, "lineitem").select((F.col("l_partkey") % 130).cast("string").alias("org"), F.create_map(F.lit("n"), F.col("l_orderkey").cast("string")).alias("e"))
+    payload = F.to_json(F.struct(F.col("org").alias("customerKey"), F.collect_list("e").alias("events")))  # a request is one row
+    requests = lines.groupBy("org").agg(payload.alias("payload"))
+    found = R.accepted_events(requests.select("payload"))
+    return found.groupBy("org", F.col("rejected").isNull().alias("ok")).agg(F.count(F.lit(1)).alias("n"))
+
+
+SQL_request_gates = """
+SELECT org, c <= 500 AS ok, CASE WHEN c <= 500 THEN c ELSE 1 END AS n
+FROM (SELECT CAST(l_partkey % 130 AS VARCHAR) AS org, count(*) AS c FROM lineitem GROUP BY 1)"""
+
+
+def q_tenant_gate(spark, sf_dir):
+    """Events without a tenant, or with an empty one, are dead letters of the internal key."""
+    events = raw_events(spark, sf_dir)
+    org = F.when(F.col("event_id") % 7 == 0, F.lit("")).when(F.col("event_id") % 11 == 0, F.lit(None)).otherwise(F.col("org"))
+    found = C.conform(events.withColumn("org", org), *registry(spark))
+    return found.groupBy(F.col("error.key").alias("key"), F.col("error.message").alias("message")).agg(F.count(F.lit(1)).alias("n"))
+
+
+SQL_tenant_gate = """
+SELECT CASE WHEN event_id % 7 = 0 OR event_id % 11 = 0 THEN '_internal' WHEN user_id % 5 = 4 AND event_type = 'error' THEN '4' END AS key,
+       CASE WHEN event_id % 7 = 0 OR event_id % 11 = 0 THEN 'Failed to apply schema for record: no tenant'
+            WHEN user_id % 5 = 4 AND event_type = 'error' THEN 'Failed to apply schema for record: unknown metric error' END AS message, count(*) AS n
+FROM events GROUP BY ALL"""
+
+
+def q_nested_values(spark, sf_dir):
+    """Nested types of the registry are read from JSON: arrays of arrays, and records with arrays."""
+    k = F.get_json_object("props", "$.k")
+    known = F.create_map(
+        F.lit("a"), F.concat(F.lit("[["), k, F.lit("],["), k, F.lit(",1]]")),
+        F.lit("r"), F.concat(F.lit('{"x": {"y": ['), k, F.lit("]}}")),
+    )
+    rows = table(spark, sf_dir, "events").select(F.col("event_type").alias("org"), F.lit("m").alias("metric_id"), F.lit(1).cast("long").alias("ts_ms"), known.alias("known"))
+    out = C.typed(rows, [("a", "ARRAY<ARRAY<INT>>"), ("r", "STRUCT<x: STRUCT<y: ARRAY<INT>>>")])
+    total = F.aggregate(F.flatten("a"), F.lit(0).cast("long"), lambda t, v: t + v)
+    return out.groupBy("org").agg(F.sum(total).alias("total"), F.sum(F.get("r.x.y", F.lit(0))).alias("first"), F.sum(F.size("a")).alias("arrays"))
+
+
+SQL_nested_values = """
+SELECT event_type AS org, CAST(sum(2 * k + 1) AS BIGINT) AS total, CAST(sum(k) AS BIGINT) AS first, 2 * count(*) AS arrays
+FROM (SELECT event_type, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events) GROUP BY 1"""
+
+
 def q_stream_batch_parity(spark, sf_dir):
     """Events as a stream of payloads through the ingest job; what it stored and put aside, counted."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
