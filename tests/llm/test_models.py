@@ -34,6 +34,17 @@ def test_rules_and_parts(spark):
     assert url_filter.judge_urls(spark, pages.limit(0), RULES).count() == 0
 
 
+def test_odd_urls_and_one_class(spark):
+    """Repeated rows, a very long url, columns with clashing names, and rules that decide no url of one class."""
+    long_ = "https://a.com/" + "path/" * 20_000
+    rows = [(1, "https://x.org/fr/a", "s"), (1, "https://x.org/fr/a", "s"), (2, long_, "s"), (3, "https://b.com/", "s"), (None, "https://x.org/fr/b", "s")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, s string").withColumns({"host": F.lit("h"), "score": F.lit(1), "decided": F.lit("d"), "rule": F.lit("r")})
+    found = url_filter.judge_urls(spark, pages, RULES).collect()
+    assert Counter(r.page_id for r in found) == Counter({1: 2, 2: 1, 3: 1, None: 1})
+    assert {(r.rule, r.verdict) for r in found if r.page_id in (1, None)} == {("org/fr/", "allow")} and all(r.verdict in ("allow", "block") for r in found)
+    assert {r.path for r in found if r.page_id == 2} == {long_.removeprefix("https://a.com")}
+
+
 def brute_ratio(training, s, order):
     """Witten-Bell by hand: the mean log-likelihood difference of a string."""
     counts = {0: Counter(), 1: Counter()}

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tidemark.llm import decontaminate, exact_dedup, ngram_join, packing, sentence_dedup
+from tidemark.llm import decontaminate, exact_dedup, ngram_join, packing, quality, sentence_dedup
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -430,6 +430,45 @@ def test_packing_round_trip(spark, sample, odd, none):
     assert sum(r["length"] for r in repeated) == 2 * len(brute_ids(odd.first().text))
 
 
+def test_packing_with_any_tokenizer(spark, odd):
+    """A tokenizer with other rules is used as a whole; the fast way is for its own rules alone."""
+    import glob
+
+    assert packing.splits_at_space(TOKENIZER)
+    others = [p for p in glob.glob(TOKENIZER.rsplit("/", 1)[0] + "/*.json") if "tokenizer" not in p.rsplit("/", 1)[1] and p != TOKENIZER]
+    texts = [t or "" for _, t in pairs(odd)]
+    for path in others[:3]:
+        try:
+            plain = Tokenizer.from_file(path)
+        except Exception:  # another kind of file
+            continue
+        encoder = packing.encoder_of(path)
+        assert not packing.splits_at_space(path) and isinstance(encoder, packing.WholeEncoder)
+        for t in texts:
+            assert np.frombuffer(encoder.encode(t), dtype=np.uint32).tolist() == plain.encode(t, add_special_tokens=False).ids
+
+
+def test_packing_a_very_long_text(spark):
+    text = " ".join(f"word{k % 977}," for k in range(120_000))
+    check_packing(rows(packing.pack(spark.createDataFrame([(1, text), (2, "short")], "doc_id long, text string"), TOKENIZER)), [(1, text), (2, "short")], packing.SEQUENCE)
+
+
+def test_near_duplicates_of_very_long_texts(spark):
+    rng = np.random.default_rng(9)
+    w = [f"w{k}" for k in rng.integers(0, 90_000, 60_000)]
+    near = list(w)
+    near[100], near[40_000] = "other", "another"
+    data = [(1, " ".join(w)), (2, " ".join(near)), (3, " ".join(w[:30_000]))]
+    found = near_result(ngram_join.near_duplicates(spark, spark.createDataFrame(data, "doc_id long, text string")))
+    assert found == Counter({(1, 1, 1): 1, (2, 1, 1): 1, (3, 3, 0): 1})
+
+
+def test_exact_dedup_of_very_long_texts(spark):
+    text = "long text \t" * 200_000
+    data = [(5, text), (3, text.replace("\t", "\n")), (4, text + "x")]
+    assert exact_result(exact_dedup.exact_dedup(spark, spark.createDataFrame(data, "doc_id long, text string"))) == brute_exact(data)
+
+
 def test_assignment_balances_cost_and_fills():
     rng = np.random.default_rng(5)
     lengths = [int(x) for x in rng.integers(1, 3000, 800)]
@@ -449,3 +488,95 @@ def test_words_encode_as_the_tokenizer_does(sample):
     texts += ["don't I'M we'll 3rd x² é é ǅ Σας ﬁ İstanbul", "a\x1cb c　d", "<|endoftext|> x<|startoftext|>", "…—“quoted”…", "", " \n ", "##!! ?? a.b,c A.B. ((x))", "日本語 한국어 עברית 😀👍🏽"]
     for t in texts:
         assert np.frombuffer(encoder.encode(t), dtype=np.uint32).tolist() == plain.encode(t, add_special_tokens=False).ids
+
+
+def test_pipeline_stages_equal_brute_force(spark):
+    """Each stage on what the one before it kept."""
+    import corpus_pipeline as pipeline
+
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    labels, items = spark.read.parquet(f"{sf}/labels.parquet"), spark.read.parquet(f"{sf}/benchmark.parquet")
+    stages = dict(pipeline.STAGES)
+    ids = lambda df: sorted(r.doc_id for r in df.select("doc_id").collect())
+    keep = lambda df, stage: pipeline.staged(spark, stages[stage](spark, df, sf), f"test-{stage}")
+
+    good = keep(docs, "quality")
+    model = quality.train(spark, docs, labels)
+    scores = model.score(np.array([quality.statistics(t or "") for _, t in pairs(docs)]))
+    assert ids(good) == sorted(i for (i, _), x in zip(pairs(docs), scores) if x >= quality.THRESHOLD)
+    single = keep(good, "exact_dedup")
+    assert ids(single) == sorted(k[0] for k in brute_exact(pairs(good)) if k[3])
+    apart = keep(single, "near_dedup")
+    assert ids(apart) == sorted(k[0] for k in brute_near(pairs(single)) if k[0] == k[1])
+    clean = keep(apart, "decontamination")
+    found = {r["doc_id"] for r in rows(decontaminate.contaminated(spark, apart, items))}
+    plain = lambda t: " ".join(re.findall(r"\w+", (t or "").lower()))
+    copied = {i for i, t in pairs(apart) for r in items.collect() if plain(r.text) in plain(t)}
+    assert copied <= found and ids(clean) == sorted(i for i, _ in pairs(apart) if i not in found)
+    check_packing(rows(stages["packing"](spark, clean, sf)), pairs(clean), packing.SEQUENCE)
+
+
+def brute_tokens(text):
+    """(template token, word) of a text without digits, units or other signs: capitalised words are names."""
+    return [("N" if re.fullmatch(r"[A-Z][a-z]+", w) else w.lower(), w.lower()) for w in re.findall(r"[A-Za-z]+", text)]
+
+
+def test_windows_and_slots_equal_brute_force(spark):
+    """Documents that share parts of items, with names changed one to one or mixed up: shares and consistency by plain loops."""
+    rng = np.random.default_rng(12)
+    names, words = "Anna Bert Carla Dora Emil Fritz".split(), [f"wort{chr(97 + k)}" for k in range(26)]
+    items = []
+    for i in range(4):
+        w = [words[k] for k in rng.integers(0, 26, 24)]
+        for at in (3, 9, 14, 20):
+            w[at] = names[int(rng.integers(0, 3))]
+        items.append((i, " ".join(w)))
+    docs = []
+    for i in range(40):
+        w = items[i % 4][1].split()
+        a = int(rng.integers(0, 12)) if i % 3 else 0
+        w = w[a : a + int(rng.integers(8, 25))] if i % 3 else w
+        other = dict(zip(names, rng.permutation(names)))
+        w = [(str(rng.choice(names)) if i % 5 == 0 else str(other[x])) if x in names else x for x in w]
+        docs.append((i, " ".join(["vorne", "hier", *w, "und", "hinten"])))
+    want = {}
+    for i, text in docs:
+        d = brute_tokens(text)
+        for j, item in items:
+            t = brute_tokens(item)
+            hits = {(at, pos) for at in range(len(t) - 7) for pos in range(len(d) - 7) if [x[0] for x in t[at : at + 8]] == [x[0] for x in d[pos : pos + 8]]}
+            n = len({at for at, _ in hits})
+            if n < 6 and n / (len(t) - 7) < 0.5:
+                continue
+            rates = []
+            for shift in {pos - at for at, pos in hits}:
+                met = {(t[at + k][1], d[pos + k][1]) for at, pos in hits if pos - at == shift for k in range(8) if t[at + k][0] == "N"}
+                own = {x for x, _ in met}
+                alone = [x for x in own if sum(a == x for a, _ in met) == 1 and sum(b == next(b for a, b in met if a == x) for _, b in met) == 1]
+                rates.append(len(alone) / len(own) if own else 1.0)
+            if max(rates) >= 0.75:
+                want[(i, j)] = (n, round(max(rates), 9))
+    found = decontaminate.contaminated(spark, spark.createDataFrame(docs, "doc_id long, text string"), bench(spark, items))
+    assert {(r["doc_id"], r["item_id"]): (r["n_windows"], round(r["consistency"], 9)) for r in rows(found)} == want and 5 < len(want) < 40
+
+
+def test_collapsed_values_are_no_leak(spark):
+    item = "A train leaves the city of Paris at 9 km and runs for 120 minutes until it meets Anna who waits with 35 bags of rice."
+    one = item.replace("120", "9").replace("35", "9")
+    names = "we saw Anna with Bert near the old house in the wood and Carla stood at the door where Dora had waited for a while"
+    same = re.sub("Anna|Bert|Carla|Dora", "Emil", names)
+    docs = spark.createDataFrame([(1, one), (2, same), (3, item), (4, names)], "doc_id long, text string")
+    assert {r["doc_id"] for r in rows(decontaminate.contaminated(spark, docs, bench(spark, [(1, item), (2, names)])))} == {3, 4}
+
+
+def test_decontamination_odd_documents(spark):
+    """Repeated rows are one document; a very long text is read whole; clashing names don't matter."""
+    item = "Which of the seven small rivers in this long green valley carries most of the water in spring"
+    text = "filler word " * 100_000 + item
+    fields = "doc_id long, text string, tokens string, item_id string, h string, hs string, raw string, tk string"
+    docs = spark.createDataFrame([(1, text, *"abcdef"), (1, text, *"abcdef"), (2, None, *"abcdef"), (None, item, *"abcdef")], fields)
+    benchmark = spark.createDataFrame([(1, item, "x"), (2, None, "y")], "item_id long, text string, tokens string")
+    assert Counter((r["doc_id"], r["item_id"]) for r in rows(decontaminate.contaminated(spark, docs, benchmark))) == Counter({(1, 1): 1, (None, 1): 1})
+    kept = decontaminate.keep_clean(spark, docs, benchmark)
+    assert kept.columns == docs.columns and [r.doc_id for r in kept.collect()] == [2]

@@ -17,6 +17,8 @@ from __future__ import annotations
 
 import array
 import heapq
+import json
+import re
 import sys
 import unicodedata
 import zlib
@@ -49,8 +51,39 @@ _ARROW = pa.schema(
 )
 
 
+#: The normaliser and splitter that ``WordEncoder`` takes apart; a tokenizer with others is used as a whole.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+SPLITTER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+
+
+def splits_at_space(path: str) -> bool:
+    """Whether the tokenizer file has these rules and adds no token but special ones in angle brackets."""
+    with open(path, encoding="utf-8") as file:
+        rules = json.load(file)
+    added = all(re.fullmatch(r"<\|\w+\|>", t["content"]) and not t["lstrip"] and not t["rstrip"] for t in rules.get("added_tokens") or [])
+    plain = rules["model"]["type"] == "BPE" and not rules["model"].get("dropout") and not rules.get("truncation") and not rules.get("padding")
+    return rules.get("normalizer") == NORMALIZER and rules.get("pre_tokenizer") == SPLITTER and added and plain
+
+
+class WholeEncoder:
+    """Encodes text with the tokenizer as it is, whatever its rules."""
+
+    def __init__(self, path: str):
+        self.tokenizer = Tokenizer.from_file(path)
+
+    def encode(self, text: str) -> bytes:
+        return array.array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+
 class WordEncoder:
-    """Encodes text as the tokenizer does, remembering the ids of white-space-separated chunks.
+    """Encodes text as a tokenizer of these rules does, remembering the ids of white-space-separated chunks.
 
     The tokenizer lower-cases, drops white space and never lets a token span it, so a
     text's ids are those of its chunks in a row. Plain Latin words go straight to the
@@ -104,14 +137,13 @@ class WordEncoder:
         return b"".join(map(self.chunks.__getitem__, text.split()))
 
 
-_ENCODERS: dict[tuple[str, int], WordEncoder] = {}
+_ENCODERS: dict[str, WordEncoder | WholeEncoder] = {}
 
 
-def _encoder(path: str) -> WordEncoder:
-    key = (path, CACHE_ENTRIES)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = WordEncoder(path)
-    return _ENCODERS[key]
+def encoder_of(path: str) -> WordEncoder | WholeEncoder:
+    if path not in _ENCODERS:
+        _ENCODERS[path] = WordEncoder(path) if splits_at_space(path) else WholeEncoder(path)
+    return _ENCODERS[path]
 
 
 def capacities(tokens: int, length: int = SEQUENCE) -> list[int]:
@@ -167,7 +199,7 @@ def _packer(path: str, length: int, end_id: int):
     end = array.array("I", [end_id]).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(path)
+        encoder = encoder_of(path)
         next_id = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
         rows: list[tuple] = []
         held: list[tuple[int | None, int, bytes, int]] = []  # doc_id, start, ids, doc_tokens
