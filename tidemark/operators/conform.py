@@ -53,13 +53,15 @@ def conform(events: DataFrame, metrics: DataFrame, fields: DataFrame) -> DataFra
     unknown = F.map_filter("own", lambda k, v: ~F.coalesce(F.map_contains_key("names", k), F.lit(False)) & v.isNotNull())
     # two aliases of one field in an event: the first by name counts
     entries = F.transform(F.array_sort(F.map_entries(known)), lambda e: F.struct(F.element_at("names", e["key"]).alias("key"), e["value"].alias("value")))
-    once = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, 1, i), lambda x: x["key"] == e["key"]))
+    # a column of its own, as the sort would be done again for each element inside the lambda
+    split = split.withColumn("entries", entries)
+    once = F.filter("entries", lambda e, i: ~F.exists(F.slice("entries", 1, i), lambda x: x["key"] == e["key"]))
     conformed = split.withColumn("known", F.map_from_entries(once)).withColumn("unknown", unknown)
     bad = F.array_sort(
         F.map_keys(F.map_filter("known", lambda k, v: v.isNotNull() & ~schema.fits(v, F.element_at("types", k))))
     )
     conformed = conformed.withColumn("bad", F.when(F.col("known").isNotNull(), bad))
-    return conformed.withColumn("error", _error()).drop("names", "ts_aliases", "ts_formats", "base_keys", "own", "bad", "raw_time", "metric_key", "rejected")
+    return conformed.withColumn("error", _error()).drop("names", "ts_aliases", "ts_formats", "base_keys", "own", "entries", "bad", "raw_time", "metric_key", "rejected")
 
 
 def too_large(events: DataFrame) -> Column:
