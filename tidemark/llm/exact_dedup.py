@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import fresh, maybe_broadcast, scratch_dir, squeezed, staged
 
 #: Copies of one digest that one task compares with the retained text.
-COPIES_PER_TASK = 1_000
+COPIES_PER_TASK = 100
 #: Files of staged digests that one micro-batch reads.
 FILES_PER_TRIGGER = 1_000
 
