@@ -63,7 +63,7 @@ def op9_rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = crc_fold("doc_id", 4) == 2
     found = lang_id.train_and_predict(spark, docs, ~held_out)
-    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", F.round("score", 6).alias("score"))
 
 
 def op10_host_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,9 +91,33 @@ SELECT r.doc_id, min(class_id) AS class_id, (SELECT count(*) FROM l WHERE l.a =
 """
 
 
+#: CRC-32 of the id as text, before the last inversion; 3988292384 is its polynomial.
+_CRC = """list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: unicode(c)::BIGINT)),
+    lambda x, c: list_reduce(list_prepend(xor(x, c), range(8)), lambda y, i: CASE WHEN y & 1 = 1 THEN xor(y >> 1, 3988292384) ELSE y >> 1 END))"""
+
+OP9_SQL = rf"""
+WITH d AS (SELECT doc_id, lang, xor({_CRC}, 4294967295) % 4 = 2 AS held_out,
+    ' ' || trim(regexp_replace(lower(coalesce(text, '')), '[^\p{{L}}]+', ' ', 'g')) || ' ' AS t FROM documents),
+p AS (SELECT doc_id, unnest(range(1, length(t) + 1)) AS i, t FROM d WHERE t <> '  '),
+s AS (SELECT doc_id, i, unicode(substr(t, i, 1))::BIGINT AS x FROM p),
+b AS (SELECT doc_id, i, CASE WHEN x = 32 THEN 1 ELSE x END AS x FROM s),
+n AS (SELECT doc_id, x AS a, lead(x) OVER g AS b, lead(x, 2) OVER g AS c FROM b WINDOW g AS (PARTITION BY doc_id ORDER BY i)),
+g AS (SELECT doc_id, a AS code FROM n WHERE a <> 1 UNION ALL SELECT doc_id, a * 2097152 + b FROM n WHERE b IS NOT NULL
+    UNION ALL SELECT doc_id, a * 4398046511104 + b * 2097152 + c FROM n WHERE c IS NOT NULL AND b <> 1),
+q AS (SELECT doc_id, code, count(*) AS n FROM g GROUP BY ALL),
+r AS (SELECT doc_id, code, row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, code) - 1 AS pos FROM q QUALIFY pos < 300),
+l AS (SELECT lang, code, sum(n) AS n FROM q JOIN d USING (doc_id) WHERE NOT held_out AND lang IS NOT NULL GROUP BY ALL),
+k AS (SELECT lang, code, row_number() OVER (PARTITION BY lang ORDER BY n DESC, code) - 1 AS pos FROM l QUALIFY pos < 300),
+m AS (SELECT r.doc_id, z.lang, sum(coalesce(abs(r.pos - k.pos), 300)) AS far, count(*) * 300 AS worst
+    FROM r CROSS JOIN (SELECT DISTINCT lang FROM k) z LEFT JOIN k ON k.lang = z.lang AND k.code = r.code GROUP BY ALL),
+e AS (SELECT doc_id, arg_min(lang, struct_pack(far := far, lang := lang)) AS lang_pred, min(far) AS best, any_value(worst) AS worst FROM m GROUP BY doc_id),
+f AS (SELECT doc_id, round(1 / sum(exp(8 * (1 - m.far / m.worst) - 8 * (1 - e.best / e.worst))), 6) AS score FROM m JOIN e USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, held_out, coalesce(lang_pred, 'und') AS lang_pred, coalesce(score, 0) AS score FROM d LEFT JOIN e USING (doc_id) LEFT JOIN f USING (doc_id)"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_lsh_forest_join": OP4_SQL, "op6_streaming_exact_dedup": OP6_SQL}
+    return {"op4_lsh_forest_join": OP4_SQL, "op6_streaming_exact_dedup": OP6_SQL, "op9_rank_order_language": OP9_SQL}
