@@ -30,6 +30,8 @@ KINDS = ("email", "ip", "card", "phone")
 #: Iterations of the bootstrap at most, rounds of scoring in each, confidence and different seed entities that a
 #: pattern needs, weight of doubt, share of a pattern's places that must hold something known.
 ITERATIONS, ROUNDS, CONFIDENT, LEAST_SEEDS, DOUBT, FLOOR = 5, 5, 0.8, 5, 0.5, 0.3
+#: Share of its kind's seeds that a pattern needs: so the patterns to look up don't grow with the corpus.
+LEAST_SHARE = 0.01
 #: Words of a left or right context; strings that are looked up at a time.
 CONTEXT, SLICE = 2, 50_000
 LEFT, RIGHT, GAP, ENTITY = "L", "R", "G", "E"
@@ -315,7 +317,9 @@ def discovered(spark: SparkSession, docs: DataFrame, found: DataFrame) -> DataFr
     tried, graph, sure, belief = None, None, None, None
     for _ in range(ITERATIONS):
         # patterns of enough different seeds that were not looked up before
-        wanted = seeds.groupBy("pattern", "kind").agg(F.count_distinct("entity").alias("n")).where(F.col("n") >= LEAST_SEEDS).select("pattern").distinct()
+        of = F.broadcast(seeds.groupBy("kind").agg(F.count_distinct("entity").alias("of")))  # a row for each of KINDS
+        support = seeds.groupBy("pattern", "kind").agg(F.count_distinct("entity").alias("n")).join(of, "kind")
+        wanted = support.where((F.col("n") >= LEAST_SEEDS) & (F.col("n") >= LEAST_SHARE * F.col("of"))).select("pattern").distinct()
         if tried is not None:
             wanted = wanted.join(tried, "pattern", "left_anti")
         wanted = staged(spark, wanted, "pii-candidates")

@@ -60,10 +60,10 @@ def folded(host: Column, path: Column) -> Column:
 
 
 def _positions(strings: DataFrame, order: int) -> DataFrame:
-    """A row for each character after the first: ctx (up to ``order`` characters before it) and c."""
+    """A row for each character of ``s`` after the first: ctx (up to ``order`` characters before it) and c, without ``s`` itself."""
     at = strings.withColumn("i", F.explode(F.sequence(F.lit(2), F.length("s"))))
     start = f"greatest(1, i - {order})"
-    return at.withColumns({"ctx": F.expr(f"substring(s, {start}, i - {start})"), "c": F.expr("substring(s, i, 1)")})
+    return at.withColumns({"ctx": F.expr(f"substring(s, {start}, i - {start})"), "c": F.expr("substring(s, i, 1)")}).drop("s", "i")
 
 
 def ratios(spark: SparkSession, training: DataFrame, wanted: DataFrame, order: int = ORDER) -> DataFrame:
@@ -102,9 +102,10 @@ def ratios(spark: SparkSession, training: DataFrame, wanted: DataFrame, order: i
 
 def scores(spark: SparkSession, training: DataFrame, strings: DataFrame, order: int = ORDER) -> DataFrame:
     """(s, score) of every distinct string: mean log-likelihood difference per character."""
-    at = _positions(strings.select("s").distinct(), order)
+    keyed = strings.select("s").distinct().withColumn("key", F.md5("s"))  # a long string is not sent once for each of its characters
+    at = _positions(keyed, order)
     each = at.join(ratios(spark, training, at, order), ["ctx", "c"])
-    return each.groupBy("s").agg(F.round(F.avg("ratio"), 9).alias("score"))
+    return keyed.join(each.groupBy("key").agg(F.round(F.avg("ratio"), 9).alias("score")), "key").select("s", "score")
 
 
 def calibrated_cut(scored: DataFrame) -> float:
