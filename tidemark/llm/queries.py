@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, exact_dedup, html_wrapper, lang_id, ngram_join, packing, pii, quality, sentence_dedup, url_filter
-from tidemark.llm.common import crc_fold, staged, table
+from tidemark.llm import decontaminate, exact_dedup, html_wrapper, lang_id, ngram_join, packing, pii, prefix_trie, quality, sentence_dedup, url_filter, warc, whitening
+from tidemark.llm.common import crc_fold, scratch_dir, staged, table
 
 #: The rules of op1.
 RULES = [
@@ -70,6 +70,20 @@ def op10_host_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_wrapper.extract(spark, table(spark, sf_dir, "pages"))
 
 
+def op11_sharded_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_dir(spark, "warc")
+    warc.write_archive(spark, table(spark, sf_dir, "pages"), root)
+    return warc.resolved(spark, warc.read_archive(spark, root))
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(spark, table(spark, sf_dir, "conversations"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark, table(spark, sf_dir, "embeddings"))
+
+
 _SPACE = r"'[\x20\x09-\x0D]+'"
 
 OP6_SQL = f"""
@@ -115,9 +129,38 @@ f AS (SELECT doc_id, round(1 / sum(exp(8 * (1 - m.far / m.worst) - 8 * (1 - e.be
 SELECT doc_id, held_out, coalesce(lang_pred, 'und') AS lang_pred, coalesce(score, 0) AS score FROM d LEFT JOIN e USING (doc_id) LEFT JOIN f USING (doc_id)"""
 
 
+OP11_SQL = """
+WITH p AS (SELECT page_id, url, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+k AS (SELECT *, row_number() OVER g AS k, first_value(page_id) OVER g AS first_page FROM p
+    WINDOW g AS (PARTITION BY payload_digest ORDER BY page_id NULLS LAST, coalesce(url, '')))
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN k > 1 AND payload_bytes >= 100 THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN k > 1 AND payload_bytes >= 100 THEN first_page END AS refers_to FROM k"""
+
+OP12_SQL = rf"""
+WITH RECURSIVE d AS (SELECT conv_id, turn, coalesce(role, '') AS role, octet_length(encode(coalesce(text, ''))) AS bytes,
+    sha256(octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest FROM conversations WHERE conv_id IS NOT NULL),
+t AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, digest) AS pos FROM d),
+c AS (SELECT conv_id, max(pos) AS own, xor({_CRC.replace('doc_id', 'conv_id')}, 4294967295) % 9 AS h, conv_id - conv_id % 5 AS base FROM t GROUP BY conv_id),
+x AS (SELECT c.conv_id, c.own, c.h, c.base, least(c.h, coalesce(b.own, 0)) AS taken FROM c LEFT JOIN c b ON b.conv_id = c.base),
+r AS (SELECT x.conv_id, t.pos AS depth, digest, bytes FROM x JOIN t ON t.conv_id = x.base WHERE t.pos <= x.taken
+    UNION ALL SELECT x.conv_id, x.taken + t.pos - x.h, digest, bytes FROM x JOIN t ON t.conv_id = x.conv_id WHERE t.pos > x.h),
+n AS (SELECT conv_id, 0::BIGINT AS depth, '' AS node, 0::BIGINT AS bytes FROM c
+    UNION ALL SELECT r.conv_id, r.depth, sha256(n.node || r.digest), r.bytes FROM n JOIN r ON r.conv_id = n.conv_id AND r.depth = n.depth + 1),
+g AS (SELECT depth, node, min(conv_id) AS conv_id, count(*) AS n_convs, max(bytes) AS bytes FROM n GROUP BY depth, node),
+p AS (SELECT g.*, up.node AS up, a.conv_id AS parent_conv_id FROM g LEFT JOIN n up ON up.conv_id = g.conv_id AND up.depth = g.depth - 1
+    LEFT JOIN g a ON a.depth = up.depth AND a.node = up.node),
+k AS (SELECT depth - 1 AS depth, up AS node, count(*) AS n_children FROM p WHERE up IS NOT NULL GROUP BY ALL),
+q AS (SELECT p.*, coalesce(k.n_children, 0) AS n_children FROM p LEFT JOIN k USING (depth, node)),
+s AS (SELECT n.depth, n.node, count(*) FILTER (q.n_children = 0) AS n_leaves, CAST(sum((q.n_convs - 1) * q.bytes) AS BIGINT) AS saved_tokens
+    FROM q JOIN n ON n.conv_id = q.conv_id AND n.depth <= q.depth GROUP BY ALL),
+e AS (SELECT depth, node, sha256(string_agg(conv_id, ',' ORDER BY conv_id)) AS ends FROM (SELECT * FROM n QUALIFY depth = max(depth) OVER (PARTITION BY conv_id)) GROUP BY ALL)
+SELECT q.conv_id, q.depth, q.parent_conv_id, q.n_convs, q.n_children, s.n_leaves, s.saved_tokens, coalesce(e.ends, sha256('')) AS ends_sha256
+FROM q JOIN s USING (depth, node) LEFT JOIN e USING (depth, node)"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_lsh_forest_join": OP4_SQL, "op6_streaming_exact_dedup": OP6_SQL, "op9_rank_order_language": OP9_SQL}
+    return {"op4_lsh_forest_join": OP4_SQL, "op6_streaming_exact_dedup": OP6_SQL, "op9_rank_order_language": OP9_SQL, "op11_sharded_warc": OP11_SQL, "op12_conversation_trie": OP12_SQL}
