@@ -131,8 +131,8 @@ def parsed(record: bytes) -> tuple[dict[str, str], bytes]:
 # ---- writing ----
 
 
-def _packed(pages: DataFrame) -> DataFrame:
-    """page_id, url, digest, n, packed: every page as a response record."""
+def _packed(pages: DataFrame, whole: bool) -> DataFrame:
+    """page_id, url, digest, n and size, or with ``whole`` packed: every page as a response record. Nothing but the row decides its bytes."""
     chosen = pages.select(
         pages["page_id"].cast("long").alias("page_id"),
         F.coalesce(pages["url"].cast("string"), F.lit("")).alias("url"),
@@ -145,12 +145,13 @@ def _packed(pages: DataFrame) -> DataFrame:
             for page_id, url, payload in zip(*(batch.column(c) for c in ("page_id", "url", "payload"))):
                 page_id, url, payload = page_id.as_py(), url.as_py(), payload.as_py()
                 digest = hashlib.sha256(payload).hexdigest()
-                out.append((digest, len(payload), response(page_id, url, digest, payload)))
-            digests, sizes, packed = zip(*out) if out else ((), (), ())
-            columns = [pa.array(digests, pa.string()), pa.array(sizes, pa.int64()), pa.array(packed, pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), *columns], ["page_id", "url", "digest", "n", "packed"])
+                record = response(page_id, url, digest, payload)
+                out.append((digest, len(payload), record if whole else len(record)))
+            digests, lengths, last = zip(*out) if out else ((), (), ())
+            columns = [pa.array(digests, pa.string()), pa.array(lengths, pa.int64()), pa.array(last, pa.binary() if whole else pa.int64())]
+            yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), *columns], ["page_id", "url", "digest", "n", "packed" if whole else "size"])
 
-    return chosen.mapInArrow(pack, "page_id long, url string, digest string, n long, packed binary")
+    return _ordered(chosen.mapInArrow(pack, "page_id long, url string, digest string, n long, " + ("packed binary" if whole else "size long")))
 
 
 def _ordered(rows: DataFrame) -> DataFrame:
@@ -317,12 +318,12 @@ def write_archive(spark: SparkSession, pages: DataFrame, root: str, roll_bytes:
     if system.exists(final):
         raise FileExistsError(f"{root} has an archive")
     bounded_batches(spark)
-    packed = _ordered(staged(spark, _packed(pages), "warc-records"))
-    slim = with_first(packed.select(*KEY, "n", F.octet_length("packed").cast("long").alias("size")), least)
-    slim = staged(spark, slim, "warc-index")
+    index = staged(spark, _packed(pages, whole=False), "warc-index")
+    slim = staged(spark, with_first(index, least), "warc-firsts")
     files, keys = boundaries(spark, slim, roll_bytes)
-    heads = slim.where("has_first").select(*KEY, "n", "has_first", "first_page", "first_url", F.lit(None).cast("binary").alias("packed")).distinct()
-    every = packed.select(*KEY, "n", "packed").unionByName(heads, allowMissingColumns=True)
+    heads = slim.where("has_first").select(*KEY, "n", "has_first", "first_page", "first_url", F.lit(None).cast("binary").alias("packed"))
+    # records are packed again, as they would take the disk of a third archive
+    every = _packed(pages, whole=True).unionByName(heads, allowMissingColumns=True)
     if files:
         dealt = every.withColumn("file", _file_of(files, keys)).repartition(len(files), "file")
         # a key's head comes before its records
