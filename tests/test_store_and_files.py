@@ -1,0 +1,437 @@
+"""Archive in one write, files of any name, clustered store, manifest snapshots, row-level commits, keyed state, counters."""
+
+import gzip
+import json
+import random
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark import schema
+from tidemark.operators import archive as A
+from tidemark.operators import conform as C
+from tidemark.operators import manifest as M
+from tidemark.operators import versions as V
+from tidemark.plans import batch, etl, maintenance
+from tidemark.sources import files
+from tidemark.streaming import ingest, keyed
+
+DAY = 86_400_000
+METRICS = [("org1", "m1", "metric", [], [], [], []), ("org2", "m1", "metric", [], [], [], [])]
+FIELDS = [("org1", "m1", "f1", "field1", [], "INTEGER", True), ("org2", "m1", "f1", "field1", [], "STRING", True)]
+
+
+@pytest.fixture(scope="module")
+def registry(spark):
+    return spark.createDataFrame(METRICS, schema.REGISTRY_METRIC), spark.createDataFrame(FIELDS, schema.REGISTRY_FIELD)
+
+
+def write(path, text):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_bytes(gzip.compress(text.encode()) if path.suffix == ".gz" else text.encode())
+    return str(path)
+
+
+def read_all(spark, path, kind="parquet"):
+    return spark.read.option("recursiveFileLookup", True).format(kind).load(path)
+
+
+# ---- the archive ----
+
+
+def etl_options(tmp_path, **more):
+    return etl.EtlOptions(*[str(tmp_path / x) for x in ("staged", "known", "unknown")], **more)
+
+
+def stage(spark, options, rows):
+    spark.createDataFrame(rows, etl.STAGED).coalesce(1).write.mode("append").parquet(options.staged)
+
+
+def known(spark, options):
+    rows = A.known_archive(spark, options.folder("known")).withColumn("text", F.to_json("fields"))
+    return sorted((r.org, r.metric_id, r.ts_ms, r.text) for r in rows.collect())
+
+
+def test_archive_keeps_every_metric_and_type(spark, registry, tmp_path):
+    options = etl_options(tmp_path, completed=str(tmp_path / "done"), versioned=True)
+    rows = [
+        ("org1", "m1", 1, {"f1": "5"}, {}), ("org2", "m1", 1, {"f1": "5"}, {}), ("org1", "nowhere", 2, {}, {"a": "b"}), ("org1", "nowhere", 3, {"f9": "x"}, {}),
+        ("007", "m1", 4, {"f1": "y", "odd 'name\"": "z"}, None), ("org1", "m1", 5, None, {}), ("org1", "m1", 6, {"f1": "no number"}, {}), ("org1", "m/2", 7, {}, {}),
+    ]
+    stage(spark, options, rows)
+    report = etl.run_etl(spark, options, registry[1], run_ms=1)
+    assert report == {"known": {"groups": 5, "rows": 8}, "unknown": {"groups": 1, "rows": 1}}
+    found = {(o, m, t): json.loads(x) for o, m, t, x in known(spark, options)}
+    assert found == {
+        ("org1", "m1", 1): {"f1": 5}, ("org2", "m1", 1): {"f1": "5"}, ("org1", "nowhere", 2): {}, ("org1", "nowhere", 3): {"f9": "x"},
+        ("007", "m1", 4): {"f1": "y", "odd 'name\"": "z"}, ("org1", "m1", 5): {}, ("org1", "m1", 6): {"f1": None}, ("org1", "m/2", 7): {},
+    }
+    assert (tmp_path / "known/0/parquet/metric_id=m1/org=007/date=1970-01-01").exists() and (tmp_path / "unknown/0/json").exists()
+    root, span = options.folder("known"), ("1969-12-31", "1970-01-02")
+    read = lambda org, metric, columns=None: [r.asDict() for r in A.read_known(spark, root, org, metric, *span, columns).collect()]
+    assert [r["f1"] for r in read("org1", "m1", schema.known_columns(registry[1], "m1", "org1"))] == [5, None, None]
+    assert [r["f1"] for r in read("org2", "m1", schema.known_columns(registry[1], "m1", "org2"))] == ["5"]
+    assert read("org1", "m/2") == [{"ts_ms": 7, "metric_id": "m/2", "org": "org1", "date": date(1970, 1, 1)}] and read("7", "m1") == [] and read("org9", "m1") == []
+    odd = A.known_archive(spark, root, "m1", "007").select(A.field("odd 'name\"", "STRING"), A.field("f1", "INTEGER")).first()
+    assert tuple(odd) == ("z", None)
+
+
+def test_archive_has_as_many_jobs_for_many_metrics(spark, tmp_path):
+    def jobs(metrics, name):
+        options = etl_options(tmp_path / name)
+        stage(spark, options, [("o", f"m{i}", i, {"f": "1"}, {}) for i in range(metrics)])
+        fields = spark.createDataFrame([("o", f"m{i}", "f", "f", [], "INTEGER", True) for i in range(metrics)], schema.REGISTRY_FIELD)
+        spark.sparkContext.setJobGroup(name, name)
+        try:
+            assert etl.run_etl(spark, options, fields)["known"]["rows"] == metrics
+            return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+    assert abs(jobs(2, "few") - jobs(40, "many")) <= 2
+
+
+def test_archive_run_that_broke_off_doubles_nothing(spark, registry, tmp_path, monkeypatch):
+    options = etl_options(tmp_path, completed=str(tmp_path / "done"))
+    stage(spark, options, [("org1", "m1", 1, {"f1": "1"}, {"late": "1"})])
+
+    def lost(*_):
+        raise OSError("the driver is lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(etl, "archive_inputs", lost)
+        with pytest.raises(OSError):
+            etl.run_etl(spark, options, registry[1])
+    stage(spark, options, [("org1", "m1", 2, {"f1": "2"}, {})])  # comes before the repetition
+    later = registry[1].union(spark.createDataFrame([("org1", "m1", "f2", "late", [], "INTEGER", True)], schema.REGISTRY_FIELD))
+    assert etl.run_etl(spark, options, later, run_ms=2)["known"]["rows"] == 2
+    assert [(t, json.loads(x)) for _, _, t, x in known(spark, options)] == [(1, {"f1": 1, "f2": 1}), (2, {"f1": 2})]
+    assert A.read_unknown(spark, options.unknown, "1969-12-31", "1970-01-09").count() == 0 if (tmp_path / "unknown").exists() else True
+    assert not list((tmp_path / "staged").rglob("*.parquet"))
+
+
+def test_archive_goes_on_moving(spark, registry, tmp_path, monkeypatch):
+    options = etl_options(tmp_path, completed=str(tmp_path / "done"))
+    stage(spark, options, [("org1", "m1", 1, {"f1": "1"}, {})])
+    stage(spark, options, [("org1", "m1", 2, {"f1": "2"}, {})])
+    real = etl.archive_inputs
+
+    def first_only(spark_, names, *rest):
+        real(spark_, names[:1], *rest)
+        raise OSError("the driver is lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(etl, "archive_inputs", first_only)
+        with pytest.raises(OSError):
+            etl.run_etl(spark, options, registry[1])
+    assert etl.run_etl(spark, options, registry[1], run_ms=3)["known"]["rows"] == 0
+    assert [t for _, _, t, _ in known(spark, options)] == [1, 2] and not list((tmp_path / "staged").rglob("*.parquet"))
+
+
+def test_archive_notices_missing_rows(spark, registry, tmp_path, monkeypatch):
+    options = etl_options(tmp_path, completed=str(tmp_path / "done"))
+    stage(spark, options, [("org1", "m1", t, {"f1": "1"}, {}) for t in range(5)])
+    monkeypatch.setattr(A, "write_known", lambda rows, fields, root: A.write_dated(A.known_rows(rows.limit(3), fields), root, ["metric_id", "org"]))
+    with pytest.raises(etl.RowsMissing):
+        etl.run_etl(spark, options, registry[1])
+    assert list((tmp_path / "staged").rglob("*.parquet"))
+
+
+def test_registry_order_and_types(spark):
+    fields = spark.createDataFrame(
+        [("o", "m", "b", "B", [], "integer", True, 1), ("o", "m", "a", "A", [], "STRUCT<x: INT>", True, 2), ("o", "m", "c", "C", [], "STRING", True, None), ("o", "m", "c", "C", [], "LONG", True, None), ("o", "m", "d", "D", [], "STRING", False, 0)],
+        schema.REGISTRY_FIELD + ", position int",
+    )
+    assert schema.known_columns(fields, "m") == [("b", "INTEGER"), ("a", "STRUCT<x: INT>"), ("c", "LONG")]
+    assert schema.known_columns(fields.drop("position"), "m") == [("a", "STRUCT<x: INT>"), ("b", "INTEGER"), ("c", "LONG")]
+    metrics = spark.createDataFrame([("o", "m", "m", [], [], [], [])], schema.REGISTRY_METRIC)
+    assert schema.lookup(metrics, fields).first().types == {"a": "STRUCT<x: INT>", "b": "INTEGER", "c": "LONG", "d": "STRING"}
+
+
+# ---- files ----
+
+JSON = '{"metrictype": "metric", "timestamp": %d, "field1": 1}\n'
+CSV = "metrictype,timestamp,field1\nmetric,%d,1\n"
+
+
+@pytest.fixture
+def options(tmp_path):
+    return batch.BatchOptions(*[str(tmp_path / x) for x in ("manifest", "archive", "store", "errors")], run_ms=1_447_000_000_000)
+
+
+def listed(spark, options, entries):
+    M.append(M.actions(spark.createDataFrame(entries, "org string, file string"), M.PENDING, F.lit(1)), options.manifest)
+
+
+def test_files_of_hidden_names_are_read(spark, registry, options, tmp_path):
+    names = ["a.json", "_hidden.json", ".dot.json", "_sub/b.json", "sub/_x y%.json.gz", ".h/.i.csv", "_list.json-array", "list.json-array.gz"]
+    for i, name in enumerate(names):
+        text = CSV % i if ".csv" in name else f"[{JSON % i},\n {JSON % (100 + i)}]" if "array" in name else JSON % i
+        write(tmp_path / "in" / name, text)
+    alone = write(tmp_path / "other/_alone.json", JSON % 50)
+    listed(spark, options, [("org1", str(tmp_path / "in")), ("org1", alone), ("org1", str(tmp_path / "none"))])
+    assert batch.run_batch(spark, options, *registry) == {"files": 3, "stored": 11, "malformed": 0, "failed_files": 1}
+    assert {r.ts_ms for r in spark.read.parquet(options.store).collect()} == {*range(8), 106, 107, 50}
+
+
+def test_csv_with_many_headers_is_one_scan(spark, tmp_path):
+    paths, want = [], []
+    for i in range(300):
+        names = [f"c{i}", "x", f"d{i % 7}"]
+        random.Random(i).shuffle(names)
+        paths.append(write(tmp_path / f"{i}.csv", ",".join(names) + "\n" + ",".join(f"{n}={i}" for n in names) + "\n\n,,\n"))
+        want += [{n: f"{n}={i}" for n in names}, {}]
+    found = files.read_csv(spark, paths)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1 and "Union" not in plan
+    rows = [r.fields for r in found.collect()]
+    assert sorted(map(str, (dict(sorted(r.items())) for r in rows))) == sorted(map(str, (dict(sorted(w.items())) for w in want)))
+
+
+@pytest.mark.parametrize(
+    "line, want",
+    [
+        ("a,b,c", ["a", "b", "c"]), (",b,", [None, "b", None]), ('"a,b",c', ["a,b", "c"]), ('"a ""q"" b",""', ['a "q" b', ""]), (r'"a \"q\" b",x', ['a "q" b', "x"]),
+        ("", [None]), (" a , b", [" a ", " b"]), ('a"b,c', ['a"b', "c"]), ('"open,c', ['"open', "c"]), ("é漢,\U0001f600", ["é漢", "\U0001f600"]), ('"', ['"']),
+    ],
+)
+def test_csv_cells(spark, line, want):
+    assert spark.createDataFrame([(line,)], "v string").select(files.cells(F.col("v"))).first()[0] == want
+
+
+def test_csv_names(spark, tmp_path):
+    path = write(tmp_path / "a.csv", 'x,,x,"a b"\n1,2,3,"4, 5",6\nx,,x,"a b"\n7\n')
+    assert sorted((r.fields for r in files.read_csv(spark, [path]).collect()), key=len, reverse=True) == [{"x": "1", "_c1": "2", "x2": "3", "a b": "4, 5"}, {"x": "7"}]
+    assert files.read_csv(spark, [write(tmp_path / "empty.csv", "\n")]).count() == 0
+    assert files.read_csv(spark, [write(tmp_path / "head.csv", "a,b\n")]).count() == 0
+
+
+class Pieces:
+    """A stream that gives a few bytes at a time and counts what it gave."""
+
+    def __init__(self, data, size):
+        self.data, self.size, self.at = data, size, 0
+
+    def read(self, _):
+        piece = self.data[self.at : self.at + self.size]
+        self.at += len(piece)
+        return piece
+
+
+def elements(text, size):
+    return list(files.list_elements(Pieces(text.encode(), size)))
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 1_000])
+def test_json_list_is_streamed(size):
+    text = ' \n[ {"a": 1, "b": "é]}"} ,{"c": null, "d": [1, {"x": 2}]},12, 3.5,"s]" ,true, [{"e": 1}], {}]\n'
+    got = elements(text, size)
+    assert [f for _, f in got] == [[("a", "1"), ("b", "é]}")], [("c", None), ("d", '[1, {"x": 2}]')], None, None, None, None, None, []]
+    assert [t for t, f in got if f is None] == ["12", "3.5", '"s]"', "true", '[{"e": 1}]']
+    assert elements("[]", size) == [] and elements("", size) == [] and elements("  ", size) == []
+    assert elements('[{"a": 1}, {oops', size)[0] == ('{"a": 1}', [("a", "1")]) and elements('[{"a": 1}, {oops', size)[-1] == ("{oops", None)
+    assert [f for _, f in elements('{"a": 1}', size)] == [None]
+
+
+def test_json_list_holds_one_element(monkeypatch):
+    """A list of 40 MB passes with a buffer of a few elements; one that never ends is given up."""
+    element = json.dumps({"k": "v" * 1_000})
+    data = ("[" + ",".join([element] * 40_000) + "]").encode()
+    stream, most, n = Pieces(data, 1 << 16), 0, 0
+    for n, (text, _) in enumerate(files.list_elements(stream), 1):
+        most = max(most, stream.at - n * (len(element) + 1))
+    assert n == 40_000 and most < 1 << 18
+    monkeypatch.setattr(files, "MOST_ELEMENT", 1_000)
+    stream = Pieces(b'[{"a": "' + b"x" * 100_000, 500)
+    assert [f for _, f in files.list_elements(stream)] == [None] and stream.at < 3_000
+
+
+# ---- manifest ----
+
+
+def test_manifest_snapshots_hold_the_log(spark, tmp_path):
+    path = str(tmp_path / "manifest")
+    act = lambda f, s, n, m=None: M.append(M.actions(spark.createDataFrame([("o", f)], "org string, file string"), s, F.lit(n), F.lit(m)), path)
+    act("a", M.PENDING, 1)
+    act("a", M.DONE, 1)  # of one seq done counts
+    act("b", M.PENDING, 1)
+    act("c", M.FAILED, 2, "first")
+    act("c", M.FAILED, 3, "second")
+    act("c", M.PENDING, 4)
+    act("d", M.FAILED, 2, "x")
+    act("d", M.PENDING, 2)
+    state = lambda: {(r.file, r.status) for r in M.state(M.read(spark, path)).collect()}
+    errors = lambda: sorted(tuple(r) for r in M.failures(M.read(spark, path)).collect())
+    before = state(), errors()
+    assert before[0] == {("a", "done"), ("b", "pending"), ("c", "pending"), ("d", "failed")} and len(before[1]) == 3
+    assert M.compact(spark, path, most=99) == 0 and M.compact(spark, path, most=8) == 8
+    assert (state(), errors()) == before and M.read(spark, path).count() == 6 and not list((tmp_path / "manifest/log").iterdir())
+    act("b", M.DONE, 5)
+    assert len(M.read(spark, path).inputFiles()) <= 7 and ("b", "done") in state()
+    (row,) = M.merged(M.read(spark, path)).collect()
+    assert row.files == ["c"] and row.errors == {"c": ["first", "second"], "d": ["x"]}
+    # an interrupted one: the log's folders are still there beside the snapshot
+    for _ in range(3):
+        M.compact(spark, path, most=1)
+        act("b", M.DONE, 5)
+    assert errors() == before[1] and ("b", "done") in state() and len(list((tmp_path / "manifest/snapshots").iterdir())) <= 2
+    spark.createDataFrame([], M.SCHEMA).write.parquet(f"{path}/log/_unfinished")
+    assert ("b", "done") in state()
+
+
+# ---- store ----
+
+
+def scanned_rows(df):
+    """Rows that the scan gives to the filter above it."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    leaves = plan.collectLeaves()
+    return sum(leaves.apply(i).metrics().get("numOutputRows").get().value() for i in range(leaves.size()))
+
+
+def test_tenant_scan_reads_a_small_share(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(V, "ROW_GROUP_BYTES", 64 << 10)
+    rows = spark.range(300_000).select(F.concat(F.lit("org"), F.pmod(F.hash("id"), F.lit(200)).cast("string")).alias("org"), F.concat(F.lit("m"), (F.col("id") % 5).cast("string")).alias("metric_id"), (F.col("id") * 1_000).alias("ts_ms"), F.sha2(F.col("id").cast("string"), 256).alias("id"))
+    path = str(tmp_path / "store")
+    V.append(V.store_rows(rows, F.lit(1_447_000_000_000)), path)
+    store = spark.read.parquet(path)
+    found = V.scan(store, "org17", "m3", 0, 7 * DAY)
+    n = found.count()
+    assert n == rows.where("org = 'org17' and metric_id = 'm3' and ts_ms < 604800000").count() > 100
+    assert scanned_rows(found) < store.count() / 20
+    assert scanned_rows(V.scan(store, "org17x", "m3", 0, 7 * DAY)) < store.count() / 20
+
+
+def test_compaction_leaves_large_files(spark, tmp_path):
+    path = str(tmp_path / "store")
+    rows = lambda a, b: V.store_rows(spark.range(a, b).select(F.lit("o").alias("org"), F.lit("m").alias("metric_id"), F.col("id").alias("ts_ms"), F.sha2(F.col("id").cast("string"), 256).alias("id")), F.lit(1_447_000_000_000))
+    V.append(rows(0, 20_000).coalesce(1), path)
+    large = {p.name: p.stat().st_mtime for p in (tmp_path / "store").rglob("*.parquet")}
+    for a in (0, 100, 50):
+        V.append(rows(a, a + 100).coalesce(1), path)
+    assert len(maintenance.small_files(spark, path, 1 << 20)) == 3
+    assert maintenance.compact_small(spark, path, 1 << 20) == 3 and maintenance.compact_small(spark, path, 1 << 20) == 0
+    left = {p.name: p.stat().st_mtime for p in (tmp_path / "store").rglob("*.parquet")}
+    assert len(left) == 2 and large.items() <= left.items()
+    store = spark.read.parquet(path)
+    assert store.count() == 20_200 and V.latest(store).count() == 20_000
+
+
+def test_count_is_estimated_from_a_sample_of_files(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(100_000).withColumn("v", F.col("id") % 3).repartition(50).write.parquet(path)
+    frame = spark.read.parquet(path)
+    found = maintenance.estimated_count(frame, files=10)
+    assert found.least <= 100_000 <= found.most and abs(found.rows - 100_000) < 2_000
+    third = maintenance.estimated_count(frame.where("v = 1"), files=10)
+    assert third.least <= 33_333 <= third.most
+    assert maintenance.estimated_count(frame, files=50) == maintenance.Estimate(100_000, 100_000, 100_000)
+
+
+def test_covering_windows_of_long_ranges(spark):
+    rng = random.Random(4)
+    windows = sorted({(a * DAY, (a + 7) * DAY) for a in (rng.randrange(-20_000, 40_000) for _ in range(300))} | {(5, 6), (0, 50 * 365 * DAY)})
+    ranges = [(i, a, a + rng.choice([0, 1, DAY, 40 * DAY, 50 * 365 * DAY, 10**14])) for i, a in enumerate(rng.randrange(-15_000 * DAY, 35_000 * DAY) for _ in range(60))]
+    frames = spark.createDataFrame(windows, "window_start_ms long, window_end_ms long"), spark.createDataFrame(ranges, "r int, range_start long, range_end long")
+    found = sorted((x.r, x.window_start_ms, x.window_end_ms) for x in V.covering_windows(*frames).collect())
+    assert found == sorted((i, s, e) for i, a, b in ranges if a < b for s, e in windows if a < e and s < b)
+    blocks = spark.range(1).select(F.size(V._blocks_of(F.lit(0), F.lit(50 * 365 * DAY)))).first()[0]
+    assert 1 < blocks <= 30
+
+
+def test_overrides_of_columns(spark, registry):
+    rows = C.conform(spark.createDataFrame([("org1", {"metrictype": "metric", "timestamp": "1", "field1": "x"}, b"\xff\x00")], "org string, fields map<string,string>, body binary"), *registry)
+    letter = C.malformed(C.failed(rows), F.lit(1), overrides={"event": F.hex("body"), "n": F.lit(3)}).first()
+    assert letter.event == "FF00" and letter.n == 3 and letter.apikey == "org1"
+    good = C.conform(spark.createDataFrame([("org1", {"metrictype": "metric", "timestamp": "1", "field1": "7"})], "org string, fields map<string,string>"), *registry)
+    assert C.typed(good, [("f1", "INTEGER")], overrides={"f1": lambda v: v.cast("int") * 2}).first().f1 == 14
+
+
+# ---- streams ----
+
+NAMES = ("raw", "parsed", "store", "malformed", "commit_errors", "checkpoint", "counters")
+
+
+def payloads(spark, path, events):
+    rows = [(org, json.dumps({"metrictype": "metric", "timestamp": t, **more})) for org, t, more in events]
+    spark.createDataFrame(rows, "org string, payload string").coalesce(1).write.mode("append").parquet(str(path))
+
+
+def test_one_bad_row_leaves_the_others_stored(spark, registry, tmp_path):
+    payloads(spark, tmp_path / "in", [("org1", t, {"field1": t}) for t in range(40)] + [("org1", "never", {})])
+    sinks = ingest.StreamSinks(*[str(tmp_path / x) for x in NAMES])
+    bad = F.when(F.col("ts_ms").isin(7, 23), F.raise_error(F.lit("no such row"))).otherwise(F.col("org"))
+    sinks.transforms = {"store": lambda df: df.withColumn("org", bad.cast("string"))}
+    ingest.ingest(ingest.read_payloads(spark, str(tmp_path / "in")), sinks, *registry, write_ms=F.lit(9)).awaitTermination()
+    assert sorted(r.ts_ms for r in spark.read.parquet(sinks.store).collect()) == [t for t in range(40) if t not in (7, 23)]
+    errors = read_all(spark, sinks.commit_errors).collect()
+    assert sorted(r.ts_ms for r in errors) == [7, 23] and all("no such row" in r.reason for r in errors)
+    assert ingest.counts(spark, sinks) == {"handled": 41, "empty": 0, "stored": 38, "failed": 1, "events": 41}
+    assert [r.uncommitted for r in ingest.counter_rows(spark, sinks).collect()] == [2]
+
+
+def test_pieces_of_a_batch_that_is_repeated_are_replaced(spark, registry, tmp_path):
+    sinks = ingest.StreamSinks(*[str(tmp_path / x) for x in NAMES])
+    frame = spark.createDataFrame([("org1", json.dumps({"metrictype": "metric", "timestamp": t, "field1": 1})) for t in range(9)], "org string, payload string")
+    bad = F.when(F.col("ts_ms") == 4, F.raise_error(F.lit("not yet"))).otherwise(F.col("org"))
+    sinks.transforms = {"store": lambda df: df.withColumn("org", bad.cast("string"))}
+    ingest.write_batch(frame, 3, sinks, *registry, F.lit(1), "q")
+    assert spark.read.parquet(sinks.store).count() == 8
+    sinks.transforms = {}
+    ingest.write_batch(frame, 3, sinks, *registry, F.lit(1), "q")
+    assert spark.read.parquet(sinks.store).count() == 9
+
+
+def test_store_that_is_away_costs_few_tries(spark):
+    rows = spark.range(200).select(F.lit("o").alias("org"), F.lit("m").alias("metric_id"), F.col("id").alias("ts_ms"), F.col("id").cast("string").alias("id"))
+    tries = []
+
+    def away(df, run):
+        tries.append(run)
+        raise OSError("away")
+
+    failed = ingest.commit(rows, away, "r")
+    assert len(tries) == 15 and sum(df.count() for df, _ in failed) == 200
+
+
+def test_judging_versions():
+    a, ab = '{"f": "1"}', '{"f": "1", "g": "2"}'
+    assert keyed.judged(None, a) == ("new", a, None) and keyed.judged(a, a) == (None, None, None) and keyed.judged(ab, a) == (None, None, None)
+    assert keyed.judged(a, ab)[0] == "new" and json.loads(keyed.judged(a, ab)[1]) == json.loads(ab)
+    assert keyed.judged(ab, '{"f": "9", "g": "3"}') == ("conflict", None, "f,g")
+
+
+def test_keyed_state_over_restarts(spark, registry, tmp_path, monkeypatch):
+    """Resends after two restarts are not stored; an id that comes with other values is a dead letter."""
+    sinks = ingest.StreamSinks(*[str(tmp_path / x) for x in NAMES], state=str(tmp_path / "state"))
+    # ids of too little, so that one stands for several contents
+    monkeypatch.setattr(V, "content_id", lambda ts, values, unknown=None: F.concat(F.lit("id-"), ts.cast("string")))
+
+    def run(events):
+        payloads(spark, tmp_path / "in", events)
+        ingest.ingest(ingest.read_payloads(spark, str(tmp_path / "in")), sinks, *registry, write_ms=F.lit(9)).awaitTermination()
+        ingest.store_versions(spark, sinks, write_ms=F.lit(9)).awaitTermination()
+        letters = [r.message for r in read_all(spark, sinks.malformed, "json").collect()]
+        return sorted((r.org, r.ts_ms, json.loads(r.known).get("f1")) for r in spark.read.parquet(sinks.store).collect()), letters
+
+    first = [("org1", 1, "1"), ("org1", 2, "2"), ("org2", 1, "1")]
+    event = lambda org, t, v: (org, t, {"field1": int(v)})
+    assert run([event(*e) for e in first] + [event(*first[0])]) == (first, [])
+    assert run([event(*first[1]), event("org1", 3, "3")]) == (sorted([*first, ("org1", 3, "3")]), [])
+    stored, letters = run([event("org1", 1, "8"), event(*first[2]), event("org1", 3, "3")])
+    assert stored == sorted([*first, ("org1", 3, "3")]) and letters == ["Failed to apply schema for record: id id-1 has other values of f1"]
+
+
+def test_read_files_move_to_the_archive(spark, registry, tmp_path):
+    sinks = ingest.StreamSinks(*[str(tmp_path / x) for x in NAMES])
+    left = lambda: len(list((tmp_path / "in").glob("*.parquet")))
+    moved = lambda: len(list((tmp_path / "archive").rglob("*.parquet")))
+    for n in range(4):  # a restart each
+        payloads(spark, tmp_path / "in", [("org1", n, {"field1": n})])
+        stream = ingest.read_payloads(spark, str(tmp_path / "in"), archive=str(tmp_path / "archive"))
+        ingest.ingest(stream, sinks, *registry, write_ms=F.lit(9)).awaitTermination()
+    assert left() + moved() == 4 and moved() >= 2
+    assert sorted(r.ts_ms for r in spark.read.parquet(sinks.store).collect()) == [0, 1, 2, 3]
+    assert ingest.counts(spark, sinks)["handled"] == 4

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import schema
 from tidemark.functions.timewindow import event_date
 from tidemark.functions.values import sorted_entries
+from tidemark.sources.folders import exists
 
 INTERNAL_COLUMNS = ("write_ms", "id", "metric_alias", "window_start_ms", "window_end_ms", "write_year", "write_month")
 
@@ -44,7 +48,7 @@ def promote_aliases(records: DataFrame, field: str, type_name: str, aliases: lis
 
 def unknown_rows(records: DataFrame) -> DataFrame:
     """org, metric_id, ts_ms, unknown of the records that have unknown entries."""
-    return records.where(F.size("unknown") > 0).select("org", "metric_id", "ts_ms", "unknown")
+    return records.where(F.size("unknown") > 0).select("org", "metric_id", "ts_ms", "unknown", *[c for c in ("run",) if c in records.columns])
 
 
 def with_date(records: DataFrame) -> DataFrame:
@@ -81,10 +85,56 @@ def between_dates(records: DataFrame, start: str, stop: str) -> DataFrame:
     return records.where((F.col("date") > F.lit(start).cast("date")) & (F.col("date") < F.lit(stop).cast("date")))
 
 
-def read_known(spark: SparkSession, root: str, org: str, metric_id: str, start: str, stop: str) -> DataFrame:
-    """Known rows of a metric by date, oldest first; columns that older files lack are null. Prunes by path and partition."""
-    read = spark.read.option("mergeSchema", True).option("basePath", root).parquet(f"{root}/metric_id={metric_id}")
-    return between_dates(read.where(F.col("org") == org), start, stop).drop("run").orderBy("ts_ms")
+def known_rows(records: DataFrame, fields: DataFrame) -> DataFrame:
+    """org, metric_id, ts_ms, fields of every record: its known values as one variant, each in the type that its tenant registered.
+
+    One schema holds all metrics and tenants, so no metric needs a write of its own, a metric without fields keeps
+    its base columns, and two tenants may register one field with different types. A value that doesn't fit its type is
+    null; a field that nobody registered stays text.
+    """
+    types = schema.field_types(fields)
+    joined = records.join(types, ["org", "metric_id"], "left").withColumn("types", F.coalesce("types", F.create_map().cast("map<string,string>")))
+    kind = lambda k: F.coalesce(F.try_element_at("types", k), F.lit("STRING"))
+    values = F.transform_values(F.coalesce("known", F.create_map().cast("map<string,string>")), lambda k, v: schema.as_variant(v, kind(k)))
+    return joined.select("org", "metric_id", "ts_ms", F.to_variant_object(values).alias("fields"), *[c for c in ("run",) if c in records.columns])
+
+
+def field(field_id: str, type_name: str, column: str = "fields") -> Column:
+    """A field of known rows as a type; null if it is absent or doesn't fit."""
+    known = schema.TYPES.get(type_name.upper())
+    kind = known.simpleString() if known else type_name
+    if re.fullmatch(r"\w+", field_id):
+        return F.try_variant_get(column, f"$.{field_id}", kind)
+    # a path has no way to write any name
+    return F.try_variant_get(F.try_element_at(F.variant_get(column, "$", "map<string,variant>"), F.lit(field_id)), "$", kind)
+
+
+def known_archive(spark: SparkSession, root: str, metric_id: str | None = None, org: str | None = None) -> DataFrame:
+    """Rows of the known archive: ts_ms, fields (variant), metric_id, org, date, run. Plain names prune the listing, others the partitions."""
+    path = root
+    if metric_id is not None and re.fullmatch(r"[\w.-]+", metric_id):
+        path = f"{root}/metric_id={metric_id}" + (f"/org={org}" if org is not None and re.fullmatch(r"[\w.-]+", org) else "")
+    if not exists(spark, path):
+        return spark.createDataFrame([], schema.KNOWN_ROW)
+    rows = spark.read.schema(schema.KNOWN_ROW).option("basePath", root).parquet(path)
+    wanted = [F.col(c) == v for c, v in (("metric_id", metric_id), ("org", org)) if v is not None]
+    return rows.where(reduce(lambda a, b: a & b, wanted)) if wanted else rows
+
+
+def read_known(spark: SparkSession, root: str, org: str, metric_id: str, start: str, stop: str, columns: list[tuple[str, str]] | None = None) -> DataFrame:
+    """Known rows of a metric by date, oldest first, with a column for each field; it is null where a row lacks it.
+
+    ``columns`` are the registry's (``schema.known_columns``), in its order. Without them they are the fields that the
+    rows have, by name, which takes a pass over these rows.
+    """
+    rows = between_dates(known_archive(spark, root, metric_id, org), start, stop).drop("run")
+    if columns is None:
+        found = rows.agg(F.schema_of_variant_agg("fields")).first()[0] or ""
+        kind = "STRUCT<" + found[len("OBJECT<") :] if found.startswith("OBJECT<") and found != "OBJECT<>" else None
+        out = rows.withColumn("fields", F.variant_get("fields", "$", kind)).select("ts_ms", "fields.*", "metric_id", "org", "date") if kind else rows.drop("fields")
+    else:
+        out = rows.select("ts_ms", *[field(f, t).alias(f) for f, t in columns], "metric_id", "org", "date")
+    return out.orderBy("ts_ms")
 
 
 def read_unknown(spark: SparkSession, root: str, start: str, stop: str) -> DataFrame:
@@ -92,15 +142,20 @@ def read_unknown(spark: SparkSession, root: str, start: str, stop: str) -> DataF
     return between_dates(spark.read.schema(parts).json(root), start, stop).drop("run")
 
 
-def write_dated(rows: DataFrame, root: str, parts: list[str], run: str, kind: str = "parquet") -> None:
-    """Writes rows by ``parts``, date and run. A repetition of the run replaces what it wrote; other runs' rows stay.
+def write_dated(rows: DataFrame, root: str, parts: list[str], run: str | None = None, kind: str = "parquet") -> None:
+    """Writes rows by ``parts``, date and run (or the rows' column ``run``). A repetition of the run replaces what it wrote; other runs' rows stay.
 
     Adaptive execution splits what is too large, as one tenant's day may have most rows.
     """
-    out = with_date(rows).withColumn("run", F.lit(run)).hint("rebalance", *[F.col(p) for p in parts], F.col("date"))
+    out = with_date(rows if run is None else rows.withColumn("run", F.lit(run))).hint("rebalance", *[F.col(p) for p in parts], F.col("date"))
     out.write.partitionBy(*parts, "date", "run").mode("overwrite").option("partitionOverwriteMode", "dynamic").format(kind).save(root)
 
 
-def write_unknown(records: DataFrame, root: str, run: str) -> None:
+def write_known(records: DataFrame, fields: DataFrame, root: str, run: str | None = None) -> None:
+    """Known rows of all metrics and tenants in one write, by metric, tenant, date and run."""
+    write_dated(known_rows(records, fields), root, ["metric_id", "org"], run)
+
+
+def write_unknown(records: DataFrame, root: str, run: str | None = None) -> None:
     """Unknown rows as JSON by org, metric, date and run."""
     write_dated(unknown_rows(records), root, ["org", "metric_id"], run, "json")

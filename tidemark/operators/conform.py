@@ -7,6 +7,8 @@ of the row, so one pass yields both the events and the dead letters.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -94,21 +96,29 @@ def failed(conformed: DataFrame) -> DataFrame:
     return conformed.where(F.col("error").isNotNull())
 
 
-def malformed(failures: DataFrame, write_ms: Column | None = None, body: Column | None = None) -> DataFrame:
-    """Dead letters: apikey, message, event as JSON text (or ``body``, as UTF-8 if binary), handled_timestamp."""
+def malformed(failures: DataFrame, write_ms: Column | None = None, body: Column | None = None, overrides: dict[str, Column] | None = None) -> DataFrame:
+    """Dead letters: apikey, message, event as JSON text (or ``body``, as UTF-8 if binary), handled_timestamp.
+
+    ``overrides``: other expressions for some of these columns, or for more, over the columns of ``failures``.
+    """
     event = F.to_json("fields") if body is None else body
     if body is not None and dict(failures.select(body.alias("b")).dtypes)["b"] == "binary":
         event = F.decode(body, "UTF-8")
     now = F.unix_millis(F.current_timestamp())
-    return failures.select(
-        F.coalesce("error.key", F.lit(schema.INTERNAL)).alias("apikey"),
-        F.col("error.message").alias("message"),
-        event.alias("event"),
-        (F.coalesce(write_ms, now) if write_ms is not None else now).alias("handled_timestamp"),
-    )
+    columns = {
+        "apikey": F.coalesce("error.key", F.lit(schema.INTERNAL)),
+        "message": F.col("error.message"),
+        "event": event,
+        "handled_timestamp": F.coalesce(write_ms, now) if write_ms is not None else now,
+    }
+    return failures.select(*[value.alias(name) for name, value in (columns | (overrides or {})).items()])
+
 
+def typed(conformed: DataFrame, columns: list[tuple[str, str]], *extra: str, overrides: dict[str, Callable[[Column], Column]] | None = None) -> DataFrame:
+    """A metric's rows as fixed columns: org, metric_id, ts_ms, then each field in its type; missing ones are null.
 
-def typed(conformed: DataFrame, columns: list[tuple[str, str]], *extra: str) -> DataFrame:
-    """A metric's rows as fixed columns: org, metric_id, ts_ms, then each field in its type; missing ones are null."""
-    values = [schema.cast_value(F.try_element_at("known", F.lit(f)), t).alias(f) for f, t in columns]
+    ``overrides``: for some fields, how the text that came becomes the value, instead of a cast to the type.
+    """
+    raw = lambda f: F.try_element_at("known", F.lit(f))
+    values = [((overrides or {})[f](raw(f)) if f in (overrides or {}) else schema.cast_value(raw(f), t)).alias(f) for f, t in columns]
     return conformed.select("org", "metric_id", "ts_ms", *values, *extra)

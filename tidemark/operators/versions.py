@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tidemark.functions.timewindow import overlaps, with_window
+from tidemark.functions.timewindow import DAY_MS, overlaps, with_window
 from tidemark.functions.values import absent_if_empty, content_id, first_present, sorted_entries
 from tidemark.schema import cast_value, field_columns, metric_aliases
 
@@ -107,18 +107,49 @@ def scan_decoded(store: DataFrame, metrics: DataFrame, fields: DataFrame, org: s
     return out.withColumnsRenamed({f: name for f, _, name, _ in columns if name}) if user_names else out
 
 
+#: Levels of dyadic blocks of days: more than milliseconds in a long can span.
+LEVELS = 38
+
+
+def _halved(day: Column, level: Column) -> Column:
+    return F.call_function("shiftright", day, level)
+
+
+def _blocks_of(start_ms: Column, end_ms: Column) -> Column:
+    """The fewest dyadic blocks (level, number) of days that make up the days of a range: two a level at most."""
+    first, end = F.floor(start_ms / DAY_MS), F.floor((end_ms - 1) / DAY_MS) + 1
+
+    def at(level: Column) -> Column:
+        low, high = -_halved(-first, level), _halved(end, level)
+        odd = lambda n: F.pmod(n, F.lit(2)) == 1
+        block = lambda n: F.struct(level.alias("level"), n.alias("number"))
+        left, right = F.when((low < high) & odd(low), block(low)), F.when((low < high) & odd(high), block(high - 1))
+        return F.array_compact(F.array(left, right))
+
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(LEVELS)), at))
+
+
+def _blocks_above(ms: Column) -> Column:
+    """The dyadic blocks that a point lies in, one a level."""
+    day = F.floor(ms / DAY_MS)
+    return F.transform(F.sequence(F.lit(0), F.lit(LEVELS)), lambda level: F.struct(level.alias("level"), _halved(day, level).alias("number")))
+
+
 def covering_windows(windows: DataFrame, ranges: DataFrame) -> DataFrame:
     """Windows (window_start_ms, window_end_ms) that each range (range_start, range_end) touches.
 
-    A range is dealt to the days it covers and a window to its own, so this is an equi-join
-    whose rows are then checked; it does not compare all windows with all ranges.
+    Of two ranges that overlap, one begins inside the other. So begins are looked up in ranges: a range is dealt to the few
+    dyadic blocks of days that make it up, some thirty for fifty years, and a begin to the blocks above it. These are
+    equi-joins whose rows are then checked; windows and ranges are never all compared.
     """
-    day = 86_400_000
-    days = lambda a, b: F.explode(F.sequence(F.floor(a / day), F.floor((b - 1) / day)))
-    left = ranges.where("range_start < range_end").withColumn("day", days(F.col("range_start"), F.col("range_end")))
-    right = windows.withColumn("day", days(F.col("window_start_ms"), F.col("window_end_ms")))
-    hit = overlaps(F.col("range_start"), F.col("range_end"), F.col("window_start_ms"), F.col("window_end_ms"))
-    return left.join(right, "day").where(hit).drop("day").dropDuplicates()
+    ranges, windows = ranges.where("range_start < range_end").dropDuplicates(), windows.where("window_start_ms < window_end_ms").dropDuplicates()
+    inside = ranges.withColumn("block", F.explode(_blocks_of(F.col("range_start"), F.col("range_end"))))
+    begun = windows.withColumn("block", F.explode(_blocks_above(F.col("window_start_ms"))))
+    later = inside.join(begun, "block").where("window_start_ms >= range_start and window_start_ms < range_end")
+    around = windows.withColumn("block", F.explode(_blocks_of(F.col("window_start_ms"), F.col("window_end_ms"))))
+    begins = ranges.withColumn("block", F.explode(_blocks_above(F.col("range_start"))))
+    earlier = begins.join(around, "block").where("range_start > window_start_ms and range_start < window_end_ms")
+    return later.drop("block").unionByName(earlier.drop("block"))
 
 
 def store_rows(records: DataFrame, write_ms: Column) -> DataFrame:
@@ -131,11 +162,20 @@ WINDOW_PARTS = ["window_start_ms", "window_end_ms", "write_year", "write_month"]
 PARTS = [*WINDOW_PARTS, "run"]
 
 
-def append(rows: DataFrame, path: str, run: str | None = None) -> None:
+#: Order of the rows of a window; the bytes of a row group, so that one tenant's rows are few of them.
+CLUSTER = ["org", "metric_id", "ts_ms"]
+ROW_GROUP_BYTES = 16 << 20
+
+
+def append(rows: DataFrame, path: str, run: str | None = None, count: Observation | None = None) -> None:
     """Windows appear as partitions when rows for them come. A repetition of ``run`` replaces what it wrote before.
 
     Rows are dealt by window and tenant, and adaptive execution splits what is too large, as a window
-    or tenant may have most of them.
+    or tenant may have most of them. Files are sorted by tenant, metric and time, so that row groups and pages tell a
+    ``scan`` by their least and most values, and by a Bloom filter of tenants, that they have nothing for it. ``count`` gets the ``rows`` written.
     """
     out = rows.withColumn("run", F.lit(run or uuid.uuid4().hex)).hint("rebalance", F.col("window_start_ms"), F.col("org"))
-    out.write.partitionBy(*PARTS).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    out = out.observe(count, F.count(F.lit(1)).alias("rows")) if count is not None else out  # behind the shuffle, so a task that is repeated counts once
+    clustered = out.sortWithinPartitions(*WINDOW_PARTS, *[c for c in CLUSTER if c in rows.columns])
+    writer = clustered.write.partitionBy(*PARTS).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.option("parquet.block.size", ROW_GROUP_BYTES).option("parquet.bloom.filter.enabled#org", "true").parquet(path)

@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+import math
+import random
+import statistics
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.versions import WINDOW_PARTS as PARTS
 from tidemark.operators.versions import append, latest
+from tidemark.sources import folders
+from tidemark.sources.files import literal, plain_location
+from tidemark.sources.folders import remove
 
 WEEK_DAYS = 7
 
@@ -46,10 +54,39 @@ def compact(spark: SparkSession, path: str, condition: Column) -> int:
     return len(old)
 
 
-def remove(spark: SparkSession, folders: list[str]) -> None:
-    for folder in folders:
-        target = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+#: Files below half of this are small; the files of a compaction have about this size.
+FILE_BYTES = 128 << 20
+
+
+def small_files(spark: SparkSession, path: str, file_bytes: int = FILE_BYTES) -> list[str]:
+    """Files of a store that can be made fewer: those below half of ``file_bytes`` of each window and write month that has several. From the listing alone."""
+    by_part: dict[str, list[str]] = {}
+    for file, _, size in folders.files(spark, path) or []:
+        name = file.rpartition("/")[2]
+        if size < file_bytes // 2 and not name.startswith(("_", ".")) and "/_" not in file[len(path) :]:
+            by_part.setdefault(file.rpartition("/run=")[0], []).append(file)
+    return sorted(f for part in by_part.values() if len(part) > 1 for f in part)
+
+
+def compact_small(spark: SparkSession, path: str, file_bytes: int = FILE_BYTES) -> int:
+    """Makes small files fewer; large ones are neither read nor written. How many files went.
+
+    Files of about ``file_bytes`` are made by adaptive execution from what the small ones hold, resends among them collapsed.
+    They are written first, then the small ones go; what breaks off in between leaves rows twice, which are one again
+    when they are read, until the next compaction.
+    """
+    found = small_files(spark, path, file_bytes)
+    if not found:
+        return 0
+    rows = spark.read.option("basePath", path).parquet(*[literal(f) for f in found]).drop("run")
+    name, before = "spark.sql.adaptive.advisoryPartitionSizeInBytes", spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set(name, str(file_bytes))
+    try:
+        append(latest(rows) if "id" in rows.columns else rows, path)
+    finally:
+        spark.conf.set(name, before)
+    remove(spark, found)
+    return len(found)
 
 
 def run_maintenance(spark: SparkSession, path: str, today: Column, limit_days: int, dry_run: bool = True) -> dict[str, int]:
@@ -64,19 +101,41 @@ def run_maintenance(spark: SparkSession, path: str, today: Column, limit_days: i
 
 def archive_inputs(spark: SparkSession, files: list[str], root: str, run_ms: int) -> list[str]:
     """Moves processed input files to ``root/run_ms/`` after a run; their paths below the file system's root stay."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     moved = []
     for file in files:
-        source = jvm.org.apache.hadoop.fs.Path(file)
-        target = jvm.org.apache.hadoop.fs.Path(f"{root}/{run_ms}{source.toUri().getPath()}")
-        system = source.getFileSystem(conf)
-        system.mkdirs(target.getParent())
-        if not system.rename(source, target):
-            raise OSError(f"{file} can't be moved to {target}")
-        moved.append(target.toString())
+        moved.append(f"{root}/{run_ms}{spark._jvm.org.apache.hadoop.fs.Path(file).toUri().getPath()}")
+        folders.move(spark, file, moved[-1])
     return moved
 
 
-def approximate_count(df: DataFrame, timeout_ms: int = 120_000, confidence: float = 0.95) -> int:
-    """About how many rows there are, counted for at most ``timeout_ms``: for debugging only."""
-    return df.select(F.lit(1)).rdd.countApprox(timeout_ms, confidence)
+@dataclass(frozen=True)
+class Estimate:
+    """A number of rows and the interval that holds the true one with the confidence asked for; exact if all three are equal."""
+
+    rows: int
+    least: int
+    most: int
+
+
+def estimated_count(df: DataFrame, files: int = 30, confidence: float = 0.95, seed: int = 0) -> Estimate:
+    """About how many rows there are, from a sample of the files that ``df`` (a scan and what filters it) reads: for debugging.
+
+    Only the files drawn are read, by a filter on their names, and only the columns that the plan's filters need; without
+    filters these are Parquet's footers. The interval comes from how the files' counts differ. What reads few files, or none, is counted.
+    """
+    names = sorted(df.inputFiles())
+    if len(names) <= files:
+        n = df.count()
+        return Estimate(n, n, n)
+    drawn = random.Random(seed).sample(names, files)
+    paths = [path for name in drawn for path in {name, plain_location(name)}]
+    per_file = df.where(F.col("_metadata.file_path").isin(paths)).groupBy(F.col("_metadata.file_path").alias("f")).count().collect()  # one row a file drawn
+    counts = [r["count"] for r in per_file] + [0] * (files - len(per_file))
+    mean, share = statistics.fmean(counts), 1 - files / len(names)
+    spread = statistics.NormalDist().inv_cdf((1 + confidence) / 2) * statistics.stdev(counts) * math.sqrt(share / files)
+    return Estimate(round(mean * len(names)), max(sum(counts), math.floor((mean - spread) * len(names))), math.ceil((mean + spread) * len(names)))
+
+
+def approximate_count(df: DataFrame, files: int = 30, confidence: float = 0.95) -> int:
+    """The number of ``estimated_count``."""
+    return estimated_count(df, files, confidence).rows

@@ -6,6 +6,7 @@ type, ``value`` and the entries of ``props`` the fields. The registry is a table
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -21,9 +22,9 @@ from tidemark.operators import conform as C
 from tidemark.operators import gates
 from tidemark.operators import manifest as M
 from tidemark.operators import versions as V
-from tidemark.plans import batch
+from tidemark.plans import batch, etl, maintenance
 from tidemark.sources import requests as R
-from tidemark.sources.files import format_of
+from tidemark.sources.files import discover, format_of, read_events, read_json_array
 from tidemark.streaming import ingest
 
 TYPES = ("click", "view", "purchase", "signup", "error")
@@ -35,6 +36,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new folder under ``spark.checkpoint.dir``; only a session in one process may go without that setting."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="spark-ingest-", dir="/tmp")
+    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
 def registry(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
     """Tenant 4 does not register errors; ``k`` is a field of clicks only; ``value`` is an alias of amount."""
     metrics = [(o, f"m_{t}", t.upper(), [t], [], [], []) for o in ORGS for t in TYPES if (o, t) != ("4", "error")]
@@ -562,9 +573,7 @@ FROM (SELECT event_type, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
 
 def q_stream_batch_parity(spark, sf_dir):
     """Events as a stream of payloads through the ingest job; what it stored and put aside, counted."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    base = base or "file://" + tempfile.mkdtemp(prefix="spark-ingest-", dir="/tmp")  # local runs name none
-    root = f"{base.rstrip('/')}/ingest-{uuid.uuid4().hex}"
+    root = scratch(spark, "ingest")
     events = raw_events(spark, sf_dir).select("org", F.to_json("fields").alias("payload"))
     blank = table(spark, sf_dir, "events").where("event_id % 50 = 0").select(F.lit("0").alias("org"), F.lit(" ").alias("payload"))
     broken = table(spark, sf_dir, "events").where("event_id % 40 = 0").select(F.lit("1").alias("org"), F.lit("{broken").alias("payload"))
@@ -595,6 +604,171 @@ UNION ALL SELECT 'malformed', org, count(*) FROM (SELECT org FROM e WHERE org =
 UNION ALL SELECT 'raw', org, count(*) FROM (SELECT org FROM e UNION ALL SELECT '0' FROM events WHERE event_id % 50 = 0 UNION ALL SELECT '1' FROM events WHERE event_id % 40 = 0) GROUP BY org"""
 
 
+def q_known_archive(spark, sf_dir):
+    """Staged events of all metrics through the ETL's one write, read back: even tenants have ``k`` as a number, odd ones as text, errors have no fields."""
+    root = scratch(spark, "etl")
+    events = table(spark, sf_dir, "events")
+    org = F.col("user_id") % 5
+    known = F.create_map(F.lit("f_amount"), F.col("value").cast("string"), F.lit("f_k"), F.get_json_object("props", "$.k"))
+    records = events.select(org.cast("string").alias("org"), F.concat(F.lit("m_"), "event_type").alias("metric_id"), W.millis(F.col("ts")).cast("long").alias("ts_ms"), known.alias("known"), F.create_map().cast("map<string,string>").alias("unknown"))
+    records.write.parquet(f"{root}/staged")
+    fields = [(o, f"m_{t}", "f_amount", "amount", [], "DOUBLE", True) for o in ORGS for t in TYPES if t != "error"]
+    fields += [(o, f"m_{t}", "f_k", "k", [], "INTEGER" if int(o) % 2 == 0 else "STRING", True) for o in ORGS for t in TYPES if t != "error"]
+    options = etl.EtlOptions(f"{root}/staged", f"{root}/known", f"{root}/unknown")
+    etl.run_etl(spark, options, spark.createDataFrame(fields, schema.REGISTRY_FIELD))
+    rows = A.known_archive(spark, options.folder("known"))
+    kind = F.schema_of_variant(F.try_variant_get("fields", "$.f_k", "variant"))
+    return rows.groupBy("org", "metric_id", F.col("date").cast("string").alias("day")).agg(
+        F.count(F.lit(1)).alias("n"), F.max(kind).alias("k_type"), F.max(A.field("f_amount", "DOUBLE")).alias("most"), F.sum(A.field("f_k", "LONG")).alias("k")
+    )
+
+
+SQL_known_archive = f"""
+WITH {_EVENTS}, d AS (SELECT DISTINCT org, event_type, ts, ts_ms, value, k FROM e)
+SELECT org, 'm_' || event_type AS metric_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(*) AS n,
+    max(CASE WHEN event_type = 'error' OR CAST(org AS INTEGER) % 2 = 1 THEN 'STRING' ELSE 'BIGINT' END) AS k_type, max(value) AS most, CAST(sum(k) AS BIGINT) AS k
+FROM d GROUP BY org, event_type, CAST(ts AS DATE)"""
+
+
+def q_clustered_scan(spark, sf_dir):
+    """Line items through the clustered store, and three tenants' scans of it."""
+    path = f"{scratch(spark, 'clustered')}/store"
+    V.append(V.store_rows(V.with_ids(_lines(spark, sf_dir), _VALUES).withColumn("ts_ms", F.col("ts_ms").cast("long")), F.lit(1_000)), path)
+    store = spark.read.parquet(path)
+    parts = [V.scan(store, org, "line", _FROM, _TO) for org in ("2", "6", "10")]
+    return A.union_all(parts).select(F.col("org").cast("string").alias("org"), "ts_ms", "id", "quantity")
+
+
+SQL_clustered_scan = f"""
+WITH {_LINES} SELECT org, ts_ms, id, quantity FROM i WHERE org IN ('2', '6', '10') AND ts_ms >= {_FROM} AND ts_ms < {_TO}"""
+
+
+def _sinks(root: str, **more) -> ingest.StreamSinks:
+    return ingest.StreamSinks(*[f"{root}/{x}" for x in ("raw", "parsed", "store", "malformed", "commit_errors", "checkpoint", "counters")], **more)
+
+
+def q_keyed_versions(spark, sf_dir):
+    """All events sent, and every third again after a restart, through the state of their keys: what the store holds, without collapsing."""
+    root = scratch(spark, "keyed")
+    sinks = _sinks(root, state=f"{root}/state")
+    events = raw_events(spark, sf_dir).select("event_id", "org", F.to_json("fields").alias("payload"))
+    for sent in (events, events.where("event_id % 3 = 0")):
+        sent.select("org", "payload").write.mode("append").parquet(f"{root}/in")
+        ingest.ingest(ingest.read_payloads(spark, f"{root}/in"), sinks, *registry(spark), write_ms=F.lit(1_700_000_000_000)).awaitTermination()
+        ingest.store_versions(spark, sinks, F.lit(1_700_000_000_000)).awaitTermination()
+    return spark.read.parquet(sinks.store).groupBy(F.col("org").cast("string").alias("org"), "metric_id").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("ts_ms").alias("times"))
+
+
+SQL_keyed_versions = f"""
+WITH {_EVENTS}, d AS (SELECT DISTINCT org, metric_id, ts_ms, value, k FROM g) SELECT org, metric_id, count(*) AS n, count(DISTINCT ts_ms) AS times FROM d GROUP BY ALL"""
+
+
+def q_row_commits(spark, sf_dir):
+    """Events of which the store takes all but the one with the largest value: stored ones, the one put aside, and the run's own counters."""
+    root = scratch(spark, "commits")
+    sinks = _sinks(root)
+    events = raw_events(spark, sf_dir)
+    most = events.agg(F.max(F.try_element_at("fields", F.lit("value")).cast("double")).alias("m")).first().m
+    events.select("org", F.to_json("fields").alias("payload")).write.parquet(f"{root}/in")
+    amount = F.get_json_object("known", "$.f_amount").cast("double")
+    refused = F.when(amount == most, F.raise_error(F.lit("refused"))).otherwise(F.col("org"))
+    sinks.transforms = {"store": lambda rows: rows.withColumn("org", refused.cast("string"))}
+    ingest.ingest(ingest.read_payloads(spark, f"{root}/in"), sinks, *registry(spark), write_ms=F.lit(1_700_000_000_000)).awaitTermination()
+    stored = spark.read.parquet(sinks.store).groupBy(F.lit("stored").alias("what")).agg(F.count(F.lit(1)).alias("n"))
+    aside = spark.read.option("recursiveFileLookup", True).parquet(f"{sinks.commit_errors}/source=*").groupBy(F.lit("put aside").alias("what")).agg(F.count(F.lit(1)).alias("n"))
+    counted = ingest.counter_rows(spark, sinks).select(F.stack(F.lit(4), *[x for c in ("handled", "stored", "failed", "uncommitted") for x in (F.lit(f"counted {c}"), F.col(c))]).alias("what", "n"))
+    return A.union_all([stored, aside, counted.groupBy("what").agg(F.sum("n").alias("n"))])
+
+
+SQL_row_commits = f"""
+WITH {_EVENTS}, c AS (SELECT count(*) AS handled, (SELECT count(*) FROM g) AS good, (SELECT count(*) FROM g WHERE value = (SELECT max(value) FROM e)) AS bad FROM e)
+SELECT 'stored' AS what, good - bad AS n FROM c UNION ALL SELECT 'put aside', bad FROM c UNION ALL SELECT 'counted handled', handled FROM c
+UNION ALL SELECT 'counted stored', good - bad FROM c UNION ALL SELECT 'counted failed', handled - good FROM c UNION ALL SELECT 'counted uncommitted', bad FROM c"""
+
+
+def q_manifest_snapshot(spark, sf_dir):
+    """Suppliers' files through a stored manifest whose log becomes a snapshot in between: pending files and failures."""
+    path = f"{scratch(spark, 'manifest')}/manifest"
+    files = table(spark, sf_dir, "supplier").select(F.col("s_nationkey").cast("string").alias("org"), F.col("s_name").alias("file"), F.col("s_suppkey").alias("key"))
+    M.append(M.actions(files, M.PENDING, F.lit(1)), path)
+    M.append(M.actions(files.where("key % 3 = 0"), M.DONE, F.lit(1)), path)  # at the same time
+    M.append(M.actions(files.where("key % 5 = 0"), M.FAILED, F.lit(3), F.lit("no such file")), path)
+    M.compact(spark, path, most=3)
+    M.append(M.actions(files.where("key % 10 = 0"), M.FAILED, F.lit(4), F.lit("still no such file")), path)
+    manifest = M.read(spark, path)
+    waiting = M.pending(manifest).withColumns({"status": F.lit("pending"), "message": F.lit(None).cast("string")})
+    return waiting.unionByName(M.failures(manifest).withColumn("status", F.lit("failed")))
+
+
+SQL_manifest_snapshot = SQL_manifest_state
+
+
+def q_json_lists(spark, sf_dir):
+    """Events as files that are one JSON list each, of at most 500 events, streamed back."""
+    root = scratch(spark, "lists")
+    events = raw_events(spark, sf_dir)
+    grouped = events.groupBy(F.floor(F.col("event_id") / 500).alias("part"), "org").agg(F.concat(F.lit("["), F.array_join(F.collect_list(F.to_json("fields")), ",\n"), F.lit("]")).alias("value"))
+    grouped.write.partitionBy("org", "part").text(f"{root}/in")
+    found = read_json_array(spark, f"{root}/in")
+    return found.groupBy(F.try_element_at("fields", F.lit("metrictype")).alias("kind")).agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.try_element_at("fields", F.lit("value")).cast("double")).alias("most"), F.sum(F.try_element_at("fields", F.lit("k")).cast("long")).alias("k")
+    )
+
+
+SQL_json_lists = f"WITH {_EVENTS} SELECT event_type AS kind, count(*) AS n, max(value) AS most, CAST(sum(k) AS BIGINT) AS k FROM e GROUP BY event_type"
+
+
+def q_csv_headers(spark, sf_dir):
+    """Events as CSV files of which each type has a header of its own, read in one scan and conformed."""
+    root = scratch(spark, "csv")
+    events = raw_events(spark, sf_dir)
+    for i, kind in enumerate(TYPES):
+        of_type = events.where(F.try_element_at("fields", F.lit("metrictype")) == kind)
+        names = ["metrictype", "timestamp", "value", "k", f"extra {i}"]
+        cells = [F.try_element_at("fields", F.lit(n)).alias(n) for n in names[:4]] + [F.concat(F.lit('say "'), "org", F.lit('", please')).alias(names[4])]
+        of_type.select("org", *(cells[i:] + cells[:i])).write.partitionBy("org").option("header", True).csv(f"{root}/in/{kind}")
+    entries = [(o, f"{root}/in/{kind}/org={o}") for o in ORGS for kind in TYPES]
+    found, _ = discover(spark, entries)
+    rows = C.good(C.conform(read_events(spark, found.where("path like '%.csv'")), *registry(spark)))
+    extra = F.array_join(F.array_sort(F.map_values(F.map_filter("unknown", lambda k, v: k.startswith("extra")))), "")
+    return rows.groupBy("org", "metric_id").agg(F.count(F.lit(1)).alias("n"), F.max(F.try_element_at("known", F.lit("f_amount")).cast("double")).alias("most"), F.min(extra).alias("extra"))
+
+
+SQL_csv_headers = f"""
+WITH {_EVENTS} SELECT org, metric_id, count(*) AS n, max(value) AS most, 'say "' || org || '", please' AS extra FROM g GROUP BY ALL"""
+
+
+def q_long_ranges(spark, sf_dir):
+    """Windows of all orders against ranges of up to fifty years, one for each customer with a balance over 9000."""
+    ts = W.millis(F.col("o_orderdate"))
+    windows = table(spark, sf_dir, "orders").select(W.window_start_ms(ts).alias("window_start_ms"), W.window_end_ms(ts).alias("window_end_ms")).distinct()
+    start = F.col("c_custkey") * 7 * DAY
+    ranges = table(spark, sf_dir, "customer").where("c_acctbal > 9000").select(F.col("c_custkey").alias("range_id"), start.alias("range_start"), (start + (F.col("c_custkey") % 50) * 365 * DAY).alias("range_end"))
+    return V.covering_windows(windows, ranges).groupBy("range_id").agg(F.count(F.lit(1)).alias("n"), F.min("window_start_ms").alias("first_ms"), F.max("window_end_ms").alias("last_ms"))
+
+
+SQL_long_ranges = f"""
+WITH w AS (SELECT DISTINCT epoch_ms({_week('o_orderdate')}) AS s, epoch_ms({_week('o_orderdate')}) + {7 * DAY} AS e FROM orders),
+r AS (SELECT c_custkey AS range_id, c_custkey * 7 * {DAY} AS a, c_custkey * 7 * {DAY} + (c_custkey % 50) * 365 * {DAY} AS b FROM customer WHERE c_acctbal > 9000)
+SELECT range_id, count(*) AS n, min(s) AS first_ms, max(e) AS last_ms FROM r JOIN w ON a < e AND s < b AND a < b GROUP BY range_id"""
+
+
+def q_small_files(spark, sf_dir):
+    """Line items appended to the store in four runs, then made fewer files: rows and windows are the same, runs are one."""
+    path = f"{scratch(spark, 'small')}/store"
+    rows = V.store_rows(V.with_ids(_lines(spark, sf_dir), _VALUES).withColumn("ts_ms", F.col("ts_ms").cast("long")), F.lit(1_000))
+    for part in range(4):
+        V.append(rows.where(F.pmod("order_key", F.lit(4)) == part), path)
+    maintenance.compact_small(spark, path)
+    store = V.latest(spark.read.parquet(path))
+    return store.groupBy("window_start_ms").agg(F.count(F.lit(1)).alias("n"), F.sum("quantity").alias("quantity"), F.count_distinct("run").alias("runs"))
+
+
+SQL_small_files = f"""
+WITH {_LINES}, d AS (SELECT DISTINCT org, ts_ms, id, quantity FROM i)
+SELECT epoch_ms({_week("make_timestamp(ts_ms * 1000)")}) AS window_start_ms, count(*) AS n, CAST(sum(quantity) AS BIGINT) AS quantity, 1 AS runs FROM d GROUP BY 1"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("q_") and callable(f)}
 

@@ -29,6 +29,8 @@ TYPES: dict[str, T.DataType] = {
     "BYTES": T.BinaryType(),
 }
 MALFORMED = "apikey string, message string, event string, handled_timestamp long"
+#: The known archive: all metrics and tenants in one schema.
+KNOWN_ROW = "ts_ms long, fields variant, metric_id string, org string, date date, run string"
 UNKNOWN_ROW = "org string, metric_id string, ts_ms long, unknown map<string,string>"
 
 
@@ -43,21 +45,29 @@ def metric_aliases(metrics: DataFrame) -> DataFrame:
     return metrics.select("org", "metric_id", names.alias("alias")).where(F.col("alias").isNotNull()).groupBy("org", "alias").agg(F.min("metric_id").alias("metric_id"))
 
 
+def type_name(column: str = "type") -> Column:
+    """A type as TYPES names it; nested types keep their case, as their fields have names."""
+    return F.when(F.upper(column).isin(*TYPES), F.upper(column)).otherwise(F.col(column))
+
+
 def field_aliases(fields: DataFrame) -> DataFrame:
     """org, metric_id, alias, field_id, type: every name of a field; base keys are never fields."""
     names = F.explode(F.array_distinct(F.concat(F.array("display_name", "field_id"), F.coalesce("aliases", F.array().cast("array<string>")))))
-    exploded = fields.select("org", "metric_id", "field_id", F.upper("type").alias("type"), names.alias("alias"))
+    exploded = fields.select("org", "metric_id", "field_id", type_name().alias("type"), names.alias("alias"))
     named = exploded.where(F.col("alias").isNotNull() & ~F.col("alias").isin(*BASE_KEYS))
     return named.groupBy("org", "metric_id", "alias").agg(F.min_by("type", "field_id").alias("type"), F.min("field_id").alias("field_id"))
 
 
+def field_types(fields: DataFrame) -> DataFrame:
+    """org, metric_id, types (field_id -> type): of a field that is registered with several types the first by name counts."""
+    once = fields.where(F.col("field_id").isNotNull()).groupBy("org", "metric_id", "field_id").agg(F.min(type_name()).alias("type"))
+    return once.groupBy("org", "metric_id").agg(F.map_from_entries(F.collect_list(F.struct("field_id", "type"))).alias("types"))
+
+
 def lookup(metrics: DataFrame, fields: DataFrame) -> DataFrame:
     """org, alias -> metric_id, names (alias -> field_id), types (field_id -> type), ts_aliases, ts_formats: one row an alias."""
-    aliased = field_aliases(fields)
-    maps = aliased.groupBy("org", "metric_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("alias", "field_id"))).alias("names"),
-        F.map_from_entries(F.collect_set(F.struct("field_id", "type"))).alias("types"),
-    )
+    names = field_aliases(fields).groupBy("org", "metric_id").agg(F.map_from_entries(F.collect_list(F.struct("alias", "field_id"))).alias("names"))
+    maps = names.join(field_types(fields), ["org", "metric_id"])
     empty = F.array().cast("array<string>")
     stamps = metrics.select("org", "metric_id", F.coalesce("ts_aliases", empty).alias("ts_aliases"), F.coalesce("ts_formats", empty).alias("ts_formats"))
     none = F.create_map().cast("map<string,string>")
@@ -90,17 +100,32 @@ def fits(value: Column, type_name: Column) -> Column:
     return out
 
 
-def field_columns(fields: DataFrame, metric_id: str, org: str | None = None) -> list[tuple[str, str, str | None, list[str]]]:
-    """(field_id, type, display_name, aliases) of a metric's visible fields, sorted: bounded by the registry."""
-    chosen = fields.where((F.col("metric_id") == metric_id) & F.coalesce("visible", F.lit(True)))
+def _resolved(fields: DataFrame, metric_id: str, org: str | None) -> DataFrame:
+    """A row for each visible field of a metric, in the registry's order: by ``position`` where it has that column, then by field_id.
+
+    Without a tenant, and where a field is registered twice, the first type by name counts.
+    """
+    chosen = fields.where((F.col("metric_id") == metric_id) & F.coalesce("visible", F.lit(True)) & F.col("field_id").isNotNull())
     if org is not None:
         chosen = chosen.where(F.col("org") == org)
-    return [(r.field_id, r.type.upper(), r.display_name, list(r.aliases or [])) for r in chosen.dropDuplicates(["field_id"]).orderBy("field_id").collect()]
+    position = F.min("position") if "position" in fields.columns else F.lit(None).cast("int")
+    first = F.min(F.struct(type_name().alias("type"), "display_name", "aliases")).alias("r")
+    return chosen.groupBy("field_id").agg(position.alias("position"), first).select("field_id", "position", "r.*").orderBy(F.asc_nulls_last("position"), "field_id")
+
+
+def field_columns(fields: DataFrame, metric_id: str, org: str | None = None) -> list[tuple[str, str, str | None, list[str]]]:
+    """(field_id, type, display_name, aliases) of a metric's visible fields, in order: bounded by the registry."""
+    return [(r.field_id, r.type, r.display_name, list(r.aliases or [])) for r in _resolved(fields, metric_id, org).collect()]
 
 
 def known_columns(fields: DataFrame, metric_id: str, org: str | None = None) -> list[tuple[str, str]]:
-    """(field_id, type) of a metric's visible fields, sorted: bounded by the registry."""
-    chosen = fields.where((F.col("metric_id") == metric_id) & F.coalesce("visible", F.lit(True)))
-    if org is not None:
-        chosen = chosen.where(F.col("org") == org)
-    return [(r.field_id, r.type.upper()) for r in chosen.select("field_id", "type").distinct().orderBy("field_id").collect()]
+    """(field_id, type) of a metric's visible fields, in order: bounded by the registry."""
+    return [(r.field_id, r.type) for r in _resolved(fields, metric_id, org).collect()]
+
+
+def as_variant(value: Column, kind: Column) -> Column:
+    """A string as a variant of the type that a column names; null if it doesn't fit. Nested types are read as JSON, other types stay text."""
+    out = F.when(F.upper(kind).rlike("^(ARRAY|STRUCT|MAP)\\b"), F.try_parse_json(value)).otherwise(value.cast("variant"))
+    for name in ("BOOLEAN", "INTEGER", "INT", "LONG", "FLOAT", "DOUBLE"):
+        out = F.when(kind == name, cast_value(value, name).cast("variant")).otherwise(out)
+    return F.when(kind == "BYTES", value.cast("binary").cast("variant")).otherwise(out)

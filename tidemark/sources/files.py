@@ -1,16 +1,28 @@
-"""Event files: discovery, format by name, JSON and CSV lines as maps."""
+"""Event files: discovery, format by name, JSON and CSV lines and JSON lists as maps."""
 
 from __future__ import annotations
 
+import codecs
+import json
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
-from urllib.parse import unquote
+from urllib.parse import quote
 
+import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.sources import folders
+from tidemark.sources.requests import fields_of
+
 FOUND = "org string, file string, path string, location string, size long"
+LINES = "payload string, path string, fields map<string,string>"
+#: Bytes that are read of a file at once, characters of an element of a JSON list, rows and characters of a batch.
+CHUNK, MOST_ELEMENT, BATCH_ROWS, BATCH_CHARS = 1 << 20, 64 << 20, 1_000, 4 << 20
+#: Tasks that read files which Spark's own readers don't.
+MOST_TASKS = 10_000
 
 
 def literal(path: str) -> str:
@@ -18,87 +30,196 @@ def literal(path: str) -> str:
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
 
-def format_of(path: Column) -> Column:
-    """csv for .csv and .csv.gz, json for all else."""
-    return F.when(F.regexp_like(path, F.lit(r"\.csv(\.gz)?$")), F.lit("csv")).otherwise(F.lit("json"))
+def plain_location(location: str) -> str:
+    """One form for local files, which listings and readers write with one slash or three."""
+    return re.sub("^file:/+", "file:/", location)
 
 
-def _statuses(spark: SparkSession, locations: list[str]) -> list[str | None]:
-    """The full path of each location, as listings name it; none where there is nothing."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+def hidden(path: str) -> bool:
+    """Whether Spark's readers pass over a file for its name, even if it is asked for."""
+    return path.rstrip("/").rpartition("/")[2].startswith(("_", "."))
 
-    def status(location: str) -> str | None:
-        path = jvm.org.apache.hadoop.fs.Path(location)
-        system = path.getFileSystem(conf)
-        return system.getFileStatus(path).getPath().toString() if system.exists(path) else None
 
-    with ThreadPoolExecutor(16) as pool:
-        return list(pool.map(status, locations))
+def format_of(path: Column) -> Column:
+    """csv for .csv and .csv.gz, json-array for .json-array and .json-array.gz, json for all else."""
+    named = lambda ending: F.regexp_like(path, F.lit(rf"\.{ending}(\.gz)?$"))
+    return F.when(named("csv"), F.lit("csv")).when(named("json-array"), F.lit("json-array")).otherwise(F.lit("json"))
 
 
 def discover(spark: SparkSession, pending: list[tuple[str, str]], scheme: str = "file:") -> tuple[DataFrame, DataFrame]:
     """Files under every pending entry (org, path), and the entries that don't exist with the reason.
 
-    Only names and sizes are read, in one listing for all entries. ``path`` is what a reader takes, ``location`` what
-    rows carry as ``_metadata.file_path``, where some signs are encoded. A file that two entries name has a row for each.
+    Every file counts, those in hidden folders and with hidden names as well. Only names and sizes are read, an entry at a time.
+    ``path`` is what a reader takes, ``location`` what rows carry as ``_metadata.file_path``, where some signs are
+    encoded. A file that two entries name has a row for each.
     """
     locations = [entry if re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", entry) else scheme + entry for _, entry in pending]
-    roots = _statuses(spark, locations)
-    failed = [(org, entry, f"PATH_NOT_FOUND: {where}") for (org, entry), where, root in zip(pending, locations, roots) if root is None]
-    there = [(org, entry, root.rstrip("/")) for (org, entry), root in zip(pending, roots) if root is not None]
-    failures = spark.createDataFrame(failed, "org string, file string, message string")
-    if not there:
-        return spark.createDataFrame([], FOUND), failures
-    names = [literal(root) for root in sorted({r for _, _, r in there})]
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(names)
-    listed = listed.select("path", F.col("_metadata.file_path").alias("location"), F.col("length").alias("size")).distinct()
-    # a file belongs to an entry that names it or a folder above it
-    parts = F.split("path", "/")
-    above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n), "/"))
-    entries = spark.createDataFrame(there, "org string, file string, root string")
-    found = listed.withColumn("root", F.explode(above)).join(entries, "root")
-    return found.select("org", "file", "path", "location", "size"), failures
+    with ThreadPoolExecutor(16) as pool:
+        listed = list(pool.map(lambda location: folders.files(spark, location), locations))
+    failed = [(org, entry, f"PATH_NOT_FOUND: {where}") for (org, entry), where, files in zip(pending, locations, listed) if files is None]
+    found = [(org, entry, path, plain_location(location), size) for (org, entry), files in zip(pending, listed) for path, location, size in files or []]
+    return spark.createDataFrame(found, FOUND), spark.createDataFrame(failed, "org string, file string, message string")
+
+
+# ---- files that Spark's readers don't read, or only whole ----
+
+
+def _opened(path: str) -> pa.NativeFile:
+    """A file as a stream, unpacked if its name says so."""
+    if path.startswith("file:"):
+        return pyarrow.fs.LocalFileSystem().open_input_stream("/" + path[len("file:") :].lstrip("/"))
+    store, name = pyarrow.fs.FileSystem.from_uri(quote(path, safe=":/@+,;=&$!*'()"))
+    return store.open_input_stream(name)
+
+
+def _streamed(spark: SparkSession, paths: list[str], rows_of: Callable[[pa.NativeFile], Iterator[tuple]], kinds: str, schema: pa.Schema) -> DataFrame:
+    """Rows (location, then what ``rows_of`` gives) of files that are streamed, each by one task."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, location in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                held, chars = [], 0
+                with _opened(path) as stream:
+                    for row in rows_of(stream):
+                        held.append((location, *row))
+                        chars += len(row[0])
+                        if len(held) == BATCH_ROWS or chars >= BATCH_CHARS:
+                            yield _batch(held, schema)
+                            held, chars = [], 0
+                if held:
+                    yield _batch(held, schema)
+
+    encoded = [spark._jvm.org.apache.hadoop.fs.Path(p).toUri().toString() for p in sorted(paths)]  # as other rows carry it
+    names = spark.createDataFrame(list(zip(sorted(paths), encoded)), "path string, location string")
+    return names.repartitionByRange(min(len(paths), MOST_TASKS), "path").mapInArrow(read, kinds)
+
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+
+def text_lines(stream: Iterable) -> Iterator[tuple[str, int]]:
+    """The lines of a stream and their numbers."""
+    decoder, rest, n = codecs.getincrementaldecoder("utf-8")("replace"), "", 0
+    for chunk in iter(lambda: stream.read(CHUNK), b""):
+        *lines, rest = (rest + decoder.decode(chunk)).split("\n")
+        for line in lines:
+            yield line.removesuffix("\r"), n
+            n += 1
+    if rest:
+        yield rest.removesuffix("\r"), n
+
+
+def list_elements(stream: Iterable) -> Iterator[tuple[str, list[tuple[str, str | None]] | None]]:
+    """Text and fields of each element of a stream that is one JSON list; what is no object has no fields.
+
+    Only the element being read is held. What can't be read ends the list, as one element without fields.
+    """
+    decoder, parser = codecs.getincrementaldecoder("utf-8")("replace"), json.JSONDecoder()
+    buffer, begun, wanted = "", False, 0
+    while True:
+        chunk = stream.read(CHUNK)
+        buffer += decoder.decode(chunk, final=not chunk)
+        if chunk and len(buffer) < wanted:
+            continue
+        at = 0
+        while True:
+            at = re.compile(r"[\s,]*" if begun else r"[\s\ufeff]*").match(buffer, at).end()
+            if at == len(buffer):
+                break
+            if not begun and buffer[at] == "[":
+                begun, at = True, at + 1
+                continue
+            if begun and buffer[at] == "]":
+                return
+            try:
+                value, end = parser.raw_decode(buffer, at)
+            except ValueError:
+                break
+            if not begun or (end == len(buffer) and chunk and not isinstance(value, (dict, list, str))):
+                break  # no list, or a number that may go on
+            fields = list(fields_of(value).items()) if isinstance(value, dict) else None
+            yield buffer[at:end], fields
+            at = end
+        buffer = buffer[at:]
+        if not chunk or len(buffer) > MOST_ELEMENT or (buffer and not begun):
+            if buffer.strip():
+                yield buffer, None
+            return
+        wanted = 2 * len(buffer)  # an element that goes on is not tried again for each chunk
+
+
+def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """value, path, start (of the block), n (grows inside a block) of every line."""
+    seen, others = [p for p in paths if not hidden(p)], [p for p in paths if hidden(p)]
+    frames = []
+    if seen:
+        text = spark.read.text([literal(p) for p in seen])
+        frames.append(text.select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("n")))
+    if others:
+        schema = pa.schema([("path", pa.string()), ("value", pa.string()), ("n", pa.int64())])
+        streamed = _streamed(spark, others, text_lines, "path string, value string, n long", schema)
+        frames.append(streamed.select("value", "path", F.lit(0).cast("long").alias("start"), "n"))
+    lines = frames[0].unionByName(frames[1]) if len(frames) > 1 else frames[0]
+    return lines.where(F.length(F.trim("value")) > 0)
+
+
+# ---- readers ----
 
 
 def read_json(spark: SparkSession, paths: list[str]) -> DataFrame:
     """payload, fields, path of every line, plain or compressed; a line that is no object has null fields."""
-    lines = spark.read.text(paths).select(F.col("value").alias("payload"), F.col("_metadata.file_path").alias("path"))
-    return lines.where(F.length(F.trim("payload")) > 0).withColumn("fields", F.from_json("payload", "map<string,string>"))
+    return _lines(spark, paths).select(F.col("value").alias("payload"), "path", F.from_json("value", "map<string,string>").alias("fields"))
+
 
+def cells(line: Column) -> Column:
+    """The cells of a CSV line as an array: empty ones are null, quoted ones lose their quotes; a quote inside is doubled or behind a backslash."""
+    raw = F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(r',("(?:[^"\\]|\\.|"")*"|[^,]*)'), F.lit(1))
+    inner = lambda c: F.regexp_replace(F.substring(c, F.lit(2), F.length(c) - 2), r'\\"|""', '"')
+    return F.transform(raw, lambda c: F.when(c.startswith('"') & c.endswith('"') & (F.length(c) > 1), inner(c)).otherwise(F.nullif(c, F.lit(""))))
 
-def headers(spark: SparkSession, paths: list[str]) -> dict[str, list[str]]:
-    """The CSV files by their first line, from one pass over all of them; empty files are left out."""
-    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("n"))
-    first = lines.where("start = 0").groupBy("path").agg(F.min_by("value", "n").alias("head"))
-    out: dict[str, list[str]] = {}
-    for r in first.orderBy("path").collect():  # names and headers of files
-        out.setdefault(r.head, []).append(literal(unquote(r.path)))
-    return out
+
+def headers(lines: DataFrame) -> DataFrame:
+    """path, head of each file: its first line, from first blocks only."""
+    return lines.where("start = 0").groupBy("path").agg(F.min_by("value", "n").alias("head"))
 
 
 def read_csv(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """The same for CSV with a header; files with one header are read together, values stay text."""
-    frames = []
-    for same in headers(spark, paths).values():
-        data = spark.read.option("header", True).option("inferSchema", False).csv(same)
-        names = data.columns
-        present = F.map_filter(F.map_from_arrays(F.array(*[F.lit(c) for c in names]), F.array(*[F.col(f"`{c}`") for c in names])), lambda k, v: v.isNotNull())
-        frames.append(data.select(F.to_json(present).alias("payload"), F.col("_metadata.file_path").alias("path"), present.alias("fields")))
-    if not frames:
-        return spark.createDataFrame([], "payload string, path string, fields map<string,string>")
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.unionByName(frame)
-    return out
+    """The same for CSV with a header, in one scan for any number of headers: values stay text, by the names of their own file's header.
+
+    A line equal to the header is none, and a line is a row (no line breaks in quotes). Columns without a name, or with that
+    of one before, are named by their place as well; cells beyond the header are dropped.
+    """
+    lines = _lines(spark, paths)
+    found = headers(lines).collect()  # names and headers of files
+    if not found:
+        return spark.createDataFrame([], LINES)
+    named = spark.createDataFrame([(r.path, r.head) for r in found], "path string, head string").withColumn("names", cells(F.col("head")))
+    named = named.withColumn("names", F.transform("names", lambda c, i: F.coalesce(c, F.concat(F.lit("_c"), i.cast("string")))))
+    once = F.transform("names", lambda c, i: F.when(F.array_contains(F.slice("names", 1, i), c), F.concat(c, i.cast("string"))).otherwise(c))
+    rows = lines.join(named.withColumn("names", once), "path").where("value <> head")
+    pairs = F.zip_with("names", cells(F.col("value")), lambda k, v: F.struct(k.alias("key"), v.alias("value")))
+    fields = F.map_from_entries(F.filter(pairs, lambda p: p["key"].isNotNull() & p["value"].isNotNull()))
+    return rows.withColumn("fields", fields).select(F.to_json("fields").alias("payload"), "path", "fields")
+
+
+def read_json_list(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The same for files that are one JSON list each, of any size: a file is streamed, and only one element of it held."""
+    schema = pa.schema([("path", pa.string()), ("payload", pa.string()), ("fields", pa.map_(pa.string(), pa.string()))])
+    return _streamed(spark, paths, list_elements, "path string, payload string, fields map<string,string>", schema).select("payload", "path", "fields")
 
 
 def read_json_array(spark: SparkSession, path: str) -> DataFrame:
-    """fields of every event of files that are one JSON list each."""
-    whole = spark.read.text(path, wholetext=True)
-    return whole.select(F.explode(F.from_json("value", "array<map<string,string>>")).alias("fields"))
+    """fields of every event of a file, or of all files of a folder, that are one JSON list each."""
+    files = [p for p, _, _ in folders.files(spark, path) or []]
+    return read_json_list(spark, files).select("fields") if files else spark.createDataFrame([], "fields map<string,string>")
+
+
+def _location(path: Column) -> Column:
+    return F.regexp_replace(path, "^file:/+", "file:/")
 
 
-READERS: dict[str, Callable[[SparkSession, list[str]], DataFrame]] = {"json": read_json, "csv": read_csv}
+READERS: dict[str, Callable[[SparkSession, list[str]], DataFrame]] = {"json": read_json, "csv": read_csv, "json-array": read_json_list}
 
 
 def read_events(spark: SparkSession, found: DataFrame, readers: dict[str, Callable] | None = None) -> DataFrame:
@@ -110,12 +231,12 @@ def read_events(spark: SparkSession, found: DataFrame, readers: dict[str, Callab
     listed = found.select("path", format_of(F.col("path")).alias("format")).distinct().collect()  # names only, as Spark's own listing
     frames = []
     for kind in sorted({r.format for r in listed}):
-        paths = sorted(literal(r.path) for r in listed if r.format == kind)
+        paths = sorted(r.path for r in listed if r.format == kind)
         frames.append(readers[kind](spark, paths).select("payload", "fields", "path"))
     if not frames:
         return spark.createDataFrame([], "org string, payload string, fields map<string,string>")
     lines = frames[0]
     for frame in frames[1:]:
         lines = lines.unionByName(frame)
-    orgs = found.select("org", F.col("location").alias("path")).distinct()
-    return lines.join(orgs, "path", "left").select("org", "payload", "fields")
+    orgs = found.select("org", "location").distinct()
+    return lines.withColumn("location", _location(F.col("path"))).join(orgs, "location", "left").select("org", "payload", "fields")

@@ -52,6 +52,11 @@ def payload_events(payloads: DataFrame, payload: str = "payload") -> DataFrame:
     return each.where(F.col("fields").isNotNull())
 
 
+def fields_of(event: dict) -> dict[str, str | None]:
+    """An event's fields as texts: strings as they are, all else as JSON."""
+    return {k: v if isinstance(v, str) else None if v is None else json.dumps(v) for k, v in event.items()}
+
+
 def split_objects(text: str | None) -> list[dict[str, str] | None]:
     """Top-level objects of a text that may hold several in a row, arrays flattened, scalars skipped.
 
@@ -62,7 +67,7 @@ def split_objects(text: str | None) -> list[dict[str, str] | None]:
 
     def take(value: object) -> Iterator[dict[str, str]]:
         if isinstance(value, dict):
-            yield {k: v if isinstance(v, str) else None if v is None else json.dumps(v) for k, v in value.items()}
+            yield fields_of(value)
         elif isinstance(value, list):
             for v in value:
                 yield from take(v)
