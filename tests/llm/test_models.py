@@ -4,7 +4,7 @@ import hashlib
 import html as html_module
 import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -218,6 +218,55 @@ def test_a_context_of_many_things_adds_nothing(spark):
     assert all(found[i] == {span("ip", t, f"{10 + i}.0.0.1")} if i < 100 else found[i] == set() for i, t in texts)
 
 
+@pytest.mark.parametrize("others", [900, 20_000])
+def test_a_rare_context_is_learned_whatever_the_others(spark, others):
+    """Eight numbers of an unknown form behind a phrase with eight seeds, among many seeds of no context of their own."""
+    rng = np.random.default_rng(3)
+    phone = lambda i: f"+49 30 {1_000_000 + i}"
+    words = ["lamp", "river", "stone", "green", "seven", "cloud", "paper", "glass", "horse", "north"] * 4
+    some = lambda n: " ".join(f"{words[j]}{j}" for j in rng.integers(0, len(words), n))
+    texts = [(i, f"{some(6)} {phone(i)} {some(6)}") for i in range(others)]
+    texts += [(100_000 + i, f"{some(4)} reach the desk under {phone(50_000 + i)} in the morning {some(3)}") for i in range(8)]
+    texts += [(200_000 + i, f"{some(4)} reach the desk under 030-55{i}1{i} in the morning {some(3)}") for i in range(8)]
+    texts += [(300_000 + i, f"{some(4)} part 030-66{i}1{i} ; {some(3)}") for i in range(8)]
+    found = spans_of(spark, texts)
+    by_id = dict(texts)
+    for i in range(8):
+        assert found[200_000 + i] == {span("phone", by_id[200_000 + i], f"030-55{i}1{i}")} and found[300_000 + i] == set()
+    assert all(len(found[i]) == 1 for i in range(others))
+
+
+def test_precision_of_contexts_equals_brute_force(spark):
+    """Words before: their seeds by a plain regular expression over the texts, all their places by another."""
+    rng = np.random.default_rng(8)
+    words = ["to", "call", "us", "at", "the", "of"]
+    texts = []
+    for i in range(1_500):
+        before = " ".join(words[j] for j in rng.integers(0, len(words), 4)) + (" please ring", " so there", "")[i % 3]
+        what = f"{i % 250}.1.2.3" if rng.random() < (0.6, 0.2, 0.1)[i % 3] else f"x{i}"
+        texts.append((i if i % 7 else None, f"{before} {what} and {before}"))
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    found = pii.with_base(docs).select(F.explode("seeds").alias("s")).select("s.entity", F.explode("s.patterns").alias("pattern"))
+    wanted = found.groupBy("pattern").agg(F.count(F.lit(1)).alias("places"), F.count_distinct("entity").alias("n")).where(f"n >= {pii.LEAST_SEEDS} and pattern like 'L%'")
+    seeds, places = defaultdict(list), Counter()
+    for _, text in texts:
+        for m in re.finditer(r"(?=\b(\w+ \w+ )([^ ]+))", text):
+            places[m[1]] += 1
+            if re.fullmatch(r"\d+\.1\.2\.3", m[2]):
+                seeds[m[1]].append(m[2])
+    want = {c for c, e in seeds.items() if len(set(e)) >= pii.LEAST_SEEDS and len(e) >= pii.FLOOR * places[c]}
+    got = {r.pattern[1:] for r in pii.precise(spark, docs, wanted).collect()}
+    assert got == want and "please ring " in want and len(seeds) > len(want)
+
+
+def test_pii_of_repeated_rows_and_null_ids(spark):
+    texts = [(i, f"Some words. Server address: 10.0.{i}.{i + 1} is up. Other words {i}.") for i in range(40)]
+    odd = "More words. Server address: 10.0.999.300 is up."
+    found = pii.report(pii.find_pii(spark, spark.createDataFrame([*texts, (7, odd), (7, odd), (None, odd), (None, None)], "doc_id long, text string"))).collect()
+    spans = Counter((r.doc_id, r.spans) for r in found)
+    assert spans[(7, "ip:28:40")] == 2 and spans[(None, "ip:28:40")] == 1 and spans[(None, "")] == 1 and sum(spans.values()) == 44
+
+
 def brute_scores(edges, rounds):
     """The graph's scores by plain loops."""
     pats = {p for p, _, k in edges if k is not None}

@@ -9,8 +9,10 @@ sure as its instances are, an instance as its other patterns are. Instances that
 of the next iteration, with the patterns of every place where they stand, until no new pattern comes up.
 The places of sure instances are added to the fixed forms.
 
-Patterns are looked up in slices of bounded size. Before any instance is written, each pattern's places
-are counted, and patterns most of whose places hold nothing known are dropped, so a common phrase costs one row a task.
+Patterns are looked up in slices of bounded size. Before any instance is written, each pattern's places are counted, and
+patterns most of whose places hold no seed are dropped. The places of seeds are known from the start, so a pattern
+is out as soon as a part of the corpus has too many places for them: parts that grow are counted one after the other,
+and common phrases, however many, cost a small part of the corpus, while rare ones are counted in all of it.
 """
 
 from __future__ import annotations
@@ -30,8 +32,8 @@ KINDS = ("email", "ip", "card", "phone")
 #: Iterations of the bootstrap at most, rounds of scoring in each, confidence and different seed entities that a
 #: pattern needs, weight of doubt, share of a pattern's places that must hold something known.
 ITERATIONS, ROUNDS, CONFIDENT, LEAST_SEEDS, DOUBT, FLOOR = 5, 5, 0.8, 5, 0.5, 0.3
-#: Share of its kind's seeds that a pattern needs: so the patterns to look up don't grow with the corpus.
-LEAST_SHARE = 0.01
+#: Ends of the parts of the corpus that places are counted in, in shares of the last.
+PARTS = (1, 8, 64)
 #: Words of a left or right context; strings that are looked up at a time.
 CONTEXT, SLICE = 2, 50_000
 LEFT, RIGHT, GAP, ENTITY = "L", "R", "G", "E"
@@ -277,6 +279,20 @@ def looked_up(spark: SparkSession, docs: DataFrame, wanted: DataFrame, counted:
     return out
 
 
+def precise(spark: SparkSession, docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The patterns of ``wanted`` (pattern, places: of its seeds) with seeds at FLOOR of all their places or more; counted over all ``docs``."""
+    left, before = staged(spark, wanted.select("pattern", "places", F.lit(0).cast("long").alias("n")), "pii-candidates"), 0
+    share = F.pmod(F.xxhash64(docs["doc_id"].cast("long"), docs["text"].cast("string")), F.lit(PARTS[-1]))
+    for end in PARTS:
+        found = looked_up(spark, docs.where((share >= before) & (share < end)), left.select("pattern"), True)
+        if found is None:
+            break
+        more = found.groupBy("pattern").agg(F.sum(F.col("known") + F.col("other")).alias("more"))
+        summed = left.join(more, "pattern", "left").select("pattern", "places", (F.col("n") + F.coalesce("more", F.lit(0).cast("long"))).alias("n"))
+        left, before = staged(spark, summed.where(F.col("places") >= FLOOR * F.col("n")), "pii-candidates"), end
+    return left.select("pattern")
+
+
 def scored_graph(spark: SparkSession, edges: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
     """(pattern, kind, confidence) of all patterns and (entity, kind, belief) of all unknown entities.
 
@@ -312,26 +328,21 @@ def discovered(spark: SparkSession, docs: DataFrame, found: DataFrame) -> DataFr
 
     ``found``: ``with_base`` of the documents.
     """
-    seeds = found.select(F.explode("seeds").alias("s")).select("s.kind", "s.entity", F.explode("s.patterns").alias("pattern")).distinct()
-    seeds = staged(spark, seeds, "pii-seeds")
+    seeds = found.select(F.explode("seeds").alias("s")).select("s.kind", "s.entity", F.explode("s.patterns").alias("pattern"))
+    seeds = staged(spark, seeds.groupBy("kind", "entity", "pattern").agg(F.count(F.lit(1)).alias("places")), "pii-seeds")
     tried, graph, sure, belief = None, None, None, None
     for _ in range(ITERATIONS):
         # patterns of enough different seeds that were not looked up before
-        of = F.broadcast(seeds.groupBy("kind").agg(F.count_distinct("entity").alias("of")))  # a row for each of KINDS
-        support = seeds.groupBy("pattern", "kind").agg(F.count_distinct("entity").alias("n")).join(of, "kind")
-        wanted = support.where((F.col("n") >= LEAST_SEEDS) & (F.col("n") >= LEAST_SHARE * F.col("of"))).select("pattern").distinct()
+        support = seeds.groupBy("pattern", "kind").agg(F.count_distinct("entity").alias("n"), F.sum("places").alias("places"))
+        wanted = support.groupBy("pattern").agg(F.max("n").alias("n"), F.sum("places").alias("places")).where(F.col("n") >= LEAST_SEEDS)
         if tried is not None:
             wanted = wanted.join(tried, "pattern", "left_anti")
-        wanted = staged(spark, wanted, "pii-candidates")
-        counts = looked_up(spark, docs, wanted, True)
-        if counts is None:
+        wanted = staged(spark, wanted.select("pattern", "places"), "pii-wanted")
+        if wanted.isEmpty():
             break
-        tried = wanted if tried is None else staged(spark, tried.union(wanted), "pii-tried")
+        tried = wanted.select("pattern") if tried is None else staged(spark, tried.union(wanted.select("pattern")), "pii-tried")
         certain = seeds.select("entity").distinct()
-        good = counts.groupBy("pattern").agg(F.sum("known").alias("known"), F.sum("other").alias("other"))
-        # places of seeds that no fixed form names are known too, but are not counted here: they get the benefit of the doubt
-        by_seeds = seeds.groupBy("pattern").agg(F.count_distinct("entity").alias("own"))
-        good = good.join(by_seeds, "pattern").where(F.greatest("known", "own") >= FLOOR * (F.col("known") + F.col("other"))).select("pattern")
+        good = precise(spark, docs, wanted)
         rows = looked_up(spark, docs, good, False)
         if rows is None:
             continue
@@ -349,7 +360,8 @@ def discovered(spark: SparkSession, docs: DataFrame, found: DataFrame) -> DataFr
         if stands is None:
             break
         more = stands.where(F.col("kind").isNull()).select("entity", F.explode("patterns").alias("pattern")).join(maybe_broadcast(new), "entity")
-        seeds = staged(spark, seeds.unionByName(more).distinct(), "pii-seeds")
+        more = more.groupBy("kind", "entity", "pattern").agg(F.count(F.lit(1)).alias("places"))
+        seeds = staged(spark, seeds.unionByName(more), "pii-seeds")
     if sure is None or sure.isEmpty():
         return None
     placed = graph.where(F.col("kind").isNull()).drop("kind").join(maybe_broadcast(sure), "entity")
