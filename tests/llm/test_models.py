@@ -552,6 +552,53 @@ def test_alignment_decides_the_text(spark, monkeypatch):
     assert [html_wrapper.main_text(html_wrapper.choose(joined), p, frozenset()) for p in pages] != good
 
 
+ARTICLE = "<div id='main'><div class='entry'><h1>Title {0}</h1><p>First {0} text of the day.</p><p>Second {0} text, and more of it.</p></div></div>"
+
+
+@pytest.mark.parametrize(
+    "body, want",
+    [
+        # a form around the whole page, and one inside it
+        ("<form id='aspnetForm' action='x'><div class='nav'><a href='/'>Home</a></div>" + ARTICLE + "<div class='footer'>Foot</div></form>", None),
+        ("<div class='nav'><a href='/'>Home</a></div>" + ARTICLE + "<form><p>Your mail {0}</p></form>", None),
+        # the article's own header, beside the site's
+        ("<div class='site-header'><p>The site {0}</p></div><article><div class='entry-header'><h1>Title {0}</h1></div><p>First {0} text of the day.</p><p>Second {0} text, and more of it.</p></article>", None),
+        ("<article><h1>Title {0}</h1><section class='related-work'><p>First {0} text of the day.</p></section><p class='social-history'>Second {0} text, and more of it.</p>"
+         "<div class='related-posts'><ul><li><a href='/a'>Other {0}</a></li><li><a href='/b'>One more {0}</a></li></ul></div><div class='share'>Share this with all</div></article>", None),
+        # reader comments as articles, in a section and by themselves
+        (ARTICLE + "<section class='comments'><h3>Comments</h3><article><p>I say {0} and much more than that.</p></article><article><p>So do I, {0}, at length.</p></article></section>", None),
+        ("<article><h1>Title {0}</h1><p>First {0} text of the day.</p><p>Second {0} text, and more of it.</p></article><article class='comment byuser'><p>I say {0} and much more than that.</p></article>", None),
+        # elements inside a sentence
+        ("<article><h1>Title</h1><p>Press <button type='button'>Start</button> to begin {0}.</p><p>Type <input name='x'> here, see <object>this</object> {0}.</p><p><button>Subscribe</button></p></article>",
+         "Title\nPress Start to begin {0}.\nType here, see this {0}."),
+    ],
+)
+def test_what_stands_in_an_article_stays(spark, body, want):
+    rows = [(i, f"https://p.example/{i}", f"<html><body>{body}</body></html>".format(f"word{i}")) for i in range(10)]
+    found = extracted(spark, rows)
+    plain = want or "Title {0}\nFirst {0} text of the day.\nSecond {0} text, and more of it."
+    assert found == {i: plain.format(f"word{i}") for i in range(10)}
+
+
+def test_the_wrapper_decides_where_no_tag_does(spark):
+    """Boxes without names: what repeats over the host's pages is longer than the article, and another box of the page's own comes before it.
+
+    A page for itself is read wrongly, as its longest box is the host's own text; the host's wrapper reads all pages rightly.
+    """
+    own = "".join(f"<p>Our house was founded long ago, and part {i} of its rules is told on each page to each of our readers.</p>" for i in range(8))
+    rows, want = [], {}
+    for i in range(24):
+        menu = "".join(f"<div><a href='/{k}'>Place {k}</a></div>" for k in range(5))
+        notice = f"<div><p>Day {i} of the month</p></div>"
+        text = [f"Report {i}", f"In town {i} a bridge was opened.", f"It is {i} feet long."]
+        rows.append((i, f"https://q.example/{i}", f"<html><body><div>{menu}</div>{notice}<div><h1>{text[0]}</h1><p>{text[1]}</p><p>{text[2]}</p></div><div>{own}</div></body></html>"))
+        want[i] = "\n".join(text)
+    found = extracted(spark, rows)
+    alone = {r[0]: html_wrapper.main_text(None, r[2], frozenset()) for r in rows}
+    assert found == want
+    assert all(alone[i] != want[i] and "Our house" in alone[i] for i in want)
+
+
 def test_wrappers_merge_in_rounds(spark, monkeypatch):
     rows = site("j.example", "<body><article><h1>A</h1><p>{0}</p></article><footer>F {0}</footer></body>", 40)
     want = extracted(spark, rows)

@@ -65,6 +65,12 @@ ASIDE_WORDS = COMMENT_WORDS | frozenset(
     "footer header login masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promoted "
     "related share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget".split()
 )
+#: Of these, words that also stand before what an article is about: such an element inside the main region is aside only if it reads so.
+MODIFIERS = frozenset("header related share sharing social".split())
+#: Words with which a header is an article's own.
+OWN = frozenset("article blog content entry page post story".split())
+#: Elements that are part of a sentence that they stand in.
+IN_LINE = frozenset("button input object".split())
 #: Words of a class that say what its element has or does, not what it is.
 STATES = frozenset("has no not with without is open closed enabled disabled active on off".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
@@ -90,7 +96,8 @@ Item = list
 def aside_word(token: str) -> str | None:
     """The word for which a class or id sets its element aside, if it has one and no word of STATES."""
     parts = _PART.findall(token)
-    return next((p for p in parts if p in ASIDE_WORDS), None) if STATES.isdisjoint(parts) else None
+    word = next((p for p in parts if p in ASIDE_WORDS), None) if STATES.isdisjoint(parts) else None
+    return None if word == "header" and not OWN.isdisjoint(parts) else word
 
 
 @lru_cache(maxsize=20_000)
@@ -101,10 +108,12 @@ def element_label(name: str, attributes: str) -> str:
         key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if key == "hidden" or key == "role" and value in ROLES:
             marks.append("!")
-        elif key in ("class", "id") and name not in WHOLE:
+        elif key in ("class", "id") and (name not in WHOLE or name == "article"):
             for t in value.split():
                 word = aside_word(t)
-                if word or name not in LINES and not any(c.isdigit() for c in t):
+                if name == "article":
+                    marks += [word] if word in COMMENT_WORDS else []
+                elif word or name not in LINES and not any(c.isdigit() for c in t):
                     marks.append(word or _ODD.sub("_", t))
     return ".".join([name, *sorted(set(marks))]) if marks else name
 
@@ -123,6 +132,7 @@ def page_tree(page: str, template: frozenset[int] = frozenset()) -> Item:
     open_: list[tuple[str, Item, str | None]] = [("", root, None)]
     parts: list[str] = []
     linked, in_link, at = 0, False, 0
+    within: list[str] = []  # elements of IN_LINE that a sentence goes on in
 
     def flush() -> None:
         nonlocal linked
@@ -156,7 +166,15 @@ def page_tree(page: str, template: frozenset[int] = frozenset()) -> Item:
             elif name == "br":
                 put(" ")
             continue
+        if name in IN_LINE:
+            if m[2] and within and within[-1] == name:
+                within.pop()
+                continue
+            if not m[2] and open_[-1][0] in LINES and any(p.strip() for p in parts):
+                within += [name] if name not in VOID else []
+                continue
         flush()
+        within.clear()
         in_link = False
         if m[2]:
             place = next((i for i in range(len(open_) - 1, 0, -1) if open_[i][0] == name), None)
@@ -385,10 +403,14 @@ def regular_expression(item: Item) -> str:
 
 @lru_cache(maxsize=20_000)
 def aside_kind(label: str) -> str:
-    """Why an element may be set aside: its name, role or being hidden ("sure"), "comments", another "word"; "" if nothing says so."""
+    """Why an element may be set aside: its name, role or being hidden ("sure"), "comments", a "modifier", another "word"; "" if nothing says so."""
     name, *marks = re.split(r"[~=]", label, maxsplit=1)[0].split(".")
     words = {aside_word(t) for t in marks} - {None}
-    return "sure" if name in ASIDE or "!" in marks else "" if not words else "word" if words.isdisjoint(COMMENT_WORDS) else "comments"
+    if name in ASIDE or "!" in marks:
+        return "sure"
+    if not words:
+        return ""
+    return "comments" if not words.isdisjoint(COMMENT_WORDS) else "modifier" if words <= MODIFIERS else "word"
 
 
 def is_aside(label: str) -> bool:
@@ -399,27 +421,38 @@ def _has(item: Item, wanted: frozenset[str]) -> bool:
     return any(name_of(k[LABEL]) in wanted or k[KIDS] and _has(k, wanted) for k in item[KIDS] or ())
 
 
+def _fixed(item: Item) -> int:
+    """Characters of texts of the template in an item."""
+    return sum((k[CHARS] if k[LABEL][0] == "=" else 0) if k[KIDS] is None else _fixed(k) for k in item[KIDS] or ())
+
+
 def choose(root: Item) -> Item:
     """Mark the slots of a wrapper (VALUE) that hold main text, by the statistics of its pages.
 
     Free text is outside links and elements set aside, and no text of the template. Article elements, else
     main elements, are the main region if they have ENOUGH of it; else the way leads from the root into each
-    element that has MOST of it. An element with a class word such as sidebar is set aside unless an article or
-    nearly all text is in it (for reader comments, a headline too). In the region a text of the template,
-    if no headline, is marked "template" instead, and left out if it is a menu.
+    element that has MOST of it. An element with a class word such as sidebar, and a form, is set aside unless an article or
+    nearly all text is in it; reader comments are unless the headline is, whatever elements they are written in. Where a word
+    may also say what an article is about, the slots decide: inside the main region such an element is aside if it is
+    mostly links or texts of the template. In the region a text of the template, if no headline, is marked
+    "template" instead, and left out if it is a menu.
     """
     total = root[CHARS]
     free: dict[int, float] = {}
 
     def put_aside(item: Item, in_main: bool) -> bool:
         name, kind = name_of(item[LABEL]), aside_kind(item[LABEL])
-        if not kind or name in WHOLE or name == "header" and in_main and "!" not in item[LABEL]:
+        if not kind or name in WHOLE and kind != "comments" or name == "header" and in_main and "!" not in item[LABEL]:
             return False
-        if kind == "sure":
+        if kind == "sure" and (name != "form" or "!" in item[LABEL]):
             return True
+        if kind == "comments":
+            return not _has(item, frozenset(["h1", "main"]))
+        if kind == "modifier" and in_main:
+            return item[LINKED] >= MOST * item[CHARS] or _fixed(item) >= MOST * item[CHARS]
         if _has(item, frozenset(MAIN)):
             return False
-        return item[CHARS] <= NEARLY * total or kind == "comments" and not _has(item, frozenset(["h1"]))
+        return item[CHARS] <= NEARLY * total
 
     def weigh(item: Item, literal: bool, in_main: bool) -> float:
         if item[KIDS] is None:
