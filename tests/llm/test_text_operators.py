@@ -54,6 +54,36 @@ def test_exact_dedup_of_other_plans(spark, sample):
     assert exact_result(exact_dedup.exact_dedup(spark, twice)) == brute_exact(pairs(twice))
 
 
+def test_exact_dedup_state_grows_with_its_rows(spark, sample, tmp_path, monkeypatch):
+    """A small first run doesn't bind later ones to its one store, and what it saw is still known."""
+    monkeypatch.setattr(exact_dedup, "ROWS_PER_STORE", 20)
+    monkeypatch.setattr(exact_dedup, "MOST_STORES", 7)
+    state, data = str(tmp_path / "state"), pairs(sample)
+    parts = [data[:5], data[5:15], data[15:], data[:3]]
+    seen, checkpoints = [], []
+    for number, part in enumerate(parts):
+        path = str(tmp_path / f"docs-{number}")
+        spark.createDataFrame(part, "doc_id long, text string").coalesce(1).write.parquet(path)
+        found = rows(exact_dedup.exact_dedup(spark, spark.read.parquet(path), state_dir=state))
+        known = {norm(t) for _, t in seen}
+        assert Counter((r["doc_id"], r["kept"]) for r in found) == Counter((i, norm(t) not in known and kept) for (i, t), kept in zip(part, first_of(part)))
+        seen += part
+        checkpoints.append(sorted(p.name for p in (tmp_path / "state").glob("checkpoint-*")))
+    assert checkpoints == [["checkpoint-1"], ["checkpoint-1"], ["checkpoint-1", "checkpoint-7"], ["checkpoint-1", "checkpoint-7"]]
+
+
+def norm(text):
+    return re.sub(r"[\x20\x09-\x0D]+", " ", text or "")
+
+
+def first_of(part):
+    """Whether each row has the smallest id of its text."""
+    least = {}
+    for doc_id, text in part:
+        least[norm(text)] = min(least.get(norm(text), doc_id), doc_id)
+    return [least[norm(text)] == doc_id for doc_id, text in part]
+
+
 def test_exact_dedup_over_many_batches(spark, sample, tmp_path, monkeypatch):
     path = str(tmp_path / "docs")
     sample.repartition(6).write.parquet(path)

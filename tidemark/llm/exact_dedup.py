@@ -24,14 +24,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import fresh, maybe_broadcast, scratch_dir, squeezed, staged
+from tidemark.sources import folders
 
 #: Copies of one digest that one task compares with the retained text.
 COPIES_PER_TASK = 100
 #: Files of staged digests that one micro-batch reads.
 FILES_PER_TRIGGER = 1_000
 
-#: Rows of staged digests for each state store: their number follows the table, not the shuffle setting.
-ROWS_PER_STORE = 20_000
+#: State stores: one for so many rows of staged digests, but no more than MOST_STORES; if a state folder has come to need
+#: GROWTH times as many as it has, its digests are streamed once more into a new state.
+ROWS_PER_STORE, MOST_STORES, GROWTH = 20_000, 2_000, 4
 
 ROCKSDB = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -94,10 +96,9 @@ def retained_state(spark: SparkSession, folder: str, run: int, schema, files_per
     """
     digests, updates = f"{folder}/digests", f"{folder}/updates/run-{run}"
     every = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(digests)
-    stores = max(1, -(-every.count() // ROWS_PER_STORE))  # the first run fixes how many a state folder has
     # a session of its own: other queries, and another call at the same time, don't see these settings
-    own = spark.newSession()
-    for k, v in (ROCKSDB | {"spark.sql.streaming.internal.stateStore.partitions": str(stores)}).items():
+    own, stores = spark.newSession(), stores_of(spark, folder, every.count())
+    for k, v in (ROCKSDB | {"spark.sql.shuffle.partitions": str(stores)}).items():
         own.conf.set(k, v)
     stream = (
         own.readStream.schema(schema)
@@ -109,7 +110,7 @@ def retained_state(spark: SparkSession, folder: str, run: int, schema, files_per
     )
     query = (
         stream.writeStream.outputMode("update")
-        .option("checkpointLocation", f"{folder}/checkpoint")
+        .option("checkpointLocation", f"{folder}/checkpoint-{stores}")
         .trigger(availableNow=True)
         .foreachBatch(lambda batch, i: batch.write.mode("overwrite").parquet(f"{updates}/batch-{i}"))
         .start()
@@ -122,6 +123,13 @@ def retained_state(spark: SparkSession, folder: str, run: int, schema, files_per
     return written.groupBy("digest").agg(F.min("keep").alias("keep"), F.max("hits").alias("hits"))
 
 
+def stores_of(spark: SparkSession, folder: str, rows: int) -> int:
+    """How many stores the state has; its checkpoint is named by them. A number that has no checkpoint yet begins a new state, from all digests."""
+    has = [int(path.rpartition("-")[2]) for path in folders.subfolders(spark, folder) if path.rpartition("/")[2].startswith("checkpoint-")]
+    wanted = min(MOST_STORES, max(1, -(-rows // ROWS_PER_STORE)))
+    return wanted if not has or wanted >= GROWTH * max(has) else max(has)
+
+
 def exact_dedup(
     spark: SparkSession,
     docs: DataFrame,
