@@ -128,6 +128,35 @@ def page_tree(page: str, template: frozenset[int] = frozenset()) -> Item:
 
     ``template``: hashes of the host's shared texts. A block that holds one of them alone is labelled by it.
     """
+    root = _read(page, template)
+    _finish(root)
+    return root
+
+
+def outline(item: Item) -> list:
+    """A page as read, without its texts: label and items of an element, hash, length and linked characters of a text."""
+    return [[text_hash(k[VALUE]), k[CHARS], k[LINKED]] if k[KIDS] is None else [k[LABEL], outline(k)] for k in item[KIDS]]
+
+
+def from_outline(kids: list, template: frozenset[int]) -> Item:
+    """The page's items, without texts, as ``page_tree`` has them."""
+
+    def items(kids: list) -> list[Item]:
+        return [
+            [_text_label(k[0], template), None, 1, k[1], k[2], False, None] if len(k) == 3 else [k[0], items(k[1]), 1, 0, 0, False, None]
+            for k in kids
+        ]
+
+    root: Item = ["page", items(kids), 1, 0, 0, False, None]
+    _finish(root)
+    return root
+
+
+def _text_label(h: int, template: frozenset[int]) -> str:
+    return f"={h & 0xFFFFFFFFFFFF:x}" if h in template else TEXT
+
+
+def _read(page: str, template: frozenset[int]) -> Item:
     root: Item = ["page", [], 1, 0, 0, False, None]
     open_: list[tuple[str, Item, str | None]] = [("", root, None)]
     parts: list[str] = []
@@ -140,9 +169,7 @@ def page_tree(page: str, template: frozenset[int] = frozenset()) -> Item:
             text = _SPACE.sub(" ", html.unescape("".join(parts))).strip()
             parts.clear()
             if text:
-                label = TEXT
-                if template and (h := text_hash(text)) in template:
-                    label = f"={h & 0xFFFFFFFFFFFF:x}"
+                label = _text_label(text_hash(text), template) if template else TEXT
                 open_[-1][1][KIDS].append([label, None, 1, len(text), min(linked, len(text)), False, text])
             linked = 0
 
@@ -192,7 +219,6 @@ def page_tree(page: str, template: frozenset[int] = frozenset()) -> Item:
     if at < len(page):
         put(page[at:])
     flush()
-    _finish(root)
     return root
 
 
@@ -539,30 +565,35 @@ def main_text(wrapper: Item | None, page: str, template: frozenset[int]) -> str:
 
 
 def _summing(most: int):
-    """Texts of each page once, summed for each host by the task: host, h (null for the page itself), n."""
+    """Each page's outline (host, null, 1, outline), and its texts once, summed for each host by the task (host, h, n, null)."""
+    names = ["host", "h", "n", "outline"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: Counter = Counter()
 
         def emit() -> pa.RecordBatch:
             keys = list(sums)
-            batch = pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int64()), pa.array(list(sums.values()), pa.int64())], ["host", "h", "n"]
-            )
+            hosts, hashes = pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int64())
+            batch = pa.RecordBatch.from_arrays([hosts, hashes, pa.array(list(sums.values()), pa.int64()), pa.nulls(len(keys), pa.string())], names)
             sums.clear()
             return batch
 
-        def texts(item: Item) -> Iterator[str]:
-            for k in item[KIDS]:
-                if k[KIDS] is None:
-                    yield k[VALUE]
+        def hashes(kids: list) -> Iterator[int]:
+            for k in kids:
+                if len(k) == 3:
+                    yield k[0]
                 else:
-                    yield from texts(k)
+                    yield from hashes(k[1])
 
         for batch in batches:
+            outlines = []
             for host, page in zip(batch.column(0).to_pylist(), batch.column(1)):
-                sums[(host, None)] += 1
-                sums.update({(host, text_hash(t)) for t in texts(page_tree(page.as_py() or ""))})
+                kids = outline(_read(page.as_py() or "", frozenset()))
+                sums.update({(host, h) for h in hashes(kids)})
+                outlines.append(json.dumps(kids, separators=(",", ":")))
+            if outlines:
+                n = len(outlines)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.nulls(n, pa.int64()), pa.array([1] * n, pa.int64()), pa.array(outlines)], names)
             if len(sums) > most:
                 yield emit()
         yield emit()
@@ -570,11 +601,16 @@ def _summing(most: int):
     return run
 
 
-def templates(pages: DataFrame) -> DataFrame:
-    """host, template: the hashes of texts on LEAST_PAGES pages and SHARED of all pages of the host, for hosts that have some."""
-    sums = pages.mapInArrow(_summing(200_000), "host string, h long, n long").groupBy("host", "h").agg(F.sum("n").alias("n"))
+def outlines(pages: DataFrame) -> DataFrame:
+    """``pages`` (host, html) read once: a row with the outline of each, and the sums of their texts' hashes."""
+    return staged(pages.sparkSession, pages.mapInArrow(_summing(200_000), "host string, h long, n long, outline string"), "page-outlines")
+
+
+def templates(read: DataFrame) -> DataFrame:
+    """host, template: the hashes of texts on LEAST_PAGES pages and SHARED of all pages of the host, for hosts that have some; from ``outlines``."""
+    sums = read.groupBy("host", "h").agg(F.sum("n").alias("n"))
     sums = sums.where((F.col("n") >= LEAST_PAGES) | F.col("h").isNull())
-    sums = staged(pages.sparkSession, sums, "page-texts")
+    sums = staged(read.sparkSession, sums, "page-texts")
     of = sums.where("h IS NULL").select(F.col("host").alias("w_host"), F.col("n").alias("pages"))
     often = sums.where("h IS NOT NULL").join(maybe_broadcast(of), F.col("host") == F.col("w_host"))
     # of a host's texts each page has, so many can be on SHARED of the pages as a page holds
@@ -582,7 +618,7 @@ def templates(pages: DataFrame) -> DataFrame:
 
 
 def _folder(pages_in: bool):
-    """Fold the rows of each key into one wrapper: pages (host, html, template), or wrappers (host, share, wrapper) in order."""
+    """Fold the rows of each key into one wrapper: pages (host, outline, template), or wrappers (host, share, wrapper) in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple, Item] = {}
@@ -600,7 +636,7 @@ def _folder(pages_in: bool):
                 key = (host, None) if pages_in else (host, b)
                 if not pages_in and held and key not in held and len(held) > 200 or pages_in and len(held) > 2_000:
                     yield emit()
-                other = _slim(page_tree(b.as_py() or "", frozenset(c or ()))) if pages_in else json.loads(c)
+                other = from_outline(json.loads(b.as_py()), frozenset(c or ())) if pages_in else json.loads(c)
                 held[key] = merged(held[key], other) if key in held else other
         yield emit()
 
@@ -613,9 +649,9 @@ def _slim(item: Item) -> Item:
 
 
 def infer(spark: SparkSession, pages: DataFrame) -> DataFrame:
-    """host, wrapper (JSON of its items) for every host of ``pages`` (host, html, template)."""
+    """host, wrapper (JSON of its items) for every host of ``pages`` (host, outline, template)."""
     schema = "host string, wrapper string"
-    found = staged(spark, pages.select("host", "html", "template").mapInArrow(_folder(True), schema), "wrappers")
+    found = staged(spark, pages.select("host", "outline", "template").mapInArrow(_folder(True), schema), "wrappers")
     while True:
         most = found.groupBy("host").count().agg(F.max("count")).first()[0] or 0
         if most <= 1:
@@ -636,8 +672,9 @@ def extract(spark: SparkSession, pages: DataFrame) -> DataFrame:
     bounded_batches(spark)
     host, _ = host_and_path(pages["url"])
     base = pages.select(pages["page_id"].alias("page_id"), pages["url"].alias("url"), host.alias("host"), pages["html"].cast("string").alias("html"))
-    template = staged(spark, templates(base.select("host", "html")), "page-templates").withColumnRenamed("host", "t_host")
-    anchored = base.join(maybe_broadcast(template), F.col("host") == F.col("t_host"), "left")
+    read = outlines(base.select("host", "html"))
+    template = staged(spark, templates(read), "page-templates").withColumnRenamed("host", "t_host")
+    anchored = read.where(F.col("outline").isNotNull()).join(maybe_broadcast(template), F.col("host") == F.col("t_host"), "left")
     wrappers = infer(spark, anchored).withColumnRenamed("host", "w_host")
     known = wrappers.join(maybe_broadcast(template), F.col("w_host") == F.col("t_host"), "left").select("w_host", "wrapper", "template")
     known = maybe_broadcast(staged(spark, known, "host-wrappers"))
