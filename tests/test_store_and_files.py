@@ -435,3 +435,19 @@ def test_read_files_move_to_the_archive(spark, registry, tmp_path):
     assert left() + moved() == 4 and moved() >= 2
     assert sorted(r.ts_ms for r in spark.read.parquet(sinks.store).collect()) == [0, 1, 2, 3]
     assert ingest.counts(spark, sinks)["handled"] == 4
+
+
+def test_size_gate_by_either_way(spark, registry):
+    """The bound on an event's JSON is one, and events at the limit are judged by their JSON itself."""
+    from tidemark.operators import gates
+
+    texts = ["", "a", '"\\\n', "\x00\x01" * 5, "é漢\U0001f600"]
+    rows = [({f"k{i}{t}": t for i, t in enumerate(texts[: n + 1])} | {"none": None},) for n in range(len(texts))]
+    found = spark.createDataFrame(rows, "fields map<string,string>").select(gates.longest_json(F.col("fields")).alias("most"), F.octet_length(F.to_json("fields")).alias("n")).collect()
+    assert all(r.most >= r.n for r in found)
+    base = {"metrictype": "metric", "timestamp": "1"}
+    room = gates.MOST_EVENT_BYTES - len(json.dumps(base | {"org": "org1", "t": ""}, separators=(",", ":")).encode()) + len(',"org":"org1"')
+    for n, good in ((room, True), (room + 1, False)):
+        event = base | {"t": "x" * n}
+        row = C.conform(spark.createDataFrame([("org1", event)], "org string, fields map<string,string>"), *registry).first()
+        assert (row.error is None) == good

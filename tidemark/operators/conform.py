@@ -13,16 +13,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import schema
-from tidemark.operators.gates import event_fits, has_tenant
+from tidemark.operators.gates import MOST_EVENT_BYTES, event_fits, has_tenant, longest_json
 from tidemark.functions.values import first_present, first_present_key, parse_millis, stamp_tenant
 
-#: Rows of the registry's lookup up to which it is broadcast; they are counted first.
-BROADCAST_ROWS = 100_000
+#: Bytes of the registry's lookup up to which it is broadcast; they are measured first.
+BROADCAST_BYTES = 8 << 20
 
 
-def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+def small(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
     """``df`` with a broadcast hint if it is known to be small, else for a shuffled join."""
-    return F.broadcast(df) if len(df.select(F.lit(1)).head(most + 1)) <= most else df
+    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+    return F.broadcast(df) if size <= most else df
 
 
 def conform(events: DataFrame, metrics: DataFrame, fields: DataFrame) -> DataFrame:
@@ -67,10 +68,12 @@ def conform(events: DataFrame, metrics: DataFrame, fields: DataFrame) -> DataFra
 
 
 def too_large(events: DataFrame) -> Column:
-    """A reason for events over the size limit, else null."""
-    over = ~event_fits(F.to_json("fields"))
+    """A reason for events over the size limit, else null. Only what may be too large, by the bytes that it came with or has at least, is written out as JSON."""
     if "payload" in events.columns:
-        over = ~event_fits(F.col("payload")) & over
+        doubt = ~event_fits(F.col("payload"))
+    else:
+        doubt = longest_json(F.col("fields")) > MOST_EVENT_BYTES
+    over = doubt & ~event_fits(F.to_json("fields"))
     return F.when(over, F.lit("event too large"))
 
 
