@@ -525,8 +525,9 @@ WHERE org = '1' AND event_type = 'click' AND ts_ms >= {_RANGE[0]} AND ts_ms < {_
 
 
 def q_request_gates(spark, sf_dir):
-    """Line items as requests of a tenant each: accepted events, or one row for a request over the limits."""
-    lines = table(spark, sf_dir, "lineitem").select((F.col("l_partkey") % 130).cast("string").alias("org"), F.create_map(F.lit("n"), F.col("l_orderkey").cast("string")).alias("e"))
+    """Line items of a hundred orders, or of two hundred, as requests of a tenant each: accepted events, or one row for a request over the limits."""
+    key = F.concat(F.floor(F.col("l_orderkey") / 300).cast("string"), F.when(F.col("l_orderkey") % 300 < 100, F.lit("a")).otherwise(F.lit("b")))
+    lines = table(spark, sf_dir, "lineitem").select(key.alias("org"), F.create_map(F.lit("n"), F.col("l_orderkey").cast("string")).alias("e"))
     payload = F.to_json(F.struct(F.col("org").alias("customerKey"), F.collect_list("e").alias("events")))  # a request is one row
     requests = lines.groupBy("org").agg(payload.alias("payload"))
     found = R.accepted_events(requests.select("payload"))
@@ -535,7 +536,7 @@ def q_request_gates(spark, sf_dir):
 
 SQL_request_gates = """
 SELECT org, c <= 500 AS ok, CASE WHEN c <= 500 THEN c ELSE 1 END AS n
-FROM (SELECT CAST(l_partkey % 130 AS VARCHAR) AS org, count(*) AS c FROM lineitem GROUP BY 1)"""
+FROM (SELECT (l_orderkey // 300) || CASE WHEN l_orderkey % 300 < 100 THEN 'a' ELSE 'b' END AS org, count(*) AS c FROM lineitem GROUP BY 1)"""
 
 
 def q_tenant_gate(spark, sf_dir):

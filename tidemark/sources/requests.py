@@ -92,9 +92,11 @@ def concatenated_events(payloads: DataFrame, payload: str = "payload") -> DataFr
     def split(texts):
         return texts.map(split_objects)
 
-    full = payloads.where(F.length(F.trim(payload)) > 0)
-    odd = full.where(objects_of(F.col(payload)).isNull())
-    return payload_events(payloads, payload).unionByName(odd.withColumn("fields", F.explode(split(payload))))
+    # read once: Python gets a null for each payload that built-ins have read
+    full = payloads.where(F.length(F.trim(payload)) > 0).withColumn("tm_each", objects_of(F.col(payload)))
+    full = full.withColumn("tm_odd", F.when(F.col("tm_each").isNull(), F.col(payload)))
+    rows = full.withColumn("fields", F.explode(F.coalesce("tm_each", split("tm_odd"))))
+    return rows.where(F.col("fields").isNotNull() | F.col("tm_odd").isNotNull()).drop("tm_each", "tm_odd")
 
 
 def own_bucket_notification(payload: Column, scheme: str = "s3://") -> tuple[Column, Column]:
