@@ -755,19 +755,19 @@ SELECT range_id, count(*) AS n, min(s) AS first_ms, max(e) AS last_ms FROM r JOI
 
 
 def q_small_files(spark, sf_dir):
-    """Line items appended to the store in four runs, then made fewer files: rows and windows are the same, runs are one."""
+    """Events appended to the store in four runs, then made fewer files: rows and windows are the same, runs are one."""
     path = f"{scratch(spark, 'small')}/store"
-    rows = V.store_rows(V.with_ids(_lines(spark, sf_dir), _VALUES).withColumn("ts_ms", F.col("ts_ms").cast("long")), F.lit(1_000))
+    rows = V.stored(C.good(conformed(spark, sf_dir)), F.lit(1_700_000_000_000))
     for part in range(4):
-        V.append(rows.where(F.pmod("order_key", F.lit(4)) == part), path)
+        V.append(rows.where(F.pmod(F.xxhash64("id"), F.lit(4)) == part), path)
     maintenance.compact_small(spark, path)
     store = V.latest(spark.read.parquet(path))
-    return store.groupBy("window_start_ms").agg(F.count(F.lit(1)).alias("n"), F.sum("quantity").alias("quantity"), F.count_distinct("run").alias("runs"))
+    return store.groupBy("window_start_ms").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("ts_ms").alias("times"), F.count_distinct("run").alias("runs"))
 
 
 SQL_small_files = f"""
-WITH {_LINES}, d AS (SELECT DISTINCT org, ts_ms, id, quantity FROM i)
-SELECT epoch_ms({_week("make_timestamp(ts_ms * 1000)")}) AS window_start_ms, count(*) AS n, CAST(sum(quantity) AS BIGINT) AS quantity, 1 AS runs FROM d GROUP BY 1"""
+WITH {_EVENTS}, d AS (SELECT DISTINCT org, metric_id, ts, ts_ms, value, k FROM g)
+SELECT epoch_ms({_week('ts')}) AS window_start_ms, count(*) AS n, count(DISTINCT ts_ms) AS times, 1 AS runs FROM d GROUP BY 1"""
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
