@@ -5,6 +5,7 @@ import json
 import random
 from datetime import date
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -451,3 +452,27 @@ def test_size_gate_by_either_way(spark, registry):
         event = base | {"t": "x" * n}
         row = C.conform(spark.createDataFrame([("org1", event)], "org string, fields map<string,string>"), *registry).first()
         assert (row.error is None) == good
+
+
+def test_contents_of_a_slot_are_put_together():
+    """One order whatever the order of arrival; copies are counted, also when they are put together on the way; nulls are values."""
+    rows = [("o", "m", 1, "x", "{}", None, "a", 9), ("o", "m", 1, "x", "{}", None, "b", 7), ("o", "m", 2, "y", "{}", "{}", None, 9), ("o", "m", 1, "x", '{"f":"1"}', None, "a", 8)]
+    columns = ["org", "metric_id", "ts_ms", "id", "known", "unknown", "metric_alias", "write_ms"]
+    want = [("x", "{}", 7, 10), ("x", '{"f":"1"}', 8, 5), ("y", "{}", 9, 5)]
+    for order in (rows * 5, rows[::-1] * 5):
+        for size in (1, 3, 100):
+            chunks = (pd.DataFrame(order[i : i + size], columns=columns) for i in range(0, len(order), size))
+            found = keyed.contents(chunks, least=2)
+            assert sorted(zip(found["id"], found["known"], found["write_ms"], found["copies"])) == sorted(want)
+            assert found["write_ms"].is_monotonic_increasing
+
+
+def test_each_conflict_is_a_dead_letter(spark, registry, tmp_path, monkeypatch):
+    """Contradictions that are sent several times in one micro-batch are as many dead letters; a new one that is, is stored once."""
+    sinks = ingest.StreamSinks(*[str(tmp_path / x) for x in NAMES], state=str(tmp_path / "state"))
+    monkeypatch.setattr(V, "content_id", lambda ts, values, unknown=None: F.concat(F.lit("id-"), ts.cast("string")))
+    payloads(spark, tmp_path / "in", [("org1", 1, {"field1": v}) for v in (1, 1, 2, 2, 2)] + [("org1", 2, {"field1": 5})] * 3)
+    ingest.ingest(ingest.read_payloads(spark, str(tmp_path / "in")), sinks, *registry, write_ms=F.lit(9)).awaitTermination()
+    ingest.store_versions(spark, sinks, write_ms=F.lit(9)).awaitTermination()
+    assert sorted((r.ts_ms, json.loads(r.known)["f1"]) for r in spark.read.parquet(sinks.store).collect()) == [(1, "1"), (2, "5")]
+    assert read_all(spark, sinks.malformed, "json").count() == 3

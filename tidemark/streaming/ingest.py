@@ -67,6 +67,7 @@ def commit(rows: DataFrame, put: Callable[[DataFrame, str], None], run: str) ->
         return []
     except Exception as error:  # the reason is kept with the rows
         whole = str(error)
+    rows = rows.persist()  # read for every piece; the caller lets go of it
     place, content = F.xxhash64(*V.KEY, "id"), F.struct(*V.KEY, "id")
     failed: list[tuple[DataFrame, str]] = []
     stored, todo = 0, [(0, 0, whole)]
@@ -117,6 +118,7 @@ def store_rows(rows: DataFrame, sinks: StreamSinks, run: str, put_aside: Callabl
         for piece in pieces[1:]:
             every = every.unionByName(piece)
         put_aside(every.observe(lost, F.count(F.lit(1)).alias("rows")))
+        rows.unpersist()
     return sum(c.get["rows"] for c in counts), lost.get["rows"] if failed else 0
 
 

@@ -1,9 +1,12 @@
 """Keyed state of the store's stream: what the ids of each (org, metric, time) stand for.
 
-The state of a key is a map from content id to its values, on disk (RocksDB) and without expiry. A row of a new id is
+The state maps each (org, metric, time, content id) to its values, on disk (RocksDB) and without expiry. A row of a new id is
 passed; one that says again what is known is dropped; one that adds fields to its id is passed and
 remembered; one that has another value for a field of its id is refused. As the state outlives restarts, so does
 all of this, however late something is sent again.
+
+Entries are dealt to SLOTS groups by their hash, so a micro-batch calls Python once a slot and not once a key, and a key
+that has a third of all rows is spread over the slots by its ids.
 """
 
 from __future__ import annotations
@@ -22,6 +25,11 @@ from tidemark.operators.versions import KEY
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 NEW, CONFLICT = "new", "conflict"
+#: Groups that entries are dealt to. It must stay what it was when a state folder was made, like the number of shuffle partitions.
+SLOTS = 4096
+#: What an entry of the state is found by; the order in which rows of a micro-batch are judged, whatever the order of arrival.
+ENTRY = [*KEY, "id"]
+ORDER = ["write_ms", "known", "unknown", "metric_alias"]
 
 
 def judged(held: str | None, known: str) -> tuple[str | None, str | None, str | None]:
@@ -36,46 +44,69 @@ def judged(held: str | None, known: str) -> tuple[str | None, str | None, str |
     return (NEW, json.dumps(before | added, sort_keys=True), None) if added else (None, None, None)
 
 
+def contents(chunks: Iterator[pd.DataFrame], least: int = 10_000) -> pd.DataFrame:
+    """A slot's rows in their order, equal contents of an entry as their first row with the number of ``copies``.
+
+    Copies are put together on the way, so the memory is that of the slot's different contents, however often one is sent.
+    """
+
+    def together(parts: list[pd.DataFrame]) -> pd.DataFrame:
+        rows = pd.concat(parts, ignore_index=True).sort_values(ORDER, na_position="first", kind="stable")
+        same = [*ENTRY, "known", "unknown"]
+        rows["copies"] = rows.groupby(same, dropna=False, sort=False)["copies"].transform("sum")
+        return rows.drop_duplicates(same)
+
+    parts, size, different = [], 0, 0
+    for chunk in chunks:
+        parts.append(chunk.assign(copies=1))
+        size += len(chunk)
+        if size > 2 * different + least:
+            parts = [together(parts)]
+            size = different = len(parts[0])
+    return together(parts)
+
+
 class KeepVersions(StatefulProcessor):
     def init(self, handle) -> None:
-        self.held = handle.getMapState("versions", "id string", "known string")
+        self.held = handle.getMapState("entries", "org string, metric_id string, ts_ms long, id string", "known string")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
-        for batch in rows:
-            # one order, whatever the order of arrival inside a batch
-            batch = batch.sort_values(["write_ms", "known", "unknown"], na_position="first")
-            outcomes, reasons = [], []
-            for id_, known in zip(batch["id"], batch["known"]):
-                held = self.held.getValue((id_,))[0] if self.held.containsKey((id_,)) else None
-                outcome, hold, reason = judged(held, known)
-                if hold is not None:
-                    self.held.updateValue((id_,), (hold,))
-                outcomes.append(outcome)
-                reasons.append(reason)
-            batch = batch.assign(outcome=outcomes, reason=reasons)
-            yield batch[batch["outcome"].notna()]
+        batch = contents(rows)
+        outcomes, reasons = [], []
+        for *entry, known in zip(*[batch[c].tolist() for c in (*ENTRY, "known")]):
+            entry = tuple(entry)
+            held = self.held.getValue(entry)[0] if self.held.containsKey(entry) else None
+            outcome, hold, reason = judged(held, known)
+            if hold is not None:
+                self.held.updateValue(entry, (hold,))
+            outcomes.append(outcome)
+            reasons.append(reason)
+        batch = batch.assign(outcome=outcomes, reason=reasons).drop(columns="slot")
+        yield batch[batch["outcome"].notna()]
 
     def close(self) -> None:
         pass
 
 
 def versioned(rows: DataFrame) -> DataFrame:
-    """A stream of the store's rows with outcome (new or conflict) and reason; resends are gone."""
+    """A stream of the store's rows with outcome (new or conflict), reason and the copies in the micro-batch; resends are gone."""
     flat = rows.withColumn("unknown", F.to_json("unknown"))
-    out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in flat.schema.fields) + ", outcome string, reason string"
-    return flat.groupBy(*KEY).transformWithStateInPandas(KeepVersions(), out, "append", "none")
+    out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in flat.schema.fields) + ", copies long, outcome string, reason string"
+    slots = flat.withColumn("slot", F.pmod(F.xxhash64(*ENTRY), F.lit(SLOTS)).cast("int"))
+    return slots.groupBy("slot").transformWithStateInPandas(KeepVersions(), out, "append", "none")
 
 
 def accepted(batch: DataFrame) -> DataFrame:
     """The rows to store."""
-    return batch.where(F.col("outcome") == NEW).drop("outcome", "reason").withColumn("unknown", F.from_json("unknown", "map<string,string>"))
+    return batch.where(F.col("outcome") == NEW).drop("copies", "outcome", "reason").withColumn("unknown", F.from_json("unknown", "map<string,string>"))
 
 
 def refused(batch: DataFrame, now: Column) -> DataFrame:
     """The dead letters of conflicts: apikey, message, event, handled_timestamp."""
     text = F.concat(F.lit("Failed to apply schema for record: id "), F.col("id"), F.lit(" has other values of "), F.col("reason"))
     event = F.to_json(F.struct(*KEY, "id", "known", "unknown"))
-    return batch.where(F.col("outcome") == CONFLICT).select(F.col("org").alias("apikey"), text.alias("message"), event.alias("event"), now.alias("handled_timestamp"))
+    each = batch.where(F.col("outcome") == CONFLICT).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return each.select(F.col("org").alias("apikey"), text.alias("message"), event.alias("event"), now.alias("handled_timestamp"))
 
 
 def started(writer, spark: SparkSession) -> StreamingQuery:
