@@ -44,26 +44,23 @@ def judged(held: str | None, known: str) -> tuple[str | None, str | None, str |
     return (NEW, json.dumps(before | added, sort_keys=True), None) if added else (None, None, None)
 
 
-def contents(chunks: Iterator[pd.DataFrame], least: int = 10_000) -> pd.DataFrame:
-    """A slot's rows in their order, equal contents of an entry as their first row with the number of ``copies``.
+def contents(chunks: Iterator[pd.DataFrame]) -> tuple[list[str], list[tuple]]:
+    """A slot's columns, with ``copies`` behind them, and its rows in their order: of equal contents of an entry the first row.
 
-    Copies are put together on the way, so the memory is that of the slot's different contents, however often one is sent.
+    The memory is that of the slot's different contents, however often one is sent.
     """
-
-    def together(parts: list[pd.DataFrame]) -> pd.DataFrame:
-        rows = pd.concat(parts, ignore_index=True).sort_values(ORDER, na_position="first", kind="stable")
-        same = [*ENTRY, "known", "unknown"]
-        rows["copies"] = rows.groupby(same, dropna=False, sort=False)["copies"].transform("sum")
-        return rows.drop_duplicates(same)
-
-    parts, size, different = [], 0, 0
+    columns: list[str] = []
+    first: dict[tuple, tuple] = {}
     for chunk in chunks:
-        parts.append(chunk.assign(copies=1))
-        size += len(chunk)
-        if size > 2 * different + least:
-            parts = [together(parts)]
-            size = different = len(parts[0])
-    return together(parts)
+        columns = list(chunk.columns)
+        same = [columns.index(c) for c in (*ENTRY, "known", "unknown")]
+        order = [columns.index(c) for c in ORDER]
+        for row in zip(*[chunk[c].tolist() for c in columns]):
+            content, place = tuple(row[i] for i in same), tuple((row[i] is not None, row[i]) for i in order)  # nulls first
+            held = first.get(content)
+            copies = 1 if held is None else held[2] + 1
+            first[content] = (place, row, copies) if held is None or place < held[0] else (*held[:2], copies)
+    return [*columns, "copies"], [(*row, copies) for _, row, copies in sorted(first.values(), key=lambda x: x[0])]
 
 
 class KeepVersions(StatefulProcessor):
@@ -71,18 +68,19 @@ class KeepVersions(StatefulProcessor):
         self.held = handle.getMapState("entries", "org string, metric_id string, ts_ms long, id string", "known string")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
-        batch = contents(rows)
-        outcomes, reasons = [], []
-        for *entry, known in zip(*[batch[c].tolist() for c in (*ENTRY, "known")]):
-            entry = tuple(entry)
+        columns, found = contents(rows)
+        *at, known = [columns.index(c) for c in (*ENTRY, "known")]
+        passed = []
+        for row in found:
+            entry = tuple(row[i] for i in at)
             held = self.held.getValue(entry)[0] if self.held.containsKey(entry) else None
-            outcome, hold, reason = judged(held, known)
+            outcome, hold, reason = judged(held, row[known])
             if hold is not None:
                 self.held.updateValue(entry, (hold,))
-            outcomes.append(outcome)
-            reasons.append(reason)
-        batch = batch.assign(outcome=outcomes, reason=reasons).drop(columns="slot")
-        yield batch[batch["outcome"].notna()]
+            if outcome is not None:
+                passed.append((*row, outcome, reason))
+        if passed:
+            yield pd.DataFrame(passed, columns=[*columns, "outcome", "reason"]).drop(columns="slot")
 
     def close(self) -> None:
         pass
