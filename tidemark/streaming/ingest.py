@@ -110,14 +110,16 @@ def store_rows(rows: DataFrame, sinks: StreamSinks, run: str, put_aside: Callabl
         V.append(sinks.sent("store", part), sinks.store, name, count)
         counts.append(count)
 
-    failed = commit(rows, put, run)
     lost = Observation()
-    if failed:
-        pieces = [piece.withColumn("reason", F.lit(reason[:500])) for piece, reason in failed]
-        every = pieces[0]
-        for piece in pieces[1:]:
-            every = every.unionByName(piece)
-        put_aside(every.observe(lost, F.count(F.lit(1)).alias("rows")))
+    try:
+        failed = commit(rows, put, run)
+        if failed:
+            pieces = [piece.withColumn("reason", F.lit(reason[:500])) for piece, reason in failed]
+            every = pieces[0]
+            for piece in pieces[1:]:
+                every = every.unionByName(piece)
+            put_aside(every.observe(lost, F.count(F.lit(1)).alias("rows")))
+    finally:
         rows.unpersist()
     return sum(c.get["rows"] for c in counts), lost.get["rows"] if failed else 0
 
