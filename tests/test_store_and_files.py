@@ -305,6 +305,19 @@ def test_tenant_scan_reads_a_small_share(spark, tmp_path, monkeypatch):
     assert scanned_rows(V.scan(store, "org17x", "m3", 0, 7 * DAY)) < store.count() / 20
 
 
+def test_each_window_is_one_small_file(spark, tmp_path):
+    """Files don't grow with windows times tasks, of which a larger input has as many as here without coalescing."""
+    path, name = str(tmp_path / "store"), "spark.sql.adaptive.coalescePartitions.enabled"
+    rows = spark.range(4_000).select(F.concat(F.lit("o"), F.pmod(F.hash("id"), F.lit(100)).cast("string")).alias("org"), F.lit("m").alias("metric_id"), (F.col("id") % 10 * 7 * DAY).alias("ts_ms"), F.col("id").cast("string").alias("id"))
+    spark.conf.set(name, "false")
+    try:
+        V.append(V.store_rows(rows, F.lit(1_447_000_000_000)), path)
+    finally:
+        spark.conf.unset(name)
+    assert len(list((tmp_path / "store").rglob("*.parquet"))) == spark.read.parquet(path).select("window_start_ms").distinct().count() == 10
+    assert spark.read.parquet(path).count() == 4_000
+
+
 def test_compaction_leaves_large_files(spark, tmp_path):
     path = str(tmp_path / "store")
     rows = lambda a, b: V.store_rows(spark.range(a, b).select(F.lit("o").alias("org"), F.lit("m").alias("metric_id"), F.col("id").alias("ts_ms"), F.sha2(F.col("id").cast("string"), 256).alias("id")), F.lit(1_447_000_000_000))

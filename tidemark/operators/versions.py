@@ -170,11 +170,11 @@ ROW_GROUP_BYTES = 16 << 20
 def append(rows: DataFrame, path: str, run: str | None = None, count: Observation | None = None) -> None:
     """Windows appear as partitions when rows for them come. A repetition of ``run`` replaces what it wrote before.
 
-    Rows are dealt by window and tenant, and adaptive execution splits what is too large, as a window
-    or tenant may have most of them. Files are sorted by tenant, metric and time, so that row groups and pages tell a
+    Rows are dealt by window and write month, so a folder gets one file and not one from every task, and adaptive execution splits
+    what is too large, as a window may have most of them. Files are sorted by tenant, metric and time, so that row groups and pages tell a
     ``scan`` by their least and most values, and by a Bloom filter of tenants, that they have nothing for it. ``count`` gets the ``rows`` written.
     """
-    out = rows.withColumn("run", F.lit(run or uuid.uuid4().hex)).hint("rebalance", F.col("window_start_ms"), F.col("org"))
+    out = rows.withColumn("run", F.lit(run or uuid.uuid4().hex)).hint("rebalance", *[F.col(c) for c in WINDOW_PARTS])
     out = out.observe(count, F.count(F.lit(1)).alias("rows")) if count is not None else out  # behind the shuffle, so a task that is repeated counts once
     clustered = out.sortWithinPartitions(*WINDOW_PARTS, *[c for c in CLUSTER if c in rows.columns])
     writer = clustered.write.partitionBy(*PARTS).mode("overwrite").option("partitionOverwriteMode", "dynamic")
