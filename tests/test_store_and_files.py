@@ -15,7 +15,7 @@ from tidemark.operators import conform as C
 from tidemark.operators import manifest as M
 from tidemark.operators import versions as V
 from tidemark.plans import batch, etl, maintenance
-from tidemark.sources import files
+from tidemark.sources import files, folders
 from tidemark.streaming import ingest, keyed
 
 DAY = 86_400_000
@@ -235,6 +235,19 @@ def test_json_list_is_streamed(size):
     assert [f for _, f in elements('{"a": 1}', size)] == [None]
 
 
+def test_many_small_lists_are_few_tasks(spark, tmp_path):
+    """Lists are written without a folder each, and read by as many tasks as their bytes and numbers ask for."""
+    names = spark.range(300).select(F.concat(F.lit("org="), (F.col("id") % 3).cast("string"), F.lit("/ä part-"), F.col("id").cast("string")).alias("name"), F.concat(F.lit('[{"k": "'), F.col("id").cast("string"), F.lit('"},\n{"k": "1"}]')).alias("value"))
+    assert files.write_each(names, f"file:{tmp_path}/in") == 300
+    (tmp_path / "in" / ".a.crc").write_text("x")
+    found = files.read_json_array(spark, f"{tmp_path}/in")
+    assert found.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
+    assert found.agg(F.count(F.lit(1)), F.sum(F.try_element_at("fields", F.lit("k")).cast("int"))).first()[:] == (600, 300 * 299 // 2 + 300)
+    assert files.tasks_for([files.TASK_BYTES] * 50) == 50 and files.tasks_for([10] * 64_000) == 2_001
+    path, location, size = next(x for x in folders.files(spark, str(tmp_path / "in")) if x[0].endswith("/ä part-7"))
+    assert path == f"file:{tmp_path}/in/org=1/ä part-7" and location.endswith("%20part-7") and size == 24
+
+
 def test_json_list_holds_one_element(monkeypatch):
     """A list of 40 MB passes with a buffer of a few elements; one that never ends is given up."""
     element = json.dumps({"k": "v" * 1_000})

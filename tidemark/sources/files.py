@@ -21,8 +21,8 @@ FOUND = "org string, file string, path string, location string, size long"
 LINES = "payload string, path string, fields map<string,string>"
 #: Bytes that are read of a file at once, characters of an element of a JSON list, rows and characters of a batch.
 CHUNK, MOST_ELEMENT, BATCH_ROWS, BATCH_CHARS = 1 << 20, 64 << 20, 1_000, 4 << 20
-#: Tasks that read files which Spark's own readers don't.
-MOST_TASKS = 10_000
+#: Tasks that read files which Spark's own readers don't; bytes that one of them reads, and what opening a file counts for, as in those.
+MOST_TASKS, TASK_BYTES, OPEN_BYTES = 10_000, 128 << 20, 4 << 20
 
 
 def literal(path: str) -> str:
@@ -64,16 +64,55 @@ def discover(spark: SparkSession, pending: list[tuple[str, str]], scheme: str =
 # ---- files that Spark's readers don't read, or only whole ----
 
 
+def _store_of(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
+    """The store of a path, and its name there."""
+    if path.startswith("file:"):
+        return pyarrow.fs.LocalFileSystem(), "/" + path[len("file:") :].lstrip("/")
+    return pyarrow.fs.FileSystem.from_uri(quote(path, safe=":/@+,;=&$!*'()"))
+
+
 def _opened(path: str) -> pa.NativeFile:
     """A file as a stream, unpacked if its name says so."""
-    if path.startswith("file:"):
-        return pyarrow.fs.LocalFileSystem().open_input_stream("/" + path[len("file:") :].lstrip("/"))
-    store, name = pyarrow.fs.FileSystem.from_uri(quote(path, safe=":/@+,;=&$!*'()"))
+    store, name = _store_of(path)
     return store.open_input_stream(name)
 
 
-def _streamed(spark: SparkSession, paths: list[str], rows_of: Callable[[pa.NativeFile], Iterator[tuple]], kinds: str, schema: pa.Schema) -> DataFrame:
-    """Rows (location, then what ``rows_of`` gives) of files that are streamed, each by one task."""
+def write_each(rows: DataFrame, path: str) -> int:
+    """Writes each of ``rows`` (name, value) as a file of its own below a folder; how many.
+
+    Different rows have different names, so a task that is repeated writes its own files again.
+    """
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = _store_of(path)
+        made: set[str] = set()
+        for batch in batches:
+            for name, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                folder = f"{root}/{name}".rpartition("/")[0]
+                if folder not in made:
+                    store.create_dir(folder, recursive=True)
+                    made.add(folder)
+                with store.open_output_stream(f"{root}/{name}") as out:
+                    out.write(value.encode())
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.num_rows], pa.int64())})
+
+    tasks = 4 * rows.sparkSession.sparkContext.defaultParallelism  # costs are by file and not by byte
+    return rows.select("name", "value").repartition(tasks, "name").mapInArrow(write, "n long").agg(F.sum("n")).first()[0] or 0
+
+
+def tasks_for(sizes: list[int], least: int = 1) -> int:
+    """Tasks for files of these sizes: one for each large file, and small ones together, as many as Spark's own readers would take."""
+    by_bytes = -(-sum(size + OPEN_BYTES for size in sizes) // TASK_BYTES)
+    return max(1, min(len(sizes), MOST_TASKS, max(least, by_bytes)))
+
+
+def _streamed(
+    spark: SparkSession, paths: list[str], rows_of: Callable[[pa.NativeFile], Iterator[tuple]], kinds: str, schema: pa.Schema, sizes: dict[str, int] | None = None
+) -> DataFrame:
+    """Rows (location, then what ``rows_of`` gives) of files that are streamed, each by one task, which has several if they are small.
+
+    A file without a known size counts as a large one.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -89,9 +128,10 @@ def _streamed(spark: SparkSession, paths: list[str], rows_of: Callable[[pa.Nativ
                 if held:
                     yield _batch(held, schema)
 
-    encoded = [spark._jvm.org.apache.hadoop.fs.Path(p).toUri().toString() for p in sorted(paths)]  # as other rows carry it
+    encoded = [folders.encoded(spark, p) for p in sorted(paths)]  # as other rows carry it
     names = spark.createDataFrame(list(zip(sorted(paths), encoded)), "path string, location string")
-    return names.repartitionByRange(min(len(paths), MOST_TASKS), "path").mapInArrow(read, kinds)
+    tasks = tasks_for([(sizes or {}).get(p, TASK_BYTES) for p in paths], 4 * spark.sparkContext.defaultParallelism)
+    return names.repartitionByRange(tasks, "path").mapInArrow(read, kinds)
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -149,7 +189,7 @@ def list_elements(stream: Iterable) -> Iterator[tuple[str, list[tuple[str, str |
         wanted = 2 * len(buffer)  # an element that goes on is not tried again for each chunk
 
 
-def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+def _lines(spark: SparkSession, paths: list[str], sizes: dict[str, int] | None = None) -> DataFrame:
     """value, path, start (of the block), n (grows inside a block) of every line."""
     seen, others = [p for p in paths if not hidden(p)], [p for p in paths if hidden(p)]
     frames = []
@@ -158,7 +198,7 @@ def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
         frames.append(text.select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("n")))
     if others:
         schema = pa.schema([("path", pa.string()), ("value", pa.string()), ("n", pa.int64())])
-        streamed = _streamed(spark, others, text_lines, "path string, value string, n long", schema)
+        streamed = _streamed(spark, others, text_lines, "path string, value string, n long", schema, sizes)
         frames.append(streamed.select("value", "path", F.lit(0).cast("long").alias("start"), "n"))
     lines = frames[0].unionByName(frames[1]) if len(frames) > 1 else frames[0]
     return lines.where(F.length(F.trim("value")) > 0)
@@ -167,9 +207,9 @@ def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
 # ---- readers ----
 
 
-def read_json(spark: SparkSession, paths: list[str]) -> DataFrame:
+def read_json(spark: SparkSession, paths: list[str], sizes: dict[str, int] | None = None) -> DataFrame:
     """payload, fields, path of every line, plain or compressed; a line that is no object has null fields."""
-    return _lines(spark, paths).select(F.col("value").alias("payload"), "path", F.from_json("value", "map<string,string>").alias("fields"))
+    return _lines(spark, paths, sizes).select(F.col("value").alias("payload"), "path", F.from_json("value", "map<string,string>").alias("fields"))
 
 
 def cells(line: Column) -> Column:
@@ -184,13 +224,13 @@ def headers(lines: DataFrame) -> DataFrame:
     return lines.where("start = 0").groupBy("path").agg(F.min_by("value", "n").alias("head"))
 
 
-def read_csv(spark: SparkSession, paths: list[str]) -> DataFrame:
+def read_csv(spark: SparkSession, paths: list[str], sizes: dict[str, int] | None = None) -> DataFrame:
     """The same for CSV with a header, in one scan for any number of headers: values stay text, by the names of their own file's header.
 
     A line equal to the header is none, and a line is a row (no line breaks in quotes). Columns without a name, or with that
     of one before, are named by their place as well; cells beyond the header are dropped.
     """
-    lines = _lines(spark, paths)
+    lines = _lines(spark, paths, sizes)
     found = headers(lines).collect()  # names and headers of files
     if not found:
         return spark.createDataFrame([], LINES)
@@ -203,23 +243,23 @@ def read_csv(spark: SparkSession, paths: list[str]) -> DataFrame:
     return rows.withColumn("fields", fields).select(F.to_json("fields").alias("payload"), "path", "fields")
 
 
-def read_json_list(spark: SparkSession, paths: list[str]) -> DataFrame:
+def read_json_list(spark: SparkSession, paths: list[str], sizes: dict[str, int] | None = None) -> DataFrame:
     """The same for files that are one JSON list each, of any size: a file is streamed, and only one element of it held."""
     schema = pa.schema([("path", pa.string()), ("payload", pa.string()), ("fields", pa.map_(pa.string(), pa.string()))])
-    return _streamed(spark, paths, list_elements, "path string, payload string, fields map<string,string>", schema).select("payload", "path", "fields")
+    return _streamed(spark, paths, list_elements, "path string, payload string, fields map<string,string>", schema, sizes).select("payload", "path", "fields")
 
 
 def read_json_array(spark: SparkSession, path: str) -> DataFrame:
     """fields of every event of a file, or of all files of a folder, that are one JSON list each."""
-    files = [p for p, _, _ in folders.files(spark, path) or []]
-    return read_json_list(spark, files).select("fields") if files else spark.createDataFrame([], "fields map<string,string>")
+    files = {p: size for p, _, size in folders.files(spark, path) or []}
+    return read_json_list(spark, list(files), files).select("fields") if files else spark.createDataFrame([], "fields map<string,string>")
 
 
 def _location(path: Column) -> Column:
     return F.regexp_replace(path, "^file:/+", "file:/")
 
 
-READERS: dict[str, Callable[[SparkSession, list[str]], DataFrame]] = {"json": read_json, "csv": read_csv, "json-array": read_json_list}
+READERS: dict[str, Callable[..., DataFrame]] = {"json": read_json, "csv": read_csv, "json-array": read_json_list}
 
 
 def read_events(spark: SparkSession, found: DataFrame, readers: dict[str, Callable] | None = None) -> DataFrame:
@@ -227,12 +267,13 @@ def read_events(spark: SparkSession, found: DataFrame, readers: dict[str, Callab
 
     A line of a file that no entry names keeps a null org, so it ends up as a dead letter and is not lost.
     """
-    readers = READERS | (readers or {})
-    listed = found.select("path", format_of(F.col("path")).alias("format")).distinct().collect()  # names only, as Spark's own listing
+    own = readers or {}
+    listed = found.select("path", "size", format_of(F.col("path")).alias("format")).distinct().collect()  # names only, as Spark's own listing
+    sizes = {r.path: r["size"] for r in listed}
     frames = []
     for kind in sorted({r.format for r in listed}):
-        paths = sorted(r.path for r in listed if r.format == kind)
-        frames.append(readers[kind](spark, paths).select("payload", "fields", "path"))
+        paths = sorted({r.path for r in listed if r.format == kind})
+        frames.append((own[kind](spark, paths) if kind in own else READERS[kind](spark, paths, sizes)).select("payload", "fields", "path"))
     if not frames:
         return spark.createDataFrame([], "org string, payload string, fields map<string,string>")
     lines = frames[0]

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
+from pyarrow import fs
 from pyspark.sql import SparkSession
 
 
@@ -30,11 +33,25 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
     return [f"{path}/{name}" for name in names if not name.startswith(("_", "."))]
 
 
+def encoded(spark: SparkSession, path: str) -> str:
+    """A path as rows carry it: some signs are encoded, which only paths that have other than the plain ones are asked for."""
+    return path if re.fullmatch(r"[A-Za-z0-9_.~/:=+,@-]*", path) else spark._jvm.org.apache.hadoop.fs.Path(path).toUri().toString()
+
+
 def files(spark: SparkSession, path: str) -> list[tuple[str, str, int]] | None:
-    """Path, encoded path and size of each file at or below a path, whatever their names; none where there is nothing."""
+    """Path, encoded path and size of each file at or below a path, whatever their names; none where there is nothing.
+
+    Local folders are listed at once, as the store's own listing asks for each file's rights by a process. Checksums are no files in both.
+    """
     target, system = _at(spark, path)
     if not system.exists(target):
         return None
+    if system.getUri().getScheme() == "file":
+        local, name = fs.LocalFileSystem(), system.makeQualified(target).toUri().getPath()
+        found = local.get_file_info(name)
+        below = [found] if found.is_file else local.get_file_info(fs.FileSelector(name, recursive=True))
+        kept = [("file:" + i.path, i.size) for i in below if i.is_file and not re.fullmatch(r"\..*\.crc", i.base_name, re.DOTALL)]
+        return [(p, encoded(spark, p), size) for p, size in kept]
     out, each = [], system.listFiles(target, True)
     while each.hasNext():
         status = each.next()
