@@ -318,6 +318,16 @@ def test_tenant_scan_reads_a_small_share(spark, tmp_path, monkeypatch):
     assert scanned_rows(V.scan(store, "org17x", "m3", 0, 7 * DAY)) < store.count() / 20
 
 
+def test_versions_are_collected_once(spark):
+    rows = spark.createDataFrame([("o", "m", 1, "b", 2, None), ("o", "m", 1, "a", None, "x"), ("o", "m", 1, "a", 3, "y"), ("o", "m", 2, "c", None, None)], "org string, metric_id string, ts_ms long, id string, n int, flag string")
+    wide = V.collapse(rows, ["n", "flag"])
+    found = {r.ts_ms: (r.ids, r.n, r.flag) for r in wide.collect()}
+    assert found == {1: (["a", "b"], {"a": 3, "b": 2}, {"a": "x"}), 2: (["c"], {}, {})}
+    assert sorted(tuple(r) for r in V.expand(wide, ["n", "flag"]).where("ts_ms = 1").collect()) == [("o", "m", 1, "a", 3, "x"), ("o", "m", 1, "b", 2, None)]
+    plan = wide._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("collect_list(") == 1 and "collect_set(" not in plan
+
+
 def test_each_window_is_one_small_file(spark, tmp_path):
     """Files don't grow with windows times tasks, of which a larger input has as many as here without coalescing."""
     path, name = str(tmp_path / "store"), "spark.sql.adaptive.coalescePartitions.enabled"

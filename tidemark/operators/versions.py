@@ -58,10 +58,15 @@ def _orderable(df: DataFrame, column: str) -> bool:
 
 
 def collapse(records: DataFrame, values: list[str]) -> DataFrame:
-    """One row per (org, metric, time): the set of ids and, for each value, a map from id to it."""
+    """One row per (org, metric, time): the set of ids and, for each value, a map from id to it.
+
+    Versions are collected once, as rows of their id and values, and not for the ids and each value again.
+    """
     once = records.groupBy(*KEY, "id").agg(*[F.min(v).alias(v) for v in values])
-    maps = [F.map_from_entries(F.collect_list(F.when(F.col(v).isNotNull(), F.struct("id", v)))).alias(v) for v in values]
-    return once.groupBy(*KEY).agg(F.array_sort(F.collect_set("id")).alias("ids"), *maps)
+    versions = F.array_sort(F.collect_list(F.struct(F.col("id"), *[F.col(v).alias(f"v{i}") for i, v in enumerate(values)])))
+    sorted_once = once.groupBy(*KEY).agg(versions.alias("versions"))
+    pairs = lambda i: F.transform(F.filter("versions", lambda x: x[f"v{i}"].isNotNull()), lambda x: F.struct(x["id"], x[f"v{i}"]))
+    return sorted_once.select(*KEY, F.array_compact(F.col("versions.id")).alias("ids"), *[F.map_from_entries(pairs(i)).alias(v) for i, v in enumerate(values)])
 
 
 def expand(wide: DataFrame, values: list[str]) -> DataFrame:
